@@ -1,5 +1,167 @@
-"""Control-plane checks (schedule, load modes, run results, type mapping)."""
+"""Control-plane checks at table scale.
+
+The control tables are derived from the generated tables so their size grows
+with the data: one config row per customer (its source "table"), one
+connection per nation (its source "database").
+
+* timecols     — by market segment: none / one / two (with a trailing '|')
+* primarykeys  — one or two keys
+* watermark    — date of the customer's last order; NULL for one segment
+                 (never loaded); some fall on the run date (→ skip / not pending)
+                 and some after it
+* mappings     — NULL, a valid JSON object, or broken JSON (→ task FAILED)
+* status       — '0' for the richest accounts (disabled)
+* connections  — every nation twice (removed by distinct), region 3 has no
+                 connection, region 4 has a NULL password
+"""
 
 from __future__ import annotations
 
-from tidemark.plans.fixture_queries import register  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.plans.fixture_queries import _t, register
+from tidemark.plans.schedule import (
+    FAILED,
+    SUCCESS,
+    apply_run_results,
+    build_schedule,
+    parse_tasks,
+    with_load_mode,
+)
+
+RUN_DATE = "2001-07-31"
+GOOD_MAPPING = '{"c_name": "name", "c_phone": "phone"}'
+BAD_MAPPING = '{"id": '
+
+
+def derived_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = _t(spark, sf_dir, "customer")
+    last = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order"))
+    j = cust.join(last, cust["c_custkey"] == last["o_custkey"], "left")
+    seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
+    return j.select(
+        F.concat(F.lit("t_cust_"), F.col("c_custkey").cast("string")).alias("tablename"),
+        F.concat(F.lit("db_"), F.col("c_nationkey").cast("string")).alias("dbname"),
+        F.concat(F.lit("src"), F.col("c_nationkey").cast("string"), F.lit(":3306")).alias("host_port"),
+        F.when(seg == "AUTOMOBILE", F.lit(None).cast("string"))
+        .when(seg == "BUILDING", F.lit("create_time"))
+        .otherwise(F.lit("create_time|mod_time|")).alias("timecols"),
+        F.when(seg == "MACHINERY", F.lit("id|shop_id")).otherwise(F.lit("id")).alias("primarykeys"),
+        F.concat(F.lit("dw_cust_"), F.col("c_custkey").cast("string")).alias("targettable"),
+        F.when(seg == "HOUSEHOLD", F.lit(None).cast("string"))
+        .otherwise(F.date_format("last_order", "yyyy-MM-dd")).alias("watermark"),
+        F.lit("8.0").alias("dbversion"),
+        F.when(bal < 0, F.lit(BAD_MAPPING)).when(bal < 5000, F.lit(None).cast("string"))
+        .otherwise(F.lit(GOOD_MAPPING)).alias("mappings"),
+        F.when(bal > 9000, F.lit("0")).otherwise(F.lit("1")).alias("status"),
+        F.lit(None).cast("string").alias("comments"),
+    )
+
+
+def derived_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nat = _t(spark, sf_dir, "nation")
+    rows = nat.unionByName(nat).filter(F.col("n_regionkey") != 3)
+    return rows.select(
+        F.concat(F.lit("db_"), F.col("n_nationkey").cast("string")).alias("db_name"),
+        F.lit("ignored").alias("host_port"),
+        F.lower("n_name").alias("username"),
+        F.when(F.col("n_regionkey") == 4, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("pw_"), F.col("n_nationkey").cast("string"))).alias("passwd"),
+    )
+
+
+_CONTROL_SQL = f"""
+last AS (SELECT o_custkey, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey),
+cfg AS (
+  SELECT 't_cust_' || CAST(c_custkey AS VARCHAR) AS tablename,
+         'db_' || CAST(c_nationkey AS VARCHAR) AS dbname,
+         'src' || CAST(c_nationkey AS VARCHAR) || ':3306' AS host_port,
+         CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 'create_time'
+              ELSE 'create_time|mod_time|' END AS timecols,
+         CASE WHEN c_mktsegment = 'MACHINERY' THEN 'id|shop_id' ELSE 'id' END AS primarykeys,
+         'dw_cust_' || CAST(c_custkey AS VARCHAR) AS targettable,
+         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE strftime(last_order, '%Y-%m-%d') END AS watermark,
+         '8.0' AS dbversion,
+         CASE WHEN c_acctbal < 0 THEN '{BAD_MAPPING}' WHEN c_acctbal < 5000 THEN NULL
+              ELSE '{GOOD_MAPPING}' END AS mappings,
+         CASE WHEN c_acctbal > 9000 THEN '0' ELSE '1' END AS status,
+         CAST(NULL AS VARCHAR) AS comments
+  FROM customer LEFT JOIN last ON c_custkey = o_custkey),
+conns AS (
+  SELECT 'db_' || CAST(n_nationkey AS VARCHAR) AS db_name, 'ignored' AS host_port, lower(n_name) AS username,
+         CASE WHEN n_regionkey = 4 THEN NULL ELSE 'pw_' || CAST(n_nationkey AS VARCHAR) END AS passwd
+  FROM (SELECT * FROM nation UNION ALL SELECT * FROM nation) WHERE n_regionkey <> 3),
+sched AS (
+  SELECT DISTINCT p.tablename, p.dbname, p.host_port, p.timecols, p.primarykeys, p.targettable, p.watermark,
+         c.username, c.passwd, p.dbversion, p.mappings
+  FROM (SELECT * FROM cfg WHERE watermark <> '{RUN_DATE}' OR watermark IS NULL) p
+  LEFT JOIN (SELECT DISTINCT db_name, username, passwd FROM conns) c ON p.dbname = c.db_name
+  WHERE p.status = '1' AND c.passwd IS NOT NULL),
+parsed AS (
+  SELECT *, CASE WHEN len(tl) = 0 THEN NULL ELSE tl END AS time_cols,
+         CASE WHEN len(kl) = 0 THEN NULL ELSE kl END AS primary_keys,
+         (mappings IS NOT NULL AND trim(mappings) <> '' AND NOT json_valid(mappings)) AS mapping_error
+  FROM (SELECT *,
+          list_filter(list_transform(string_split(timecols, '|'), lambda x: trim(x)), lambda x: x <> '') AS tl,
+          list_filter(list_transform(string_split(primarykeys, '|'), lambda x: trim(x)), lambda x: x <> '') AS kl
+        FROM sched)),
+modes AS (
+  SELECT *, CASE WHEN watermark IS NULL OR time_cols IS NULL THEN 'full'
+                 WHEN watermark = '{RUN_DATE}' THEN 'skip' ELSE 'incremental' END AS load_mode
+  FROM parsed)"""
+
+
+@register("schedule_customer", f"""
+WITH {_CONTROL_SQL}
+SELECT * FROM sched""")
+def q_schedule_customer(spark, sf_dir):
+    return build_schedule(derived_config(spark, sf_dir), derived_connections(spark, sf_dir), RUN_DATE)
+
+
+def _load_modes(spark, sf_dir):
+    sched = build_schedule(derived_config(spark, sf_dir), derived_connections(spark, sf_dir), RUN_DATE)
+    return with_load_mode(parse_tasks(sched), RUN_DATE)
+
+
+def _n(arr):
+    return F.when(arr.isNull(), F.lit(None)).otherwise(F.size(arr))
+
+
+@register("load_modes_customer", f"""
+WITH {_CONTROL_SQL}
+SELECT tablename, targettable, 'jdbc:mysql://' || host_port AS url,
+       CAST(len(time_cols) AS INTEGER) AS n_time_cols, CAST(len(primary_keys) AS INTEGER) AS n_keys,
+       time_cols[len(time_cols)] AS last_time_col, primary_keys[1] AS first_key,
+       mapping_error,
+       CASE WHEN mappings IS NOT NULL AND json_valid(mappings) THEN json_extract_string(mappings, '$.c_name')
+       END AS c_name_renamed,
+       (time_cols IS NOT NULL AND watermark IS NOT NULL) AS is_incremental, load_mode,
+       CASE WHEN load_mode = 'full' THEN 'overwrite' ELSE 'append' END AS write_mode
+FROM modes""")
+def q_load_modes_customer(spark, sf_dir):
+    lm = _load_modes(spark, sf_dir)
+    return lm.select(
+        "tablename", "targettable", "url",
+        _n(F.col("time_cols")).alias("n_time_cols"), _n(F.col("primary_keys")).alias("n_keys"),
+        F.element_at("time_cols", -1).alias("last_time_col"), F.element_at("primary_keys", 1).alias("first_key"),
+        "mapping_error", F.col("mapping")["c_name"].alias("c_name_renamed"),
+        "is_incremental", "load_mode", "write_mode")
+
+
+@register("run_results_customer", f"""
+WITH {_CONTROL_SQL},
+res AS (SELECT targettable, CASE WHEN mapping_error THEN 'FAILED' ELSE 'SUCCESS' END AS status
+        FROM modes WHERE load_mode <> 'skip'),
+r AS (SELECT targettable AS rkey,
+             CASE WHEN max(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) = 1 THEN 'FAILED' ELSE 'SUCCESS' END AS st
+      FROM res GROUP BY targettable)
+SELECT cfg.tablename, cfg.dbname, cfg.host_port, cfg.timecols, cfg.primarykeys, cfg.targettable,
+       CASE WHEN r.st = 'SUCCESS' THEN '{RUN_DATE}' ELSE cfg.watermark END AS watermark,
+       cfg.dbversion, cfg.mappings, cfg.status, coalesce(r.st, cfg.comments) AS comments
+FROM cfg LEFT JOIN r ON cfg.targettable = r.rkey""")
+def q_run_results_customer(spark, sf_dir):
+    lm = _load_modes(spark, sf_dir).filter(F.col("load_mode") != "skip")
+    results = lm.select("targettable", F.when(F.col("mapping_error"), F.lit(FAILED))
+                        .otherwise(F.lit(SUCCESS)).alias("status"))
+    return apply_run_results(derived_config(spark, sf_dir), results, RUN_DATE)
