@@ -53,14 +53,12 @@ def _parts(src: Column) -> tuple[Column, Column, Column]:
     return t, base, args
 
 
-def mapped_type(src: Column) -> Column:
-    """Target type for a source-type column; NULL when there is no mapping."""
-    t, base, args = _parts(src)
+def _target_from_parts(t: Column, base: Column, args: Column) -> Column:
     has_args = args != F.lit("")
     expr = F.when(F.lit(False), F.lit(None).cast("string"))
     for name, target in FIXED_TARGETS.items():
         expr = expr.when(base == name, F.lit(target))
-    expr = (
+    return (
         expr.when(base.isin(*NUMERIC_BASES),
                   F.when(has_args, F.concat(F.lit("number("), args, F.lit(")"))).otherwise(F.lit("number")))
         .when(base == "datetime",
@@ -69,20 +67,31 @@ def mapped_type(src: Column) -> Column:
         .when((base == "bit") & (args == "1"), F.lit("number(2,0)"))
         .when(base.isin(*KEPT_BASES), t)
     )
-    return expr
 
 
-def map_status(src: Column) -> Column:
-    t, base, args = _parts(src)
+def _status_from_parts(tgt: Column, base: Column, args: Column) -> Column:
     width = F.when(args.rlike(r"^[0-9]+$"), args.cast("bigint"))
     return (
-        F.when(mapped_type(src).isNull(), F.lit("unsupported"))
+        F.when(tgt.isNull(), F.lit("unsupported"))
         .when((base == "varchar") & (width > VARCHAR_MAX_WIDTH), F.lit("narrowed"))
         .otherwise(F.lit("ok"))
     )
 
 
+def mapped_type(src: Column) -> Column:
+    """Target type for a source-type column; NULL when there is no mapping."""
+    return _target_from_parts(*_parts(src))
+
+
 def map_types(catalog: DataFrame, type_col: str = "src_type") -> DataFrame:
-    """Add ``tgt_type`` and ``map_status`` ('ok' | 'narrowed' | 'unsupported')."""
-    src = F.col(type_col)
-    return catalog.withColumns({"tgt_type": mapped_type(src), "map_status": map_status(src)})
+    """Add ``tgt_type`` and ``map_status`` ('ok' | 'narrowed' | 'unsupported').
+
+    The type text is parsed once into helper columns that the mapping then
+    references, keeping the generated code small.
+    """
+    t, base, args = _parts(F.col(type_col))
+    parsed = catalog.withColumns({"_tm_t": t, "_tm_base": base, "_tm_args": args})
+    tb, bb, ab = F.col("_tm_t"), F.col("_tm_base"), F.col("_tm_args")
+    mapped = parsed.withColumn("tgt_type", _target_from_parts(tb, bb, ab))
+    return mapped.withColumn("map_status", _status_from_parts(F.col("tgt_type"), bb, ab)).drop(
+        "_tm_t", "_tm_base", "_tm_args")

@@ -165,3 +165,124 @@ def q_run_results_customer(spark, sf_dir):
     results = lm.select("targettable", F.when(F.col("mapping_error"), F.lit(FAILED))
                         .otherwise(F.lit(SUCCESS)).alias("status"))
     return apply_run_results(derived_config(spark, sf_dir), results, RUN_DATE)
+
+
+# ---------------------------------------------------------------- type mapping / DDL
+from tidemark.functions.typemap import (  # noqa: E402
+    FIXED_TARGETS, KEPT_BASES, NUMERIC_BASES, VARCHAR_MAX_WIDTH, map_types)
+from tidemark.plans.ddl import IDENTIFIER_MAX, target_ddl  # noqa: E402
+from tidemark.sources.catalog import TEXT_LIMITS, VARCHAR_LIMIT, profile_catalog  # noqa: E402
+from tidemark.sources.files import FIXTURE_TABLES  # noqa: E402
+
+# Column kinds of the generated tables, used only to write the SQL oracle:
+# 's' text (width from data), 'i:<type>' integer of that declared type, else a fixed source type.
+FIXTURE_SCHEMAS = {
+    "region": [("r_regionkey", "i:int"), ("r_name", "s")],
+    "nation": [("n_nationkey", "i:int"), ("n_name", "s"), ("n_regionkey", "i:int")],
+    "customer": [("c_custkey", "i:bigint"), ("c_name", "s"), ("c_nationkey", "i:int"), ("c_acctbal", "double"),
+                 ("c_mktsegment", "s")],
+    "supplier": [("s_suppkey", "i:bigint"), ("s_name", "s"), ("s_nationkey", "i:int"), ("s_acctbal", "double")],
+    "part": [("p_partkey", "i:bigint"), ("p_name", "s"), ("p_brand", "s"), ("p_type", "s"), ("p_size", "i:int"),
+             ("p_retailprice", "double")],
+    "orders": [("o_orderkey", "i:bigint"), ("o_custkey", "i:bigint"), ("o_orderstatus", "s"),
+               ("o_totalprice", "double"), ("o_orderdate", "datetime"), ("o_orderpriority", "s")],
+    "lineitem": [("l_orderkey", "i:bigint"), ("l_partkey", "i:bigint"), ("l_suppkey", "i:bigint"),
+                 ("l_linenumber", "i:int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+                 ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "s"), ("l_linestatus", "s"),
+                 ("l_shipdate", "datetime")],
+    "events": [("event_id", "i:bigint"), ("ts", "datetime"), ("user_id", "i:bigint"), ("event_type", "s"),
+               ("value", "double"), ("props", "s")],
+    "documents": [("doc_id", "i:bigint"), ("text", "s"), ("lang", "s"), ("source", "s"), ("n_chars", "i:bigint")],
+    "embeddings": [("vec_id", "i:bigint"), ("embedding", "json"), ("label", "i:int")],
+    "pages": [("page_id", "i:bigint"), ("url", "s"), ("html", "s")],
+    "benchmark": [("item_id", "i:bigint"), ("text", "s")],
+    "labels": [("doc_id", "i:bigint"), ("quality", "i:int"), ("toxic", "i:int")],
+    "conversations": [("conv_id", "i:bigint"), ("turn", "i:bigint"), ("role", "s"), ("text", "s")],
+}
+DDL_SCHEMA = "DW"
+
+
+def _sql_src_type(kind: str, i: int) -> str:
+    if kind == "s":
+        n = f"coalesce(_len{i}, 0)"
+        parts = [f"WHEN {n} <= {VARCHAR_LIMIT} THEN 'varchar(' || CAST(greatest({n}, 1) AS VARCHAR) || ')'"]
+        parts += [f"WHEN {n} <= {lim} THEN '{name}'" for name, lim in TEXT_LIMITS]
+        return "CASE " + " ".join(parts) + " ELSE 'longtext' END"
+    if kind.startswith("i:"):
+        return f"'{kind[2:]}'"
+    return f"'{kind}'"
+
+
+def _sql_catalog() -> str:
+    ctes, selects = [], []
+    for t in FIXTURE_TABLES:
+        aggs = ["COUNT(*) AS _rows"]
+        for i, (c, kind) in enumerate(FIXTURE_SCHEMAS[t], 1):
+            if kind == "s":
+                aggs.append(f"max(length({c})) AS _len{i}")
+            selects.append(f"SELECT '{t}' AS table_name, {i} AS ordinal, '{c}' AS field, "
+                           f"{_sql_src_type(kind, i)} AS src_type FROM a_{t}")
+        ctes.append(f"a_{t} AS (SELECT {', '.join(aggs)} FROM {t})")
+    return ",\n".join(ctes) + ",\ncatalog AS (\n" + "\nUNION ALL\n".join(selects) + ")"
+
+
+def _sql_parts(src: str) -> tuple[str, str, str]:
+    t = f"trim(regexp_replace(lower(trim({src})), '\\s+unsigned\\b', '', 'g'))"
+    base = f"regexp_extract({t}, '^([a-z0-9_]+)', 1)"
+    args = f"regexp_replace(regexp_extract({t}, '^[a-z0-9_]+\\s*\\(([^)]*)\\)', 1), '\\s+', '', 'g')"
+    return t, base, args
+
+
+def _sql_tgt_type(src: str) -> str:
+    t, base, args = _sql_parts(src)
+    fixed = " ".join(f"WHEN {base} = '{name}' THEN '{target}'" for name, target in FIXED_TARGETS.items())
+    numeric = ", ".join(f"'{b}'" for b in NUMERIC_BASES)
+    kept = ", ".join(f"'{b}'" for b in KEPT_BASES)
+    return (f"CASE {fixed} "
+            f"WHEN {base} IN ({numeric}) THEN CASE WHEN {args} <> '' THEN 'number(' || {args} || ')' ELSE 'number' END "
+            f"WHEN {base} = 'datetime' THEN CASE WHEN {args} <> '' THEN 'timestamp(' || {args} || ')' "
+            f"ELSE 'timestamp' END "
+            f"WHEN {base} = 'timestamp' THEN 'timestamp' "
+            f"WHEN {base} = 'bit' AND {args} = '1' THEN 'number(2,0)' "
+            f"WHEN {base} IN ({kept}) THEN {t} ELSE NULL END")
+
+
+def _sql_map_status(src: str) -> str:
+    t, base, args = _sql_parts(src)
+    return (f"CASE WHEN ({_sql_tgt_type(src)}) IS NULL THEN 'unsupported' "
+            f"WHEN {base} = 'varchar' AND regexp_full_match({args}, '[0-9]+') "
+            f"AND CAST({args} AS BIGINT) > {VARCHAR_MAX_WIDTH} THEN 'narrowed' ELSE 'ok' END")
+
+
+_MAPPED_SQL = (f"mapped AS (SELECT table_name, ordinal, field, src_type, {_sql_tgt_type('src_type')} AS tgt_type, "
+               f"{_sql_map_status('src_type')} AS map_status FROM catalog)")
+
+
+def fixture_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_catalog({t: _t(spark, sf_dir, t) for t in FIXTURE_TABLES})
+
+
+@register("type_map_all", f"""
+WITH {_sql_catalog()},
+{_MAPPED_SQL}
+SELECT * FROM mapped""")
+def q_type_map_all(spark, sf_dir):
+    return map_types(fixture_catalog(spark, sf_dir))
+
+
+@register("target_ddl_all", f"""
+WITH {_sql_catalog()},
+{_MAPPED_SQL}
+SELECT table_name,
+       CASE WHEN sum(CASE WHEN map_status = 'unsupported' THEN 1 ELSE 0 END) = 0 THEN
+         'create table {DDL_SCHEMA}.' || table_name || ' ( ' ||
+         string_agg('"' || field || '" ' || tgt_type, ',' ORDER BY ordinal) || ' )' END AS ddl,
+       CAST(COUNT(*) AS BIGINT) AS n_columns,
+       CAST(sum(CASE WHEN map_status = 'unsupported' THEN 1 ELSE 0 END) AS BIGINT) AS n_unsupported,
+       CAST(sum(CASE WHEN map_status = 'narrowed' THEN 1 ELSE 0 END) AS BIGINT) AS n_narrowed,
+       string_agg(CASE WHEN length(field) > {IDENTIFIER_MAX} THEN field END, '|' ORDER BY field) AS long_names,
+       (sum(CASE WHEN map_status = 'unsupported' THEN 1 ELSE 0 END) = 0
+        AND count(CASE WHEN length(field) > {IDENTIFIER_MAX} THEN 1 END) = 0) AS ok
+FROM mapped GROUP BY table_name""")
+def q_target_ddl_all(spark, sf_dir):
+    return target_ddl(fixture_catalog(spark, sf_dir), DDL_SCHEMA)
