@@ -55,7 +55,11 @@ def range_buckets(df: DataFrame, key: str, n_buckets: int, out_col: str = "_buck
         err = relative_error if relative_error is not None else 1.0 / (4.0 * n_buckets)
         probs = [i / n_buckets for i in range(1, n_buckets)]
         bounds = sorted(set(keyed.approxQuantile(tmp, probs, err)))
-    splits = [-math.inf] + [b for b in bounds if math.isfinite(b)] + [math.inf]
+    inner = [b for b in bounds if math.isfinite(b)]
+    if not inner:  # one bucket: every non-NULL key is in bucket 0
+        bucket = F.when(F.col(_q(key)).isNull(), F.lit(-1)).otherwise(F.lit(0))
+        return df.withColumn(out_col, bucket)
+    splits = [-math.inf] + inner + [math.inf]
     bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol="_bucket_f", handleInvalid="keep") \
         .transform(keyed.withColumn(tmp, F.coalesce(F.col(tmp), F.lit(float("nan")))))
     bucket = F.when(F.col(_q(key)).isNull(), F.lit(-1)).otherwise(F.col("_bucket_f").cast("int"))
