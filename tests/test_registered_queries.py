@@ -1,0 +1,44 @@
+"""Every registered query against its DuckDB oracle on the smallest tables."""
+import os
+import sys
+
+import duckdb
+import pytest
+
+from conftest import ROOT, SF_SMALL
+
+sys.path.insert(0, os.path.join(ROOT, "tools"))
+import __spark_entry__ as E  # noqa: E402
+from oracle_check import TABLES, rows_of  # noqa: E402
+
+QUERIES = E.queries()
+SQL = E.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return con
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(SQL), set(QUERIES) ^ set(SQL)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(spark, duck, name):
+    got = QUERIES[name](spark, SF_SMALL).toPandas()
+    want = duck.execute(SQL[name]).df()
+    gc, gr = rows_of(got)
+    wc, wr = rows_of(want)
+    assert gc == wc
+    assert len(gr) == len(wr)
+    assert gr == wr
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.count() >= 0 and df.columns == ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                              "o_orderdate", "o_orderpriority"]
