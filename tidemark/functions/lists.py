@@ -30,12 +30,14 @@ def key_list(keys: str | Iterable[str]) -> list[str]:
 
 
 def split_list(col: Column | str) -> Column:
-    """``'a|b|'`` → ``['a', 'b']``; NULL stays NULL; blanks are dropped."""
+    """``'a | b|'`` → ``['a', 'b']``; NULL or blank stays NULL; empty items are dropped.
+
+    One regex split (spaces around separators are part of the separator) and
+    ``array_remove`` — no lambda, so the expression stays in generated code.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    parts = F.transform(F.split(c, r"\|"), lambda x: F.trim(x))
-    cleaned = F.filter(parts, lambda x: x != "")
-    return F.when(c.isNull(), F.lit(None)).otherwise(
-        F.when(F.size(cleaned) == 0, F.lit(None)).otherwise(cleaned))
+    parts = F.array_remove(F.split(F.trim(c), r" *\| *"), "")
+    return F.when(F.size(parts) > 0, parts)
 
 
 def parse_json_map(col: Column | str) -> Column:

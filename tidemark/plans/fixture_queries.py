@@ -310,8 +310,9 @@ FROM (SELECT event_id, props,
                                         lambda x: trim(x)), lambda x: x <> '') AS parts FROM events)""")
 def q_mapping_json_events(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
-    parts = split_list(F.concat_ws("|", "event_type", F.col("user_id").cast("string"), F.lit(""), F.lit("")))
-    return ev.select(
-        "event_id", parse_json_map("props")["k"].alias("prop_k"),
-        F.size(parts).alias("n_parts"), F.element_at(parts, 1).alias("first_part"),
-        F.element_at(parts, -1).alias("last_part"))
+    listed = ev.select("event_id", parse_json_map("props").alias("_m"), split_list(
+        F.concat_ws("|", "event_type", F.col("user_id").cast("string"), F.lit(""), F.lit(""))).alias("_p"))
+    return listed.select(
+        "event_id", F.col("_m")["k"].alias("prop_k"),
+        F.size("_p").alias("n_parts"), F.element_at("_p", 1).alias("first_part"),
+        F.element_at("_p", -1).alias("last_part"))

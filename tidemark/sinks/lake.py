@@ -4,7 +4,7 @@ Layout: a keyed lake table is partitioned by ``_b = pmod(xxhash64(keys), N)``.
 An upsert then touches only the buckets its source rows hash to:
 
 1. the source (an incremental slice, usually small) is persisted and its
-   distinct bucket ids — at most N integers — are collected;
+   row count per bucket — at most N small rows — is collected;
 2. the target is read with ``_b IN (...)``: partition pruning skips every
    other bucket's files;
 3. merged = target-in-touched-buckets anti-join source keys ∪ source;
@@ -116,10 +116,12 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
     src = align_to(data_target, source).withColumn(BUCKET_COL, bucket_of(ks, n_buckets))
     src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_src = src.count()
+        # rows per touched bucket: at most n_buckets small rows reach the driver
+        per_bucket = src.groupBy(BUCKET_COL).count().collect()
+        n_src = sum(r[1] for r in per_bucket)
         if n_src == 0:
             return UpsertResult(0, 0, n_buckets, False)
-        touched = sorted(r[0] for r in src.select(BUCKET_COL).distinct().collect())  # <= n_buckets ints
+        touched = sorted(r[0] for r in per_bucket)
         target = target_all.where(F.col(BUCKET_COL).isin(touched)).select(*src.columns)
         if mode == "merge":
             merged = merge_upsert(target, src, ks, check_ambiguous=check_ambiguous, broadcast_rows=broadcast_rows)
