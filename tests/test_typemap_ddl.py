@@ -79,3 +79,4 @@ def test_profile_catalog(spark):
     assert got == [(1, "id", "bigint"), (2, "s", "text"), (3, "d", "double"), (4, "b", "bit(1)")]
     empty = spark.createDataFrame([], "s string")
     assert profile_catalog({"e": empty}).first().src_type == "varchar(1)"
+

@@ -286,3 +286,46 @@ SELECT table_name,
 FROM mapped GROUP BY table_name""")
 def q_target_ddl_all(spark, sf_dir):
     return target_ddl(fixture_catalog(spark, sf_dir), DDL_SCHEMA)
+
+
+# ---------------------------------------------------------------- uniqueness verdicts into the config
+from tidemark.operators import row_counts, unique_check_many  # noqa: E402
+from tidemark.plans.fixture_queries import TABLE_KEYS, _unique_sql  # noqa: E402
+from tidemark.plans.schedule import apply_unique_results  # noqa: E402
+
+FIXTURE_DB = "fixtures"
+
+
+def fixture_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One config row per generated table, from the tables' own row counts."""
+    counts = row_counts({t: _t(spark, sf_dir, t) for t in FIXTURE_TABLES})
+    keys = F.lit(None).cast("string")
+    for t, k in TABLE_KEYS.items():
+        keys = F.when(F.col("table_name") == t, F.lit(k)).otherwise(keys)
+    return counts.select(
+        F.col("table_name").alias("tablename"), F.lit(FIXTURE_DB).alias("dbname"),
+        F.lit("local").alias("host_port"), F.lit(None).cast("string").alias("timecols"),
+        keys.alias("primarykeys"), F.concat(F.lit("dw_"), F.col("table_name")).alias("targettable"),
+        F.lit(None).cast("string").alias("watermark"), F.lit("8.0").alias("dbversion"),
+        F.lit(None).cast("string").alias("mappings"), F.lit("1").alias("status"),
+        F.lit(None).cast("string").alias("comments"))
+
+
+_FIXTURE_CONFIG_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS tablename, '{FIXTURE_DB}' AS dbname, 'local' AS host_port, CAST(NULL AS VARCHAR) AS timecols, "
+    f"'{TABLE_KEYS[t]}' AS primarykeys, 'dw_{t}' AS targettable, CAST(NULL AS VARCHAR) AS watermark, "
+    f"'8.0' AS dbversion, CAST(NULL AS VARCHAR) AS mappings, '1' AS status, CAST(NULL AS VARCHAR) AS comments "
+    f"FROM (SELECT COUNT(*) FROM {t})" for t in FIXTURE_TABLES)
+
+
+@register("unique_comments_fixture", f"""
+WITH cfg AS ({_FIXTURE_CONFIG_SQL}),
+chk AS ({" UNION ALL ".join(_unique_sql(t, k) for t, k in TABLE_KEYS.items())})
+SELECT cfg.tablename, cfg.dbname, cfg.host_port, cfg.timecols, cfg.primarykeys, cfg.targettable, cfg.watermark,
+       cfg.dbversion, cfg.mappings, cfg.status, coalesce(chk.comment, cfg.comments) AS comments
+FROM cfg LEFT JOIN chk ON cfg.dbname = '{FIXTURE_DB}' AND cfg.tablename = chk.table_name""")
+def q_unique_comments_fixture(spark, sf_dir):
+    cfg = fixture_config(spark, sf_dir)
+    checks = unique_check_many({t: (_t(spark, sf_dir, t), k) for t, k in TABLE_KEYS.items()}).select(
+        F.lit(FIXTURE_DB).alias("dbname"), F.col("table_name").alias("tablename"), "comment")
+    return apply_unique_results(cfg, checks)

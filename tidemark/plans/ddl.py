@@ -58,3 +58,4 @@ def target_ddl(catalog: DataFrame, schema: str = "DW", *, max_name_len: int = ID
         long_names.alias("long_names"),
         ((F.col("n_unsupported") == 0) & (F.size("_long") == 0)).alias("ok"),
     )
+
