@@ -74,3 +74,21 @@ def test_source_with_hot_key_is_written_whole(spark, tmp_dir):
     swap_lake(spark, hot, path, "k", n_buckets=8)
     out = read_lake(spark, path)
     assert out.count() == 901 and out.filter("k = -7").count() == 300
+
+
+def test_key_range_layout_touches_only_recent_ranges(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    base = spark.range(0, 1000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    overwrite_lake(spark, base, path, keys="k", range_width=100)
+    before = files_by_bucket(path)
+    assert len(before) == 10
+    src = spark.createDataFrame([(995, "upd"), (1001, "ins"), (1050, "ins"), (None, "nullkey")], SCHEMA)
+    res = upsert_lake(spark, src, path, "k", range_width=100)
+    assert res.touched_buckets == 3  # ranges 9 and 10, and the NULL-key bucket
+    after = files_by_bucket(path)
+    assert [b for b in before if before[b] != after.get(b)] == [f"{BUCKET_COL}=9"]
+    got = {r.k: r.v for r in read_lake(spark, path).collect()}
+    assert len(got) == 1003 and got[995] == "upd" and got[1050] == "ins" and got[None] == "nullkey"
+    again = spark.createDataFrame([(None, "second")], SCHEMA)
+    upsert_lake(spark, again, path, "k", range_width=100)
+    assert read_lake(spark, path).filter("k IS NULL").count() == 2  # NULL keys never match

@@ -108,15 +108,18 @@ class LakeWarehouse:
     root: str
     fmt: str = "parquet"
     n_buckets: int = DEFAULT_BUCKETS
+    range_width: int | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def replace(self, spark, df, table, keys):
-        overwrite_lake(spark, df, self.path(table), keys=keys, n_buckets=self.n_buckets, fmt=self.fmt)
+        overwrite_lake(spark, df, self.path(table), keys=keys, n_buckets=self.n_buckets, fmt=self.fmt,
+                       range_width=self.range_width)
 
     def swap(self, spark, df, table, keys):
-        swap_lake(spark, df, self.path(table), keys, n_buckets=self.n_buckets, fmt=self.fmt)
+        swap_lake(spark, df, self.path(table), keys, n_buckets=self.n_buckets, fmt=self.fmt,
+                  range_width=self.range_width)
 
     def read(self, spark, table) -> DataFrame:
         return read_lake(spark, self.path(table), self.fmt)
@@ -164,7 +167,7 @@ class JdbcWarehouse:
 
 # ------------------------------------------------------------------ loads
 def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake_root: str, *,
-                 fmt: str = "parquet", n_buckets: int = DEFAULT_BUCKETS) -> str:
+                 fmt: str = "parquet", n_buckets: int = DEFAULT_BUCKETS, range_width: int | None = None) -> str:
     """Source → lake: full = replace the table, incremental = MERGE by key."""
     path = f"{lake_root.rstrip('/')}/{task.targettable}"
     if task.load_mode == "skip":
@@ -172,9 +175,9 @@ def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake
     data = source_slice(spark, task, reader)
     keys = tuple(task.renamed(k) for k in task.primary_keys)
     if task.load_mode == "full":
-        overwrite_lake(spark, data, path, keys=keys, n_buckets=n_buckets, fmt=fmt)
+        overwrite_lake(spark, data, path, keys=keys, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
     else:
-        upsert_lake(spark, data, path, keys, n_buckets=n_buckets, fmt=fmt)
+        upsert_lake(spark, data, path, keys, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
     return path
 
 

@@ -15,7 +15,14 @@ Writes use the ``rebalance`` hint on ``_b``: AQE makes output partitions of a
 sensible size and splits a bucket that holds a hot key (a third of the rows),
 so no single task writes a whole skewed bucket.
 
-``N`` must stay the same for the life of a table (it is part of its layout).
+With hash buckets a slice of k rows touches about ``N·(1-(1-1/N)^k)`` buckets:
+for any sizeable slice that is all of them. Sources with auto-increment keys
+(new rows get the largest ids, recent changes cluster near them) can use a
+key-range layout instead, ``range_width=w`` → ``_b = floor(key / w)``: an
+upsert of recent rows then touches only the few newest ranges. (NULL keys go
+to bucket -1; a shared bucket id is harmless, the bucket only groups rows.)
+
+``N`` / ``w`` must stay the same for the life of a table (part of its layout).
 The commit of a dynamic overwrite replaces directories one by one: readers
 running during the commit can see a mix of old and new buckets.
 A plain path that is both read and statically overwritten would lose data, so
@@ -42,8 +49,13 @@ BUCKET_COL = "_b"
 DEFAULT_BUCKETS = 256
 
 
-def bucket_of(keys: list[str], n_buckets: int):
-    return F.pmod(F.xxhash64(*[F.col("`" + k.replace("`", "``") + "`") for k in keys]), F.lit(n_buckets)).cast("int")
+def bucket_of(keys: list[str], n_buckets: int, range_width: int | None = None):
+    cols = [F.col("`" + k.replace("`", "``") + "`") for k in keys]
+    if range_width is not None:
+        if len(keys) != 1 or range_width <= 0:
+            raise ValueError("a key-range layout needs one integral key and a positive width")
+        return F.coalesce(F.floor(cols[0] / F.lit(range_width)), F.lit(-1)).cast("bigint")
+    return F.pmod(F.xxhash64(*cols), F.lit(n_buckets)).cast("int")
 
 
 def lake_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
@@ -80,7 +92,7 @@ def _write(df: DataFrame, path: str, fmt: str, partition_by: list[str], mode: st
 
 def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str | Iterable[str] | None = None,
                    n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet",
-                   partition_by: Iterable[str] | None = None) -> None:
+                   partition_by: Iterable[str] | None = None, range_width: int | None = None) -> None:
     """Replace the whole table (full load). With ``keys`` the table is bucketed for upserts."""
     if _reads_from(df, path):
         staging = shared_dir(spark, "overwrite-staging")
@@ -89,7 +101,7 @@ def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str |
     parts = list(partition_by or [])
     if keys is not None:
         ks = key_list(keys)
-        df = df.withColumn(BUCKET_COL, bucket_of(ks, n_buckets)).hint("rebalance", BUCKET_COL)
+        df = df.withColumn(BUCKET_COL, bucket_of(ks, n_buckets, range_width)).hint("rebalance", BUCKET_COL)
         parts = [BUCKET_COL] + parts
     _write(df, path, fmt, parts, "overwrite", dynamic=False)
 
@@ -104,19 +116,20 @@ class UpsertResult:
 
 def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: str | Iterable[str], *,
                      mode: str, n_buckets: int, fmt: str, check_ambiguous: bool,
-                     broadcast_rows: int) -> UpsertResult:
+                     broadcast_rows: int, range_width: int | None = None) -> UpsertResult:
     ks = key_list(keys)
     if not lake_exists(spark, path, fmt):
-        overwrite_lake(spark, source, path, keys=ks, n_buckets=n_buckets, fmt=fmt)
-        return UpsertResult(-1, n_buckets, n_buckets, True)
+        overwrite_lake(spark, source, path, keys=ks, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
+        return UpsertResult(-1, -1, n_buckets, True)
     target_all = spark.read.format(fmt).load(path)
     if BUCKET_COL not in target_all.columns:
         raise ValueError(f"{path} is not a keyed lake table (no {BUCKET_COL} partitions)")
     data_target = target_all.drop(BUCKET_COL)
-    src = align_to(data_target, source).withColumn(BUCKET_COL, bucket_of(ks, n_buckets))
+    bucket = bucket_of(ks, n_buckets, range_width).cast(target_all.schema[BUCKET_COL].dataType)
+    src = align_to(data_target, source).withColumn(BUCKET_COL, bucket)
     src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # rows per touched bucket: at most n_buckets small rows reach the driver
+        # rows per touched bucket: at most one small row per bucket of the table reaches the driver
         per_bucket = src.groupBy(BUCKET_COL).count().collect()
         n_src = sum(r[1] for r in per_bucket)
         if n_src == 0:
@@ -135,15 +148,16 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
 
 def upsert_lake(spark: SparkSession, source: DataFrame, path: str, keys: str | Iterable[str], *,
                 n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet", check_ambiguous: bool = True,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> UpsertResult:
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS, range_width: int | None = None) -> UpsertResult:
     """MERGE the source into the keyed lake table at ``path`` (created if absent)."""
     return _apply_by_bucket(spark, source, path, keys, mode="merge", n_buckets=n_buckets, fmt=fmt,
-                            check_ambiguous=check_ambiguous, broadcast_rows=broadcast_rows)
+                            check_ambiguous=check_ambiguous, broadcast_rows=broadcast_rows,
+                            range_width=range_width)
 
 
 def swap_lake(spark: SparkSession, stage: DataFrame, path: str, keys: str | Iterable[str], *,
               n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet",
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> UpsertResult:
+              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, range_width: int | None = None) -> UpsertResult:
     """Delete-by-key then insert the whole stage (duplicates kept), bucket by bucket."""
     return _apply_by_bucket(spark, stage, path, keys, mode="swap", n_buckets=n_buckets, fmt=fmt,
-                            check_ambiguous=False, broadcast_rows=broadcast_rows)
+                            check_ambiguous=False, broadcast_rows=broadcast_rows, range_width=range_width)
