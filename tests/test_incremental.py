@@ -73,3 +73,16 @@ def test_zero_dates(spark):
     df = spark.createDataFrame([(1, "0000-00-00 00:00:00"), (2, "2024-01-02 03:04:05"), (3, None)], "id int, d string")
     out = {r.id: r.d for r in zero_dates_to_null(df, "d").collect()}
     assert out == {1: None, 2: dt.datetime(2024, 1, 2, 3, 4, 5), 3: None}
+
+
+def test_epoch_bound_ignores_session_time_zone(spark):
+    df = spark.createDataFrame([(1, EPOCH_S), (2, EPOCH_S - 1)], "id int, s bigint")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert [r.id for r in incremental_filter(df, "s", WM).collect()] == [1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    # the source's own clock can be named explicitly
+    la = incremental_filter(df, "s", WM, tz="America/Los_Angeles").collect()
+    assert la == []

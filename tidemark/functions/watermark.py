@@ -8,13 +8,15 @@ folds and pushes to the scan (parquet row-group skipping, JDBC WHERE):
 * DATE                       → DATE literal
 * TIMESTAMP / TIMESTAMP_NTZ  → midnight of the date, same type
 * integral (epoch numbers)   → seconds (``unit="s"``) or milliseconds (``"ms"``)
-  since 1970-01-01 at midnight in the session time zone
+  since 1970-01-01 of midnight in ``tz`` (default UTC; the source's clock),
+  computed here as a literal so the session time zone never shifts it
 * string (ISO text)          → the date text itself (ISO text sorts by time)
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,7 +39,13 @@ def parse_run_date(value: str | _dt.date) -> str:
         raise ValueError(f"watermark/run date must be yyyy-MM-dd, got {value!r}") from exc
 
 
-def watermark_bound(dtype: T.DataType, watermark: str, unit: str = "s") -> Column:
+def epoch_of(watermark: str, tz: str = "UTC") -> int:
+    """Seconds since 1970-01-01T00:00Z of midnight of ``watermark`` in ``tz``."""
+    d = _dt.date.fromisoformat(parse_run_date(watermark))
+    return int(_dt.datetime(d.year, d.month, d.day, tzinfo=ZoneInfo(tz)).timestamp())
+
+
+def watermark_bound(dtype: T.DataType, watermark: str, unit: str = "s", tz: str = "UTC") -> Column:
     """Literal lower bound for a column of ``dtype``."""
     wm = parse_run_date(watermark)
     if isinstance(dtype, T.DateType):
@@ -47,11 +55,11 @@ def watermark_bound(dtype: T.DataType, watermark: str, unit: str = "s") -> Colum
     if isinstance(dtype, T.TimestampType):
         return F.lit(wm).cast("timestamp")
     if isinstance(dtype, _INTEGRAL) or isinstance(dtype, T.DecimalType):
-        secs = F.unix_timestamp(F.lit(wm), WATERMARK_FORMAT)
+        secs = epoch_of(wm, tz)
         if unit == "s":
-            return secs
+            return F.lit(secs)
         if unit == "ms":
-            return secs * F.lit(1000)
+            return F.lit(secs * 1000)
         raise ValueError(f"epoch unit must be 's' or 'ms', got {unit!r}")
     if isinstance(dtype, T.StringType):
         return F.lit(wm)

@@ -34,18 +34,19 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def time_predicate(df: DataFrame, time_cols: str | Iterable[str], watermark: str, unit: str = "s") -> Column:
+def time_predicate(df: DataFrame, time_cols: str | Iterable[str], watermark: str, unit: str = "s",
+                   tz: str = "UTC") -> Column:
     cols = key_list(time_cols)
     types = {f.name: f.dataType for f in df.schema.fields}
     missing = [c for c in cols if c not in types]
     if missing:
         raise ValueError(f"time columns {missing} not in {df.columns}")
-    preds = [F.col(_q(c)) >= watermark_bound(types[c], watermark, unit) for c in cols]
+    preds = [F.col(_q(c)) >= watermark_bound(types[c], watermark, unit, tz) for c in cols]
     return reduce(lambda a, b: a | b, preds)
 
 
 def incremental_filter(df: DataFrame, time_cols: str | Iterable[str], watermark: str, unit: str = "s",
-                       overlap_days: int = 0) -> DataFrame:
+                       overlap_days: int = 0, tz: str = "UTC") -> DataFrame:
     """Rows with any time column ``>=`` the watermark (minus an optional overlap).
 
     A row changed before the watermark but arriving later is never picked up
@@ -56,12 +57,12 @@ def incremental_filter(df: DataFrame, time_cols: str | Iterable[str], watermark:
     if overlap_days:
         import datetime as _dt
         wm = (_dt.date.fromisoformat(wm) - _dt.timedelta(days=int(overlap_days))).isoformat()
-    return df.filter(time_predicate(df, time_cols, wm, unit))
+    return df.filter(time_predicate(df, time_cols, wm, unit, tz))
 
 
 def incremental_join(left: DataFrame, right: DataFrame, on: str | Iterable[str],
                      left_time_cols: str | Iterable[str], right_time_cols: str | Iterable[str],
-                     watermark: str, unit: str = "s",
+                     watermark: str, unit: str = "s", tz: str = "UTC",
                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``left ⋈ right`` restricted to rows where any time column is ``>=`` the watermark.
 
@@ -71,8 +72,8 @@ def incremental_join(left: DataFrame, right: DataFrame, on: str | Iterable[str],
     sides under the same name.
     """
     ks = key_list(on)
-    r_due = time_predicate(right, right_time_cols, watermark, unit)
-    l_due = time_predicate(left, left_time_cols, watermark, unit)
+    r_due = time_predicate(right, right_time_cols, watermark, unit, tz)
+    l_due = time_predicate(left, left_time_cols, watermark, unit, tz)
     right_slice = right.filter(r_due)
     left_slice = left.filter(l_due)
     first = left.join(checked_broadcast(right_slice, broadcast_rows), ks, "inner")
