@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.lists import key_list
+from tidemark.operators.keys import all_present
 from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS
 from tidemark.operators.upsert import align_to, merge_upsert, stage_swap
 from tidemark.session import shared_dir
@@ -118,10 +119,11 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
                      mode: str, n_buckets: int, fmt: str, check_ambiguous: bool,
                      broadcast_rows: int, range_width: int | None = None) -> UpsertResult:
     ks = key_list(keys)
-    if not lake_exists(spark, path, fmt):
+    try:  # one listing of the table: read it, or create it when it is not there
+        target_all = spark.read.format(fmt).load(path)
+    except AnalysisException:
         overwrite_lake(spark, source, path, keys=ks, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
         return UpsertResult(-1, -1, n_buckets, True)
-    target_all = spark.read.format(fmt).load(path)
     if BUCKET_COL not in target_all.columns:
         raise ValueError(f"{path} is not a keyed lake table (no {BUCKET_COL} partitions)")
     data_target = target_all.drop(BUCKET_COL)
@@ -129,15 +131,24 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
     src = align_to(data_target, source).withColumn(BUCKET_COL, bucket)
     src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # rows per touched bucket: at most one small row per bucket of the table reaches the driver
-        per_bucket = src.groupBy(BUCKET_COL).count().collect()
-        n_src = sum(r[1] for r in per_bucket)
+        # One job: rows, keyed rows and distinct keys per touched bucket (at most one
+        # small row per bucket of the table reaches the driver). Keys are distinct
+        # within the source iff distinct keys == keyed rows in every bucket, and only
+        # then can the MERGE skip its duplicate-source-key probe.
+        keyed = all_present(ks)
+        per_bucket = src.groupBy(BUCKET_COL).agg(
+            F.count(F.lit(1)).alias("n"), F.count(F.when(keyed, F.lit(1))).alias("n_keyed"),
+            F.count_distinct(*[F.col("`" + k.replace("`", "``") + "`") for k in ks]).alias("n_distinct"),
+        ).collect()
+        n_src = sum(r["n"] for r in per_bucket)
         if n_src == 0:
             return UpsertResult(0, 0, n_buckets, False)
-        touched = sorted(r[0] for r in per_bucket)
+        touched = sorted(r[BUCKET_COL] for r in per_bucket)
+        source_has_dups = any(r["n_distinct"] < r["n_keyed"] for r in per_bucket)
         target = target_all.where(F.col(BUCKET_COL).isin(touched)).select(*src.columns)
         if mode == "merge":
-            merged = merge_upsert(target, src, ks, check_ambiguous=check_ambiguous, broadcast_rows=broadcast_rows)
+            merged = merge_upsert(target, src, ks, check_ambiguous=check_ambiguous and source_has_dups,
+                                  broadcast_rows=broadcast_rows)
         else:
             merged = stage_swap(target, src, ks, broadcast_rows=broadcast_rows)
         _write(merged.hint("rebalance", BUCKET_COL), path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
