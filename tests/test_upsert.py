@@ -95,3 +95,12 @@ def test_large_key_side_is_not_broadcast(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
     assert sorted(r.v for r in out.collect()).count("n") == 25
+
+
+def test_merge_metrics_both_plans_agree(spark):
+    t = spark.createDataFrame([(i % 7 if i < 20 else i, "a", "o") for i in range(40)] + [(None, "a", "o")], SCHEMA)
+    s = spark.createDataFrame([(i, "a", "n") for i in range(0, 60, 3)] + [(None, "a", "n"), (3, "a", "dup")], SCHEMA)
+    small = merge_metrics(t, s, "k").first().asDict()
+    large = merge_metrics(t, s, "k", broadcast_rows=2).first().asDict()
+    assert small == large
+    assert small["rows_after"] == small["rows_untouched"] + s.count()

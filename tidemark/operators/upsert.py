@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.lists import key_list
 from tidemark.operators.keys import all_present, any_null, duplicate_keys
-from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS, checked_broadcast, is_empty
+from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS, at_most, checked_broadcast, is_empty
 
 
 class MergeAmbiguityError(ValueError):
@@ -116,15 +116,42 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: str | Iterable[str]
     return delete_by_keys(target, src, ks, broadcast_rows=broadcast_rows).unionByName(src)
 
 
-def merge_metrics(target: DataFrame, source: DataFrame, keys: str | Iterable[str]) -> DataFrame:
+def merge_metrics(target: DataFrame, source: DataFrame, keys: str | Iterable[str], *,
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row: ``rows_updated``, ``rows_inserted``, ``rows_untouched``, ``rows_after``.
 
-    Both sides are reduced to key columns, tagged and unioned, then grouped once
-    by key (partial aggregation before the shuffle; no join).
+    Small source (its non-NULL keys proven to fit ``broadcast_rows``): every count
+    comes from scans and broadcast semi/anti joins — the target is never
+    shuffled. Large source: both sides are reduced to key columns, tagged,
+    unioned and grouped once by key (partial aggregation first; no join).
     """
     ks = key_list(keys)
-    t = target.select(*[F.col(_q(k)) for k in ks]).withColumns({"_t": F.lit(1), "_s": F.lit(0)})
-    s = source.select(*[F.col(_q(k)) for k in ks]).withColumns({"_t": F.lit(0), "_s": F.lit(1)})
+    kcols = [F.col(_q(k)) for k in ks]
+    src_keys = source.select(*kcols).where(all_present(ks))
+    if at_most(src_keys, broadcast_rows):
+        small = F.broadcast(src_keys.distinct())
+        tkeys = target.select(*kcols)
+        matched = tkeys.join(small, ks, "left_semi")
+        # distinct matched keys are at most the source's keys: safe to broadcast too
+        matched_keys = F.broadcast(matched.distinct())
+        parts = [
+            tkeys.agg(F.count(F.lit(1)).alias("n")).withColumn("m", F.lit("t")),
+            source.agg(F.count(F.lit(1)).alias("n")).withColumn("m", F.lit("s")),
+            matched.agg(F.count(F.lit(1)).alias("n")).withColumn("m", F.lit("u")),
+            source.select(*kcols).join(matched_keys, ks, "left_anti")
+            .agg(F.count(F.lit(1)).alias("n")).withColumn("m", F.lit("i")),
+        ]
+        u = reduce(DataFrame.unionByName, parts)
+
+        def pick(tag):
+            return F.coalesce(F.sum(F.when(F.col("m") == tag, F.col("n"))), F.lit(0)).cast("bigint")
+
+        return u.agg(pick("u").alias("rows_updated"), pick("i").alias("rows_inserted"),
+                     (pick("t") - pick("u")).alias("rows_untouched"),
+                     (pick("t") - pick("u") + pick("s")).alias("rows_after"))
+
+    t = target.select(*kcols).withColumns({"_t": F.lit(1), "_s": F.lit(0)})
+    s = source.select(*kcols).withColumns({"_t": F.lit(0), "_s": F.lit(1)})
     per_key = t.unionByName(s).groupBy(*ks).agg(
         F.sum("_t").alias("n_t"), F.sum("_s").alias("n_s"), any_null(ks).alias("_null"))
     matched = (F.col("n_t") > 0) & (F.col("n_s") > 0) & ~F.col("_null")
