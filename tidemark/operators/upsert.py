@@ -103,6 +103,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: str | Iterable[str]
     Raises ``MergeAmbiguityError`` when a target row is matched by several
     source rows. The check first looks for duplicate source keys (one
     aggregation of the source); only when there are some is the target probed.
+    The checks and the join each read the source: persist it first when it is
+    expensive to recompute (a JDBC read, a wide join).
     """
     ks = key_list(keys)
     src = align_to(target, source)
