@@ -10,8 +10,8 @@ result row and the others go on; several tables can load at once
 
 from __future__ import annotations
 
+import logging
 import time
-import traceback
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -28,6 +28,8 @@ from tidemark.session import shared_dir
 from tidemark.sinks.lake import DEFAULT_BUCKETS, overwrite_lake, read_lake, swap_lake, upsert_lake
 from tidemark.sources.jdbc import read_jdbc, staging_name, swap_statements, write_jdbc
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class LoadTask:
@@ -220,7 +222,7 @@ def run_tasks(spark: SparkSession, tasks: Iterable[LoadTask], fn: Callable[[Load
             return (task.tablename, task.targettable, task.load_mode, SUCCESS, None, time.time() - t0)
         except Exception as exc:  # noqa: BLE001 — isolate the table, keep going
             msg = f"{type(exc).__name__}: {exc}".splitlines()[0][:1000]
-            traceback.print_exc()
+            log.warning("table %s failed: %s", task.tablename, msg, exc_info=True)
             return (task.tablename, task.targettable, task.load_mode, FAILED, msg, time.time() - t0)
 
     todo = [t for t in tasks if t.load_mode != "skip"]
