@@ -79,3 +79,16 @@ def test_streaming_upsert(spark, tmp_dir):
     q.awaitTermination()
     assert q.exception() is None
     assert rows(read_lake(spark, lake).select("id", "name")) == [(1, "a"), (2, "B"), (3, "C")]
+
+
+def test_config_written_back_to_its_own_path(spark, tmp_dir):
+    src, lake, cfg_path = tmp_dir + "/src", tmp_dir + "/lake", tmp_dir + "/config"
+    write_source(spark, src, "a", [(1, "x", dt.datetime(2024, 4, 1))])
+    spark.createDataFrame([("a", "db", "h", "mt", "id", "lake_a", None, "8", None, "1", None)], CFG) \
+        .write.parquet(cfg_path)
+    conns = spark.createDataFrame([("db", "h", "u", "p")], "db_name string, host_port string, username string, passwd string")
+    cfg = spark.read.parquet(cfg_path)
+    _, new_cfg = nightly_lake_run(spark, cfg, conns, RUN, file_source(src), lake)
+    overwrite_lake(spark, new_cfg, cfg_path)  # reads cfg_path while replacing it: staged first
+    got = spark.read.parquet(cfg_path).collect()
+    assert [(r.tablename, r.watermark, r.comments) for r in got] == [("a", RUN, "SUCCESS")]
