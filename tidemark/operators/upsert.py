@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.lists import key_list
 from tidemark.operators.keys import all_present, any_null, duplicate_keys
-from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS, at_most, checked_broadcast, is_empty
+from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS, at_most, is_empty
 
 
 class MergeAmbiguityError(ValueError):
@@ -57,7 +57,13 @@ def _key_join(left: DataFrame, keys_df: DataFrame, keys: list[str], how: str,
               keys_as_decimal: bool = False, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Semi/anti join of ``left`` with a key list; NULL keys never match."""
     right = keys_df.select(*[F.col(_q(k)) for k in keys]).where(all_present(keys))
-    right = checked_broadcast(right, broadcast_rows)
+    if at_most(right, broadcast_rows):
+        right = F.broadcast(right)
+    else:
+        # Shuffle join: de-duplicate the key side first (semi/anti joins ignore
+        # repeats). Partial aggregation folds a hot key to one row per task, and
+        # the result is already hash-partitioned on the keys for the join.
+        right = right.distinct()
     lt, rt = left.alias("_l"), right.alias("_r")
 
     def side(alias: str, k: str):
