@@ -57,3 +57,21 @@ def test_batch_plan_and_counts(spark):
     assert plan == {"a": (12, True, 3), "b": (3, False, 0)}
     with pytest.raises(ValueError):
         batch_plan(row_counts(t), 10, 0)
+
+
+def test_pages_split_a_hot_key_and_hot_nulls(spark):
+    # key 5 holds a third of the rows, NULL another sixth
+    data = [(5 if i % 3 == 0 else (None if i % 6 == 1 else i), i) for i in range(600)]
+    df = spark.createDataFrame(data, "k int, v int")
+    p = page(df, "k", 50, rows_per_bucket=40)
+    got = p.collect()
+    assert sorted(r.row_index for r in got) == list(range(600))
+    ordered = [r.k for r in sorted(got, key=lambda r: r.row_index)]
+    n_null = sum(1 for k, _ in data if k is None)
+    assert ordered[:n_null] == [None] * n_null
+    assert ordered[n_null:] == sorted(k for k, _ in data if k is not None)
+    assert all(r["count"] == 50 for r in p.groupBy("batch_id").count().collect())
+    # no sort group (bucket, sub-bucket) is much larger than rows_per_bucket
+    from tidemark.operators.paging import page_groups
+    groups = page_groups(df, "k", 40).groupBy("_bucket", "_sub").count().collect()
+    assert max(r["count"] for r in groups) <= 2 * 40, sorted(r["count"] for r in groups)

@@ -7,22 +7,28 @@ meant, but without the missing ORDER BY.
 
 Plan (every step distributed; the driver only sees bucket bounds and counts):
 
-1. ``count`` and ``approxQuantile`` on the key column (scans of one column)
-   → ``n_buckets - 1`` range bounds with ``n_buckets = ceil(rows / rows_per_bucket)``.
-2. ``Bucketizer`` maps each key to its range bucket (binary search, JVM side).
-3. Rows per bucket → running offsets (a window over ``n_buckets`` rows only),
-   broadcast back — its size is bounded by ``n_buckets``.
-4. ``row_number()`` inside each bucket ordered by key, plus the bucket offset.
-
-A bucket holds about ``rows_per_bucket`` rows, so the per-bucket sort fits a
-task. A key value repeated on a third of all rows would make its bucket that
-large; pages stay exact (a tie is broken arbitrarily) but use ``hash_batches``
-for such keys.
+1. one aggregation for the row count and the NULL-key count, and
+   ``approxQuantile`` on the key column → ``n_buckets - 1`` range bounds with
+   ``n_buckets = ceil(rows / rows_per_bucket)``;
+2. ``Bucketizer`` maps each key to its range bucket (binary search, JVM side);
+3. hot key values are split: a value that fills several quantile steps shows
+   up several times among the bounds; its rows are spread over as many
+   sub-buckets by a row hash (NULL keys likewise, by their count). Every
+   other row of a bucket sorts after them (sub-bucket ``m_max``), so the order
+   ``(bucket, sub-bucket, key)`` is still key order;
+4. rows per (bucket, sub-bucket) → running offsets (a window over those few
+   rows), broadcast back — bounded by the number of buckets;
+5. ``row_number()`` inside each (bucket, sub-bucket) by key and a row hash
+   (ties in a stable order), plus the offset.
+
+No task sorts much more than ``rows_per_bucket`` rows, even when one key
+value (or NULL) holds a third of the table.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
@@ -39,49 +45,85 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _bounds(df: DataFrame, key_d: str, n_buckets: int, relative_error: float | None) -> list[float]:
+    """Raw (non-distinct) quantile bounds of the double key column."""
+    if n_buckets <= 1:
+        return []
+    err = relative_error if relative_error is not None else 1.0 / (4.0 * n_buckets)
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    return [b for b in df.approxQuantile(key_d, probs, err) if b is not None and math.isfinite(b)]
+
+
+def _bucketize(keyed: DataFrame, key: str, key_d: str, inner: list[float], out_col: str) -> DataFrame:
+    if not inner:  # one bucket: every non-NULL key is in bucket 0
+        return keyed.withColumn(out_col, F.when(F.col(_q(key)).isNull(), F.lit(-1)).otherwise(F.lit(0)))
+    from pyspark.ml.feature import Bucketizer
+
+    splits = [-math.inf] + inner + [math.inf]
+    bucketed = Bucketizer(splits=splits, inputCol="_bucket_in", outputCol="_bucket_f", handleInvalid="keep") \
+        .transform(keyed.withColumn("_bucket_in", F.coalesce(F.col(key_d), F.lit(float("nan")))))
+    bucket = F.when(F.col(_q(key)).isNull(), F.lit(-1)).otherwise(F.col("_bucket_f").cast("int"))
+    return bucketed.withColumn(out_col, bucket).drop("_bucket_in", "_bucket_f")
+
+
 def range_buckets(df: DataFrame, key: str, n_buckets: int, out_col: str = "_bucket",
                   relative_error: float | None = None) -> DataFrame:
     """Add a range-bucket id in ``[0, n_buckets)``, monotone in ``key``; NULL keys → -1."""
-    from pyspark.ml.feature import Bucketizer
-
     dtype = df.schema[key].dataType
     if not isinstance(dtype, _NUMERIC):
         raise TypeError(f"range buckets need a numeric key, {key} is {dtype.simpleString()}")
-    tmp = "_bucket_key"
-    keyed = df.withColumn(tmp, F.col(_q(key)).cast("double"))
-    if n_buckets <= 1:
-        bounds: list[float] = []
+    keyed = df.withColumn("_key_d", F.col(_q(key)).cast("double"))
+    inner = sorted(set(_bounds(keyed, "_key_d", n_buckets, relative_error)))
+    return _bucketize(keyed, key, "_key_d", inner, out_col).drop("_key_d")
+
+
+def page_groups(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                relative_error: float | None = None) -> DataFrame:
+    """``df`` plus ``_bucket``, ``_sub`` (the sort groups, in key order) and ``_h`` (row hash)."""
+    dtype = df.schema[key].dataType
+    if not isinstance(dtype, _NUMERIC):
+        raise TypeError(f"page needs a numeric key, {key} is {dtype.simpleString()}; see hash_batches")
+    rpb = max(1, rows_per_bucket)
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(_q(key))).alias("n_key")).first()
+    total, n_null = stats["n"], stats["n"] - stats["n_key"]
+    n_buckets = max(1, math.ceil(total / rpb))
+
+    keyed = df.withColumn("_key_d", F.col(_q(key)).cast("double"))
+    raw = _bounds(keyed, "_key_d", n_buckets, relative_error)
+    inner = sorted(set(raw))
+    # a value repeated among the bounds fills that many quantile steps: split its rows
+    heavy = {h: c + 1 for h, c in Counter(raw).items() if c > 1}
+    m_null = max(1, math.ceil(n_null / rpb))
+    m_max = max([m_null, *heavy.values()])
+
+    b = _bucketize(keyed, key, "_key_d", inner, "_bucket")
+    b = b.withColumn("_h", F.xxhash64(*[F.col(_q(c)) for c in df.columns]))
+    if heavy:
+        hot = df.sparkSession.createDataFrame([(float(h), int(m)) for h, m in heavy.items()],
+                                              "_hot_key double, _hot_m int")
+        # at most n_buckets / 2 hot values: a proven bound, safe to broadcast
+        b = b.join(F.broadcast(hot), F.col("_key_d") == F.col("_hot_key"), "left")
+        sub = F.when(F.col("_hot_m").isNotNull(), F.pmod(F.col("_h"), F.col("_hot_m")))
     else:
-        err = relative_error if relative_error is not None else 1.0 / (4.0 * n_buckets)
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = sorted(set(keyed.approxQuantile(tmp, probs, err)))
-    inner = [b for b in bounds if math.isfinite(b)]
-    if not inner:  # one bucket: every non-NULL key is in bucket 0
-        bucket = F.when(F.col(_q(key)).isNull(), F.lit(-1)).otherwise(F.lit(0))
-        return df.withColumn(out_col, bucket)
-    splits = [-math.inf] + inner + [math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol="_bucket_f", handleInvalid="keep") \
-        .transform(keyed.withColumn(tmp, F.coalesce(F.col(tmp), F.lit(float("nan")))))
-    bucket = F.when(F.col(_q(key)).isNull(), F.lit(-1)).otherwise(F.col("_bucket_f").cast("int"))
-    return bucketed.withColumn(out_col, bucket).drop(tmp, "_bucket_f")
+        sub = F.when(F.lit(False), F.lit(0))
+    sub = sub.when(F.col(_q(key)).isNull(), F.pmod(F.col("_h"), F.lit(m_null))).otherwise(F.lit(m_max))
+    return b.withColumn("_sub", sub.cast("int")).select(*[F.col(_q(c)) for c in df.columns], "_bucket", "_sub", "_h")
 
 
 def page(df: DataFrame, key: str, batch_size: int, *, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-         batch_col: str = "batch_id", index_col: str = "row_index") -> DataFrame:
+         batch_col: str = "batch_id", index_col: str = "row_index",
+         relative_error: float | None = None) -> DataFrame:
     """Add ``row_index`` (0-based position in key order, NULLs first) and ``batch_id``."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    total = df.count()
-    n_buckets = max(1, math.ceil(total / max(1, rows_per_bucket)))
-    b = range_buckets(df, key, n_buckets)
-    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_bucket",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).cast("bigint").alias("_offset"))
-    # offsets has at most n_buckets + 1 rows: a proven bound, safe to broadcast.
-    w = Window.partitionBy("_bucket").orderBy(F.col(_q(key)).asc_nulls_first())
-    numbered = b.join(F.broadcast(offsets), "_bucket").withColumn(
+    b = page_groups(df, key, rows_per_bucket, relative_error)
+    counts = b.groupBy("_bucket", "_sub").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.orderBy("_bucket", "_sub").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", "_sub",
+                            F.coalesce(F.sum("_n").over(order), F.lit(0)).cast("bigint").alias("_offset"))
+    # offsets has at most (buckets + hot sub-buckets) rows: a proven bound, safe to broadcast.
+    w = Window.partitionBy("_bucket", "_sub").orderBy(F.col(_q(key)).asc_nulls_first(), F.col("_h"))
+    numbered = b.join(F.broadcast(offsets), ["_bucket", "_sub"]).withColumn(
         index_col, (F.col("_offset") + F.row_number().over(w) - 1).cast("bigint"))
     return numbered.select(
         *[F.col(_q(c)) for c in df.columns], index_col,
