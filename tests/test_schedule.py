@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from tidemark.plans.schedule import (
     apply_run_results, apply_unique_results, build_schedule, parse_tasks, pending_tasks, with_load_mode,

@@ -59,7 +59,7 @@ def q_stream_upsert_orders(spark, sf_dir):
 
 # ---------------------------------------------------------------- two nights of the whole flow
 from tidemark.operators import row_counts  # noqa: E402
-from tidemark.plans.control_queries import FIXTURE_DB, fixture_config  # noqa: E402
+from tidemark.plans.control_queries import fixture_config  # noqa: E402
 from tidemark.plans.fixture_queries import TABLE_KEYS  # noqa: E402
 from tidemark.plans.loads import file_source, nightly_lake_run  # noqa: E402
 from tidemark.sources.files import FIXTURE_TABLES  # noqa: E402
