@@ -329,3 +329,19 @@ def q_unique_comments_fixture(spark, sf_dir):
     checks = unique_check_many({t: (_t(spark, sf_dir, t), k) for t, k in TABLE_KEYS.items()}).select(
         F.lit(FIXTURE_DB).alias("dbname"), F.col("table_name").alias("tablename"), "comment")
     return apply_unique_results(cfg, checks)
+
+
+@register("load_modes_all_customer", f"""
+WITH {_CONTROL_SQL},
+allparsed AS (
+  SELECT tablename, watermark,
+         CASE WHEN len(tl) = 0 THEN NULL ELSE tl END AS time_cols
+  FROM (SELECT *, list_filter(list_transform(string_split(timecols, '|'), lambda x: trim(x)),
+                              lambda x: x <> '') AS tl FROM cfg))
+SELECT tablename,
+       CASE WHEN watermark IS NULL OR time_cols IS NULL THEN 'full'
+            WHEN watermark = '{RUN_DATE}' THEN 'skip' ELSE 'incremental' END AS load_mode
+FROM allparsed""")
+def q_load_modes_all_customer(spark, sf_dir):
+    """Load modes of the whole config (not only the pending rows): includes 'skip'."""
+    return with_load_mode(parse_tasks(derived_config(spark, sf_dir)), RUN_DATE).select("tablename", "load_mode")

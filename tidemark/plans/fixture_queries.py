@@ -316,3 +316,28 @@ def q_mapping_json_events(spark, sf_dir):
         "event_id", F.col("_m")["k"].alias("prop_k"),
         F.size("_p").alias("n_parts"), F.element_at("_p", 1).alias("first_part"),
         F.element_at("_p", -1).alias("last_part"))
+
+
+# ---------------------------------------------------------------- L1 one page / F4 on ISO text
+from tidemark.operators import page_slice  # noqa: E402
+
+PAGE_NO = 2
+
+
+@register("page_slice_orders", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS row_index,
+       CAST({PAGE_NO} AS BIGINT) AS batch_id
+FROM orders ORDER BY o_orderkey LIMIT {PAGE_SIZE} OFFSET {PAGE_NO * PAGE_SIZE}""")
+def q_page_slice_orders(spark, sf_dir):
+    return page_slice(_t(spark, sf_dir, "orders"), "o_orderkey", PAGE_SIZE, PAGE_NO, rows_per_bucket=1000)
+
+
+@register("incremental_orders_text", f"""
+SELECT o_orderkey, o_orderdate_text FROM (
+  SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate_text FROM orders)
+WHERE o_orderdate_text >= '{ORDERS_WATERMARK}'""")
+def q_incremental_orders_text(spark, sf_dir):
+    text = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate_text"))
+    return incremental_filter(text, "o_orderdate_text", ORDERS_WATERMARK)
