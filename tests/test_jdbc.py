@@ -35,3 +35,24 @@ def test_swap_statements():
     d, i = swap_statements("DW.t", "DW.t_tmp", "id|shop", ["id", "shop", "v"])
     assert d == 'DELETE FROM DW.t WHERE ("id", "shop") IN (SELECT "id", "shop" FROM DW.t_tmp)'
     assert i == 'INSERT INTO DW.t ("id", "shop", "v") SELECT "id", "shop", "v" FROM DW.t_tmp'
+
+
+def test_range_predicates_are_disjoint_and_cover():
+    from tidemark.sources.jdbc import ntile_bounds_query, range_predicates
+
+    preds = range_predicates("k", [30, 10, 10, 20])
+    assert preds == ["k <= 10", "k > 10 AND k <= 20", "k > 20 AND k <= 30", "k > 30", "k IS NULL"]
+
+    def holds(pred, k):
+        if pred == "k IS NULL":
+            return k is None
+        if k is None:
+            return False
+        env = {"k": k}
+        return eval(pred.replace("AND", "and").replace("IS NOT NULL", "is not None"), {}, env)
+
+    for k in [None, -5, 10, 11, 20, 25, 30, 31, 1000]:
+        assert sum(holds(p, k) for p in preds) == 1, k
+    assert range_predicates("d", ["2024-01-01"])[0] == "d <= '2024-01-01'"
+    assert range_predicates("k", []) == ["k IS NOT NULL", "k IS NULL"]
+    assert "NTILE(8) OVER (ORDER BY id)" in ntile_bounds_query("db.t", "id", 8)

@@ -26,7 +26,7 @@ from tidemark.operators.upsert import stage_swap
 from tidemark.plans.schedule import FAILED, SUCCESS, apply_run_results, build_schedule, parse_tasks, with_load_mode
 from tidemark.session import shared_dir
 from tidemark.sinks.lake import DEFAULT_BUCKETS, overwrite_lake, read_lake, swap_lake, upsert_lake
-from tidemark.sources.jdbc import read_jdbc, staging_name, swap_statements, write_jdbc
+from tidemark.sources.jdbc import read_jdbc, read_jdbc_balanced, staging_name, swap_statements, write_jdbc
 
 log = logging.getLogger(__name__)
 
@@ -77,10 +77,15 @@ def file_source(root: str, fmt: str = "parquet") -> SourceReader:
 
 
 def jdbc_source(driver: str | None = None, key_column: str | None = None, num_partitions: int | None = None,
-                fetch_size: int = 10_000) -> SourceReader:
-    """Source tables over JDBC, credentials from the schedule; parallel when a key column is named."""
+                fetch_size: int = 10_000, balanced: bool = False) -> SourceReader:
+    """Source tables over JDBC, credentials from the schedule; parallel when a key column is named
+    (``balanced=True``: equal-row partitions from database-side tiles instead of key strides)."""
     def read(spark: SparkSession, task: LoadTask) -> DataFrame:
-        return read_jdbc(spark, task.url, f"{task.dbname}.{task.tablename}", user=task.username,
+        table = f"{task.dbname}.{task.tablename}"
+        if balanced and key_column and num_partitions and num_partitions > 1:
+            return read_jdbc_balanced(spark, task.url, table, key_column, num_partitions, user=task.username,
+                                      password=task.passwd, driver=driver, fetch_size=fetch_size)
+        return read_jdbc(spark, task.url, table, user=task.username,
                          password=task.passwd, driver=driver, key=key_column, num_partitions=num_partitions,
                          fetch_size=fetch_size)
     return read
