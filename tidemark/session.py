@@ -73,3 +73,27 @@ def shared_dir(spark: SparkSession, name: str = "") -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def cluster_conf(largest_shuffle_bytes: int, *, target_partition_bytes: int = 256 << 20,
+                 split_bytes: int = 512 << 20, broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the biggest expected shuffle.
+
+    * ``spark.sql.shuffle.partitions`` = shuffle bytes / target partition size
+      (AQE then coalesces small ones and splits skewed ones),
+    * file splits of ``split_bytes`` so a scan task reads a bounded slice,
+    * AQE skew-join and rebalance splitting on, and a fixed broadcast threshold
+      so the planner never broadcasts an unbounded side by itself.
+    """
+    partitions = max(200, -(-int(largest_shuffle_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.sources.partitionOverwriteMode": "static",
+    }
