@@ -91,8 +91,6 @@ _ORDERS_SRC_SQL = f"""
   SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
   FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDERS_WATERMARK}'"""
 _ORDERS_TGT_SQL = "SELECT * FROM orders WHERE o_orderstatus <> 'P'"
-_LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
-            "l_returnflag, l_linestatus, l_shipdate")
 _LI_STAGE_SQL = f"""
   SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
          l_returnflag, 'U' AS l_linestatus, l_shipdate
