@@ -54,10 +54,16 @@ def align_to(target: DataFrame, source: DataFrame, allow_extra: bool = False) ->
 
 
 def _key_join(left: DataFrame, keys_df: DataFrame, keys: list[str], how: str,
-              keys_as_decimal: bool = False, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Semi/anti join of ``left`` with a key list; NULL keys never match."""
+              keys_as_decimal: bool = False, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+              small: bool | None = None) -> DataFrame:
+    """Semi/anti join of ``left`` with a key list; NULL keys never match.
+
+    ``small`` — already known whether the keyed rows of ``keys_df`` fit
+    ``broadcast_rows`` (skips the bounded count)."""
     right = keys_df.select(*[F.col(_q(k)) for k in keys]).where(all_present(keys))
-    if at_most(right, broadcast_rows):
+    if small is None:
+        small = at_most(right, broadcast_rows)
+    if small:
         right = F.broadcast(right)
     else:
         # Shuffle join: de-duplicate the key side first (semi/anti joins ignore
@@ -75,9 +81,10 @@ def _key_join(left: DataFrame, keys_df: DataFrame, keys: list[str], how: str,
 
 
 def delete_by_keys(target: DataFrame, keys_df: DataFrame, keys: str | Iterable[str], *,
-                   keys_as_decimal: bool = False, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   keys_as_decimal: bool = False, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   small: bool | None = None) -> DataFrame:
     """Target rows whose key is *not* in ``keys_df`` (what survives the DELETE)."""
-    return _key_join(target, keys_df, key_list(keys), "left_anti", keys_as_decimal, broadcast_rows)
+    return _key_join(target, keys_df, key_list(keys), "left_anti", keys_as_decimal, broadcast_rows, small)
 
 
 def matched_by_keys(target: DataFrame, keys_df: DataFrame, keys: str | Iterable[str], *,
@@ -95,33 +102,45 @@ def ambiguous_target_rows(target: DataFrame, source: DataFrame, keys: str | Iter
 
 
 def stage_swap(target: DataFrame, stage: DataFrame, keys: str | Iterable[str], *,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """DELETE target rows keyed in the stage, then INSERT the whole stage."""
     ks = key_list(keys)
     stage = align_to(target, stage)
-    return delete_by_keys(target, stage, ks, broadcast_rows=broadcast_rows).unionByName(stage)
+    return delete_by_keys(target, stage, ks, broadcast_rows=broadcast_rows, small=small).unionByName(stage)
+
+
+def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, bool]:
+    """(rows with all keys present, whether a key repeats) — one aggregation of the source."""
+    per_key = source.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    r = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                    F.coalesce(F.max("n"), F.lit(0)).alias("max_n")).first()
+    return int(r["rows"]), int(r["max_n"]) > 1
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: str | Iterable[str], *,
-                 check_ambiguous: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 check_ambiguous: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 small: bool | None = None) -> DataFrame:
     """MERGE: update matched rows with the source row, insert the rest.
 
     Raises ``MergeAmbiguityError`` when a target row is matched by several
-    source rows. The check first looks for duplicate source keys (one
-    aggregation of the source); only when there are some is the target probed.
-    The checks and the join each read the source: persist it first when it is
-    expensive to recompute (a JDBC read, a wide join).
+    source rows. One aggregation of the source gives both its keyed row count
+    (the broadcast decision) and whether any key repeats; only then is the
+    target probed. The checks and the join each read the source: persist it
+    first when it is expensive to recompute (a JDBC read, a wide join).
     """
     ks = key_list(keys)
     src = align_to(target, source)
     if check_ambiguous:
-        dup = duplicate_keys(src.where(all_present(ks)), ks).select(*ks)
-        if not is_empty(dup):
+        keyed_rows, has_dup = source_key_stats(src, ks)
+        if small is None:
+            small = keyed_rows <= broadcast_rows
+        if has_dup:
+            dup = duplicate_keys(src.where(all_present(ks)), ks).select(*ks)
             bad = _key_join(target, dup, ks, "left_semi", broadcast_rows=broadcast_rows)
             if not is_empty(bad):
                 raise MergeAmbiguityError(
                     f"several source rows match the same target row on keys {ks}")
-    return delete_by_keys(target, src, ks, broadcast_rows=broadcast_rows).unionByName(src)
+    return delete_by_keys(target, src, ks, broadcast_rows=broadcast_rows, small=small).unionByName(src)
 
 
 def merge_metrics(target: DataFrame, source: DataFrame, keys: str | Iterable[str], *,

@@ -145,12 +145,13 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
             return UpsertResult(0, 0, n_buckets, False)
         touched = sorted(r[BUCKET_COL] for r in per_bucket)
         source_has_dups = any(r["n_distinct"] < r["n_keyed"] for r in per_bucket)
+        small = sum(r["n_keyed"] for r in per_bucket) <= broadcast_rows  # proven: keyed source rows
         target = target_all.where(F.col(BUCKET_COL).isin(touched)).select(*src.columns)
         if mode == "merge":
             merged = merge_upsert(target, src, ks, check_ambiguous=check_ambiguous and source_has_dups,
-                                  broadcast_rows=broadcast_rows)
+                                  broadcast_rows=broadcast_rows, small=small)
         else:
-            merged = stage_swap(target, src, ks, broadcast_rows=broadcast_rows)
+            merged = stage_swap(target, src, ks, broadcast_rows=broadcast_rows, small=small)
         _write(merged.hint("rebalance", BUCKET_COL), path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
         return UpsertResult(n_src, len(touched), n_buckets, False)
     finally:
