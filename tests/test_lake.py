@@ -92,3 +92,14 @@ def test_key_range_layout_touches_only_recent_ranges(spark, tmp_dir):
     again = spark.createDataFrame([(None, "second")], SCHEMA)
     upsert_lake(spark, again, path, "k", range_width=100)
     assert read_lake(spark, path).filter("k IS NULL").count() == 2  # NULL keys never match
+
+
+def test_full_replace_ignores_a_dynamic_session_default(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    overwrite_lake(spark, spark.createDataFrame([(i, "old") for i in range(50)], SCHEMA), path, keys="k", n_buckets=8)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        overwrite_lake(spark, spark.createDataFrame([(1, "new")], SCHEMA), path, keys="k", n_buckets=8)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(read_lake(spark, path)) == [(1, "new")]

@@ -83,9 +83,9 @@ def _reads_from(df: DataFrame, path: str) -> bool:
 
 
 def _write(df: DataFrame, path: str, fmt: str, partition_by: list[str], mode: str, dynamic: bool) -> None:
-    w = df.write.format(fmt).mode(mode)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    # explicit either way: a session default of 'dynamic' must not turn a full
+    # replace into a partial one (stale buckets would survive)
+    w = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
