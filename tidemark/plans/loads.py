@@ -227,7 +227,8 @@ def run_tasks(spark: SparkSession, tasks: Iterable[LoadTask], fn: Callable[[Load
             return (task.tablename, task.targettable, task.load_mode, SUCCESS, None, time.time() - t0)
         except Exception as exc:  # noqa: BLE001 — isolate the table, keep going
             msg = f"{type(exc).__name__}: {exc}".splitlines()[0][:1000]
-            log.warning("table %s failed: %s", task.tablename, msg, exc_info=True)
+            log.warning("table %s failed: %s", task.tablename, msg)
+            log.debug("table %s traceback", task.tablename, exc_info=True)
             return (task.tablename, task.targettable, task.load_mode, FAILED, msg, time.time() - t0)
 
     todo = [t for t in tasks if t.load_mode != "skip"]
