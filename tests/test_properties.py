@@ -52,3 +52,38 @@ def test_page_matches_sorted_positions(spark, rows, batch, per_bucket):
     ks = [r.k for r in ordered]
     assert ks == sorted(ks, key=lambda k: (k is not None, k if k is not None else 0))  # NULLs first, then ascending
     assert all(r.batch_id == r.row_index // batch for r in got)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(keys, st.one_of(st.none(), st.integers(0, 2))), max_size=20))
+def test_unique_check_matches_brute_force(spark, rows):
+    from tidemark.operators import unique_check
+
+    df = spark.createDataFrame(rows, "a int, b int")
+    r = unique_check(df, "a|b").first()
+    counts = Counter(rows)
+    null_rows = sum(n for (a, b), n in counts.items() if a is None or b is None)
+    assert (r.n_rows, r.n_keys, r.n_dup_keys, r.n_null_key_rows) == (
+        len(rows), len(counts), sum(1 for n in counts.values() if n > 1), null_rows)
+    assert r.is_unique == (len(counts) == len(rows) and null_rows == 0)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 30)), st.one_of(st.none(), st.integers(0, 30))),
+                     max_size=20),
+       wm_day=st.integers(1, 28))
+def test_incremental_filter_matches_brute_force(spark, rows, wm_day):
+    import datetime as dt
+
+    from tidemark.operators import incremental_filter
+
+    base = dt.date(2024, 1, 1)
+    data = [(i, None if a is None else base + dt.timedelta(days=a),
+             None if b is None else dt.datetime(2024, 1, 1) + dt.timedelta(days=b, hours=5))
+            for i, (a, b) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id int, d date, t timestamp_ntz")
+    wm = dt.date(2024, 1, wm_day)
+    got = sorted(r.id for r in incremental_filter(df, ["d", "t"], wm.isoformat()).collect())
+    want = sorted(i for i, d, t in data
+                  if (d is not None and d >= wm) or (t is not None and t >= dt.datetime.combine(wm, dt.time())))
+    assert got == want
