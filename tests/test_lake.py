@@ -103,3 +103,21 @@ def test_full_replace_ignores_a_dynamic_session_default(spark, tmp_dir):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert rows(read_lake(spark, path)) == [(1, "new")]
+
+
+def test_delete_from_lake_clears_emptied_buckets(spark, tmp_dir):
+    from tidemark.sinks.lake import delete_from_lake
+
+    path = tmp_dir + "/t"
+    overwrite_lake(spark, spark.createDataFrame([(i, "v") for i in range(40)], SCHEMA), path, keys="k",
+                   range_width=10)
+    before = files_by_bucket(path)
+    # all of range 1 (10..19), part of range 2, a key that does not exist, and a NULL
+    keys = spark.createDataFrame([(k,) for k in list(range(10, 20)) + [25, 26, 999]] + [(None,)], "k int")
+    res = delete_from_lake(spark, keys, path, "k", range_width=10)
+    assert (res.touched_buckets, res.emptied_buckets) == (3, 1)  # ranges 1, 2 and 99; only range 1 is emptied
+    got = sorted(r.k for r in read_lake(spark, path).collect())
+    assert got == [k for k in range(40) if not (10 <= k < 20 or k in (25, 26))]
+    after = files_by_bucket(path)
+    assert f"{BUCKET_COL}=99" not in after  # no folder for a bucket that held nothing
+    assert before[f"{BUCKET_COL}=0"] == after[f"{BUCKET_COL}=0"] and before[f"{BUCKET_COL}=3"] == after[f"{BUCKET_COL}=3"]

@@ -106,3 +106,16 @@ def q_nightly_runs_fixture(spark, sf_dir):
     lake_rows = row_counts({f"dw_{t}": read_lake(spark, f"{lake}/dw_{t}") for t in FIXTURE_TABLES})
     out = cfg3.join(lake_rows, cfg3["targettable"] == lake_rows["table_name"], "left")
     return out.select("tablename", "targettable", "watermark", "comments", F.col("n_rows").alias("lake_rows"))
+
+
+# ---------------------------------------------------------------- delete by keys on a keyed lake table
+from tidemark.plans.fixture_queries import _t, recent_order_customers  # noqa: E402
+from tidemark.sinks.lake import delete_from_lake  # noqa: E402
+
+
+@register("lake_delete_customer", REGISTRY["delete_by_keys_customer"][1])
+def q_lake_delete_customer(spark, sf_dir):
+    path = shared_dir(spark, "lake") + "/customer"
+    overwrite_lake(spark, _t(spark, sf_dir, "customer"), path, keys="c_custkey", n_buckets=LAKE_BUCKETS)
+    delete_from_lake(spark, recent_order_customers(spark, sf_dir), path, "c_custkey", n_buckets=LAKE_BUCKETS)
+    return read_lake(spark, path)

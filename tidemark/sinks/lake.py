@@ -173,3 +173,53 @@ def swap_lake(spark: SparkSession, stage: DataFrame, path: str, keys: str | Iter
     """Delete-by-key then insert the whole stage (duplicates kept), bucket by bucket."""
     return _apply_by_bucket(spark, stage, path, keys, mode="swap", n_buckets=n_buckets, fmt=fmt,
                             check_ambiguous=False, broadcast_rows=broadcast_rows, range_width=range_width)
+
+
+@dataclass(frozen=True)
+class DeleteResult:
+    touched_buckets: int
+    emptied_buckets: int
+
+
+def delete_from_lake(spark: SparkSession, keys_df: DataFrame, path: str, keys: str | Iterable[str], *,
+                     n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet", range_width: int | None = None,
+                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DeleteResult:
+    """DELETE the rows whose key is in ``keys_df`` from the keyed lake table at ``path``.
+
+    Only the buckets the keys hash to are read and rewritten. Survivors go
+    back with dynamic partition overwrite. A bucket left with no row would be
+    skipped by that commit (it only replaces buckets that have output), so each
+    emptied bucket's directory is replaced by an empty file set with a static
+    overwrite of that one sub-folder.
+    """
+    from tidemark.operators.upsert import delete_by_keys
+
+    ks = key_list(keys)
+    target_all = spark.read.format(fmt).load(path)
+    if BUCKET_COL not in target_all.columns:
+        raise ValueError(f"{path} is not a keyed lake table (no {BUCKET_COL} partitions)")
+    data_cols = [c for c in target_all.columns if c != BUCKET_COL]
+    types = dict(target_all.dtypes)
+    kd = keys_df.select(*[F.col("`" + k + "`").cast(types[k]).alias(k) for k in ks]).where(all_present(ks))
+    kd = kd.withColumn(BUCKET_COL, bucket_of(ks, n_buckets, range_width)
+                       .cast(target_all.schema[BUCKET_COL].dataType)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        key_buckets = kd.groupBy(BUCKET_COL).count().collect()  # at most one row per bucket
+        touched = sorted(r[BUCKET_COL] for r in key_buckets)
+        if not touched:
+            return DeleteResult(0, 0)
+        small = sum(r["count"] for r in key_buckets) <= broadcast_rows
+        target = target_all.where(F.col(BUCKET_COL).isin(touched))
+        survivors = delete_by_keys(target, kd, ks, broadcast_rows=broadcast_rows, small=small)
+        kept = {r[BUCKET_COL] for r in survivors.groupBy(BUCKET_COL).count().collect()}
+        # partition values only: no data column is read
+        existing = {r[BUCKET_COL] for r in target.select(BUCKET_COL).distinct().collect()}
+        if kept:
+            _write(survivors.hint("rebalance", BUCKET_COL), path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
+        emptied = [b for b in touched if b in existing and b not in kept]
+        empty = spark.createDataFrame([], target_all.select(*data_cols).schema)
+        for b in emptied:  # bounded by the number of buckets
+            _write(empty, f"{path.rstrip('/')}/{BUCKET_COL}={b}", fmt, [], "overwrite", dynamic=False)
+        return DeleteResult(len(touched), len(emptied))
+    finally:
+        kd.unpersist()
