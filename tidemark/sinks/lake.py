@@ -3,14 +3,19 @@
 Layout: a keyed lake table is partitioned by ``_b = pmod(xxhash64(keys), N)``.
 An upsert then touches only the buckets its source rows hash to:
 
-1. the source (an incremental slice, usually small) is persisted and its
-   row count per bucket — at most N small rows — is collected;
+1. the source (an incremental slice, usually small) is persisted; its rows,
+   keyed rows and distinct keys per bucket — at most N small rows — are
+   collected: they name the touched buckets, prove the broadcast bound and
+   say whether the duplicate-key probe of a MERGE is needed;
 2. the target is read with ``_b IN (...)``: partition pruning skips every
    other bucket's files;
 3. merged = target-in-touched-buckets anti-join source keys ∪ source;
 4. merged is written back with dynamic partition overwrite: only the touched
    bucket directories are replaced, the rest of the table is not rewritten.
 
+``delete_from_lake`` works the same way on a key list, and clears buckets
+that the delete empties (a dynamic overwrite would leave them untouched).
+
 Writes use the ``rebalance`` hint on ``_b``: AQE makes output partitions of a
 sensible size and splits a bucket that holds a hot key (a third of the rows),
 so no single task writes a whole skewed bucket.
