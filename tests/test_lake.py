@@ -121,3 +121,10 @@ def test_delete_from_lake_clears_emptied_buckets(spark, tmp_dir):
     after = files_by_bucket(path)
     assert f"{BUCKET_COL}=99" not in after  # no folder for a bucket that held nothing
     assert before[f"{BUCKET_COL}=0"] == after[f"{BUCKET_COL}=0"] and before[f"{BUCKET_COL}=3"] == after[f"{BUCKET_COL}=3"]
+
+
+def test_path_comparison_ignores_scheme_and_authority():
+    from tidemark.sinks.lake import _path_only
+
+    assert _path_only("hdfs://nn:8020/lake/t/") == _path_only("/lake/t") == _path_only("file:/lake/t") == "/lake/t"
+    assert _path_only("s3a://bucket/lake/a%3Db") == "/lake/a=b"

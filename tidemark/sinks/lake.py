@@ -78,13 +78,23 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return df.drop(BUCKET_COL) if BUCKET_COL in df.columns else df
 
 
+def _path_only(uri: str) -> str:
+    """``hdfs://nn:8020/a/b`` / ``file:/a/b`` / ``/a/b`` → ``/a/b`` (decoded, no trailing slash)."""
+    from urllib.parse import unquote, urlparse
+
+    parsed = urlparse(uri)
+    return "/" + unquote(parsed.path if parsed.scheme else uri).strip("/")
+
+
 def _reads_from(df: DataFrame, path: str) -> bool:
-    p = path.rstrip("/").replace("file:", "")
+    """Whether ``df`` reads files under ``path``. Scheme and authority are ignored:
+    a false positive only costs a staging copy, a false negative would lose data."""
+    p = _path_only(path)
     try:
         files = df.inputFiles()
     except Exception:  # noqa: BLE001 — non-file sources
         return False
-    return any(f.replace("file:", "").startswith(p + "/") for f in files)
+    return any(_path_only(f).startswith(p + "/") for f in files)
 
 
 def _write(df: DataFrame, path: str, fmt: str, partition_by: list[str], mode: str, dynamic: bool) -> None:
