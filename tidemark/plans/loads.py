@@ -26,7 +26,9 @@ from tidemark.operators.upsert import stage_swap
 from tidemark.plans.schedule import FAILED, SUCCESS, apply_run_results, build_schedule, parse_tasks, with_load_mode
 from tidemark.session import shared_dir
 from tidemark.sinks.lake import DEFAULT_BUCKETS, overwrite_lake, read_lake, swap_lake, upsert_lake
-from tidemark.sources.jdbc import read_jdbc, read_jdbc_balanced, staging_name, swap_statements, write_jdbc
+from tidemark.sources.jdbc import (
+    read_jdbc, read_jdbc_balanced, read_jdbc_parallel, staging_name, swap_statements, write_jdbc,
+)
 
 log = logging.getLogger(__name__)
 
@@ -165,7 +167,8 @@ class JdbcWarehouse:
                        num_partitions=self.num_partitions, **self._conn())
             self.execute(swap_statements(target, staging, keys, df.columns))
             return
-        current = read_jdbc(spark, self.url, target, zero_dates_to_null=False, **self._conn())
+        current = read_jdbc_parallel(spark, self.url, target, keys[0] if keys else None, self.num_partitions,
+                                     zero_dates_to_null=False, **self._conn())
         merged_path = shared_dir(spark, "warehouse-swap")
         stage_swap(current, df, keys).write.mode("overwrite").parquet(merged_path)
         write_jdbc(spark.read.parquet(merged_path), self.url, target, mode="overwrite", truncate=True,

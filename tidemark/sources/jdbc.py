@@ -179,3 +179,22 @@ def read_jdbc_balanced(spark: SparkSession, url: str, table: str, key: str, num_
                                "fetchsize": str(fetch_size)}.items() if v is not None}
     target_url = with_zero_dates_as_null(url) if zero_dates_to_null else url
     return spark.read.jdbc(target_url, table, predicates=preds, properties=props)
+
+
+def read_jdbc_parallel(spark: SparkSession, url: str, table: str, key: str | None, num_partitions: int, *,
+                       user: str | None = None, password: str | None = None, driver: str | None = None,
+                       fetch_size: int = DEFAULT_FETCH_SIZE, zero_dates_to_null: bool = True) -> DataFrame:
+    """A key-partitioned read when ``key`` is numeric or temporal (its type comes
+    from the table's schema, no data is read), else one partition."""
+    from pyspark.sql import types as T
+
+    conn = {"user": user, "password": password, "driver": driver}
+    plain = read_jdbc(spark, url, table, fetch_size=fetch_size, zero_dates_to_null=zero_dates_to_null, **conn)
+    fields = {f.name.lower(): f for f in plain.schema.fields}
+    f = fields.get((key or "").lower())
+    splittable = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType,
+                  T.TimestampType, T.TimestampNTZType)
+    if f is None or not isinstance(f.dataType, splittable) or num_partitions <= 1:
+        return plain
+    return read_jdbc(spark, url, table, key=f.name, num_partitions=num_partitions, fetch_size=fetch_size,
+                     zero_dates_to_null=zero_dates_to_null, **conn)
