@@ -104,3 +104,10 @@ def test_merge_metrics_both_plans_agree(spark):
     large = merge_metrics(t, s, "k", broadcast_rows=2).first().asDict()
     assert small == large
     assert small["rows_after"] == small["rows_untouched"] + s.count()
+
+
+def test_source_names_match_case_insensitively(spark):
+    t = spark.createDataFrame([(1, "old")], "id bigint, v string")
+    s = spark.createDataFrame([(1, "new"), (2, "ins")], "ID bigint, V string")
+    out = merge_upsert(t, s, "id")
+    assert out.columns == ["id", "v"] and rows(out) == [(1, "new"), (2, "ins")]

@@ -37,20 +37,30 @@ def _q(name: str) -> str:
 
 
 def align_to(target: DataFrame, source: DataFrame, allow_extra: bool = False) -> DataFrame:
-    """Source columns in target order and types (matched by name)."""
-    src_cols = set(source.columns)
-    missing = [c for c in target.columns if c not in src_cols]
+    """Source columns in target order and types, matched by name (case-insensitively
+    unless ``spark.sql.caseSensitive`` is on, like Spark's own name resolution)."""
+    case_sensitive = str(source.sparkSession.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+
+    def norm(name: str) -> str:
+        return name if case_sensitive else name.lower()
+
+    by_name = {norm(c): c for c in source.columns}
+    missing = [c for c in target.columns if norm(c) not in by_name]
     if missing:
         raise ValueError(f"source lacks target columns {missing}")
-    extra = [c for c in source.columns if c not in set(target.columns)]
+    wanted = {norm(c) for c in target.columns}
+    extra = [c for c in source.columns if norm(c) not in wanted]
     if extra and not allow_extra:
         raise ValueError(f"source has columns the target lacks: {extra}")
-    src_types = dict(source.dtypes)
-    return source.select(*[
-        F.col(_q(f.name)) if src_types[f.name] == f.dataType.simpleString()
-        else F.col(_q(f.name)).cast(f.dataType).alias(f.name)
-        for f in target.schema.fields
-    ])
+    src_types = {norm(n): t for n, t in source.dtypes}
+    cols = []
+    for f in target.schema.fields:
+        src_name = by_name[norm(f.name)]
+        c = F.col(_q(src_name))
+        if src_types[norm(f.name)] != f.dataType.simpleString():
+            c = c.cast(f.dataType)
+        cols.append(c.alias(f.name))
+    return source.select(*cols)
 
 
 def _key_join(left: DataFrame, keys_df: DataFrame, keys: list[str], how: str,
