@@ -86,3 +86,8 @@ def test_epoch_bound_ignores_session_time_zone(spark):
     # the source's own clock can be named explicitly
     la = incremental_filter(df, "s", WM, tz="America/Los_Angeles").collect()
     assert la == []
+
+
+def test_time_columns_match_case_insensitively(spark):
+    df = spark.createDataFrame([(1, dt.date(2024, 3, 10)), (2, dt.date(2024, 3, 1))], "id int, CREATE_TIME date")
+    assert [r.id for r in incremental_filter(df, "create_time", WM).collect()] == [1]

@@ -37,11 +37,17 @@ def _q(name: str) -> str:
 def time_predicate(df: DataFrame, time_cols: str | Iterable[str], watermark: str, unit: str = "s",
                    tz: str = "UTC") -> Column:
     cols = key_list(time_cols)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    missing = [c for c in cols if c not in types]
+    case_sensitive = str(df.sparkSession.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+
+    def norm(name: str) -> str:
+        return name if case_sensitive else name.lower()
+
+    fields = {norm(f.name): f for f in df.schema.fields}
+    missing = [c for c in cols if norm(c) not in fields]
     if missing:
         raise ValueError(f"time columns {missing} not in {df.columns}")
-    preds = [F.col(_q(c)) >= watermark_bound(types[c], watermark, unit, tz) for c in cols]
+    preds = [F.col(_q(fields[norm(c)].name)) >= watermark_bound(fields[norm(c)].dataType, watermark, unit, tz)
+             for c in cols]
     return reduce(lambda a, b: a | b, preds)
 
 
