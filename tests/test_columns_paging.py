@@ -15,6 +15,11 @@ def test_rename_swap_chain_unknown(spark):
     assert rename_columns(df, None).columns == ["a", "b", "c"]
 
 
+def test_rename_matches_case_insensitively(spark):
+    df = spark.createDataFrame([(1, 2)], "ID int, user_id int")
+    assert rename_columns(df, {"id": "pk"}).columns == ["pk", "user_id"]
+
+
 def test_rename_collision_and_bad_json(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     with pytest.raises(ValueError):

@@ -30,9 +30,12 @@ def parse_mapping(mapping: str | Mapping[str, str] | None) -> dict[str, str]:
     return {str(k): str(v) for k, v in mapping.items()}
 
 
-def renamed_names(columns: list[str], mapping: str | Mapping[str, str] | None) -> list[str]:
+def renamed_names(columns: list[str], mapping: str | Mapping[str, str] | None,
+                  case_sensitive: bool = False) -> list[str]:
     m = parse_mapping(mapping)
-    out = [m.get(c, c) for c in columns]
+    if not case_sensitive:
+        m = {k.lower(): v for k, v in m.items()}
+    out = [m.get(c if case_sensitive else c.lower(), c) for c in columns]
     seen: dict[str, str] = {}
     for old, new in zip(columns, out):
         if new.lower() in seen:
@@ -42,7 +45,9 @@ def renamed_names(columns: list[str], mapping: str | Mapping[str, str] | None) -
 
 
 def rename_columns(df: DataFrame, mapping: str | Mapping[str, str] | None) -> DataFrame:
-    names = renamed_names(df.columns, mapping)
+    """Rename by exact column name (case-insensitively unless ``spark.sql.caseSensitive`` is on)."""
+    case_sensitive = str(df.sparkSession.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+    names = renamed_names(df.columns, mapping, case_sensitive)
     if names == df.columns:
         return df
     return df.select(*[F.col("`" + c.replace("`", "``") + "`").alias(n) for c, n in zip(df.columns, names)])
