@@ -49,7 +49,9 @@ class LoadTask:
     mapping_error: bool = False
 
     def renamed(self, column: str) -> str:
-        return (self.mapping or {}).get(column, column)
+        """The column's name after the task's rename (names compared case-insensitively)."""
+        m = {k.lower(): v for k, v in (self.mapping or {}).items()}
+        return m.get(column.lower(), column)
 
 
 def tasks_from(modes: DataFrame) -> list[LoadTask]:
