@@ -128,3 +128,20 @@ def test_path_comparison_ignores_scheme_and_authority():
 
     assert _path_only("hdfs://nn:8020/lake/t/") == _path_only("/lake/t") == _path_only("file:/lake/t") == "/lake/t"
     assert _path_only("s3a://bucket/lake/a%3Db") == "/lake/a=b"
+
+
+def test_crash_safe_reload_keeps_old_rows_when_the_load_fails(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    old = spark.createDataFrame([(i, "old") for i in range(30)], SCHEMA)
+    overwrite_lake(spark, old, path, keys="k", n_buckets=8)
+    failing = spark.createDataFrame([(i, "new") for i in range(30)], SCHEMA).withColumn(
+        "v", F.when(F.col("k") == 17, F.raise_error(F.lit("source failed mid-load"))).otherwise(F.col("v")))
+    with pytest.raises(Exception):
+        overwrite_lake(spark, failing, path, keys="k", n_buckets=8, crash_safe=True)
+    assert read_lake(spark, path).count() == 30  # the old table is intact
+    # a successful safe reload replaces everything, including buckets the new data no longer has
+    overwrite_lake(spark, spark.createDataFrame([(1, "new"), (2, "new")], SCHEMA), path, keys="k", n_buckets=8,
+                   crash_safe=True)
+    assert rows(read_lake(spark, path)) == [(1, "new"), (2, "new")]
+    overwrite_lake(spark, spark.createDataFrame([], SCHEMA), path, keys="k", n_buckets=8, crash_safe=True)
+    assert read_lake(spark, path).count() == 0

@@ -126,7 +126,7 @@ class LakeWarehouse:
 
     def replace(self, spark, df, table, keys):
         overwrite_lake(spark, df, self.path(table), keys=keys, n_buckets=self.n_buckets, fmt=self.fmt,
-                       range_width=self.range_width)
+                       range_width=self.range_width, crash_safe=True)
 
     def swap(self, spark, df, table, keys):
         swap_lake(spark, df, self.path(table), keys, n_buckets=self.n_buckets, fmt=self.fmt,
@@ -180,14 +180,16 @@ class JdbcWarehouse:
 # ------------------------------------------------------------------ loads
 def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake_root: str, *,
                  fmt: str = "parquet", n_buckets: int = DEFAULT_BUCKETS, range_width: int | None = None) -> str:
-    """Source → lake: full = replace the table, incremental = MERGE by key."""
+    """Source → lake: full = replace the table (crash-safe: the old rows stay readable until the new
+    ones commit), incremental = MERGE by key."""
     path = f"{lake_root.rstrip('/')}/{task.targettable}"
     if task.load_mode == "skip":
         return path
     data = source_slice(spark, task, reader)
     keys = tuple(task.renamed(k) for k in task.primary_keys)
     if task.load_mode == "full":
-        overwrite_lake(spark, data, path, keys=keys, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
+        overwrite_lake(spark, data, path, keys=keys, n_buckets=n_buckets, fmt=fmt, range_width=range_width,
+                       crash_safe=True)
     else:
         upsert_lake(spark, data, path, keys, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
     return path

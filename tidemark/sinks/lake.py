@@ -106,19 +106,57 @@ def _write(df: DataFrame, path: str, fmt: str, partition_by: list[str], mode: st
     w.save(path)
 
 
+def _existing_buckets(spark: SparkSession, path: str, fmt: str) -> set:
+    """Bucket ids present in a keyed table (partition values only; no data column is read)."""
+    return {r[BUCKET_COL] for r in spark.read.format(fmt).load(path).select(BUCKET_COL).distinct().collect()}
+
+
+def _clear_buckets(spark: SparkSession, path: str, fmt: str, schema, buckets) -> None:
+    """Replace each bucket folder by an empty file set (static overwrite of that sub-folder only)."""
+    empty = spark.createDataFrame([], schema)
+    for b in sorted(buckets):  # bounded by the number of buckets
+        _write(empty, f"{path.rstrip('/')}/{BUCKET_COL}={b}", fmt, [], "overwrite", dynamic=False)
+
+
 def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str | Iterable[str] | None = None,
                    n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet",
-                   partition_by: Iterable[str] | None = None, range_width: int | None = None) -> None:
-    """Replace the whole table (full load). With ``keys`` the table is bucketed for upserts."""
+                   partition_by: Iterable[str] | None = None, range_width: int | None = None,
+                   crash_safe: bool = False) -> None:
+    """Replace the whole table (full load). With ``keys`` the table is bucketed for upserts.
+
+    A static overwrite deletes the old files before its job runs: if the job
+    fails, the table is empty until the load is re-run. ``crash_safe=True``
+    (keyed tables that already exist) writes the new rows to the shared
+    checkpoint folder first, then applies them with a dynamic partition
+    overwrite — old buckets stay readable until that job commits — and finally
+    clears buckets the new data no longer has. It costs a second write.
+    """
+    parts = list(partition_by or [])
+    if keys is not None:
+        ks = key_list(keys)
+        keyed = df.withColumn(BUCKET_COL, bucket_of(ks, n_buckets, range_width)).hint("rebalance", BUCKET_COL)
+        exists = crash_safe and lake_exists(spark, path, fmt)
+        if exists or _reads_from(df, path):
+            staging = shared_dir(spark, "reload-staging")
+            staged_schema = keyed.select(*[c for c in keyed.columns if c not in [BUCKET_COL] + parts],
+                                         *parts, BUCKET_COL).schema
+            _write(keyed, staging, "parquet", [BUCKET_COL] + parts, "overwrite", dynamic=False)
+            keyed = spark.read.schema(staged_schema).parquet(staging)  # schema given: staging may be empty
+            if exists and not parts:
+                target_schema = spark.read.format(fmt).load(path).drop(BUCKET_COL).schema
+                old = _existing_buckets(spark, path, fmt)
+                new = {r[BUCKET_COL] for r in keyed.select(BUCKET_COL).distinct().collect()}
+                keyed = keyed.select(*[c for c in keyed.columns if c != BUCKET_COL], BUCKET_COL)
+                if new:
+                    _write(keyed, path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
+                _clear_buckets(spark, path, fmt, target_schema, old - new)
+                return
+        _write(keyed, path, fmt, [BUCKET_COL] + parts, "overwrite", dynamic=False)
+        return
     if _reads_from(df, path):
         staging = shared_dir(spark, "overwrite-staging")
         df.write.format("parquet").mode("overwrite").save(staging)
         df = spark.read.parquet(staging)
-    parts = list(partition_by or [])
-    if keys is not None:
-        ks = key_list(keys)
-        df = df.withColumn(BUCKET_COL, bucket_of(ks, n_buckets, range_width)).hint("rebalance", BUCKET_COL)
-        parts = [BUCKET_COL] + parts
     _write(df, path, fmt, parts, "overwrite", dynamic=False)
 
 
@@ -232,9 +270,7 @@ def delete_from_lake(spark: SparkSession, keys_df: DataFrame, path: str, keys: s
         if kept:
             _write(survivors.hint("rebalance", BUCKET_COL), path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
         emptied = [b for b in touched if b in existing and b not in kept]
-        empty = spark.createDataFrame([], target_all.select(*data_cols).schema)
-        for b in emptied:  # bounded by the number of buckets
-            _write(empty, f"{path.rstrip('/')}/{BUCKET_COL}={b}", fmt, [], "overwrite", dynamic=False)
+        _clear_buckets(spark, path, fmt, target_all.select(*data_cols).schema, emptied)
         return DeleteResult(len(touched), len(emptied))
     finally:
         kd.unpersist()
