@@ -120,13 +120,14 @@ class LakeWarehouse:
     fmt: str = "parquet"
     n_buckets: int = DEFAULT_BUCKETS
     range_width: int | None = None
+    crash_safe: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def replace(self, spark, df, table, keys):
         overwrite_lake(spark, df, self.path(table), keys=keys, n_buckets=self.n_buckets, fmt=self.fmt,
-                       range_width=self.range_width, crash_safe=True)
+                       range_width=self.range_width, crash_safe=self.crash_safe)
 
     def swap(self, spark, df, table, keys):
         swap_lake(spark, df, self.path(table), keys, n_buckets=self.n_buckets, fmt=self.fmt,
@@ -179,9 +180,13 @@ class JdbcWarehouse:
 
 # ------------------------------------------------------------------ loads
 def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake_root: str, *,
-                 fmt: str = "parquet", n_buckets: int = DEFAULT_BUCKETS, range_width: int | None = None) -> str:
-    """Source → lake: full = replace the table (crash-safe: the old rows stay readable until the new
-    ones commit), incremental = MERGE by key."""
+                 fmt: str = "parquet", n_buckets: int = DEFAULT_BUCKETS, range_width: int | None = None,
+                 crash_safe: bool = False) -> str:
+    """Source → lake: full = replace the table, incremental = MERGE by key.
+
+    ``crash_safe=True`` keeps the old rows readable until the new ones commit
+    (at the price of a second write); otherwise a failed full load leaves the
+    table empty until it is re-run."""
     path = f"{lake_root.rstrip('/')}/{task.targettable}"
     if task.load_mode == "skip":
         return path
@@ -189,7 +194,7 @@ def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake
     keys = tuple(task.renamed(k) for k in task.primary_keys)
     if task.load_mode == "full":
         overwrite_lake(spark, data, path, keys=keys, n_buckets=n_buckets, fmt=fmt, range_width=range_width,
-                       crash_safe=True)
+                       crash_safe=crash_safe)
     else:
         upsert_lake(spark, data, path, keys, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
     return path
@@ -249,10 +254,11 @@ def run_tasks(spark: SparkSession, tasks: Iterable[LoadTask], fn: Callable[[Load
 
 def nightly_lake_run(spark: SparkSession, config: DataFrame, connections: DataFrame, run_date: str,
                      reader: SourceReader, lake_root: str, *, parallelism: int = 1, fmt: str = "parquet",
-                     n_buckets: int = DEFAULT_BUCKETS) -> tuple[DataFrame, DataFrame]:
+                     n_buckets: int = DEFAULT_BUCKETS, crash_safe: bool = False) -> tuple[DataFrame, DataFrame]:
     """Schedule → per-table lake loads → (results, new config with watermarks advanced)."""
     modes = with_load_mode(parse_tasks(build_schedule(config, connections, run_date)), run_date)
     tasks = tasks_from(modes)
     results = run_tasks(spark, tasks, lambda t: load_to_lake(spark, t, reader, lake_root, fmt=fmt,
-                                                             n_buckets=n_buckets), parallelism=parallelism)
+                                                             n_buckets=n_buckets, crash_safe=crash_safe),
+                        parallelism=parallelism)
     return results, apply_run_results(config, results, run_date)
