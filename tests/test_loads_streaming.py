@@ -92,3 +92,15 @@ def test_config_written_back_to_its_own_path(spark, tmp_dir):
     overwrite_lake(spark, new_cfg, cfg_path)  # reads cfg_path while replacing it: staged first
     got = spark.read.parquet(cfg_path).collect()
     assert [(r.tablename, r.watermark, r.comments) for r in got] == [("a", RUN, "SUCCESS")]
+
+
+def test_nightly_full_reload_crash_safe(spark, tmp_dir):
+    src, lake = tmp_dir + "/src", tmp_dir + "/lake"
+    cfg = spark.createDataFrame([("a", "db", "h", None, "id", "lake_a", None, "8", None, "1", None)], CFG)
+    conns = spark.createDataFrame([("db", "h", "u", "p")], "db_name string, host_port string, username string, passwd string")
+    write_source(spark, src, "a", [(i, "x", dt.datetime(2024, 4, 1)) for i in range(20)])
+    nightly_lake_run(spark, cfg, conns, "2024-05-01", file_source(src), lake, crash_safe=True)
+    write_source(spark, src, "a", [(1, "y", dt.datetime(2024, 4, 1))])
+    res, _ = nightly_lake_run(spark, cfg, conns, "2024-05-02", file_source(src), lake, crash_safe=True)
+    assert [r.status for r in res.collect()] == ["SUCCESS"]
+    assert rows(read_lake(spark, lake + "/lake_a").select("id", "name")) == [(1, "y")]
