@@ -11,8 +11,10 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, rows_of  # noqa: E402
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+from tidemark.plans.registry import all_queries, all_sql  # noqa: E402
+
+QUERIES = all_queries()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
