@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe_counts import token_counts
 from tidemark.llm.common import table
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
 
 
@@ -23,8 +24,38 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "bucket")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP5_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT doc_id, pos, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+first AS (
+  SELECT key, min(doc_id) AS doc_id FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (
+  SELECT k.doc_id, pos, line, f.key IS NOT NULL AND f.doc_id <> k.doc_id AS gone
+  FROM keyed k LEFT JOIN first f ON f.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_packing": op3_packing,
+    "op5_line_dedup": op5_line_dedup,
+}
+SQL: dict[str, str] = {
+    "op5_line_dedup": OP5_SQL,
 }
-SQL: dict[str, str] = {}
