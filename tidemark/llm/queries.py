@@ -12,6 +12,7 @@ from tidemark.llm.bpe_counts import token_counts
 from tidemark.llm.common import table
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
+from tidemark.llm.simhash_gph import near_duplicates
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,10 +52,15 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2, seed=42)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_packing": op3_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
 SQL: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
