@@ -12,6 +12,7 @@ from tidemark.llm.bpe_counts import token_counts
 from tidemark.llm.common import table
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
+from tidemark.llm.rff_quality import quality_scores
 from tidemark.llm.simhash_gph import near_duplicates
 
 
@@ -56,11 +57,16 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2, seed=42)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_packing": op3_packing,
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 SQL: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
