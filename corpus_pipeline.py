@@ -1,27 +1,64 @@
-"""The corpus pipeline: stages that each call one operator of ``tidemark.llm``.
+"""The corpus pipeline: five stages that each call one operator of ``tidemark.llm``.
 
 Every stage works on all rows its predecessor kept. Its result is written as
-Parquet in the shared folder and read again as the next stage's documents.
+Parquet in the shared folder and read again as the next stage's documents. All
+stages but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
+from tidemark.llm.rff_quality import quality_scores
+from tidemark.llm.simhash_gph import near_duplicates
+from tidemark.llm.template_decontam import contaminated
 from tidemark.session import shared_dir
 
 
+def _of_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose id is (left_semi) or is not (left_anti) in ``ids``; the texts are not sorted."""
+    listed = ids.select(F.col("doc_id").alias("_id")).distinct().hint("shuffle_hash")
+    return docs.join(listed, F.col("doc_id").eqNullSafe(F.col("_id")), how)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts (score of at least 0.5)."""
+    scored = quality_scores(docs, table(spark, sf_dir, "labels"))
+    return _of_ids(docs, scored.where("predicted = 0"), "left_anti")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that a smaller document has; ``n_chars`` follows the text."""
+    done = dedup_lines(docs)
+    return done.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of near copies."""
+    groups = near_duplicates(docs, shingle=3, distance=2, seed=42)
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return _of_ids(docs, first, "left_semi").dropDuplicates(["doc_id"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return _of_ids(docs, contaminated(docs, table(spark, sf_dir, "benchmark")), "left_anti")
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two lengths, with their ids."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("quality classifier", quality), ("line dedup", lines), ("SimHash near-dedup", near_copies),
+          ("benchmark decontamination", decontamination), ("packing", packing)]
 
-#: Tokenizing and hashing stages can't be expressed in SQL; tests/llm holds the brute-force version.
+#: Learned, tokenizing and hashing stages can't be expressed in SQL; tests/llm holds the brute-force version.
 ORACLE_SQL = None
 
 
@@ -29,7 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, one after another."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        out = shared_dir(spark, f"pipeline-{name}")
+        out = shared_dir(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(out)
         docs = spark.read.parquet(out)
     return docs

@@ -14,12 +14,17 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.rff_quality import quality_scores
 from tidemark.llm.simhash_gph import near_duplicates
+from tidemark.llm.template_decontam import contaminated
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -63,6 +68,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_packing": op3_packing,
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
