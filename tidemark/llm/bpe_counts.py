@@ -28,7 +28,7 @@ from tidemark.llm.common import Memo, slices, texts
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 #: Unicode white space, and the pre-token pattern of byte-level vocabularies.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PRETOKEN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+"
             rf"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 _NOT_CLEAN = 1 << 50
