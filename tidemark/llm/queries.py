@@ -14,6 +14,7 @@ from tidemark.llm.hmm_lm import score_texts
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.rff_quality import quality_scores
+from tidemark.llm.secret_ownership import ACCESS, ASSIGN, HEX, KINDS, UNNAMED, joined, scan
 from tidemark.llm.simhash_gph import near_duplicates
 from tidemark.llm.template_decontam import contaminated
 
@@ -71,6 +72,56 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+    of_kind = lambda i: F.size(F.filter("base", lambda x: x["kind"] == i)).cast("long")
+    count = lambda keep: F.coalesce(F.size(F.filter("spans", keep)), F.lit(0)).cast("long")
+    return found.select("doc_id", *[of_kind(i).alias(f"n_{KINDS[i]}") for i in range(3)],
+                        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                        F.coalesce(joined(F.col("spans")), F.lit("")).alias("spans"),
+                        count(lambda x: x["kind"] == 3).alias("n_owned"), count(lambda x: x["live"]).alias("n_live"),
+                        count(lambda x: x["copied"]).alias("n_copied"))
+
+
+def _sql_spans(kind: int, pattern: str, group: int, keep: str) -> str:
+    """DuckDB: spans of one kind, from the pieces between the matches."""
+    p = pattern.replace("'", "''").replace("\\x20", " ")
+    return f"""
+  SELECT doc_id, {kind} AS kind, start, start + length(m) AS stop, v FROM (
+    SELECT doc_id, i, ms[i] AS m, vs[i] AS v,
+           list_sum(list_transform(ps[1:i], lambda x: length(x))) +
+           coalesce(list_sum(list_transform(ms[1:i-1], lambda x: length(x))), 0) AS start
+    FROM (SELECT doc_id, regexp_extract_all(text, '{p}') AS ms, regexp_extract_all(text, '{p}', {group}) AS vs,
+                 string_split_regex(text, '{p}') AS ps,
+                 unnest(range(1, len(regexp_extract_all(text, '{p}')) + 1)) AS i FROM texts))
+  WHERE {keep}"""
+
+
+_RANDOM = ("regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') "
+           "AND len(list_distinct(string_split(v, ''))) >= 8")
+
+OP10_SQL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner, coalesce(lang, '') AS repo FROM documents),
+base AS ({_sql_spans(0, ASSIGN, 2, "length(v) >= 8")} UNION ALL {_sql_spans(1, ACCESS, 0, "true")}
+  UNION ALL {_sql_spans(2, HEX, 0, "true")}),
+loose AS (SELECT * FROM ({_sql_spans(3, UNNAMED, 0, _RANDOM)}) u WHERE NOT EXISTS (
+  SELECT 1 FROM base b WHERE b.doc_id = u.doc_id AND b.start < u.stop AND u.start < b.stop)),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM loose),
+owners AS (SELECT v, count(DISTINCT owner) AS owners FROM every JOIN texts USING (doc_id) GROUP BY v),
+judged AS (SELECT e.*, o.owners >= 3 AS copied, ({_RANDOM.replace("(v,", "(e.v,")}) AND o.owners < 3 AS live,
+                  CASE kind WHEN 0 THEN 'assign' WHEN 1 THEN 'access' WHEN 2 THEN 'hex' ELSE 'owned' END
+                  || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS said
+           FROM every e JOIN owners o ON o.v = e.v)
+SELECT t.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+       count(*) FILTER (WHERE kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(said, ',' ORDER BY start, kind) FILTER (WHERE kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(said, ',' ORDER BY start, kind) FILTER (WHERE kind < 3 OR live), '') AS spans,
+       count(*) FILTER (WHERE kind = 3 AND live) AS n_owned,
+       count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE copied AND kind < 3) AS n_copied
+FROM texts t LEFT JOIN judged j ON j.doc_id = t.doc_id GROUP BY t.doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -79,7 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_secret_scan": op10_secret_scan,
 }
 SQL: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
+    "op10_secret_scan": OP10_SQL,
 }
