@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe_counts import token_counts
 from tidemark.llm.common import table
+from tidemark.llm.dom_extract import main_text
 from tidemark.llm.hmm_lm import score_texts
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
@@ -122,10 +123,15 @@ FROM texts t LEFT JOIN judged j ON j.doc_id = t.doc_id GROUP BY t.doc_id
 """
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_packing": op3_packing,
+    "op4_html_extraction": op4_html_extraction,
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_lm_scoring": op8_lm_scoring,
