@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe_counts import token_counts
 from tidemark.llm.common import table
+from tidemark.llm.cross_polytope import near_duplicates as near_vectors
 from tidemark.llm.dom_extract import main_text
 from tidemark.llm.hmm_lm import score_texts
 from tidemark.llm.line_dedup import dedup_lines
@@ -127,12 +128,17 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_packing": op3_packing,
     "op4_html_extraction": op4_html_extraction,
     "op5_line_dedup": op5_line_dedup,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
