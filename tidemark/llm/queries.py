@@ -16,7 +16,7 @@ from tidemark.llm.hmm_lm import score_texts
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.rff_quality import quality_scores
-from tidemark.llm.secret_ownership import ACCESS, ASSIGN, HEX, KINDS, UNNAMED, joined, scan
+from tidemark.llm.secret_ownership import KINDS, joined, scan
 from tidemark.llm.simhash_gph import near_duplicates
 from tidemark.llm.template_decontam import contaminated
 
@@ -29,6 +29,50 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+# Private-use characters: U+E001 marks a name's ends, U+E002 to U+E004 stand for a name, a number, a unit.
+OP2_SQL = r"""
+WITH src AS (SELECT 'doc' AS side, doc_id AS id, text FROM documents
+             UNION ALL SELECT 'item', item_id, text FROM benchmark),
+marked AS (SELECT side, id, text,
+                  regexp_replace(text, '([\p{Ll}\p{N},;] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)', '\1@1\2@1', 'g') AS m
+           FROM src WHERE text IS NOT NULL),
+streams AS (SELECT side, id, 0 AS s, text AS t FROM marked
+            UNION ALL SELECT side, id, 1, m FROM marked WHERE contains(m, '@1')),
+numbered AS (SELECT side, id, s, t, regexp_replace(lower(regexp_replace(t, '@1[^@1]*@1', '@2', 'g')),
+                                                   '\p{N}+(?:[.,]\p{N}+)*', ' @3 ', 'g') AS c FROM streams),
+listed AS (SELECT side, id, s,
+  regexp_extract_all(regexp_replace(c, '(@3 +)(?:kg|g|mg|km|m|cm|mm|mile|miles|foot|feet|ft|inch|inches|pound|pounds|lb|lbs|oz|l|ml|liter|liters|litre|litres|second|seconds|minute|minutes|hour|hours|day|days|week|weeks|month|months|year|years|cent|cents|dollar|dollars|euro|euros|percent|degrees)([^\p{L}\p{M}\p{N}]|$)', '\1@4\2', 'g'),
+                     '[\p{L}\p{M}]+|[@2@3@4]') AS tokens,
+  regexp_extract_all(lower(t), '@1[^@1]*@1|\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}]+') AS raw FROM numbered),
+placed AS (SELECT side, id, s, i AS pos, tokens[i:i+4] AS w, raw[i:i+4] AS r
+           FROM (SELECT *, unnest(range(1, greatest(len(tokens) - 3, 1))) AS i FROM listed)),
+windows AS (SELECT * FROM placed WHERE len(list_filter(w, lambda x: x NOT IN ('@2', '@3', '@4'))) >= 3),
+sizes AS (SELECT id AS item_id, s, count(*) AS n_windows FROM windows WHERE side = 'item' GROUP BY id, s),
+hits AS (SELECT d.id AS doc_id, b.id AS item_id, d.s AS s, d.pos - b.pos AS shift, b.pos AS pos, d.w AS w, b.r AS a, d.r AS b
+         FROM windows d JOIN windows b ON d.side = 'doc' AND b.side = 'item' AND d.s = b.s AND d.w = b.w),
+slots AS (SELECT doc_id, item_id, s, shift, pos, w[j] AS type, a[j] AS a, b[j] AS b
+          FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS j FROM hits) WHERE w[j] IN ('@2', '@3', '@4')),
+alignments AS (SELECT doc_id, item_id, s, shift, count(DISTINCT (type, a, b)) AS n_slots,
+                      count(DISTINCT (type, a, b)) = count(DISTINCT (type, a)) AND
+                      count(DISTINCT (type, a, b)) = count(DISTINCT (type, b)) AS consistent
+               FROM slots GROUP BY ALL),
+differ AS (SELECT DISTINCT doc_id, item_id, s, shift, pos FROM slots WHERE a <> b),
+judged AS (SELECT h.doc_id, h.item_id, h.s, h.pos, coalesce(l.consistent, true) AS consistent,
+                  coalesce(l.n_slots, 0) AS n_slots, x.pos IS NULL AS same
+           FROM hits h LEFT JOIN alignments l USING (doc_id, item_id, s, shift)
+           LEFT JOIN differ x USING (doc_id, item_id, s, shift, pos)),
+covered AS (SELECT doc_id, item_id, s, n_windows, count(DISTINCT pos) FILTER (WHERE consistent) AS good,
+                   count(DISTINCT pos) FILTER (WHERE same) AS same, max(n_slots) FILTER (WHERE consistent) AS n_slots
+            FROM judged JOIN sizes USING (item_id, s) GROUP BY doc_id, item_id, s, n_windows),
+found AS (SELECT doc_id, item_id, s, n_windows, good >= 0.3 * n_windows AS consistent,
+                 CASE WHEN good >= 0.3 * n_windows THEN good ELSE same END AS n_matched,
+                 CASE WHEN good >= 0.3 * n_windows THEN coalesce(n_slots, 0) ELSE 0 END AS n_slots
+          FROM covered WHERE good >= 0.3 * n_windows OR same >= 0.5 * n_windows)
+SELECT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS coverage, n_slots, consistent FROM found
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched / n_windows DESC, consistent DESC, s) = 1
+""".replace("@1", "\ue001").replace("@2", "\ue002").replace("@3", "\ue003").replace("@4", "\ue004")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -86,8 +130,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql_spans(kind: int, pattern: str, group: int, keep: str) -> str:
-    """DuckDB: spans of one kind, from the pieces between the matches."""
-    p = pattern.replace("'", "''").replace("\\x20", " ")
+    """DuckDB: spans of one kind, from the pieces between the matches. The patterns are written out here on their own."""
+    p = pattern.replace("'", "''")
     return f"""
   SELECT doc_id, {kind} AS kind, start, start + length(m) AS stop, v FROM (
     SELECT doc_id, i, ms[i] AS m, vs[i] AS v,
@@ -102,11 +146,13 @@ def _sql_spans(kind: int, pattern: str, group: int, keep: str) -> str:
 _RANDOM = ("regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') "
            "AND len(list_distinct(string_split(v, ''))) >= 8")
 
+_ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)"""
 OP10_SQL = f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner, coalesce(lang, '') AS repo FROM documents),
-base AS ({_sql_spans(0, ASSIGN, 2, "length(v) >= 8")} UNION ALL {_sql_spans(1, ACCESS, 0, "true")}
-  UNION ALL {_sql_spans(2, HEX, 0, "true")}),
-loose AS (SELECT * FROM ({_sql_spans(3, UNNAMED, 0, _RANDOM)}) u WHERE NOT EXISTS (
+base AS ({_sql_spans(0, _ASSIGN, 2, "length(v) >= 8")}
+  UNION ALL {_sql_spans(1, "AKIA[A-Z0-9]+", 0, "length(v) >= 16")}
+  UNION ALL {_sql_spans(2, "[0-9a-f]{32,}", 0, "true")}),
+loose AS (SELECT * FROM ({_sql_spans(3, "[A-Za-z0-9+/_=-]{20,}", 0, _RANDOM)}) u WHERE NOT EXISTS (
   SELECT 1 FROM base b WHERE b.doc_id = u.doc_id AND b.start < u.stop AND u.start < b.stop)),
 every AS (SELECT * FROM base UNION ALL SELECT * FROM loose),
 owners AS (SELECT v, count(DISTINCT owner) AS owners FROM every JOIN texts USING (doc_id) GROUP BY v),
@@ -145,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
 }
 SQL: dict[str, str] = {
+    "op2_benchmark_decontamination": OP2_SQL,
     "op5_line_dedup": OP5_SQL,
     "op10_secret_scan": OP10_SQL,
 }
