@@ -235,7 +235,7 @@ class Model:
         # features of a node and of its siblings aren't independent: short or unpunctuated text says little
         # against content (articles have many such blocks), and the absence of links little for it
         odds, at = [], 0
-        for size, (low, high) in zip(SIZES, ((-2, 2), (-0.1, 2), (-0.1, 2), (-2, 0.3)), strict=True):
+        for size, (low, high) in zip(SIZES, ((-2, 2), (-0.1, 2), (-0.1, 2), (-4, 0.3)), strict=True):
             part = values[at:at + size] + 1
             part = 0.9 * part / part.sum(0) + 0.1 / size
             odds.append(np.clip(np.log(part[:, 1] / part[:, 0]), low, high))
@@ -255,9 +255,7 @@ class Model:
             e = math.exp(max(-50.0, min(50.0, belief[i])))
             sent[i] = math.log((p11 * e + p10) / (p01 * e + p00))
             belief[parent[i]] += sent[i]
-        total = belief
-        (p00, p01), _ = edge[0]
-        total[0] += math.log(p01 / p00)
+        total = belief  # the root itself is as likely content as not
         for i in range(1, n):
             (p00, p01), (p10, p11) = edge[i]
             e = math.exp(max(-50.0, min(50.0, total[parent[i]] - sent[i])))
