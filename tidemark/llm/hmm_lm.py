@@ -193,11 +193,12 @@ class Model:
         return cls(np.full((2, states), 1 / states), move, emit / emit.sum(0))
 
     @classmethod
-    def of_counts(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray, unigram: np.ndarray, prior: float) -> "Model":
-        states = len(move)
+    def of_counts(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray, unigram: np.ndarray, share: float) -> "Model":
+        """Probabilities from expected counts; ``share`` of each state's emissions follows the unigram shares."""
         start = start + 1
-        move = move + 1 + prior / states * np.eye(states)
-        emit = emit + prior * unigram[:, None]
+        move = move + 1
+        emit = emit + 1e-9
+        emit = (1 - share) * emit / emit.sum(0) + share * unigram[:, None]
         return cls(start / start.sum(1, keepdims=True), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
@@ -242,7 +243,7 @@ def expected_counts(model: Model, ids: np.ndarray, offsets: np.ndarray, lengths:
     return start, moved * model.move, emitted
 
 
-def baum_welch(ids: DataFrame, first: Model, unigram: np.ndarray, rounds: int, segment: int, prior: float,
+def baum_welch(ids: DataFrame, first: Model, unigram: np.ndarray, rounds: int, segment: int, share: float,
                batch_tokens: int = 400_000) -> Model:
     """Rounds of expectation over all rows of symbol ids and maximisation of the merged counts."""
     sc = ids.sparkSession.sparkContext
@@ -294,7 +295,7 @@ def baum_welch(ids: DataFrame, first: Model, unigram: np.ndarray, rounds: int, s
         start = merged[0][:2 * states].reshape(2, states)
         move = merged[0][2 * states:].reshape(states, states)
         emit = np.concatenate([merged[i + 1] for i in range(CHUNKS)]).reshape(symbols, states)
-        model = Model.of_counts(start, move, emit, unigram, prior)
+        model = Model.of_counts(start, move, emit, unigram, share)
     return model
 
 
@@ -317,7 +318,7 @@ def forward_log10(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
 
 
 def score_texts(docs: DataFrame, *, states: int = 8, rounds: int = 4, core_words: int = 20_000,
-                known_words: int = 400_000, segment: int = 256, prior: float = 20.0, seed: int = 11,
+                known_words: int = 400_000, segment: int = 256, share: float = 0.05, seed: int = 11,
                 batch_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
 
@@ -339,7 +340,7 @@ def score_texts(docs: DataFrame, *, states: int = 8, rounds: int = 4, core_words
     vocabulary = sc.broadcast(v)
     encoded = cut(encode(rows, vocabulary))
     first = Model.first(v.unigram, states, seed)
-    model = sc.broadcast(baum_welch(encoded.where(~F.col("held_out")).select("ids"), first, v.unigram, rounds, segment, prior))
+    model = sc.broadcast(baum_welch(encoded.where(~F.col("held_out")).select("ids"), first, v.unigram, rounds, segment, share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
