@@ -23,7 +23,7 @@ from tidemark.session import shared_dir
 def _of_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Rows of ``docs`` whose id is (left_semi) or is not (left_anti) in ``ids``; the texts are not sorted."""
     listed = ids.select(F.col("doc_id").alias("_id")).distinct().hint("shuffle_hash")
-    return docs.join(listed, F.col("doc_id").eqNullSafe(F.col("_id")), how)
+    return docs.join(listed, docs["doc_id"].eqNullSafe(listed["_id"]), how)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,30 +50,33 @@ class TwoFilters:
     """Once-seen and twice-seen Bloom filters of two bits a key, in ``PARTS`` parts."""
 
     def __init__(self, filter_bits: int):
-        self.mask = np.uint64((1 << filter_bits) // PARTS - 1)
-        self.bits = np.zeros((2, PARTS, (int(self.mask) + 1) // 8), np.uint8)
-
-    def places(self, h: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        part = (h >> np.uint64(58)).astype(np.int64)
-        out = []
-        for shift in (0, 28):
-            at = (h >> np.uint64(shift)) & self.mask
-            out.append((part, (at >> np.uint64(3)).astype(np.int64),
-                        np.left_shift(np.uint8(1), (at & np.uint64(7)).astype(np.uint8))))
-        return out
+        self.filter_bits = filter_bits
+        self.bits = np.zeros((2, PARTS, (1 << filter_bits) // PARTS // 8), np.uint8)
 
     def add(self, h: np.ndarray) -> None:
         """Take the keys of some documents (each key once a document)."""
         h, n = np.unique(h, return_counts=True)
-        again = (n > 1) | holds(self.bits[0], self.places(h))
+        again = (n > 1) | holds(self.bits[0], places(h, self.filter_bits))
         for filter_, keys in ((self.bits[1], h[again]), (self.bits[0], h)):
-            for part, byte, bit in self.places(keys):
+            for part, byte, bit in places(keys, self.filter_bits):
                 np.bitwise_or.at(filter_, (part, byte), bit)
 
 
-def holds(bits: np.ndarray, places: list) -> np.ndarray:
+def places(h: np.ndarray, filter_bits: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Part, byte and bit of both bits of each hash; the top six bits name the part."""
+    mask = np.uint64((1 << filter_bits) // PARTS - 1)
+    part = (h >> np.uint64(58)).astype(np.int64)
+    out = []
+    for shift in (0, 28):
+        at = (h >> np.uint64(shift)) & mask
+        out.append((part, (at >> np.uint64(3)).astype(np.int64),
+                    np.left_shift(np.uint8(1), (at & np.uint64(7)).astype(np.uint8))))
+    return out
+
+
+def holds(bits: np.ndarray, at: list) -> np.ndarray:
     """Which keys have all their bits set."""
-    found = [(bits[part, byte] & bit) != 0 for part, byte, bit in places]
+    found = [(bits[part, byte] & bit) != 0 for part, byte, bit in at]
     return found[0] & found[1]
 
 
@@ -135,8 +138,6 @@ def suspects(docs: DataFrame, filter_bits: int, min_length: int) -> DataFrame:
     twice = docs.sparkSession.sparkContext.broadcast(twice_filter(docs, filter_bits, min_length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = TwoFilters.places
-        layout = type("Layout", (), {"mask": np.uint64((1 << filter_bits) // PARTS - 1)})()
         for batch in batches:
             for rows in slices(batch):
                 ids, keys = [], []
@@ -147,7 +148,7 @@ def suspects(docs: DataFrame, filter_bits: int, min_length: int) -> DataFrame:
                 if not keys:
                     continue
                 h = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64)
-                found = np.flatnonzero(holds(twice.value, places(layout, h)))
+                found = np.flatnonzero(holds(twice.value, places(h, filter_bits)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([ids[i] for i in found], pa.int64()),
                      pa.array([keys[i].decode("utf-8") for i in found], pa.string())], names=["doc_id", "key"])
@@ -194,12 +195,14 @@ def without_lines(text: Column, drop: Column) -> Column:
 def dedup_lines(docs: DataFrame, *, min_length: int = 10, filter_bits: int = 27,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents without the lines whose first occurrence is in a smaller document."""
+    if not 9 <= filter_bits <= 34:
+        raise ValueError("filter_bits must be 9 to 34")
     pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     drops = (repeated_keys(pairs, filter_bits, min_length).groupBy("doc_id")
              .agg(F.collect_set("key").alias("_drop")).withColumnRenamed("doc_id", "_of"))
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_id"))
     joined = rows.join(drops.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_of")), "left")
-    done = joined.withColumn("_new", without_lines(F.col(f"_row.{text_col}"), F.col("_drop")))
+    done = joined.withColumn("_new", without_lines(F.col(f"_row.`{text_col}`"), F.col("_drop")))
     taken = {text_col: "kept", "n_lines": "n_lines", "n_dropped": "n_dropped"}
     keep = [F.col(f"_row.`{c}`") for c in docs.columns if c not in taken]
     return done.select(*keep, *[F.col(f"_new.{v}").alias(k) for k, v in taken.items()])
