@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,17 @@ def slices(batch: pa.RecordBatch, max_rows: int = 512) -> Iterator[pa.RecordBatc
         yield batch.slice(i, max_rows)
 
 
+def text_slices(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Pieces of an Arrow batch with at most ``most_bytes`` of text each (one row at least)."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).cumsum()
+    at = 0
+    while at < batch.num_rows:
+        before = size[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(size, before + most_bytes, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def texts(column: pa.Array) -> list[str]:
     """Strings of an Arrow column, null as the empty text."""
     return [x or "" for x in column.to_pylist()]
