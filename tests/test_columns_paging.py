@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.operators import batch_plan, hash_batches, page, rename_columns, row_counts
+from tidemark.operators import batch_plan, hash_batches, page, rename_columns, row_counts, page_slice
 from tidemark.operators.columns import parse_mapping
 
 
@@ -76,7 +76,37 @@ def test_pages_split_a_hot_key_and_hot_nulls(spark):
     assert ordered[:n_null] == [None] * n_null
     assert ordered[n_null:] == sorted(k for k, _ in data if k is not None)
     assert all(r["count"] == 50 for r in p.groupBy("batch_id").count().collect())
-    # no sort group (bucket, sub-bucket) is much larger than rows_per_bucket
-    from tidemark.operators.paging import page_groups
-    groups = page_groups(df, "k", 40).groupBy("_bucket", "_sub").count().collect()
-    assert max(r["count"] for r in groups) <= 2 * 40, sorted(r["count"] for r in groups)
+    # no sort group (range partition) is much larger than rows_per_bucket
+    from tidemark.operators.paging import positions, row_hash
+    groups = positions(df.withColumn("_h", row_hash(df)), "k", 40).groupBy("_p").count().collect()
+    assert max(r["count"] for r in groups) <= 3 * 40, sorted(r["count"] for r in groups)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(38,0)", "string", "date"])
+def test_pages_of_any_orderable_key(spark, kind):
+    """Keys above 2^53, wide decimals, text and dates keep their exact order."""
+    base = {"bigint": F.lit(2 ** 60) + F.col("id"), "decimal(38,0)": F.lit(str(10 ** 20)).cast("decimal(38,0)") + F.col("id"),
+            "string": F.format_string("k%06d", F.col("id")), "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int"))}
+    df = spark.range(256).select(base[kind].cast(kind).alias("k"), F.col("id").alias("v"))
+    got = page(df, "k", 50, rows_per_bucket=20).collect()
+    assert all(r.row_index == r.v for r in got) and len(got) == 256
+    some = page_slice(df, "k", 50, 2, rows_per_bucket=20).collect()
+    assert sorted((r.row_index, r.v) for r in some) == [(i, i) for i in range(100, 150)]
+
+
+def test_page_slices_cover_ties_and_nulls(spark):
+    data = [(None if i % 5 == 0 else i % 3, i % 4) for i in range(97)]
+    df = spark.createDataFrame(data, "k int, v int")
+    seen = [r for b in range(6) for r in page_slice(df, "k", 20, b, rows_per_bucket=7).collect()]
+    assert sorted(r.row_index for r in seen) == list(range(97))
+    assert sorted(((r.k, r.v) for r in seen), key=str) == sorted(data, key=str)
+    ordered = [(r.k is not None, r.k or 0) for r in sorted(seen, key=lambda r: r.row_index)]
+    assert ordered == sorted(ordered)
+    assert page_slice(df, "k", 20, 9, rows_per_bucket=7).count() == 0
+
+
+def test_page_slice_reads_between_its_ends(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    spark.range(5000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("wide")).write.parquet(path)
+    rows = page_slice(spark.read.parquet(path), "k", 100, 3, rows_per_bucket=500)
+    assert sorted(r.k for r in rows.collect()) == list(range(300, 400))

@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 
 from tidemark.sources.jdbc import (
@@ -53,6 +55,10 @@ def test_range_predicates_are_disjoint_and_cover():
 
     for k in [None, -5, 10, 11, 20, 25, 30, 31, 1000]:
         assert sum(holds(p, k) for p in preds) == 1, k
-    assert range_predicates("d", ["2024-01-01"])[0] == "d <= '2024-01-01'"
+    assert range_predicates("d", [datetime.date(2024, 1, 1)])[0] == "d <= '2024-01-01'"
+    assert range_predicates("t", [datetime.datetime(2024, 1, 1, 5)])[0] == "t <= '2024-01-01 05:00:00'"
+    for bad in (["O'Brien"], [b"x"], [True]):
+        with pytest.raises(TypeError):
+            range_predicates("n", bad)
     assert range_predicates("k", []) == ["k IS NOT NULL", "k IS NULL"]
     assert "NTILE(8) OVER (ORDER BY id)" in ntile_bounds_query("db.t", "id", 8)

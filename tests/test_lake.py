@@ -21,7 +21,7 @@ def files_by_bucket(path):
 def test_upsert_creates_then_touches_only_its_buckets(spark, tmp_dir):
     path = tmp_dir + "/t"
     base = spark.range(0, 400).select(F.col("id").alias("k"), F.lit("old").alias("v"))
-    upsert_lake(spark, base, path, "k", n_buckets=16)  # creates
+    upsert_lake(spark, base, path, "k", n_buckets=16, create=True)
     assert read_lake(spark, path).count() == 400
     before = files_by_bucket(path)
     src = spark.createDataFrame([(3, "new"), (1000, "ins")], SCHEMA)
@@ -114,8 +114,8 @@ def test_delete_from_lake_clears_emptied_buckets(spark, tmp_dir):
     before = files_by_bucket(path)
     # all of range 1 (10..19), part of range 2, a key that does not exist, and a NULL
     keys = spark.createDataFrame([(k,) for k in list(range(10, 20)) + [25, 26, 999]] + [(None,)], "k int")
-    res = delete_from_lake(spark, keys, path, "k", range_width=10)
-    assert (res.touched_buckets, res.emptied_buckets) == (3, 1)  # ranges 1, 2 and 99; only range 1 is emptied
+    res = delete_from_lake(spark, keys, path, "K")
+    assert (res.rewritten_buckets, res.emptied_buckets) == (1, 1)  # range 2 is rewritten, range 1 emptied
     got = sorted(r.k for r in read_lake(spark, path).collect())
     assert got == [k for k in range(40) if not (10 <= k < 20 or k in (25, 26))]
     after = files_by_bucket(path)
@@ -145,3 +145,81 @@ def test_crash_safe_reload_keeps_old_rows_when_the_load_fails(spark, tmp_dir):
     assert rows(read_lake(spark, path)) == [(1, "new"), (2, "new")]
     overwrite_lake(spark, spark.createDataFrame([], SCHEMA), path, keys="k", n_buckets=8, crash_safe=True)
     assert read_lake(spark, path).count() == 0
+
+
+def test_stored_layout_wins_over_arguments(spark, tmp_dir):
+    """A table of 64 buckets upserted and deleted from with other counts and key orders."""
+    from tidemark.sinks.lake import delete_from_lake
+
+    path = tmp_dir + "/t"
+    two = "id bigint, k2 string, v string"
+    base = spark.createDataFrame([(i, str(i % 3), "old") for i in range(100)], two)
+    overwrite_lake(spark, base, path, keys="id|k2", n_buckets=64)
+    upsert_lake(spark, spark.createDataFrame([(i, str(i % 3), "new") for i in range(50, 130)], two), path, "K2|ID", n_buckets=256)
+    got = {r.id: r.v for r in read_lake(spark, path).collect()}
+    assert len(got) == read_lake(spark, path).count() == 130 and got[49] == "old" and got[50] == "new"
+    delete_from_lake(spark, base.select("k2", "id"), path, "k2|id")
+    assert sorted(r.id for r in read_lake(spark, path).collect()) == list(range(100, 130))
+
+
+def test_other_keys_are_refused(spark, tmp_dir):
+    from tidemark.sinks.lake import LayoutMismatch, delete_from_lake
+
+    path, plain = tmp_dir + "/t", tmp_dir + "/plain"
+    df = spark.createDataFrame([(1, "a")], SCHEMA)
+    overwrite_lake(spark, df, path, keys="k", n_buckets=4)
+    overwrite_lake(spark, df, plain)
+    for call in (lambda: upsert_lake(spark, df, path, "v"), lambda: swap_lake(spark, df, path, "k|v"),
+                 lambda: delete_from_lake(spark, df, path, "v"), lambda: upsert_lake(spark, df, plain, "k")):
+        with pytest.raises(LayoutMismatch):
+            call()
+    with pytest.raises(ValueError):
+        overwrite_lake(spark, df, path, keys="k", partition_by=["v"])
+
+
+def test_a_slice_never_makes_a_table_by_itself(spark, tmp_dir):
+    from tidemark.sinks.lake import LakeTableMissing, delete_from_lake
+
+    df = spark.createDataFrame([(1, "a")], SCHEMA)
+    for call in (upsert_lake, swap_lake, delete_from_lake):
+        with pytest.raises(LakeTableMissing):
+            call(spark, df, tmp_dir + "/none", "k")
+    assert not os.path.exists(tmp_dir + "/none")
+
+
+def test_inserts_are_appended_and_only_buckets_with_matches_rewritten(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    overwrite_lake(spark, spark.range(0, 3000).select(F.col("id").alias("k"), F.lit("old").alias("v")), path, keys="k", n_buckets=64)
+    before = {f for fs in files_by_bucket(path).values() for f in fs}
+    inserts = spark.range(5000, 5209).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    res = upsert_lake(spark, inserts, path, "k")
+    assert res.touched_buckets > 50 and res.rewritten_buckets == 0
+    assert before <= {f for fs in files_by_bucket(path).values() for f in fs}  # no file was replaced
+    mixed = inserts.limit(200).unionByName(spark.createDataFrame([(7, "upd"), (8, "upd")], SCHEMA)).withColumn("k", F.col("k") + F.when(F.col("v") == "new", 10_000).otherwise(0))
+    before = {f for fs in files_by_bucket(path).values() for f in fs}
+    res = upsert_lake(spark, mixed, path, "k")
+    assert res.rewritten_buckets <= 2
+    gone = before - {f for fs in files_by_bucket(path).values() for f in fs}
+    assert len({os.path.dirname(f) for f, _ in gone}) <= 2
+    got = {r.k: r.v for r in read_lake(spark, path).collect()}
+    assert len(got) == 3000 + 209 + 200 and got[7] == "upd" and got[9] == "old"
+
+
+def test_staging_is_removed_after_the_commit(spark, tmp_dir):
+    base = spark.conf.get("spark.checkpoint.dir") + "/tidemark"
+    staged = lambda: set(glob.glob(base + "/*staging*"))
+    before = staged()
+    path = tmp_dir + "/t"
+    overwrite_lake(spark, spark.createDataFrame([(1, "a")], SCHEMA), path, keys="k", n_buckets=4)
+    overwrite_lake(spark, read_lake(spark, path), path, keys="k", n_buckets=4)
+    overwrite_lake(spark, spark.createDataFrame([(2, "b")], SCHEMA), path, keys="k", n_buckets=4, crash_safe=True)
+    assert rows(read_lake(spark, path)) == [(2, "b")] and staged() == before
+
+
+def test_bucket_count_follows_the_size(spark, tmp_dir):
+    from tidemark.sinks.lake import MIN_BUCKETS, read_layout
+
+    path = tmp_dir + "/t"
+    spark.createDataFrame([(1, "a")], SCHEMA).write.parquet(tmp_dir + "/src")
+    overwrite_lake(spark, spark.read.parquet(tmp_dir + "/src"), path, keys="k")
+    assert read_layout(spark, path).n_buckets == MIN_BUCKETS

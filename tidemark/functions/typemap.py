@@ -42,7 +42,6 @@ FIXED_TARGETS = {
 }
 NUMERIC_BASES = ("double", "float", "decimal")
 KEPT_BASES = ("date", "char", "blob")
-TYPE_RULES = {"fixed": FIXED_TARGETS, "numeric": NUMERIC_BASES, "kept": KEPT_BASES}
 
 
 def _parts(src: Column) -> tuple[Column, Column, Column]:

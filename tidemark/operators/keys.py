@@ -20,22 +20,26 @@ from pyspark.sql import functions as F
 from tidemark.functions.lists import key_list
 
 
+def _col(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def any_null(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return reduce(lambda a, b: a | b, [_col(k).isNull() for k in keys])
 
 
 def all_present(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return reduce(lambda a, b: a & b, [_col(k).isNotNull() for k in keys])
 
 
 def distinct_keys(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     """Distinct key tuples (a NULL is one value, as in SQL DISTINCT)."""
-    return df.select(*key_list(keys)).distinct()
+    return df.select(*map(_col, key_list(keys))).distinct()
 
 
 def key_counts(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     ks = key_list(keys)
-    return df.groupBy(*ks).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    return df.groupBy(*map(_col, ks)).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 def duplicate_keys(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
@@ -46,7 +50,7 @@ def duplicate_keys(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
 def unique_check(df: DataFrame, keys: str | Iterable[str], table_name: str = "") -> DataFrame:
     """One-row report: rows, distinct keys, duplicated keys, NULL-key rows, verdict."""
     ks = key_list(keys)
-    per_key = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("n"), any_null(ks).alias("_null"))
+    per_key = df.groupBy(*map(_col, ks)).agg(F.count(F.lit(1)).alias("n"), any_null(ks).alias("_null"))
     report = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"),
         F.count(F.lit(1)).cast("bigint").alias("n_keys"),

@@ -2,137 +2,114 @@
 
 ``page`` numbers every row by its position in key order and puts row *i* in
 page ``floor(i / batch_size)``: pages are disjoint, cover the table and hold
-exactly ``batch_size`` rows (the last one the rest) — what ``LIMIT i*BS, BS``
+exactly ``batch_size`` rows (the last one the rest), which is what ``LIMIT i*BS, BS``
 meant, but without the missing ORDER BY.
 
-Plan (every step distributed; the driver only sees bucket bounds and counts):
-
-1. one aggregation for the row count and the NULL-key count, and
-   ``approxQuantile`` on the key column → ``n_buckets - 1`` range bounds with
-   ``n_buckets = ceil(rows / rows_per_bucket)``;
-2. ``Bucketizer`` maps each key to its range bucket (binary search, JVM side);
-3. hot key values are split: a value that fills several quantile steps shows
-   up several times among the bounds; its rows are spread over as many
-   sub-buckets by a row hash (NULL keys likewise, by their count). Every
-   other row of a bucket sorts after them (sub-bucket ``m_max``), so the order
-   ``(bucket, sub-bucket, key)`` is still key order;
-4. rows per (bucket, sub-bucket) → running offsets (a window over those few
-   rows), broadcast back — bounded by the number of buckets;
-5. ``row_number()`` inside each (bucket, sub-bucket) by key and a row hash
-   (ties in a stable order), plus the offset.
-
-No task sorts much more than ``rows_per_bucket`` rows, even when one key
-value (or NULL) holds a third of the table.
+Plan (every step distributed; the driver sees one row per range partition):
+
+1. rows are range-partitioned by ``(key, row hash)`` in the key's own type, into
+   ``ceil(rows / rows_per_bucket)`` partitions, and sorted inside. The bounds are sampled
+   from the rows; as the hash is a part of the order, a key value (or NULL)
+   that holds a third of the table is split over as many partitions as it fills.
+   Any orderable key works: big integers, wide decimals, dates, text;
+2. the sorted rows are checkpointed with their partition and place, so the source is
+   read once and offsets and rows come from the same state, also after a lost executor;
+3. rows per partition → running offsets (a window over those few rows),
+   broadcast back; the position is the offset plus the place.
+
+``page_slice`` does this with the key and hash columns only, looks up the page's
+first and last ``(key, hash)``, and reads, shuffles and sorts just the rows between them.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.lists import key_list
+from tidemark.session import checkpoint_dir
 
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_PLACE_BITS = (1 << 33) - 1  # monotonically_increasing_id holds the place in its low 33 bits
 
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _bounds(df: DataFrame, key_d: str, n_buckets: int, relative_error: float | None) -> list[float]:
-    """Raw (non-distinct) quantile bounds of the double key column."""
-    if n_buckets <= 1:
-        return []
-    err = relative_error if relative_error is not None else 1.0 / (4.0 * n_buckets)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    return [b for b in df.approxQuantile(key_d, probs, err) if b is not None and math.isfinite(b)]
-
-
-def _bucketize(keyed: DataFrame, key: str, key_d: str, inner: list[float], out_col: str) -> DataFrame:
-    if not inner:  # one bucket: every non-NULL key is in bucket 0
-        return keyed.withColumn(out_col, F.when(F.col(_q(key)).isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    from pyspark.ml.feature import Bucketizer
-
-    splits = [-math.inf] + inner + [math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol="_bucket_in", outputCol="_bucket_f", handleInvalid="keep") \
-        .transform(keyed.withColumn("_bucket_in", F.coalesce(F.col(key_d), F.lit(float("nan")))))
-    bucket = F.when(F.col(_q(key)).isNull(), F.lit(-1)).otherwise(F.col("_bucket_f").cast("int"))
-    return bucketed.withColumn(out_col, bucket).drop("_bucket_in", "_bucket_f")
-
-
-def range_buckets(df: DataFrame, key: str, n_buckets: int, out_col: str = "_bucket",
-                  relative_error: float | None = None) -> DataFrame:
-    """Add a range-bucket id in ``[0, n_buckets)``, monotone in ``key``; NULL keys → -1."""
-    dtype = df.schema[key].dataType
-    if not isinstance(dtype, _NUMERIC):
-        raise TypeError(f"range buckets need a numeric key, {key} is {dtype.simpleString()}")
-    keyed = df.withColumn("_key_d", F.col(_q(key)).cast("double"))
-    inner = sorted(set(_bounds(keyed, "_key_d", n_buckets, relative_error)))
-    return _bucketize(keyed, key, "_key_d", inner, out_col).drop("_key_d")
-
-
-def page_groups(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                relative_error: float | None = None) -> DataFrame:
-    """``df`` plus ``_bucket``, ``_sub`` (the sort groups, in key order) and ``_h`` (row hash)."""
-    dtype = df.schema[key].dataType
-    if not isinstance(dtype, _NUMERIC):
-        raise TypeError(f"page needs a numeric key, {key} is {dtype.simpleString()}; see hash_batches")
-    rpb = max(1, rows_per_bucket)
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(_q(key))).alias("n_key")).first()
-    total, n_null = stats["n"], stats["n"] - stats["n_key"]
-    n_buckets = max(1, math.ceil(total / rpb))
-
-    keyed = df.withColumn("_key_d", F.col(_q(key)).cast("double"))
-    raw = _bounds(keyed, "_key_d", n_buckets, relative_error)
-    inner = sorted(set(raw))
-    # a value repeated among the bounds fills that many quantile steps: split its rows
-    heavy = {h: c + 1 for h, c in Counter(raw).items() if c > 1}
-    m_null = max(1, math.ceil(n_null / rpb))
-    m_max = max([m_null, *heavy.values()])
-
-    b = _bucketize(keyed, key, "_key_d", inner, "_bucket")
-    b = b.withColumn("_h", F.xxhash64(*[F.col(_q(c)) for c in df.columns]))
-    if heavy:
-        hot = df.sparkSession.createDataFrame([(float(h), int(m)) for h, m in heavy.items()],
-                                              "_hot_key double, _hot_m int")
-        # at most n_buckets / 2 hot values: a proven bound, safe to broadcast
-        b = b.join(F.broadcast(hot), F.col("_key_d") == F.col("_hot_key"), "left")
-        sub = F.when(F.col("_hot_m").isNotNull(), F.pmod(F.col("_h"), F.col("_hot_m")))
-    else:
-        sub = F.when(F.lit(False), F.lit(0))
-    sub = sub.when(F.col(_q(key)).isNull(), F.pmod(F.col("_h"), F.lit(m_null))).otherwise(F.lit(m_max))
-    return b.withColumn("_sub", sub.cast("int")).select(*[F.col(_q(c)) for c in df.columns], "_bucket", "_sub", "_h")
+def row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(_q(c)) for c in df.columns])
+
+
+def positions(rows: DataFrame, key: str, rows_per_bucket: int) -> DataFrame:
+    """``rows`` (with a hash column ``_h``) plus ``_p``, ``_i`` (partition and place in it) and ``_offset``."""
+    spark = rows.sparkSession
+    n = max(1, math.ceil(rows.count() / max(1, rows_per_bucket)))
+    order = [F.col(_q(key)).asc_nulls_first(), F.col("_h").asc()]
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+    placed = (rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_p", F.spark_partition_id())
+              .withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS))).checkpoint())
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range partition: a proven bound, safe to broadcast
+    offsets = (placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_offset")))
+    return placed.join(F.broadcast(offsets), "_p")
 
 
 def page(df: DataFrame, key: str, batch_size: int, *, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-         batch_col: str = "batch_id", index_col: str = "row_index",
-         relative_error: float | None = None) -> DataFrame:
+         batch_col: str = "batch_id", index_col: str = "row_index") -> DataFrame:
     """Add ``row_index`` (0-based position in key order, NULLs first) and ``batch_id``."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    b = page_groups(df, key, rows_per_bucket, relative_error)
-    counts = b.groupBy("_bucket", "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.orderBy("_bucket", "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", "_sub",
-                            F.coalesce(F.sum("_n").over(order), F.lit(0)).cast("bigint").alias("_offset"))
-    # offsets has at most (buckets + hot sub-buckets) rows: a proven bound, safe to broadcast.
-    w = Window.partitionBy("_bucket", "_sub").orderBy(F.col(_q(key)).asc_nulls_first(), F.col("_h"))
-    numbered = b.join(F.broadcast(offsets), ["_bucket", "_sub"]).withColumn(
-        index_col, (F.col("_offset") + F.row_number().over(w) - 1).cast("bigint"))
-    return numbered.select(
-        *[F.col(_q(c)) for c in df.columns], index_col,
-        F.floor(F.col(index_col) / F.lit(batch_size)).cast("bigint").alias(batch_col))
-
-
-def page_slice(df: DataFrame, key: str, batch_size: int, batch_id: int, **kw) -> DataFrame:
+    placed = positions(df.withColumn("_h", row_hash(df)), key, rows_per_bucket)
+    index = (F.col("_offset") + F.col("_i")).cast("bigint")
+    return placed.select(*[F.col(_q(c)) for c in df.columns], index.alias(index_col),
+                         F.floor(index / F.lit(batch_size)).cast("bigint").alias(batch_col))
+
+
+def page_slice(df: DataFrame, key: str, batch_size: int, batch_id: int, *,
+               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, batch_col: str = "batch_id",
+               index_col: str = "row_index") -> DataFrame:
     """Rows of one page (the ``LIMIT offset, n`` of one batch)."""
-    return page(df, key, batch_size, **kw).filter(F.col(kw.get("batch_col", "batch_id")) == batch_id)
+    if batch_size <= 0:
+        raise ValueError("batch_size must be positive")
+    k = F.col(_q(key))
+    keys = positions(df.select(k.alias("_key"), row_hash(df).alias("_h")), "_key", rows_per_bucket)
+    at = F.col("_offset") + F.col("_i")
+    first, last = batch_id * batch_size, (batch_id + 1) * batch_size - 1
+    ends = (keys.where((at >= first) & (at <= last))
+            .agg(F.min(F.struct(at.alias("at"), "_key", "_h")).alias("lo"),
+                 F.max(F.struct(at.alias("at"), "_key", "_h")).alias("hi")).first())
+    hashed = df.withColumn("_h", row_hash(df))
+    if ends["lo"] is None:
+        rows, start = hashed.where(F.lit(False)), 0
+    else:
+        lo, hi = ends["lo"], ends["hi"]
+        kind = df.schema[key].dataType
+        rows = hashed.where(_from(k, lo["_key"], lo["_h"], kind, True) & _from(k, hi["_key"], hi["_h"], kind, False))
+        # rows equal to the first one may start before the page
+        same = F.col("_key").eqNullSafe(F.lit(lo["_key"]).cast(kind)) & (F.col("_h") == lo["_h"])
+        start = keys.where(same).agg(F.min(at).alias("at")).first()["at"]
+    index = (F.col("_offset") + F.col("_i") + F.lit(start)).cast("bigint")
+    return (positions(rows, key, rows_per_bucket).withColumn(index_col, index)
+            .where(F.col(index_col).between(first, last))
+            .select(*[F.col(_q(c)) for c in df.columns], index_col, F.lit(batch_id).cast("bigint").alias(batch_col)))
+
+
+def _from(key: Column, value, h: int, kind, lower: bool) -> Column:
+    """Rows at or after (at or before) ``(value, h)`` in the order NULLs first, key, hash."""
+    tie = F.col("_h") >= h if lower else F.col("_h") <= h
+    if value is None:
+        same = key.isNull()
+        return (same & tie) | key.isNotNull() if lower else same & tie
+    v = F.lit(value).cast(kind)
+    beyond = key > v if lower else (key < v) | key.isNull()
+    return F.coalesce(beyond, F.lit(False)) | (F.coalesce(key == v, F.lit(False)) & tie)
 
 
 def hash_batches(df: DataFrame, keys: str | Iterable[str], n_batches: int, batch_col: str = "batch_id") -> DataFrame:

@@ -28,6 +28,10 @@ from tidemark.operators.keys import all_present, any_null, duplicate_keys
 from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS, at_most, is_empty
 
 
+#: Keys compared as numbers keep ten places after the point: 1.0 and 1.4 are two keys.
+DECIMAL_KEY = "decimal(38,10)"
+
+
 class MergeAmbiguityError(ValueError):
     """More than one source row matches the same target row."""
 
@@ -84,7 +88,7 @@ def _key_join(left: DataFrame, keys_df: DataFrame, keys: list[str], how: str,
 
     def side(alias: str, k: str):
         c = F.col(f"{alias}.{_q(k)}")
-        return c.cast("decimal(38,0)") if keys_as_decimal else c
+        return c.cast(DECIMAL_KEY) if keys_as_decimal else c
 
     cond = reduce(lambda a, b: a & b, [side("_l", k) == side("_r", k) for k in keys])
     return lt.join(rt, cond, how).select(*[F.col(f"_l.{_q(c)}") for c in left.columns])
@@ -98,16 +102,17 @@ def delete_by_keys(target: DataFrame, keys_df: DataFrame, keys: str | Iterable[s
 
 
 def matched_by_keys(target: DataFrame, keys_df: DataFrame, keys: str | Iterable[str], *,
-                    keys_as_decimal: bool = False, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    keys_as_decimal: bool = False, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    small: bool | None = None) -> DataFrame:
     """Target rows whose key *is* in ``keys_df`` (what the DELETE removes)."""
-    return _key_join(target, keys_df, key_list(keys), "left_semi", keys_as_decimal, broadcast_rows)
+    return _key_join(target, keys_df, key_list(keys), "left_semi", keys_as_decimal, broadcast_rows, small)
 
 
 def ambiguous_target_rows(target: DataFrame, source: DataFrame, keys: str | Iterable[str], *,
                           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Target rows matched by more than one source row."""
     ks = key_list(keys)
-    dup = duplicate_keys(source.where(all_present(ks)), ks).select(*ks)
+    dup = duplicate_keys(source.where(all_present(ks)), ks).select(*map(_q, ks))
     return _key_join(target, dup, ks, "left_semi", broadcast_rows=broadcast_rows)
 
 
@@ -121,7 +126,7 @@ def stage_swap(target: DataFrame, stage: DataFrame, keys: str | Iterable[str], *
 
 def source_key_stats(source: DataFrame, keys: list[str]) -> tuple[int, bool]:
     """(rows with all keys present, whether a key repeats) — one aggregation of the source."""
-    per_key = source.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_key = source.where(all_present(keys)).groupBy(*map(_q, keys)).agg(F.count(F.lit(1)).alias("n"))
     r = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
                     F.coalesce(F.max("n"), F.lit(0)).alias("max_n")).first()
     return int(r["rows"]), int(r["max_n"]) > 1
@@ -145,7 +150,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: str | Iterable[str]
         if small is None:
             small = keyed_rows <= broadcast_rows
         if has_dup:
-            dup = duplicate_keys(src.where(all_present(ks)), ks).select(*ks)
+            dup = duplicate_keys(src.where(all_present(ks)), ks).select(*map(_q, ks))
             bad = _key_join(target, dup, ks, "left_semi", broadcast_rows=broadcast_rows)
             if not is_empty(bad):
                 raise MergeAmbiguityError(

@@ -168,10 +168,9 @@ def q_run_results_customer(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- type mapping / DDL
-from tidemark.functions.typemap import (  # noqa: E402
-    FIXED_TARGETS, KEPT_BASES, NUMERIC_BASES, VARCHAR_MAX_WIDTH, map_types)
-from tidemark.plans.ddl import IDENTIFIER_MAX, target_ddl  # noqa: E402
-from tidemark.sources.catalog import TEXT_LIMITS, VARCHAR_LIMIT, profile_catalog  # noqa: E402
+from tidemark.functions.typemap import map_types  # noqa: E402
+from tidemark.plans.ddl import target_ddl  # noqa: E402
+from tidemark.sources.catalog import profile_catalog  # noqa: E402
 from tidemark.sources.files import FIXTURE_TABLES  # noqa: E402
 
 # Column kinds of the generated tables, used only to write the SQL oracle:
@@ -205,8 +204,8 @@ DDL_SCHEMA = "DW"
 def _sql_src_type(kind: str, i: int) -> str:
     if kind == "s":
         n = f"coalesce(_len{i}, 0)"
-        parts = [f"WHEN {n} <= {VARCHAR_LIMIT} THEN 'varchar(' || CAST(greatest({n}, 1) AS VARCHAR) || ')'"]
-        parts += [f"WHEN {n} <= {lim} THEN '{name}'" for name, lim in TEXT_LIMITS]
+        parts = [f"WHEN {n} <= 4000 THEN 'varchar(' || CAST(greatest({n}, 1) AS VARCHAR) || ')'",
+                 f"WHEN {n} <= 65535 THEN 'text'", f"WHEN {n} <= 16777215 THEN 'mediumtext'"]
         return "CASE " + " ".join(parts) + " ELSE 'longtext' END"
     if kind.startswith("i:"):
         return f"'{kind[2:]}'"
@@ -219,7 +218,7 @@ def _sql_catalog() -> str:
         aggs = ["COUNT(*) AS _rows"]
         for i, (c, kind) in enumerate(FIXTURE_SCHEMAS[t], 1):
             if kind == "s":
-                aggs.append(f"max(length({c})) AS _len{i}")
+                aggs.append(f"max(octet_length(encode({c}))) AS _len{i}")
             selects.append(f"SELECT '{t}' AS table_name, {i} AS ordinal, '{c}' AS field, "
                            f"{_sql_src_type(kind, i)} AS src_type FROM a_{t}")
         ctes.append(f"a_{t} AS (SELECT {', '.join(aggs)} FROM {t})")
@@ -234,24 +233,25 @@ def _sql_parts(src: str) -> tuple[str, str, str]:
 
 
 def _sql_tgt_type(src: str) -> str:
+    """The mapping written out on its own: the SQL shares no table with the code it checks."""
     t, base, args = _sql_parts(src)
-    fixed = " ".join(f"WHEN {base} = '{name}' THEN '{target}'" for name, target in FIXED_TARGETS.items())
-    numeric = ", ".join(f"'{b}'" for b in NUMERIC_BASES)
-    kept = ", ".join(f"'{b}'" for b in KEPT_BASES)
-    return (f"CASE {fixed} "
-            f"WHEN {base} IN ({numeric}) THEN CASE WHEN {args} <> '' THEN 'number(' || {args} || ')' ELSE 'number' END "
-            f"WHEN {base} = 'datetime' THEN CASE WHEN {args} <> '' THEN 'timestamp(' || {args} || ')' "
-            f"ELSE 'timestamp' END "
-            f"WHEN {base} = 'timestamp' THEN 'timestamp' "
+    return (f"CASE WHEN {base} = 'varchar' THEN 'varchar2(1000)' WHEN {base} = 'tinyint' THEN 'number(5,0)' "
+            f"WHEN {base} = 'smallint' THEN 'number(7,0)' WHEN {base} = 'mediumint' THEN 'number(9,0)' "
+            f"WHEN {base} = 'bigint' THEN 'number(24,0)' WHEN {base} = 'int' THEN 'number(12,0)' "
+            f"WHEN {base} IN ('text', 'mediumtext', 'longtext') THEN 'clob' WHEN {base} = 'long' THEN 'varchar2(4000)' "
+            f"WHEN {base} IN ('double', 'float', 'decimal') AND {args} <> '' THEN 'number(' || {args} || ')' "
+            f"WHEN {base} IN ('double', 'float', 'decimal') THEN 'number' "
+            f"WHEN {base} = 'datetime' AND {args} <> '' THEN 'timestamp(' || {args} || ')' "
+            f"WHEN {base} IN ('datetime', 'timestamp') THEN 'timestamp' "
             f"WHEN {base} = 'bit' AND {args} = '1' THEN 'number(2,0)' "
-            f"WHEN {base} IN ({kept}) THEN {t} ELSE NULL END")
+            f"WHEN {base} IN ('date', 'char', 'blob') THEN {t} ELSE NULL END")
 
 
 def _sql_map_status(src: str) -> str:
     t, base, args = _sql_parts(src)
     return (f"CASE WHEN ({_sql_tgt_type(src)}) IS NULL THEN 'unsupported' "
             f"WHEN {base} = 'varchar' AND regexp_full_match({args}, '[0-9]+') "
-            f"AND CAST({args} AS BIGINT) > {VARCHAR_MAX_WIDTH} THEN 'narrowed' ELSE 'ok' END")
+            f"AND CAST({args} AS BIGINT) > 1000 THEN 'narrowed' ELSE 'ok' END")
 
 
 _MAPPED_SQL = (f"mapped AS (SELECT table_name, ordinal, field, src_type, {_sql_tgt_type('src_type')} AS tgt_type, "
@@ -270,6 +270,37 @@ def q_type_map_all(spark, sf_dir):
     return map_types(fixture_catalog(spark, sf_dir))
 
 
+#: Every kind of source type, with the mapping expected of it (None: no mapping).
+RULE_CASES = [
+    ("varchar(255)", "varchar2(1000)", "ok"), ("varchar(1001)", "varchar2(1000)", "narrowed"), ("VARCHAR ( 20 )", "varchar2(1000)", "ok"),
+    ("tinyint(4)", "number(5,0)", "ok"), ("tinyint(3) unsigned", "number(5,0)", "ok"), ("smallint(6)", "number(7,0)", "ok"),
+    ("mediumint(9)", "number(9,0)", "ok"), ("int(11)", "number(12,0)", "ok"), ("int(10) unsigned", "number(12,0)", "ok"),
+    ("bigint(20)", "number(24,0)", "ok"), ("double", "number", "ok"), ("double(10,2)", "number(10,2)", "ok"), ("float", "number", "ok"),
+    ("decimal(11, 2)", "number(11,2)", "ok"), ("decimal(10,2) unsigned", "number(10,2)", "ok"), ("datetime", "timestamp", "ok"),
+    ("datetime(3)", "timestamp(3)", "ok"), ("timestamp", "timestamp", "ok"), ("timestamp(6)", "timestamp", "ok"),
+    ("bit(1)", "number(2,0)", "ok"), ("bit(8)", None, "unsupported"), ("text", "clob", "ok"), ("mediumtext", "clob", "ok"),
+    ("longtext", "clob", "ok"), ("long", "varchar2(4000)", "ok"), ("date", "date", "ok"), ("char(2)", "char(2)", "ok"),
+    ("blob", "blob", "ok"), ("enum('a','b')", None, "unsupported"), ("json", None, "unsupported"), ("geometry", None, "unsupported"),
+]
+
+
+def _lit(x: str | None) -> str:
+    return "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+
+
+@register("type_map_rules", f"""
+WITH cases AS (SELECT * FROM (VALUES {", ".join(f"({i}, {_lit(a)}, {_lit(b)}, {_lit(c)})" for i, (a, b, c) in enumerate(RULE_CASES))})
+  v(i, src_type, tgt_type, map_status))
+SELECT p_name AS field, c.src_type, c.tgt_type, c.map_status FROM part JOIN cases c ON p_partkey % {len(RULE_CASES)} = c.i""")
+def q_type_map_rules(spark, sf_dir):
+    """Each part is a column of one of the source types; the SQL holds the expected types as literals."""
+    types = F.array(*[F.lit(a) for a, _, _ in RULE_CASES])
+    cat = _t(spark, sf_dir, "part").select(
+        F.lit("part").alias("table_name"), F.col("p_partkey").cast("int").alias("ordinal"), F.col("p_name").alias("field"),
+        F.get(types, (F.col("p_partkey") % len(RULE_CASES)).cast("int")).alias("src_type"))
+    return map_types(cat).select("field", "src_type", "tgt_type", "map_status")
+
+
 @register("target_ddl_all", f"""
 WITH {_sql_catalog()},
 {_MAPPED_SQL}
@@ -280,16 +311,16 @@ SELECT table_name,
        CAST(COUNT(*) AS BIGINT) AS n_columns,
        CAST(sum(CASE WHEN map_status = 'unsupported' THEN 1 ELSE 0 END) AS BIGINT) AS n_unsupported,
        CAST(sum(CASE WHEN map_status = 'narrowed' THEN 1 ELSE 0 END) AS BIGINT) AS n_narrowed,
-       string_agg(CASE WHEN length(field) > {IDENTIFIER_MAX} THEN field END, '|' ORDER BY field) AS long_names,
-       (sum(CASE WHEN map_status = 'unsupported' THEN 1 ELSE 0 END) = 0
-        AND count(CASE WHEN length(field) > {IDENTIFIER_MAX} THEN 1 END) = 0) AS ok
+       string_agg(CASE WHEN length(field) > 30 THEN field END, '|' ORDER BY field) AS long_names,
+       (sum(CASE WHEN map_status <> 'ok' THEN 1 ELSE 0 END) = 0
+        AND count(CASE WHEN length(field) > 30 THEN 1 END) = 0) AS ok
 FROM mapped GROUP BY table_name""")
 def q_target_ddl_all(spark, sf_dir):
     return target_ddl(fixture_catalog(spark, sf_dir), DDL_SCHEMA)
 
 
 # ---------------------------------------------------------------- uniqueness verdicts into the config
-from tidemark.operators import row_counts, unique_check_many  # noqa: E402
+from tidemark.operators import unique_check_many  # noqa: E402
 from tidemark.plans.fixture_queries import TABLE_KEYS, _unique_sql  # noqa: E402
 from tidemark.plans.schedule import apply_unique_results  # noqa: E402
 
@@ -297,12 +328,10 @@ FIXTURE_DB = "fixtures"
 
 
 def fixture_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One config row per generated table, from the tables' own row counts."""
-    counts = row_counts({t: _t(spark, sf_dir, t) for t in FIXTURE_TABLES})
-    keys = F.lit(None).cast("string")
-    for t, k in TABLE_KEYS.items():
-        keys = F.when(F.col("table_name") == t, F.lit(k)).otherwise(keys)
-    return counts.select(
+    """One config row per generated table."""
+    named = spark.createDataFrame([(t, TABLE_KEYS[t]) for t in FIXTURE_TABLES], "table_name string, keys string")
+    keys = F.col("keys")
+    return named.select(
         F.col("table_name").alias("tablename"), F.lit(FIXTURE_DB).alias("dbname"),
         F.lit("local").alias("host_port"), F.lit(None).cast("string").alias("timecols"),
         keys.alias("primarykeys"), F.concat(F.lit("dw_"), F.col("table_name")).alias("targettable"),
@@ -314,8 +343,8 @@ def fixture_config(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FIXTURE_CONFIG_SQL = " UNION ALL ".join(
     f"SELECT '{t}' AS tablename, '{FIXTURE_DB}' AS dbname, 'local' AS host_port, CAST(NULL AS VARCHAR) AS timecols, "
     f"'{TABLE_KEYS[t]}' AS primarykeys, 'dw_{t}' AS targettable, CAST(NULL AS VARCHAR) AS watermark, "
-    f"'8.0' AS dbversion, CAST(NULL AS VARCHAR) AS mappings, '1' AS status, CAST(NULL AS VARCHAR) AS comments "
-    f"FROM (SELECT COUNT(*) FROM {t})" for t in FIXTURE_TABLES)
+    f"'8.0' AS dbversion, CAST(NULL AS VARCHAR) AS mappings, '1' AS status, CAST(NULL AS VARCHAR) AS comments"
+    for t in FIXTURE_TABLES)
 
 
 @register("unique_comments_fixture", f"""
@@ -345,3 +374,19 @@ FROM allparsed""")
 def q_load_modes_all_customer(spark, sf_dir):
     """Load modes of the whole config (not only the pending rows): includes 'skip'."""
     return with_load_mode(parse_tasks(derived_config(spark, sf_dir)), RUN_DATE).select("tablename", "load_mode")
+
+
+@register("unique_comments_two_targets", f"""
+WITH cfg AS ({_FIXTURE_CONFIG_SQL}),
+two AS (SELECT * FROM cfg UNION ALL SELECT * REPLACE (targettable || '_b' AS targettable) FROM cfg),
+chk AS ({" UNION ALL ".join(_unique_sql(t, k) for t, k in TABLE_KEYS.items())})
+SELECT two.tablename, two.dbname, two.host_port, two.timecols, two.primarykeys, two.targettable, two.watermark,
+       two.dbversion, two.mappings, two.status, chk.comment AS comments
+FROM two JOIN chk ON two.tablename = chk.table_name""")
+def q_unique_comments_two_targets(spark, sf_dir):
+    """One source table feeding two targets, checked for each: two config rows in, two out."""
+    cfg = fixture_config(spark, sf_dir)
+    both = cfg.unionByName(cfg.withColumn("targettable", F.concat("targettable", F.lit("_b"))))
+    once = unique_check_many({t: (_t(spark, sf_dir, t), k) for t, k in TABLE_KEYS.items()}).select(
+        F.lit(FIXTURE_DB).alias("dbname"), F.col("table_name").alias("tablename"), "comment")
+    return apply_unique_results(both, once.unionByName(once))

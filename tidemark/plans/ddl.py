@@ -3,9 +3,10 @@
 ``target_ddl`` builds ``create table SCHEMA.T ( "c1" type1,"c2" type2 )`` per
 table with one ``groupBy(table)``: columns are gathered in ordinal order
 (a table has a bounded number of columns, so the per-table list is small).
-Renames are applied by exact column name before the DDL is built, and names
-longer than the target's identifier limit are reported instead of failing at
-CREATE time.
+Renames are applied before the DDL is built, with names compared as the loads compare
+them (case-insensitively), through a join with the renames' own rows. Names longer than
+the target's identifier limit and columns narrowed by the mapping are reported (``ok`` is
+false) instead of failing at CREATE or at load time.
 """
 
 from __future__ import annotations
@@ -21,14 +22,13 @@ IDENTIFIER_MAX = 30
 
 
 def apply_catalog_renames(catalog: DataFrame, renames: Mapping[str, Mapping[str, str]] | None) -> DataFrame:
-    """Rename fields by exact match, per table: ``{table: {old: new}}``."""
-    if not renames:
+    """Rename fields per table, ``{table: {old: new}}``; field names are compared case-insensitively."""
+    rows = [(t, old.lower(), new) for t, mapping in (renames or {}).items() for old, new in mapping.items()]
+    if not rows:
         return catalog
-    expr = F.col("field")
-    for table, mapping in renames.items():
-        for old, new in mapping.items():
-            expr = F.when((F.col("table_name") == table) & (F.col("field") == old), F.lit(new)).otherwise(expr)
-    return catalog.withColumn("field", expr)
+    given = catalog.sparkSession.createDataFrame(rows, "_table string, _old string, _new string").dropDuplicates(["_table", "_old"])
+    joined = catalog.join(given, (F.col("table_name") == F.col("_table")) & (F.lower("field") == F.col("_old")), "left")
+    return joined.withColumn("field", F.coalesce("_new", "field")).drop("_table", "_old", "_new")
 
 
 def target_ddl(catalog: DataFrame, schema: str = "DW", *, max_name_len: int = IDENTIFIER_MAX,
@@ -37,9 +37,8 @@ def target_ddl(catalog: DataFrame, schema: str = "DW", *, max_name_len: int = ID
     """One row per table: ddl (NULL when a type cannot be mapped), counts, long names, ok."""
     mapped = catalog if "tgt_type" in catalog.columns else map_types(catalog)
     mapped = apply_catalog_renames(mapped, renames)
-    target = F.col("table_name")
-    for src, dst in (table_names or {}).items():
-        target = F.when(F.col("table_name") == src, F.lit(dst)).otherwise(target)
+    pairs = [x for src, dst in (table_names or {}).items() for x in (F.lit(src), F.lit(dst))]
+    target = F.coalesce(F.create_map(*pairs)[F.col("table_name")], F.col("table_name")) if pairs else F.col("table_name")
     g = mapped.withColumn("_target", target).groupBy("table_name", "_target").agg(
         F.array_sort(F.collect_list(F.struct("ordinal", "field", "tgt_type"))).alias("_cols"),
         F.count(F.lit(1)).cast("bigint").alias("n_columns"),
@@ -56,6 +55,6 @@ def target_ddl(catalog: DataFrame, schema: str = "DW", *, max_name_len: int = ID
         F.when(F.col("n_unsupported") == 0, ddl).alias("ddl"),
         "n_columns", "n_unsupported", "n_narrowed",
         long_names.alias("long_names"),
-        ((F.col("n_unsupported") == 0) & (F.size("_long") == 0)).alias("ok"),
+        ((F.col("n_unsupported") == 0) & (F.col("n_narrowed") == 0) & (F.size("_long") == 0)).alias("ok"),
     )
 

@@ -339,3 +339,39 @@ def q_incremental_orders_text(spark, sf_dir):
     text = _t(spark, sf_dir, "orders").select(
         "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate_text"))
     return incremental_filter(text, "o_orderdate_text", ORDERS_WATERMARK)
+
+
+# ---------------------------------------------------------------- exact pages of large and wide keys
+BIG_KEY = 2 ** 60
+WIDE_KEY = 10 ** 20
+
+
+@register("page_bigkeys_orders", f"""
+SELECT o_orderkey + {BIG_KEY} AS big_key, CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS row_index,
+       CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // {PAGE_SIZE} AS BIGINT) AS batch_id FROM orders""")
+def q_page_bigkeys_orders(spark, sf_dir):
+    """Keys above 2^53, which doubles can't tell apart."""
+    big = _t(spark, sf_dir, "orders").select((F.col("o_orderkey") + F.lit(BIG_KEY)).alias("big_key"))
+    return page(big, "big_key", PAGE_SIZE, rows_per_bucket=300)
+
+
+@register("page_decimal_orders", f"""
+SELECT CAST(CAST('{WIDE_KEY}' AS DECIMAL(38,0)) + o_orderkey AS VARCHAR) AS wide_key,
+       CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS row_index,
+       CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // {PAGE_SIZE} AS BIGINT) AS batch_id FROM orders""")
+def q_page_decimal_orders(spark, sf_dir):
+    wide = _t(spark, sf_dir, "orders").select(
+        (F.lit(str(WIDE_KEY)).cast("decimal(38,0)") + F.col("o_orderkey")).cast("decimal(38,0)").alias("wide_key"))
+    return page(wide, "wide_key", PAGE_SIZE, rows_per_bucket=1000).withColumn("wide_key", F.col("wide_key").cast("string"))
+
+
+# ---------------------------------------------------------------- X8 fractional keys
+@register("delete_decimal_keys_orders", """
+SELECT o_orderkey, k FROM (SELECT o_orderkey, o_orderkey || '.' || (o_orderkey % 4) AS k FROM orders)
+WHERE CAST(k AS DECIMAL(38,10)) NOT IN (SELECT CAST(o_orderkey || '.' || '2' AS DECIMAL(38,10)) FROM orders)""")
+def q_delete_decimal_keys_orders(spark, sf_dir):
+    """Keys compared as numbers: n.2 goes, n.0, n.1 and n.3 stay."""
+    od = _t(spark, sf_dir, "orders")
+    target = od.select("o_orderkey", F.concat(F.col("o_orderkey"), F.lit("."), F.col("o_orderkey") % 4).alias("k"))
+    gone = od.select(F.concat(F.col("o_orderkey"), F.lit(".20")).alias("k"))
+    return delete_by_keys(target, gone, "k", keys_as_decimal=True)

@@ -24,10 +24,10 @@ from tidemark.operators.columns import rename_columns
 from tidemark.operators.incremental import incremental_filter
 from tidemark.operators.upsert import stage_swap
 from tidemark.plans.schedule import FAILED, SUCCESS, apply_run_results, build_schedule, parse_tasks, with_load_mode
-from tidemark.session import shared_dir
-from tidemark.sinks.lake import DEFAULT_BUCKETS, overwrite_lake, read_lake, swap_lake, upsert_lake
+from tidemark.session import remove_dir, shared_dir
+from tidemark.sinks.lake import overwrite_lake, read_lake, swap_lake, upsert_lake
 from tidemark.sources.jdbc import (
-    read_jdbc, read_jdbc_balanced, read_jdbc_parallel, staging_name, swap_statements, write_jdbc,
+    drop_statement, read_jdbc_balanced, read_jdbc_parallel, staging_name, swap_statements, write_jdbc,
 )
 
 log = logging.getLogger(__name__)
@@ -47,6 +47,10 @@ class LoadTask:
     passwd: str | None = field(default=None, repr=False)
     mapping: Mapping[str, str] | None = None
     mapping_error: bool = False
+    tz: str = "UTC"  # the clock of the source's time columns
+    epoch_unit: str = "s"  # of numeric time columns: 's' or 'ms'
+    overlap_days: int = 0  # days before the watermark that are read again
+    read_key: str | None = None  # splits a parallel source read; default: the first primary key
 
     def renamed(self, column: str) -> str:
         """The column's name after the task's rename (names compared case-insensitively)."""
@@ -66,7 +70,8 @@ def tasks_from(modes: DataFrame) -> list[LoadTask]:
             watermark=d.get("watermark"), load_mode=d.get("load_mode", "full"), url=d.get("url"),
             username=d.get("username"), passwd=d.get("passwd"),
             mapping=dict(d["mapping"]) if d.get("mapping") else None,
-            mapping_error=bool(d.get("mapping_error"))))
+            mapping_error=bool(d.get("mapping_error")), tz=d.get("tz") or "UTC", epoch_unit=d.get("epoch_unit") or "s",
+            overlap_days=int(d.get("overlap_days") or 0), read_key=d.get("read_key")))
     return out
 
 
@@ -82,26 +87,37 @@ def file_source(root: str, fmt: str = "parquet") -> SourceReader:
 
 def jdbc_source(driver: str | None = None, key_column: str | None = None, num_partitions: int | None = None,
                 fetch_size: int = 10_000, balanced: bool = False) -> SourceReader:
-    """Source tables over JDBC, credentials from the schedule; parallel when a key column is named
-    (``balanced=True``: equal-row partitions from database-side tiles instead of key strides)."""
+    """Source tables over JDBC, credentials from the schedule.
+
+    With ``num_partitions`` the read is split by ``key_column``, else by the task's ``read_key``, else by its
+    first primary key, where that is numeric or temporal; other tables are read in one task.
+    ``balanced=True`` takes equal-row partitions from database-side tiles instead of key strides."""
     def read(spark: SparkSession, task: LoadTask) -> DataFrame:
         table = f"{task.dbname}.{task.tablename}"
-        if balanced and key_column and num_partitions and num_partitions > 1:
-            return read_jdbc_balanced(spark, task.url, table, key_column, num_partitions, user=task.username,
-                                      password=task.passwd, driver=driver, fetch_size=fetch_size)
-        return read_jdbc(spark, task.url, table, user=task.username,
-                         password=task.passwd, driver=driver, key=key_column, num_partitions=num_partitions,
-                         fetch_size=fetch_size)
+        key = split_key(task, key_column)
+        split = read_jdbc_balanced if balanced and key else read_jdbc_parallel
+        return split(spark, task.url, table, key, num_partitions or 1, user=task.username, password=task.passwd,
+                     driver=driver, fetch_size=fetch_size)
     return read
 
 
+def split_key(task: LoadTask, key_column: str | None = None) -> str | None:
+    """The column that splits the task's source read."""
+    return key_column or task.read_key or (task.primary_keys[0] if task.primary_keys else None)
+
+
+def task_slice(df: DataFrame, task: LoadTask, time_cols: Iterable[str]) -> DataFrame:
+    """The rows at or after the task's watermark, by the task's clock, epoch unit and overlap."""
+    return incremental_filter(df, list(time_cols), task.watermark, task.epoch_unit, task.overlap_days, task.tz)
+
+
 def source_slice(spark: SparkSession, task: LoadTask, reader: SourceReader) -> DataFrame:
     """Rows to move: the whole table, or the time slice since the watermark; renamed."""
     if task.mapping_error:
         raise ValueError(f"{task.tablename}: column mapping is not a JSON object")
     df = reader(spark, task)
     if task.load_mode == "incremental":
-        df = incremental_filter(df, task.time_cols, task.watermark)
+        df = task_slice(df, task, task.time_cols)
     elif task.load_mode == "skip":
         df = df.filter(F.lit(False))
     return rename_columns(df, task.mapping)
@@ -118,7 +134,7 @@ class LakeWarehouse:
     """A warehouse made of keyed lake tables (file based)."""
     root: str
     fmt: str = "parquet"
-    n_buckets: int = DEFAULT_BUCKETS
+    n_buckets: int | None = None
     range_width: int | None = None
     crash_safe: bool = False
 
@@ -130,8 +146,7 @@ class LakeWarehouse:
                        range_width=self.range_width, crash_safe=self.crash_safe)
 
     def swap(self, spark, df, table, keys):
-        swap_lake(spark, df, self.path(table), keys, n_buckets=self.n_buckets, fmt=self.fmt,
-                  range_width=self.range_width)
+        swap_lake(spark, df, self.path(table), keys, fmt=self.fmt)
 
     def read(self, spark, table) -> DataFrame:
         return read_lake(spark, self.path(table), self.fmt)
@@ -166,23 +181,36 @@ class JdbcWarehouse:
         target = self.qualified(table)
         if self.execute is not None:
             staging = staging_name(target)
-            write_jdbc(df, self.url, staging, mode="overwrite", truncate=True,
-                       num_partitions=self.num_partitions, **self._conn())
-            self.execute(swap_statements(target, staging, keys, df.columns))
+            write_jdbc(df, self.url, staging, mode="overwrite", num_partitions=self.num_partitions, **self._conn())
+            self.execute([*swap_statements(target, staging, keys, df.columns), drop_statement(staging)])
             return
+        # a live source is read once: everything below sees the same stage
+        stage_path, merged_path = shared_dir(spark, "warehouse-stage"), shared_dir(spark, "warehouse-swap")
+        stage_schema = df.schema
+        df.write.mode("overwrite").parquet(stage_path)
+        stage = spark.read.schema(stage_schema).parquet(stage_path)
         current = read_jdbc_parallel(spark, self.url, target, keys[0] if keys else None, self.num_partitions,
                                      zero_dates_to_null=False, **self._conn())
-        merged_path = shared_dir(spark, "warehouse-swap")
-        stage_swap(current, df, keys).write.mode("overwrite").parquet(merged_path)
-        write_jdbc(spark.read.parquet(merged_path), self.url, target, mode="overwrite", truncate=True,
-                   num_partitions=self.num_partitions, **self._conn())
+        stage_swap(current, stage, keys).write.mode("overwrite").parquet(merged_path)
+        merged = spark.read.schema(current.schema).parquet(merged_path)
+        wanted = merged.count()
+        write_jdbc(merged, self.url, target, mode="overwrite", truncate=True, num_partitions=self.num_partitions,
+                   **self._conn())
+        written = read_jdbc_parallel(spark, self.url, target, None, 1, zero_dates_to_null=False, **self._conn()).count()
+        if written != wanted:  # the merged rows are kept for another try
+            raise RuntimeError(f"{target} holds {written} rows after the swap, not {wanted}; the rows are in {merged_path}")
+        remove_dir(spark, stage_path)
+        remove_dir(spark, merged_path)
 
 
 # ------------------------------------------------------------------ loads
 def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake_root: str, *,
-                 fmt: str = "parquet", n_buckets: int = DEFAULT_BUCKETS, range_width: int | None = None,
+                 fmt: str = "parquet", n_buckets: int | None = None, range_width: int | None = None,
                  crash_safe: bool = False) -> str:
-    """Source → lake: full = replace the table, incremental = MERGE by key.
+    """Source → lake: full = replace the table (no key needed), incremental = MERGE by key.
+
+    An incremental load needs the table it updates: without it the task fails, and its watermark
+    stays, rather than leave a table that holds only the slice.
 
     ``crash_safe=True`` keeps the old rows readable until the new ones commit
     (at the price of a second write); otherwise a failed full load leaves the
@@ -196,7 +224,9 @@ def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake
         overwrite_lake(spark, data, path, keys=keys, n_buckets=n_buckets, fmt=fmt, range_width=range_width,
                        crash_safe=crash_safe)
     else:
-        upsert_lake(spark, data, path, keys, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
+        if not keys:
+            raise ValueError(f"{task.tablename}: an incremental load needs primary keys")
+        upsert_lake(spark, data, path, keys, fmt=fmt)
     return path
 
 
@@ -208,7 +238,7 @@ def publish_to_warehouse(spark: SparkSession, task: LoadTask, lake_root: str, wa
     data = read_lake(spark, f"{lake_root.rstrip('/')}/{task.targettable}", fmt)
     keys = tuple(task.renamed(k) for k in task.primary_keys)
     if task.load_mode == "incremental":
-        data = incremental_filter(data, [task.renamed(c) for c in task.time_cols], task.watermark)
+        data = task_slice(data, task, [task.renamed(c) for c in task.time_cols])
         warehouse.swap(spark, data, task.targettable, keys)
     else:
         warehouse.replace(spark, data, task.targettable, keys)
@@ -238,8 +268,8 @@ def run_tasks(spark: SparkSession, tasks: Iterable[LoadTask], fn: Callable[[Load
             fn(task)
             return (task.tablename, task.targettable, task.load_mode, SUCCESS, None, time.time() - t0)
         except Exception as exc:  # noqa: BLE001 — isolate the table, keep going
-            msg = f"{type(exc).__name__}: {exc}".splitlines()[0][:1000]
-            log.warning("table %s failed: %s", task.tablename, msg)
+            msg = f"{type(exc).__name__}: {exc}"
+            log.warning("table %s failed: %s", task.tablename, msg.splitlines()[0])
             log.debug("table %s traceback", task.tablename, exc_info=True)
             return (task.tablename, task.targettable, task.load_mode, FAILED, msg, time.time() - t0)
 
@@ -254,7 +284,7 @@ def run_tasks(spark: SparkSession, tasks: Iterable[LoadTask], fn: Callable[[Load
 
 def nightly_lake_run(spark: SparkSession, config: DataFrame, connections: DataFrame, run_date: str,
                      reader: SourceReader, lake_root: str, *, parallelism: int = 1, fmt: str = "parquet",
-                     n_buckets: int = DEFAULT_BUCKETS, crash_safe: bool = False) -> tuple[DataFrame, DataFrame]:
+                     n_buckets: int | None = None, crash_safe: bool = False) -> tuple[DataFrame, DataFrame]:
     """Schedule → per-table lake loads → (results, new config with watermarks advanced)."""
     modes = with_load_mode(parse_tasks(build_schedule(config, connections, run_date)), run_date)
     tasks = tasks_from(modes)

@@ -101,9 +101,12 @@ def apply_run_results(config: DataFrame, results: DataFrame, run_date: str,
 
 
 def apply_unique_results(config: DataFrame, checks: DataFrame) -> DataFrame:
-    """Write 'Unique' / 'Not Unique' into comments by (dbname, tablename)."""
+    """Write 'Unique' / 'Not Unique' into comments by (dbname, tablename).
+
+    A table that was checked several times (for several targets) is 'Not Unique' if
+    any check says so; every config row stays one row."""
     cfg = lower_columns(config)
-    chk = checks.select(F.col("dbname").alias("_db"), F.col("tablename").alias("_tb"),
-                        F.col("comment").alias("_comment"))
+    verdict = F.when(F.max((F.col("comment") != "Unique").cast("int")) == 1, F.lit("Not Unique")).otherwise(F.lit("Unique"))
+    chk = checks.groupBy(F.col("dbname").alias("_db"), F.col("tablename").alias("_tb")).agg(verdict.alias("_comment"))
     j = cfg.join(chk, (cfg["dbname"] == chk["_db"]) & (cfg["tablename"] == chk["_tb"]), "left")
     return j.withColumn("comments", F.coalesce(F.col("_comment"), F.col("comments"))).select(*cfg.columns)

@@ -28,7 +28,7 @@ LAKE_BUCKETS = 64
 def q_lake_upsert_orders(spark, sf_dir):
     path = shared_dir(spark, "lake") + "/orders"
     overwrite_lake(spark, orders_target(spark, sf_dir), path, keys="o_orderkey", n_buckets=LAKE_BUCKETS)
-    upsert_lake(spark, orders_source(spark, sf_dir), path, "o_orderkey", n_buckets=LAKE_BUCKETS)
+    upsert_lake(spark, orders_source(spark, sf_dir), path, "o_orderkey")
     return read_lake(spark, path)
 
 
@@ -37,7 +37,7 @@ def q_lake_swap_lineitem(spark, sf_dir):
     path = shared_dir(spark, "lake") + "/lineitem"
     keys = "l_orderkey|l_linenumber"
     overwrite_lake(spark, lineitem_target(spark, sf_dir), path, keys=keys, n_buckets=LAKE_BUCKETS)
-    swap_lake(spark, lineitem_stage(spark, sf_dir), path, keys, n_buckets=LAKE_BUCKETS)
+    swap_lake(spark, lineitem_stage(spark, sf_dir), path, keys)
     return read_lake(spark, path)
 
 
@@ -50,7 +50,7 @@ def q_stream_upsert_orders(spark, sf_dir):
     src = orders_source(spark, sf_dir)
     src.repartition(4, F.col("o_orderdate")).write.mode("overwrite").parquet(landing)
     stream = file_stream(spark, landing, src.schema, max_files_per_trigger=1)
-    q = upsert_stream(stream, path, "o_orderkey", ckpt, n_buckets=LAKE_BUCKETS, available_now=True)
+    q = upsert_stream(stream, path, "o_orderkey", ckpt, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -64,7 +64,7 @@ from tidemark.plans.fixture_queries import TABLE_KEYS  # noqa: E402
 from tidemark.plans.loads import file_source, nightly_lake_run  # noqa: E402
 from tidemark.sources.files import FIXTURE_TABLES  # noqa: E402
 
-NIGHT_1, NIGHT_2 = "2001-08-01", "2001-08-02"
+NIGHT_1, NIGHT_2 = "2001-06-01", "2001-08-02"
 TIME_COLS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 NIGHTLY_BUCKETS = 8
 
@@ -97,15 +97,36 @@ def q_nightly_runs_fixture(spark, sf_dir):
     column load incrementally (MERGE of the slice since night 1); a slice with
     duplicate keys fails that table only, which keeps its night-1 watermark."""
     lake = shared_dir(spark, "nightly")
+    cfg = two_nights(spark, sf_dir, lake)
+    lake_rows = row_counts({f"dw_{t}": read_lake(spark, f"{lake}/dw_{t}") for t in FIXTURE_TABLES})
+    out = cfg.join(lake_rows, cfg["targettable"] == lake_rows["table_name"], "left")
+    return out.select("tablename", "targettable", "watermark", "comments", F.col("n_rows").alias("lake_rows"))
+
+
+def two_nights(spark, sf_dir, lake):
+    """Load all tables on two nights; between them the source changes the recent orders. Returns the new config."""
     cfg = nightly_config(spark, sf_dir)
     conns = cfg.select(F.col("dbname").alias("db_name"), F.lit("local").alias("host_port"),
                        F.lit("loader").alias("username"), F.lit("unused").alias("passwd")).distinct()
-    reader = file_source(sf_dir)
-    _, cfg2 = nightly_lake_run(spark, cfg, conns, NIGHT_1, reader, lake, parallelism=4, n_buckets=NIGHTLY_BUCKETS)
-    _, cfg3 = nightly_lake_run(spark, cfg2, conns, NIGHT_2, reader, lake, parallelism=4, n_buckets=NIGHTLY_BUCKETS)
-    lake_rows = row_counts({f"dw_{t}": read_lake(spark, f"{lake}/dw_{t}") for t in FIXTURE_TABLES})
-    out = cfg3.join(lake_rows, cfg3["targettable"] == lake_rows["table_name"], "left")
-    return out.select("tablename", "targettable", "watermark", "comments", F.col("n_rows").alias("lake_rows"))
+    before = file_source(sf_dir)
+
+    def after(session, task):
+        df = before(session, task)
+        return df.withColumn("o_orderstatus", F.lit("X")) if task.tablename == "orders" else df
+
+    _, cfg2 = nightly_lake_run(spark, cfg, conns, NIGHT_1, before, lake, parallelism=4, n_buckets=NIGHTLY_BUCKETS)
+    _, cfg3 = nightly_lake_run(spark, cfg2, conns, NIGHT_2, after, lake, parallelism=4, n_buckets=NIGHTLY_BUCKETS)
+    return cfg3
+
+
+@register("nightly_lake_orders", f"""
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '{NIGHT_1}' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+def q_nightly_lake_orders(spark, sf_dir):
+    """The lake's orders after two nights: rows since the first watermark as the second night found them."""
+    lake = shared_dir(spark, "nightly")
+    two_nights(spark, sf_dir, lake)
+    return read_lake(spark, f"{lake}/dw_orders")
 
 
 # ---------------------------------------------------------------- delete by keys on a keyed lake table
@@ -117,5 +138,67 @@ from tidemark.sinks.lake import delete_from_lake  # noqa: E402
 def q_lake_delete_customer(spark, sf_dir):
     path = shared_dir(spark, "lake") + "/customer"
     overwrite_lake(spark, _t(spark, sf_dir, "customer"), path, keys="c_custkey", n_buckets=LAKE_BUCKETS)
-    delete_from_lake(spark, recent_order_customers(spark, sf_dir), path, "c_custkey", n_buckets=LAKE_BUCKETS)
+    delete_from_lake(spark, recent_order_customers(spark, sf_dir), path, "c_custkey")
     return read_lake(spark, path)
+
+
+# ---------------------------------------------------------------- stored layout; warehouses
+from tidemark.plans.fixture_queries import EVENTS_WATERMARK, ORDERS_WATERMARK, events_with_epoch  # noqa: E402
+from tidemark.plans.loads import LakeWarehouse, LoadTask, load_to_warehouse, publish_to_warehouse, source_slice  # noqa: E402
+
+
+@register("lake_layout_orders", f"""
+SELECT * FROM ({REGISTRY["merge_upsert_orders"][1]}) WHERE o_orderkey % 10 <> 3""")
+def q_lake_layout_orders(spark, sf_dir):
+    """Written with one bucket count; the upsert asks for another and the delete for none: the stored one holds."""
+    path = shared_dir(spark, "lake") + "/orders"
+    overwrite_lake(spark, orders_target(spark, sf_dir), path, keys="o_orderkey", n_buckets=32)
+    upsert_lake(spark, orders_source(spark, sf_dir), path, "O_ORDERKEY", n_buckets=7)
+    gone = _t(spark, sf_dir, "orders").where("o_orderkey % 10 = 3").select("o_orderkey")
+    delete_from_lake(spark, gone, path, "o_orderkey")
+    return read_lake(spark, path)
+
+
+_STALE_SQL = f"""
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '{ORDERS_WATERMARK}' THEN o_orderstatus ELSE 'OLD' END
+         AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"""
+
+
+def _orders_task(mode: str) -> LoadTask:
+    return LoadTask("orders", "fixtures", "orders", ("o_orderkey",), ("o_orderdate",), ORDERS_WATERMARK, mode)
+
+
+def _stale_orders(spark, sf_dir):
+    """What the warehouse held before: every second order, all with an old status."""
+    return _t(spark, sf_dir, "orders").where("o_orderdate < '2001-07-01' OR o_orderkey % 2 = 0").withColumn(
+        "o_orderstatus", F.lit("OLD"))
+
+
+@register("publish_warehouse_orders", _STALE_SQL)
+def q_publish_warehouse_orders(spark, sf_dir):
+    """Lake → warehouse: the lake's slice since the watermark replaces the warehouse's rows by key."""
+    base = shared_dir(spark, "publish")
+    overwrite_lake(spark, _t(spark, sf_dir, "orders"), f"{base}/lake/orders", keys="o_orderkey", n_buckets=LAKE_BUCKETS)
+    warehouse = LakeWarehouse(f"{base}/warehouse", n_buckets=LAKE_BUCKETS)
+    warehouse.replace(spark, _stale_orders(spark, sf_dir), "orders", ("o_orderkey",))
+    publish_to_warehouse(spark, _orders_task("incremental"), f"{base}/lake", warehouse)
+    return warehouse.read(spark, "orders")
+
+
+@register("direct_warehouse_orders", _STALE_SQL)
+def q_direct_warehouse_orders(spark, sf_dir):
+    """Source → warehouse: a full load of the stale rows, then the slice of the source by key."""
+    warehouse = LakeWarehouse(shared_dir(spark, "direct"), n_buckets=LAKE_BUCKETS)
+    load_to_warehouse(spark, _orders_task("full"), lambda s, t: _stale_orders(s, sf_dir), warehouse)
+    load_to_warehouse(spark, _orders_task("incremental"), file_source(sf_dir), warehouse)
+    return warehouse.read(spark, "orders")
+
+
+@register("incremental_events_tz", f"""
+SELECT event_id, ts_epoch FROM (SELECT event_id, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS ts_epoch FROM events)
+WHERE ts_epoch >= CAST(epoch(TIMESTAMP '{EVENTS_WATERMARK}' - INTERVAL 8 HOUR) AS BIGINT)""")
+def q_incremental_events_tz(spark, sf_dir):
+    """A task whose source's clock is at +8: its midnight is 16:00 UTC of the day before."""
+    task = LoadTask("events", "fixtures", "events", ("event_id",), ("ts_epoch",), EVENTS_WATERMARK, "incremental",
+                    tz="Asia/Shanghai", epoch_unit="s")
+    return source_slice(spark, task, lambda s, t: events_with_epoch(s, sf_dir).select("event_id", "ts_epoch"))

@@ -11,7 +11,6 @@ setting is unset *and* the master is local (tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,13 +65,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str = "") -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
+    """The path of a fresh, unique sub-folder of the shared checkpoint folder (made by the first write)."""
     base = checkpoint_dir(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if name else uuid.uuid4().hex[:12]
-    path = f"{base}/tidemark/{leaf}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{base}/tidemark/{leaf}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder through the file system that Spark wrote it with."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def cluster_conf(largest_shuffle_bytes: int, *, target_partition_bytes: int = 256 << 20,

@@ -1,38 +1,44 @@
 """Lake tables: file tables (parquet by default) kept up to date by key.
 
-Layout: a keyed lake table is partitioned by ``_b = pmod(xxhash64(keys), N)``.
-An upsert then touches only the buckets its source rows hash to:
+Layout: a keyed lake table is partitioned by ``_b = pmod(xxhash64(keys), N)`` or,
+for one integral key, by ``_b = floor(key / width)``. The layout (key order, N or
+width) is stored beside the data in ``_layout`` and read back by every upsert, swap
+and delete, so a caller cannot address the wrong buckets; other key columns than
+the stored ones are refused. N is chosen from the table's size unless given.
+
+An upsert touches only what it must:
 
 1. the source (an incremental slice, usually small) is persisted; its rows,
-   keyed rows and distinct keys per bucket — at most N small rows — are
+   keyed rows and distinct keys per bucket (at most N small rows) are
    collected: they name the touched buckets, prove the broadcast bound and
    say whether the duplicate-key probe of a MERGE is needed;
-2. the target is read with ``_b IN (...)``: partition pruning skips every
-   other bucket's files;
-3. merged = target-in-touched-buckets anti-join source keys ∪ source;
-4. merged is written back with dynamic partition overwrite: only the touched
-   bucket directories are replaced, the rest of the table is not rewritten.
+2. the key columns of the touched buckets are probed with the slice's keys: only
+   buckets that hold a matching key are rewritten; the others hold nothing to
+   update and get the slice's rows appended as new files;
+3. the buckets to rewrite are read with ``_b IN (...)`` (partition pruning);
+   merged = target anti-join source keys + source, written back with dynamic
+   partition overwrite.
 
 ``delete_from_lake`` works the same way on a key list, and clears buckets
 that the delete empties (a dynamic overwrite would leave them untouched).
+An upsert into a table that is not there fails: creating a table from a slice would
+lose the rows before it. ``create=True`` says that the source is complete.
 
 Writes use the ``rebalance`` hint on ``_b``: AQE makes output partitions of a
 sensible size and splits a bucket that holds a hot key (a third of the rows),
 so no single task writes a whole skewed bucket.
 
-With hash buckets a slice of k rows touches about ``N·(1-(1-1/N)^k)`` buckets:
-for any sizeable slice that is all of them. Sources with auto-increment keys
-(new rows get the largest ids, recent changes cluster near them) can use a
-key-range layout instead, ``range_width=w`` → ``_b = floor(key / w)``: an
-upsert of recent rows then touches only the few newest ranges. (NULL keys go
-to bucket -1; a shared bucket id is harmless, the bucket only groups rows.)
+With hash buckets k changed keys rewrite at most k buckets of N; sources with
+auto-increment keys (recent changes cluster near the largest ids) can use the
+key-range layout, where they share the few newest ranges. (NULL keys go to bucket
+-1; a shared bucket id is harmless, the bucket only groups rows.) The width should be
+chosen so that the key range makes no more buckets than a driver-side list can hold.
 
-``N`` / ``w`` must stay the same for the life of a table (part of its layout).
 The commit of a dynamic overwrite replaces directories one by one: readers
 running during the commit can see a mix of old and new buckets.
 A plain path that is both read and statically overwritten would lose data, so
 ``overwrite_lake`` first materialises such input to the shared checkpoint
-folder.
+folder, and removes it after the commit.
 """
 
 from __future__ import annotations
@@ -48,11 +54,72 @@ from pyspark.sql.utils import AnalysisException
 from tidemark.functions.lists import key_list
 from tidemark.operators.keys import all_present
 from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS
-from tidemark.operators.upsert import align_to, merge_upsert, stage_swap
-from tidemark.session import shared_dir
+from tidemark.operators.upsert import align_to, delete_by_keys, matched_by_keys, merge_upsert, stage_swap
+from tidemark.session import remove_dir, shared_dir
 
 BUCKET_COL = "_b"
-DEFAULT_BUCKETS = 256
+LAYOUT_DIR = "_layout"
+MIN_BUCKETS, MAX_BUCKETS = 64, 65_536
+BUCKET_BYTES = 1 << 30
+
+
+class LakeTableMissing(ValueError):
+    """The lake table to be updated does not exist."""
+
+
+class LayoutMismatch(ValueError):
+    """The keys given are not those the table is laid out by."""
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a keyed lake table assigns rows to buckets."""
+
+    keys: tuple[str, ...]
+    n_buckets: int | None
+    range_width: int | None
+
+    def bucket(self):
+        return bucket_of(list(self.keys), self.n_buckets, self.range_width)
+
+
+def write_layout(spark: SparkSession, path: str, layout: Layout) -> None:
+    row = (list(layout.keys), layout.n_buckets, layout.range_width)
+    spark.createDataFrame([row], "keys array<string>, n_buckets int, range_width long").coalesce(1) \
+        .write.mode("overwrite").json(f"{path.rstrip('/')}/{LAYOUT_DIR}")
+
+
+def read_layout(spark: SparkSession, path: str, keys: list[str] | None = None) -> Layout:
+    """The stored layout of a keyed table; ``keys`` (in any order and case) must be its keys."""
+    try:
+        row = spark.read.schema("keys array<string>, n_buckets int, range_width long").json(
+            f"{path.rstrip('/')}/{LAYOUT_DIR}").first()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        row = None
+    if row is None:
+        raise LayoutMismatch(f"{path} has no stored layout: it is not a keyed lake table, or its full load did not finish")
+    layout = Layout(tuple(row["keys"]), row["n_buckets"], row["range_width"])
+    if keys is not None and sorted(k.lower() for k in keys) != sorted(k.lower() for k in layout.keys):
+        raise LayoutMismatch(f"{path} is laid out by {list(layout.keys)}, not by {keys}")
+    return layout
+
+
+def buckets_for(df: DataFrame) -> int:
+    """Bucket count for a table, a bucket being about a gigabyte, from the planner's size estimate (no scan)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, -(-size // BUCKET_BYTES))) if size < 1 << 60 else 256
+
+
+def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table's files, None where the path does not exist; any other fault is raised."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def bucket_of(keys: list[str], n_buckets: int, range_width: int | None = None):
@@ -65,11 +132,7 @@ def bucket_of(keys: list[str], n_buckets: int, range_width: int | None = None):
 
 
 def lake_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+    return load_table(spark, path, fmt) is not None
 
 
 def read_lake(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -88,13 +151,20 @@ def _path_only(uri: str) -> str:
 
 def _reads_from(df: DataFrame, path: str) -> bool:
     """Whether ``df`` reads files under ``path``. Scheme and authority are ignored:
-    a false positive only costs a staging copy, a false negative would lose data."""
+    a false positive only costs a staging copy, a false negative would lose data.
+    Only the root paths of the plan's file relations are looked at, not their files."""
     p = _path_only(path)
-    try:
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 — non-file sources
-        return False
-    return any(_path_only(f).startswith(p + "/") for f in files)
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation" or "HadoopFsRelation" not in leaf.relation().getClass().getName():
+            continue
+        roots = leaf.relation().location().rootPaths()
+        for k in range(roots.size()):
+            root = _path_only(roots.apply(k).toString())
+            if (root + "/").startswith(p + "/") or (p + "/").startswith(root + "/"):
+                return True
+    return False
 
 
 def _write(df: DataFrame, path: str, fmt: str, partition_by: list[str], mode: str, dynamic: bool) -> None:
@@ -119,69 +189,81 @@ def _clear_buckets(spark: SparkSession, path: str, fmt: str, schema, buckets) ->
 
 
 def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str | Iterable[str] | None = None,
-                   n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet",
+                   n_buckets: int | None = None, fmt: str = "parquet",
                    partition_by: Iterable[str] | None = None, range_width: int | None = None,
                    crash_safe: bool = False) -> None:
     """Replace the whole table (full load). With ``keys`` the table is bucketed for upserts.
 
     A static overwrite deletes the old files before its job runs: if the job
     fails, the table is empty until the load is re-run. ``crash_safe=True``
-    (keyed tables that already exist) writes the new rows to the shared
+    (keyed tables that already exist and keep their layout) writes the new rows to the shared
     checkpoint folder first, then applies them with a dynamic partition
-    overwrite — old buckets stay readable until that job commits — and finally
+    overwrite (old buckets stay readable until that job commits) and finally
     clears buckets the new data no longer has. It costs a second write.
     """
     parts = list(partition_by or [])
-    if keys is not None:
-        ks = key_list(keys)
-        keyed = df.withColumn(BUCKET_COL, bucket_of(ks, n_buckets, range_width)).hint("rebalance", BUCKET_COL)
-        exists = crash_safe and lake_exists(spark, path, fmt)
-        if exists or _reads_from(df, path):
-            staging = shared_dir(spark, "reload-staging")
-            staged_schema = keyed.select(*[c for c in keyed.columns if c not in [BUCKET_COL] + parts],
-                                         *parts, BUCKET_COL).schema
-            _write(keyed, staging, "parquet", [BUCKET_COL] + parts, "overwrite", dynamic=False)
-            keyed = spark.read.schema(staged_schema).parquet(staging)  # schema given: staging may be empty
-            if exists and not parts:
-                target_schema = spark.read.format(fmt).load(path).drop(BUCKET_COL).schema
-                old = _existing_buckets(spark, path, fmt)
-                new = {r[BUCKET_COL] for r in keyed.select(BUCKET_COL).distinct().collect()}
-                keyed = keyed.select(*[c for c in keyed.columns if c != BUCKET_COL], BUCKET_COL)
-                if new:
-                    _write(keyed, path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
-                _clear_buckets(spark, path, fmt, target_schema, old - new)
-                return
-        _write(keyed, path, fmt, [BUCKET_COL] + parts, "overwrite", dynamic=False)
+    ks = key_list(keys) if keys else []
+    if not ks:
+        staging = None
+        if _reads_from(df, path):
+            staging = shared_dir(spark, "overwrite-staging")
+            df.write.format("parquet").mode("overwrite").save(staging)
+            df = spark.read.parquet(staging)
+        _write(df, path, fmt, parts, "overwrite", dynamic=False)
+        if staging:
+            remove_dir(spark, staging)
         return
-    if _reads_from(df, path):
-        staging = shared_dir(spark, "overwrite-staging")
-        df.write.format("parquet").mode("overwrite").save(staging)
-        df = spark.read.parquet(staging)
-    _write(df, path, fmt, parts, "overwrite", dynamic=False)
+    if parts:
+        raise ValueError("a keyed lake table is partitioned by its buckets; partition_by goes with tables without keys")
+    layout = Layout(tuple(ks), None if range_width is not None else n_buckets or buckets_for(df), range_width)
+    keyed = df.withColumn(BUCKET_COL, layout.bucket()).hint("rebalance", BUCKET_COL)
+    old = load_table(spark, path, fmt) if crash_safe else None
+    in_place = old is not None and read_layout(spark, path) == layout
+    staging = None
+    if in_place or _reads_from(df, path):
+        staging = shared_dir(spark, "reload-staging")
+        staged_schema = keyed.select(*[c for c in keyed.columns if c != BUCKET_COL], BUCKET_COL).schema
+        _write(keyed, staging, "parquet", [BUCKET_COL], "overwrite", dynamic=False)
+        keyed = spark.read.schema(staged_schema).parquet(staging)  # schema given: staging may be empty
+    if in_place:
+        before = _existing_buckets(spark, path, fmt)
+        new = {r[BUCKET_COL] for r in keyed.select(BUCKET_COL).distinct().collect()}
+        if new:
+            _write(keyed, path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
+        _clear_buckets(spark, path, fmt, old.drop(BUCKET_COL).schema, before - new)
+    else:
+        _write(keyed, path, fmt, [BUCKET_COL], "overwrite", dynamic=False)
+        write_layout(spark, path, layout)
+    if staging:
+        remove_dir(spark, staging)
 
 
 @dataclass(frozen=True)
 class UpsertResult:
     source_rows: int
     touched_buckets: int
-    n_buckets: int
+    rewritten_buckets: int
     created: bool
 
 
+def _in_buckets(table: DataFrame, buckets: list) -> DataFrame:
+    return table.where(F.col(BUCKET_COL).isin(buckets))
+
+
 def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: str | Iterable[str], *,
-                     mode: str, n_buckets: int, fmt: str, check_ambiguous: bool,
-                     broadcast_rows: int, range_width: int | None = None) -> UpsertResult:
+                     mode: str, fmt: str, check_ambiguous: bool, broadcast_rows: int, create: bool,
+                     n_buckets: int | None, range_width: int | None) -> UpsertResult:
     ks = key_list(keys)
-    try:  # one listing of the table: read it, or create it when it is not there
-        target_all = spark.read.format(fmt).load(path)
-    except AnalysisException:
+    target_all = load_table(spark, path, fmt)
+    if target_all is None:
+        if not create:
+            raise LakeTableMissing(f"{path} does not exist: load the whole table first, or pass create=True")
         overwrite_lake(spark, source, path, keys=ks, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
-        return UpsertResult(-1, -1, n_buckets, True)
-    if BUCKET_COL not in target_all.columns:
-        raise ValueError(f"{path} is not a keyed lake table (no {BUCKET_COL} partitions)")
-    data_target = target_all.drop(BUCKET_COL)
-    bucket = bucket_of(ks, n_buckets, range_width).cast(target_all.schema[BUCKET_COL].dataType)
-    src = align_to(data_target, source).withColumn(BUCKET_COL, bucket)
+        return UpsertResult(-1, -1, -1, True)
+    layout = read_layout(spark, path, ks)
+    ks = list(layout.keys)
+    bucket = layout.bucket().cast(target_all.schema[BUCKET_COL].dataType)
+    src = align_to(target_all.drop(BUCKET_COL), source).withColumn(BUCKET_COL, bucket)
     src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # One job: rows, keyed rows and distinct keys per touched bucket (at most one
@@ -195,82 +277,88 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
         ).collect()
         n_src = sum(r["n"] for r in per_bucket)
         if n_src == 0:
-            return UpsertResult(0, 0, n_buckets, False)
+            return UpsertResult(0, 0, 0, False)
         touched = sorted(r[BUCKET_COL] for r in per_bucket)
         source_has_dups = any(r["n_distinct"] < r["n_keyed"] for r in per_bucket)
         small = sum(r["n_keyed"] for r in per_bucket) <= broadcast_rows  # proven: keyed source rows
-        target = target_all.where(F.col(BUCKET_COL).isin(touched)).select(*src.columns)
-        if mode == "merge":
-            merged = merge_upsert(target, src, ks, check_ambiguous=check_ambiguous and source_has_dups,
-                                  broadcast_rows=broadcast_rows, small=small)
-        else:
-            merged = stage_swap(target, src, ks, broadcast_rows=broadcast_rows, small=small)
-        _write(merged.hint("rebalance", BUCKET_COL), path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
-        return UpsertResult(n_src, len(touched), n_buckets, False)
+        # key columns only: which buckets hold a key of the slice?
+        held = _in_buckets(target_all, touched).select(*[F.col("`" + k.replace("`", "``") + "`") for k in ks], BUCKET_COL)
+        hit = matched_by_keys(held, src, ks, broadcast_rows=broadcast_rows, small=small)
+        rewrite = sorted(r[BUCKET_COL] for r in hit.select(BUCKET_COL).distinct().collect())
+        if rewrite:
+            target = _in_buckets(target_all, rewrite).select(*src.columns)
+            part = _in_buckets(src, rewrite)
+            if mode == "merge":
+                merged = merge_upsert(target, part, ks, check_ambiguous=check_ambiguous and source_has_dups,
+                                      broadcast_rows=broadcast_rows, small=small)
+            else:
+                merged = stage_swap(target, part, ks, broadcast_rows=broadcast_rows, small=small)
+            _write(merged.hint("rebalance", BUCKET_COL), path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
+        fresh = [b for b in touched if b not in set(rewrite)]
+        if fresh:  # nothing to update there: the slice's rows are new files
+            _write(_in_buckets(src, fresh).hint("rebalance", BUCKET_COL), path, fmt, [BUCKET_COL], "append", dynamic=False)
+        return UpsertResult(n_src, len(touched), len(rewrite), False)
     finally:
         src.unpersist()
 
 
 def upsert_lake(spark: SparkSession, source: DataFrame, path: str, keys: str | Iterable[str], *,
-                n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet", check_ambiguous: bool = True,
+                create: bool = False, n_buckets: int | None = None, fmt: str = "parquet", check_ambiguous: bool = True,
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, range_width: int | None = None) -> UpsertResult:
-    """MERGE the source into the keyed lake table at ``path`` (created if absent)."""
-    return _apply_by_bucket(spark, source, path, keys, mode="merge", n_buckets=n_buckets, fmt=fmt,
-                            check_ambiguous=check_ambiguous, broadcast_rows=broadcast_rows,
-                            range_width=range_width)
+    """MERGE the source into the keyed lake table at ``path``, by its stored layout.
+
+    ``n_buckets`` and ``range_width`` count only where ``create=True`` makes the table."""
+    return _apply_by_bucket(spark, source, path, keys, mode="merge", fmt=fmt, check_ambiguous=check_ambiguous,
+                            broadcast_rows=broadcast_rows, create=create, n_buckets=n_buckets, range_width=range_width)
 
 
 def swap_lake(spark: SparkSession, stage: DataFrame, path: str, keys: str | Iterable[str], *,
-              n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet",
+              create: bool = False, n_buckets: int | None = None, fmt: str = "parquet",
               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, range_width: int | None = None) -> UpsertResult:
     """Delete-by-key then insert the whole stage (duplicates kept), bucket by bucket."""
-    return _apply_by_bucket(spark, stage, path, keys, mode="swap", n_buckets=n_buckets, fmt=fmt,
-                            check_ambiguous=False, broadcast_rows=broadcast_rows, range_width=range_width)
+    return _apply_by_bucket(spark, stage, path, keys, mode="swap", fmt=fmt, check_ambiguous=False,
+                            broadcast_rows=broadcast_rows, create=create, n_buckets=n_buckets, range_width=range_width)
 
 
 @dataclass(frozen=True)
 class DeleteResult:
-    touched_buckets: int
+    rewritten_buckets: int
     emptied_buckets: int
 
 
 def delete_from_lake(spark: SparkSession, keys_df: DataFrame, path: str, keys: str | Iterable[str], *,
-                     n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet", range_width: int | None = None,
-                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DeleteResult:
+                     fmt: str = "parquet", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DeleteResult:
     """DELETE the rows whose key is in ``keys_df`` from the keyed lake table at ``path``.
 
-    Only the buckets the keys hash to are read and rewritten. Survivors go
-    back with dynamic partition overwrite. A bucket left with no row would be
-    skipped by that commit (it only replaces buckets that have output), so each
-    emptied bucket's directory is replaced by an empty file set with a static
-    overwrite of that one sub-folder.
+    The key columns of the buckets the keys hash to say which buckets hold a match
+    and whether all their rows go. Only buckets with survivors are read in full and
+    rewritten (dynamic partition overwrite); an emptied bucket's directory is replaced by an
+    empty file set with a static overwrite of that one sub-folder.
     """
-    from tidemark.operators.upsert import delete_by_keys
-
-    ks = key_list(keys)
-    target_all = spark.read.format(fmt).load(path)
-    if BUCKET_COL not in target_all.columns:
-        raise ValueError(f"{path} is not a keyed lake table (no {BUCKET_COL} partitions)")
-    data_cols = [c for c in target_all.columns if c != BUCKET_COL]
-    types = dict(target_all.dtypes)
-    kd = keys_df.select(*[F.col("`" + k + "`").cast(types[k]).alias(k) for k in ks]).where(all_present(ks))
-    kd = kd.withColumn(BUCKET_COL, bucket_of(ks, n_buckets, range_width)
-                       .cast(target_all.schema[BUCKET_COL].dataType)).persist(StorageLevel.MEMORY_AND_DISK)
+    target_all = load_table(spark, path, fmt)
+    if target_all is None:
+        raise LakeTableMissing(f"{path} does not exist")
+    layout = read_layout(spark, path, key_list(keys))
+    ks = list(layout.keys)
+    data = target_all.drop(BUCKET_COL)
+    quoted = [F.col("`" + k.replace("`", "``") + "`") for k in ks]
+    kd = align_to(data.select(*quoted), keys_df.select(*quoted)).where(all_present(ks))
+    kd = kd.withColumn(BUCKET_COL, layout.bucket().cast(target_all.schema[BUCKET_COL].dataType)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         key_buckets = kd.groupBy(BUCKET_COL).count().collect()  # at most one row per bucket
-        touched = sorted(r[BUCKET_COL] for r in key_buckets)
-        if not touched:
+        if not key_buckets:
             return DeleteResult(0, 0)
         small = sum(r["count"] for r in key_buckets) <= broadcast_rows
-        target = target_all.where(F.col(BUCKET_COL).isin(touched))
-        survivors = delete_by_keys(target, kd, ks, broadcast_rows=broadcast_rows, small=small)
-        kept = {r[BUCKET_COL] for r in survivors.groupBy(BUCKET_COL).count().collect()}
-        # partition values only: no data column is read
-        existing = {r[BUCKET_COL] for r in target.select(BUCKET_COL).distinct().collect()}
-        if kept:
+        held = _in_buckets(target_all, sorted(r[BUCKET_COL] for r in key_buckets)).select(*quoted, BUCKET_COL)
+        total = {r[BUCKET_COL]: r["count"] for r in held.groupBy(BUCKET_COL).count().collect()}
+        gone = {r[BUCKET_COL]: r["count"] for r in matched_by_keys(held, kd, ks, broadcast_rows=broadcast_rows, small=small)
+                .groupBy(BUCKET_COL).count().collect()}
+        emptied = sorted(b for b, n in gone.items() if n == total[b])
+        rewrite = sorted(set(gone) - set(emptied))
+        if rewrite:
+            survivors = delete_by_keys(_in_buckets(target_all, rewrite), kd, ks, broadcast_rows=broadcast_rows, small=small)
             _write(survivors.hint("rebalance", BUCKET_COL), path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
-        emptied = [b for b in touched if b in existing and b not in kept]
-        _clear_buckets(spark, path, fmt, target_all.select(*data_cols).schema, emptied)
-        return DeleteResult(len(touched), len(emptied))
+        _clear_buckets(spark, path, fmt, data.schema, emptied)
+        return DeleteResult(len(rewrite), len(emptied))
     finally:
         kd.unpersist()

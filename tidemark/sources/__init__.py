@@ -1,3 +1,3 @@
 """Sources: files (parquet/csv/…), lake tables and JDBC databases."""
 
-from tidemark.sources.files import read_table, read_tables  # noqa: F401
+from tidemark.sources.files import read_table  # noqa: F401

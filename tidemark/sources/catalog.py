@@ -3,10 +3,12 @@
 * ``jdbc_column_catalog`` — one JDBC read of ``information_schema.columns``
   for every table of a schema (instead of one ``DESCRIBE`` per table on the
   driver).
-* ``profile_catalog`` — for sources without a database catalog (files, lake
-  tables): the source type is derived from the Spark type and, for text, from
-  the data: the longest value decides varchar(n) / text / mediumtext /
-  longtext. Integer widths follow the declared type, never the values seen so
+* ``schema_catalog`` — for sources without a database catalog (files, lake
+  tables): the source type is derived from the Spark type alone, no data is read;
+  text columns get one declared type.
+* ``profile_catalog`` — the same with text types measured (an explicit choice: it scans
+  every text column): the longest value in bytes, as the limits count them, decides
+  varchar(n) / text / mediumtext / longtext. Integer widths follow the declared type, never the values seen so
   far (a key that fits a smallint today overflows tomorrow). One aggregation
   per table, all tables in one job; one row per table leaves the aggregation.
 """
@@ -62,24 +64,36 @@ def _text_type(max_len: Column) -> Column:
 
 
 def profile_table(df: DataFrame, table_name: str) -> DataFrame:
-    aggs: list[Column] = [F.count(F.lit(1)).alias("_rows")]
+    aggs: list[Column] = [F.lit(1).alias("_one")]
     types: list[tuple[int, str, Column]] = []
     for i, f in enumerate(df.schema.fields, 1):
         c = F.col(_q(f.name))
         if isinstance(f.dataType, T.StringType):
-            aggs.append(F.max(F.length(c)).alias(f"_len{i}"))
+            aggs.append(F.max(F.octet_length(c)).alias(f"_len{i}"))
             types.append((i, f.name, _text_type(F.col(f"_len{i}"))))
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             types.append((i, f.name, F.lit(_default_int(f.dataType))))
         else:
             types.append((i, f.name, F.lit(_static_type(f.dataType))))
-    stats = df.agg(*aggs)
+    stats = df.agg(*aggs) if len(aggs) > 1 else df.sparkSession.range(1)
     rows = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(name).alias("field"), t.alias("src_type"))
                      for i, name, t in types])
     return stats.select(F.lit(table_name).alias("table_name"), F.explode(rows).alias("_c")).select(
         "table_name", "_c.ordinal", "_c.field", "_c.src_type")
 
 
+def schema_catalog(tables: Mapping[str, DataFrame], text_type: str = "text") -> DataFrame:
+    """Catalog from the tables' schemas; every text column is declared ``text_type``."""
+    rows = [(name, i, f.name, text_type if isinstance(f.dataType, T.StringType) else _declared(f.dataType))
+            for name, df in tables.items() for i, f in enumerate(df.schema.fields, 1)]
+    return catalog_frame(next(iter(tables.values())).sparkSession, rows)
+
+
+def _declared(dtype: T.DataType) -> str:
+    integral = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    return _default_int(dtype) if integral else _static_type(dtype)
+
+
 def profile_catalog(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [profile_table(df, name) for name, df in tables.items()])
 

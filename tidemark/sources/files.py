@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 
 FIXTURE_TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -16,8 +14,3 @@ def table_path(root: str, name: str, fmt: str = "parquet") -> str:
 
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(table_path(root, name, fmt))
-
-
-def read_tables(spark: SparkSession, root: str, names: Iterable[str] = FIXTURE_TABLES,
-                fmt: str = "parquet") -> dict[str, DataFrame]:
-    return {n: read_table(spark, root, n, fmt) for n in names}

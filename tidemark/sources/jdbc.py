@@ -16,9 +16,13 @@ filled by ``write_jdbc``.
 
 from __future__ import annotations
 
+import datetime
+import uuid
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.functions.lists import key_list
 
@@ -120,8 +124,13 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "append", tru
     df.write.format("jdbc").mode(mode).options(**opts).save()
 
 
-def staging_name(target: str, suffix: str = "_tmp") -> str:
-    return f"{target}{suffix}"
+def staging_name(target: str) -> str:
+    """A staging table of its own for each swap, so that two swaps can't share one."""
+    return f"{target}_{uuid.uuid4().hex[:8]}"
+
+
+def drop_statement(table: str) -> str:
+    return f"DROP TABLE {table}"
 
 
 def swap_statements(target: str, staging: str, keys: str | Iterable[str],
@@ -139,11 +148,18 @@ def swap_statements(target: str, staging: str, keys: str | Iterable[str],
 
 def range_predicates(key: str, bounds: Iterable) -> list[str]:
     """Disjoint WHERE clauses covering every row: ``key <= b1``, ``b1 < key <= b2``, …,
-    ``key > bn``, and ``key IS NULL``. ``bounds`` are ascending (duplicates dropped)."""
+    ``key > bn``, and ``key IS NULL``. ``bounds`` are numbers, dates or timestamps (duplicates
+    dropped); texts are refused, since their order is the database's collation."""
     bs = sorted({b for b in bounds if b is not None})
+    if any(isinstance(b, bool) or not isinstance(b, (int, float, Decimal, datetime.date)) for b in bs):
+        raise TypeError(f"range predicates need numeric or temporal keys, {key} has bounds like {bs[0]!r}")
 
     def lit(v) -> str:
-        return f"'{v}'" if isinstance(v, str) else repr(v) if isinstance(v, float) else str(v)
+        if isinstance(v, datetime.datetime):
+            return f"'{v.isoformat(sep=' ')}'"
+        if isinstance(v, datetime.date):
+            return f"'{v.isoformat()}'"
+        return repr(v) if isinstance(v, float) else str(v)
 
     if not bs:
         return [f"{key} IS NOT NULL", f"{key} IS NULL"]
@@ -159,6 +175,14 @@ def ntile_bounds_query(table: str, key: str, n: int) -> str:
             f"FROM {table} WHERE {key} IS NOT NULL) tiles GROUP BY tile")
 
 
+def splittable_field(df: DataFrame, key: str | None) -> str | None:
+    """The column named ``key`` (in any case) if a read can be split by it: numeric or temporal."""
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.TimestampType,
+             T.TimestampNTZType)
+    return next((f.name for f in df.schema.fields
+                 if f.name.lower() == (key or "").lower() and isinstance(f.dataType, kinds)), None)
+
+
 def read_jdbc_balanced(spark: SparkSession, url: str, table: str, key: str, num_partitions: int, *,
                        user: str | None = None, password: str | None = None, driver: str | None = None,
                        fetch_size: int = DEFAULT_FETCH_SIZE, zero_dates_to_null: bool = True) -> DataFrame:
@@ -171,6 +195,9 @@ def read_jdbc_balanced(spark: SparkSession, url: str, table: str, key: str, num_
     NULL keys get their own partition.
     """
     conn = {"user": user, "password": password, "driver": driver}
+    plain = read_jdbc(spark, url, table, fetch_size=fetch_size, zero_dates_to_null=zero_dates_to_null, **conn)
+    if num_partitions <= 1 or splittable_field(plain, key) is None:
+        return plain
     q = ntile_bounds_query(table, key, num_partitions)
     rows = spark.read.format("jdbc").options(
         **jdbc_read_options(url, query=q, zero_dates_to_null=zero_dates_to_null, **conn)).load().collect()
@@ -186,15 +213,10 @@ def read_jdbc_parallel(spark: SparkSession, url: str, table: str, key: str | Non
                        fetch_size: int = DEFAULT_FETCH_SIZE, zero_dates_to_null: bool = True) -> DataFrame:
     """A key-partitioned read when ``key`` is numeric or temporal (its type comes
     from the table's schema, no data is read), else one partition."""
-    from pyspark.sql import types as T
-
     conn = {"user": user, "password": password, "driver": driver}
     plain = read_jdbc(spark, url, table, fetch_size=fetch_size, zero_dates_to_null=zero_dates_to_null, **conn)
-    fields = {f.name.lower(): f for f in plain.schema.fields}
-    f = fields.get((key or "").lower())
-    splittable = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType,
-                  T.TimestampType, T.TimestampNTZType)
-    if f is None or not isinstance(f.dataType, splittable) or num_partitions <= 1:
+    name = splittable_field(plain, key)
+    if name is None or num_partitions <= 1:
         return plain
-    return read_jdbc(spark, url, table, key=f.name, num_partitions=num_partitions, fetch_size=fetch_size,
+    return read_jdbc(spark, url, table, key=name, num_partitions=num_partitions, fetch_size=fetch_size,
                      zero_dates_to_null=zero_dates_to_null, **conn)

@@ -18,27 +18,29 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.lists import key_list
 from tidemark.operators.incremental import incremental_filter
-from tidemark.sinks.lake import DEFAULT_BUCKETS, swap_lake, upsert_lake
+from tidemark.sinks.lake import swap_lake, upsert_lake
 
 
 def file_stream(spark: SparkSession, landing_dir: str, schema: StructType, *, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None, time_cols: str | Iterable[str] | None = None,
-                watermark: str | None = None) -> DataFrame:
+                watermark: str | None = None, unit: str = "s", tz: str = "UTC") -> DataFrame:
     """Stream the files arriving in ``landing_dir``; optionally keep only the time slice."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.load(landing_dir)
     if time_cols is not None and watermark is not None:
-        df = incremental_filter(df, time_cols, watermark)
+        df = incremental_filter(df, time_cols, watermark, unit, tz=tz)
     return df
 
 
 def upsert_stream(stream: DataFrame, path: str, keys: str | Iterable[str], checkpoint_location: str, *,
-                  mode: str = "merge", n_buckets: int = DEFAULT_BUCKETS, fmt: str = "parquet",
+                  mode: str = "merge", create: bool = False, n_buckets: int | None = None, fmt: str = "parquet",
                   available_now: bool = False, processing_time: str | None = None,
                   query_name: str | None = None) -> StreamingQuery:
-    """Apply every micro-batch of ``stream`` to the keyed lake table at ``path``."""
+    """Apply every micro-batch of ``stream`` to the keyed lake table at ``path``.
+
+    The table must exist unless ``create=True`` (a stream that starts with all rows)."""
     ks = key_list(keys)
     if mode not in ("merge", "swap"):
         raise ValueError("mode must be 'merge' or 'swap'")
@@ -46,9 +48,9 @@ def upsert_stream(stream: DataFrame, path: str, keys: str | Iterable[str], check
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         if mode == "merge":
-            upsert_lake(spark, batch, path, ks, n_buckets=n_buckets, fmt=fmt)
+            upsert_lake(spark, batch, path, ks, create=create, n_buckets=n_buckets, fmt=fmt)
         else:
-            swap_lake(spark, batch, path, ks, n_buckets=n_buckets, fmt=fmt)
+            swap_lake(spark, batch, path, ks, create=create, n_buckets=n_buckets, fmt=fmt)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if query_name:
