@@ -111,3 +111,33 @@ def test_text_types_count_bytes(spark):
     df = spark.createDataFrame([("Ä" * 40_000,)], "s string")
     assert profile_catalog({"t": df}).first().src_type == "mediumtext"
     assert [tuple(r) for r in schema_catalog({"t": df}).collect()] == [("t", 1, "s", "text")]
+
+
+def test_target_tables_are_created_from_the_schedule(spark):
+    from tidemark.plans.loads import create_targets
+
+    cat = catalog_frame(spark, [("a", 1, "ID", "int"), ("a", 2, "v", "varchar(20)"), ("b", 1, "j", "json"), ("c", 1, "id", "int"), ("x", 1, "id", "int")])
+    tasks = [LoadTask("a", "db", "dw_a", ("id",), mapping={"id": "pk"}), LoadTask("b", "db", "dw_b", ("j",)), LoadTask("c", "db", "dw_c", ("id",))]
+    ran = []
+
+    def execute(statements):
+        if "dw_c" in statements[0]:
+            raise RuntimeError("no space")
+        ran.extend(statements)
+
+    got = {r.tablename: (r.status, r.error) for r in create_targets(spark, tasks, cat, execute).collect()}
+    assert got == {"a": ("SUCCESS", None), "b": ("REFUSED", None), "c": ("FAILED", "RuntimeError: no space")}
+    assert ran == ['create table DW.dw_a ( "pk" number(12,0),"v" varchar2(1000) )']
+
+
+def test_merge_into_needs_a_format_with_merge(spark):
+    from pyspark.errors import AnalysisException
+    from tidemark.sinks.lake import merge_into_table
+
+    spark.range(3).write.mode("overwrite").saveAsTable("plain_target")
+    try:
+        with pytest.raises(Exception) as caught:
+            merge_into_table(spark.range(5), "plain_target", "id")
+        assert isinstance(caught.value, AnalysisException) or "MERGE" in str(caught.value)
+    finally:
+        spark.sql("DROP TABLE plain_target")

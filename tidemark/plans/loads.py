@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.columns import rename_columns
 from tidemark.operators.incremental import incremental_filter
 from tidemark.operators.upsert import stage_swap
+from tidemark.plans.ddl import target_ddl
 from tidemark.plans.schedule import FAILED, SUCCESS, apply_run_results, build_schedule, parse_tasks, with_load_mode
 from tidemark.session import remove_dir, shared_dir
 from tidemark.sinks.lake import overwrite_lake, read_lake, swap_lake, upsert_lake
@@ -203,6 +204,30 @@ class JdbcWarehouse:
         remove_dir(spark, merged_path)
 
 
+def create_targets(spark: SparkSession, tasks: Iterable[LoadTask], catalog: DataFrame,
+                   execute: Callable[[list[str]], None], *, schema: str = "DW") -> DataFrame:
+    """Create the tasks' target tables in the warehouse: column catalog → renames → types → DDL → ``execute``.
+
+    ``catalog`` is that of the sources (``jdbc_column_catalog``, ``schema_catalog`` or ``profile_catalog``). Only
+    statements without a fault (no unmapped or narrowed column, no name too long) are run; the returned rows,
+    one a table, say which. A failing statement fails its own table only."""
+    by_table = {t.tablename: t for t in tasks}
+    ddl = target_ddl(catalog.where(F.col("table_name").isin(list(by_table))), schema,
+                     renames={n: dict(t.mapping or {}) for n, t in by_table.items()},
+                     table_names={n: t.targettable for n, t in by_table.items()})
+    out = []
+    for r in ddl.collect():  # one row a table of the schedule
+        status, error = "REFUSED", None
+        if r["ok"] and not by_table[r["table_name"]].mapping_error:
+            try:
+                execute([r["ddl"]])
+                status = SUCCESS
+            except Exception as exc:  # noqa: BLE001 — isolate the table, keep going
+                status, error = FAILED, f"{type(exc).__name__}: {exc}"
+        out.append((r["table_name"], by_table[r["table_name"]].targettable, r["ddl"], status, error))
+    return spark.createDataFrame(out, "tablename string, targettable string, ddl string, status string, error string")
+
+
 # ------------------------------------------------------------------ loads
 def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake_root: str, *,
                  fmt: str = "parquet", n_buckets: int | None = None, range_width: int | None = None,

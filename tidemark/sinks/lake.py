@@ -362,3 +362,14 @@ def delete_from_lake(spark: SparkSession, keys_df: DataFrame, path: str, keys: s
         return DeleteResult(len(rewrite), len(emptied))
     finally:
         kd.unpersist()
+
+
+def merge_into_table(source: DataFrame, table: str, keys: str | Iterable[str]) -> None:
+    """MERGE the source into a named catalog table, by the table format's own MERGE.
+
+    For formats that have row-level operations (Spark refuses the others); the file layout
+    above needs no such format."""
+    ks = key_list(keys)
+    quote = lambda name: "`" + name.replace("`", "``") + "`"
+    on = F.expr(" AND ".join(f"_source.{quote(k)} = {table}.{quote(k)}" for k in ks))
+    source.alias("_source").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
