@@ -62,7 +62,7 @@ def test_rounds_raise_the_likelihood(spark):
     ids = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "ids binary").repartition(4)
     unigram = np.full(6, 1 / 6)
     first = Model.first(unigram, 2, 3)
-    scores = [forward_log10(baum_welch(ids, first, unigram, r, 32, 1.0), texts).sum() for r in (0, 1, 4)]
+    scores = [forward_log10(baum_welch(ids, first, unigram, r, 32, 0.01), texts).sum() for r in (0, 1, 4)]
     assert scores[0] < scores[1] < scores[2]
     assert scores[2] > 60 * 80 * math.log10(1 / 3.4)  # two kinds of texts of three symbols each
 

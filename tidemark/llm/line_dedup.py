@@ -187,7 +187,9 @@ def _without(text: pa.Array, drop: pa.Array) -> pa.Array:
 def without_lines(text: Column, drop: Column) -> Column:
     """Struct of the text without the lines whose key is in ``drop``, its lines and how many went."""
     def in_slices(text_: pa.Array, drop_: pa.Array) -> pa.Array:
-        return _without(text_, drop_)
+        """Few texts are Python objects at a time, whatever the size of an Arrow batch."""
+        step = 256
+        return pa.concat_arrays([_without(text_.slice(i, step), drop_.slice(i, step)) for i in range(0, max(len(text_), 1), step)])
 
     return F.arrow_udf(in_slices, "kept string, n_lines long, n_dropped long")(text, drop)
 
