@@ -95,11 +95,12 @@ def threshold(counts: DataFrame, most: int) -> int:
 class Vocabulary:
     """Known words with their counts, symbols and the class masses."""
 
-    def __init__(self, known: list[tuple[str, int]], core_from: int, ends: int, total: int, distinct: int,
+    def __init__(self, known: pa.Table, core_from: int, ends: int, total: int, distinct: int,
                  class_counts: np.ndarray):
-        known = sorted(known, key=lambda x: (-x[1], x[0]))
-        self.index = {w.encode("utf-8"): i for i, (w, _) in enumerate(known)}
-        counts = np.array([n for _, n in known], np.float64)
+        known = known.sort_by([("n", "descending"), ("word", "ascending")])
+        words = known["word"].cast(pa.binary()).to_pylist()
+        self.index = {w: i for i, w in enumerate(words)}
+        counts = known["n"].to_numpy().astype(np.float64)
         core = int((counts >= core_from).sum())
         self.core, self.end, self.symbols = core, core, core + 1 + CLASSES
         classes = np.array([core + 1 + class_of(w) for w in self.index], np.int64)
@@ -334,7 +335,7 @@ def score_texts(docs: DataFrame, *, states: int = 8, rounds: int = 4, core_words
     ends = training.count()
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("words")).collect()[0]
     known_from, core_from = threshold(counts, known_words), threshold(counts, core_words)
-    known = [(r["word"], r["n"]) for r in counts.where(F.col("n") >= known_from).collect()]  # known_words at most
+    known = counts.where(F.col("n") >= known_from).toArrow()  # known_words at most
     v = Vocabulary(known, core_from, ends, sums["n"] + ends, sums["words"] + (ends > 0),
                    class_counts(counts.where(F.col("n") < core_from)))
     vocabulary = sc.broadcast(v)
