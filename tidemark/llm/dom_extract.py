@@ -63,7 +63,8 @@ AGAINST = re.compile(r"(?<![a-z])(?<!has-)(?<!with-)(?<!no-)(ads?|advert\w*|spon
                      r"copyright|legal|disclaimer|skip|hidden|complementary|contentinfo)(?![a-z])")
 FOR = re.compile(r"(?<![a-z])(article|content|main|post|entry|story|text|body)(?![a-z])")
 TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<({SKIPPED})\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+                   r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S | re.I)  # the last: tags with an unclosed quote
 ATTRIBUTES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 SIZES = (3, 6, 4, 5)  #: values of the features: class words, own length, punctuation, link share
 FEATURES = sum(SIZES)
@@ -81,14 +82,15 @@ class Tree:
             if m.start() > at:
                 self._text(stack[-1], block, link, page[at:m.start()])
             at = m.end()
-            tag = (m[3] or "").lower()
+            close, tag, attributes = (m[2], m[3], m[4]) if m[3] else (m[5], m[6] or "", m[7])
+            tag = tag.lower()
             if not tag:
                 if m[0].startswith("<![CDATA["):
                     self._text(stack[-1], block, link, m[0][9:].removesuffix("]]>"))
                 continue
             if tag == "a":
-                link = 0 if m[2] else 1
-            if m[2]:
+                link = 0 if close else 1
+            if close:
                 open_ = next((i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == tag), 0)
                 if open_:
                     del stack[open_:]
@@ -98,7 +100,7 @@ class Tree:
                 continue
             if tag == "html":
                 continue
-            words = self._class_words(m[4]) if "=" in m[4] and tag not in WHOLE else 0
+            words = self._class_words(attributes) if "=" in attributes and tag not in WHOLE else 0
             if tag in INLINE:
                 if tag == "br":
                     self._text(stack[-1], block, 0, " ")
@@ -115,7 +117,7 @@ class Tree:
             self.words.append(words)
             for column in (self.chars, self.linked, self.marks):
                 column.append(0)
-            if not m[4].endswith("/") or tag in KIND_OF:
+            if not attributes.endswith("/") or tag in KIND_OF:
                 stack.append(len(self.tag) - 1)
         if at < len(page):
             self._text(stack[-1], block, link, page[at:])
