@@ -69,7 +69,7 @@ def test_edge_pages(spark, model):
     deep = "<div>" * 3000 + "<p>Down here, a text.</p>"
     pages = [(1, "u", None, "t"), (2, None, "", "t"), (None, "v", "just text &lt;here&gt;.", "t"), (4, "w", PAGE, "t"), (4, "w", PAGE, "t"),
              (5, "x", f"<article><p>{LONG_TEXT}</p></article>", "t"), (6, "y", "<p>a<p>b</p></p></b><", "t"), (7, "z", deep, "t"),
-             (10, "s", "<p>Before <a href='x>after the open quote, and more text.</p>", "t"), (8, "q", "<script>no", "t"), (9, "r", "<!-- <p>no</p> -->", "t")]
+             (10, "s", "<p>Before <a href='x>after</a> the open quote, and more text.</p>", "t"), (8, "q", "<script>no", "t"), (9, "r", "<!-- <p>no</p> -->", "t")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string, text string")
     got = rows_of(main_text(df, model=model), "page_id", "url", "text")
     want = dict(zip(range(len(pages)), ["", "", "just text <here>.", TEXT, TEXT, LONG_TEXT, "a\nb\n<", "Down here, a text.",
