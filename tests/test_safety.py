@@ -141,3 +141,36 @@ def test_merge_into_needs_a_format_with_merge(spark):
         assert isinstance(caught.value, AnalysisException) or "MERGE" in str(caught.value)
     finally:
         spark.sql("DROP TABLE plain_target")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_dates_fail_whatever_the_session(spark, ansi):
+    from tidemark.operators import zero_dates_to_null
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good = spark.createDataFrame([("2024-01-02 03:04:05",), ("0000-00-00 00:00:00",), (None,)], "d string")
+        assert [r.d for r in zero_dates_to_null(good, "d").collect()] == [datetime.datetime(2024, 1, 2, 3, 4, 5), None, None]
+        with pytest.raises(Exception):
+            zero_dates_to_null(spark.createDataFrame([("soon",)], "d string"), "d").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_both_sides_of_a_size_switch_give_the_same_rows(spark, seed):
+    import random
+
+    from tidemark.operators import incremental_join, matched_by_keys, merge_metrics, merge_upsert, stage_swap
+
+    rng = random.Random(seed)
+    value = lambda: rng.choice([None, *range(8)])
+    frame = lambda n: spark.createDataFrame([(value(), value(), rng.randrange(100)) for _ in range(n)], "a int, b int, v int")
+    t, s = frame(40), frame(12).dropDuplicates(["a", "b"])
+    for op in (merge_metrics, merge_upsert, stage_swap, delete_by_keys, matched_by_keys):
+        assert rows(op(t, s, "a|b", broadcast_rows=0)) == rows(op(t, s, "a|b", broadcast_rows=1000)), op
+    day = lambda df, c: df.withColumn(c, F.expr("date_add(date'2024-01-01', v)"))
+    left, right = day(t, "t1"), day(s, "t2").withColumnRenamed("v", "w").withColumnRenamed("b", "b2")
+    joined = [rows(incremental_join(left, right, "a", "t1", "t2", "2024-02-10", broadcast_rows=n)) for n in (0, 1000)]
+    assert joined[0] == joined[1]

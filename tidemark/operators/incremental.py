@@ -98,5 +98,7 @@ def zero_dates_to_null(df: DataFrame, cols: str | Iterable[str], fmt: str = DEFA
         parsed = F.to_timestamp_ntz(s, F.lit(fmt)) if to == "timestamp_ntz" else F.to_timestamp(s, fmt)
         if to == "date":
             parsed = F.to_date(s, fmt)
-        out[c] = F.when(s.startswith(ZERO_DATE_PREFIX), F.lit(None)).otherwise(parsed)
+        bad = F.raise_error(F.concat(F.lit(f"{c}: not a date: "), s)).cast(to)  # also where the session isn't ANSI
+        out[c] = (F.when(s.startswith(ZERO_DATE_PREFIX), F.lit(None))
+                  .when(s.isNotNull() & parsed.isNull(), bad).otherwise(parsed))
     return df.withColumns(out)
