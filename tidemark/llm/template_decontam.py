@@ -24,6 +24,8 @@ are not read. Empty tables give an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,52 +43,100 @@ RAW_TOKENS = rf"{MARK}[^{MARK}]*{MARK}|{NUMBERS}|[\p{{L}}\p{{M}}]+"
 WINDOW = 5
 
 
-def _tokens(marked: Column) -> Column:
-    """Canonical tokens of a text whose names are marked (or of one without marks)."""
-    named = F.regexp_replace(marked, f"{MARK}[^{MARK}]*{MARK}", NAME)
-    numbered = F.regexp_replace(F.lower(named), NUMBERS, f" {NUMBER} ")
-    units = F.when(numbered.contains(NUMBER), F.regexp_replace(numbered, AFTER_NUMBER, f"$1{UNIT}$2")).otherwise(numbered)
-    return F.regexp_extract_all(units, F.lit(TOKENS), F.lit(0))
+def _tokens(stream: int) -> Column:
+    """Canonical tokens of the column ``text``; in the template stream its names are marked."""
+    named = F.regexp_replace("text", f"{MARK}[^{MARK}]*{MARK}", NAME) if stream else F.col("text")
+    units = F.regexp_replace(F.regexp_replace(F.lower(named), NUMBERS, f" {NUMBER} "), AFTER_NUMBER, f"$1{UNIT}$2")
+    canonical = F.when(F.col("text").rlike(r"\p{N}"), units).otherwise(F.lower(named))
+    return F.regexp_extract_all(canonical, F.lit(TOKENS), F.lit(0))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _hashes(tokens: Column) -> Column:
+    """Hashes of all windows of an array of tokens, in order; null for fewer tokens than a window has.
+
+    Words are hashed once; two, four and five words are combined from shifted arrays,
+    which costs three passes over longs instead of a slice for every window.
+    """
+    def pair(left: Column, right: Column, by: int) -> Column:
+        return F.zip_with(left, F.slice(right, by + 1, F.size(right)), lambda a, b: F.xxhash64(a, b))
+
+    def five(w1: Column) -> Column:
+        w5 = _let(pair(w1, w1, 1), lambda w2: _let(pair(w2, w2, 2), lambda w4: pair(w4, w1, 4)))
+        return F.when(F.size(w1) >= WINDOW, F.slice(w5, 1, F.size(w1) - (WINDOW - 1)))
+
+    return _let(F.transform(tokens, lambda t: F.xxhash64(t)), five)
+
+
+def _read(rows: DataFrame, stream: int) -> DataFrame:
+    """``(id, x)`` of marked texts: canonical tokens, raw values, places of slots, window hashes."""
+    raw = F.regexp_extract_all(F.lower(F.col("text")), F.lit(RAW_TOKENS), F.lit(0))
+    slots = lambda t: F.filter(F.transform(t, lambda x, i: F.when(x.between(NAME, UNIT), i)), lambda i: i.isNotNull())
+    return rows.select("id", _let(_tokens(stream), lambda t: F.struct(
+        t.alias("tokens"), raw.alias("raw"), slots(t).alias("slots"), _hashes(t).alias("h"))).alias("x"))
+
+
+def _windows_at(read: DataFrame, places: str, stream: int, min_words: int) -> DataFrame:
+    """``(id, s, pos, h, types, raw)`` of the windows that start at ``places`` (SQL over ``x``), if they hold enough words."""
+    every = F.expr(f"""flatten(transform(array(x), x -> transform(filter({places}, i -> i < size(x.h)),
+        i -> named_struct('pos', i, 'h', element_at(x.h, i + 1), 'types', slice(x.tokens, i + 1, {WINDOW}),
+                          'raw', slice(x.raw, i + 1, {WINDOW})))))""")
+    enough = F.size(F.filter("types", lambda t: ~t.between(NAME, UNIT))) >= min_words
+    return (read.select("id", F.explode(every).alias("w")).select("id", F.lit(stream).alias("s"), "w.*").where(enough))
+
 
+def _streams(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(id, text)`` of the literal stream, and of the template stream with its names marked."""
+    reserved = reduce(Column.__or__, [F.col("text").contains(c) for c in (MARK, NAME, NUMBER, UNIT)])
+    clean = F.when(reserved, F.regexp_replace("text", f"[{MARK}-{UNIT}]", " ")).otherwise(F.col("text"))
+    given = texts.where(F.col("text").isNotNull()).select("id", clean.alias("text"))
+    return given, given.withColumn("text", F.regexp_replace("text", NAMES, f"$1{MARK}$2{MARK}")).where(F.col("text").contains(MARK))
 
-def _windows(stream: int, min_words: int) -> Column:
-    """Array of (s, pos, h, types, raw) from the columns ``tokens`` and ``raw``; raw is null without slots."""
-    holds_slot = f"exists(slice(tokens, i, {WINDOW}), t -> t between '{NAME}' and '{UNIT}')"
-    slot = lambda of: f"CASE WHEN raw IS NOT NULL AND {holds_slot} THEN slice({of}, i, {WINDOW}) END"
-    every = (f"transform(sequence(1, size(tokens) - {WINDOW - 1}), i -> named_struct('s', {stream}, 'pos', i, "
-             f"'h', xxhash64(slice(tokens, i, {WINDOW}), {stream}), 'types', {slot('tokens')}, 'raw', {slot('raw')}))")
-    enough = f"filter({every}, w -> w.raw IS NULL OR size(filter(w.types, t -> not (t between '{NAME}' and '{UNIT}'))) >= {min_words})"
-    return F.expr(f"CASE WHEN size(tokens) >= {WINDOW} THEN CASE WHEN raw IS NULL THEN {every} ELSE {enough} END END")
 
+def item_windows(items: DataFrame, min_words: int) -> DataFrame:
+    """``(id, s, pos, h, types, raw)`` of all windows of ``(id, text)`` items; ``types`` and ``raw`` are null without slots."""
+    literal, named = _streams(items)
+    parts = [_windows_at(_read(rows, s), "sequence(0, size(x.tokens))", s, min_words) for s, rows in ((0, literal), (1, named))]
+    slot = F.exists("types", lambda t: t.between(NAME, UNIT))
+    rows = parts[0].unionByName(parts[1])
+    return rows.withColumn("raw", F.when(slot, F.col("raw"))).withColumn("types", F.when(slot, F.col("types")))
 
-def windows(texts: DataFrame, min_words: int) -> DataFrame:
-    """``(id, s, pos, h, types, raw)`` of ``(id, text)`` rows, both streams."""
-    clean = F.when(F.col("text").rlike(f"[{MARK}-{UNIT}]"), F.regexp_replace("text", f"[{MARK}-{UNIT}]", " ")).otherwise(F.col("text"))
-    marked = texts.select("id", clean.alias("text")).where(F.col("text").isNotNull()).withColumn(
-        "marked", F.regexp_replace("text", NAMES, f"$1{MARK}$2{MARK}"))
 
-    def stream(rows: DataFrame, number: int, of: str) -> DataFrame:
-        slots = F.col(of).rlike(rf"\p{{N}}|{MARK}")
-        raw = F.when(slots, F.regexp_extract_all(F.lower(F.col(of)), F.lit(RAW_TOKENS), F.lit(0)))
-        return (rows.select("id", _tokens(F.col(of)).alias("tokens"), raw.alias("raw"))
-                .select("id", F.explode(_windows(number, min_words)).alias("w")).select("id", "w.*"))
+def document_windows(docs: DataFrame, min_words: int) -> DataFrame:
+    """``(id, s, pos, h, raw)`` of all windows of ``(id, text)`` documents.
 
-    return stream(marked, 0, "text").unionByName(stream(marked.where(F.col("marked").contains(MARK)), 1, "marked"))
+    Every window has a row without ``raw``; one that holds a slot has a second row with its values,
+    and only that may be matched by an item's window with slots. Few windows hold one, so
+    nearly all rows are a few numbers.
+    """
+    literal, named = _streams(docs)
+    numbered = literal.where(F.col("text").rlike(r"\p{N}"))
+    near = f"array_distinct(flatten(transform(x.slots, p -> sequence(greatest(p - {WINDOW - 1}, 0), p))))"
+    parts = []
+    for stream, rows, slotted in ((0, literal, numbered), (1, named, named)):
+        parts.append(rows.select("id", F.posexplode(_hashes(_tokens(stream))).alias("pos", "h"))
+                     .select("id", F.lit(stream).alias("s"), "pos", "h", F.lit(None).cast("array<string>").alias("raw")))
+        parts.append(_windows_at(_read(slotted, stream), near, stream, min_words).drop("types"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_cover: float = 0.3, min_cover_same: float = 0.5,
                  min_words: int = 3, max_broadcast_windows: int = 500_000, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``(doc_id, item_id, n_windows, n_matched, coverage, n_slots, consistent)`` of contaminated pairs."""
-    items = windows(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text")), min_words)
+    items = item_windows(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text")), min_words)
     items = items.select(F.col("id").alias("item_id"), "s", F.col("pos").alias("item_pos"), "h",
                          "types", F.col("raw").alias("item_raw"))
     sizes = items.groupBy("item_id", "s").agg(F.countDistinct("item_pos").alias("n_windows"))
     if items.count() <= max_broadcast_windows:
         items, sizes = F.broadcast(items), F.broadcast(sizes)
-    own = windows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), min_words)
+    own = document_windows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), min_words)
     own = own.select(F.col("id").alias("doc_id"), "s", "pos", "h", F.col("raw").alias("doc_raw"))
-    hits = own.join(items, ["h", "s"])
+    hits = own.join(items, ["h", "s"]).where(F.col("doc_raw").isNull() == F.col("types").isNull())
     slots = F.expr(f"filter(transform(types, (t, i) -> struct(t AS type, item_raw[i] AS a, doc_raw[i] AS b)), "
                    f"x -> x.type between '{NAME}' and '{UNIT}')")
     aligned = (hits.withColumn("slots", F.when(F.col("types").isNotNull(), slots))
