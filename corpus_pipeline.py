@@ -20,16 +20,28 @@ from tidemark.llm.template_decontam import contaminated
 from tidemark.session import shared_dir
 
 
-def _of_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose id is (left_semi) or is not (left_anti) in ``ids``; the texts are not sorted."""
-    listed = ids.select(F.col("doc_id").alias("_id")).distinct().hint("shuffle_hash")
-    return docs.join(listed, docs["doc_id"].eqNullSafe(listed["_id"]), how)
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a hash of the whole row, under a name they don't hold; it is the same on every try.
+
+    Stages decide by this key: ids may be null or repeated. Equal rows are decided alike.
+    """
+    name = "_row_hash"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return docs.withColumn(name, F.xxhash64(*docs.columns)), name
+
+
+def _of_rows(keyed: DataFrame, key: str, listed: DataFrame, how: str) -> DataFrame:
+    """Rows of ``keyed`` whose key is (left_semi) or is not (left_anti) in the first column of ``listed``; the texts are not sorted."""
+    listed = listed.toDF("_listed").distinct().hint("shuffle_hash")
+    return keyed.join(listed, keyed[key] == listed["_listed"], how)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (score of at least 0.5)."""
-    scored = quality_scores(docs, table(spark, sf_dir, "labels"))
-    return _of_ids(docs, scored.where("predicted = 0"), "left_anti")
+    """Documents that the quality classifier accepts (score of at least 0.5), row by row."""
+    keyed, key = _keyed(docs)
+    scored = quality_scores(keyed, table(spark, sf_dir, "labels"), row_col=key)
+    return _of_rows(keyed, key, scored.where("predicted = 0").select("row"), "left_anti").drop(key)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +51,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near copies."""
-    groups = near_duplicates(docs, shingle=3, distance=2, seed=42)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _of_ids(docs, first, "left_semi").dropDuplicates(["doc_id"])
+    """One document, the one with the smallest id (null after all others), of each group of near copies."""
+    keyed, key = _keyed(docs)
+    groups = near_duplicates(keyed, shingle=3, distance=2, seed=42, id_col=key).select("doc_id", "component_id").distinct()
+    ids = keyed.select(F.col(key).alias("_of"), F.col("doc_id").alias("_id")).distinct()
+    least = F.min(F.struct(F.col("_id").isNull(), "_id", "_of")).alias("least")
+    first = groups.join(ids, groups["doc_id"] == ids["_of"]).groupBy("component_id").agg(least)
+    return _of_rows(keyed, key, first.select("least._of"), "left_semi").dropDuplicates([key, "doc_id"]).drop(key)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return _of_ids(docs, contaminated(docs, table(spark, sf_dir, "benchmark")), "left_anti")
+    """Documents that hold no benchmark item, row by row."""
+    keyed, key = _keyed(docs)
+    found = contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col=key)
+    return _of_rows(keyed, key, found.select("doc_id"), "left_anti").drop(key)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

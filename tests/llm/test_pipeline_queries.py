@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from conftest import ROOT, SF_SMALL
 from edges import edge_docs, rows_of
+from pyspark.sql import functions as F
 from test_line_dedup import brute as brute_lines
 from test_simhash import brute as brute_groups
 from tokenizers import Tokenizer
@@ -72,3 +73,34 @@ def test_near_copies_leave_one_of_each_group(spark):
     rows = [(5, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "nothing like the others at all here"), (None, "z y x w")]
     out = P.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_SMALL)
     assert sorted(rows_of(out, "doc_id"), key=str) == [(3,), (9,), (None,)]
+
+
+def test_rows_of_one_id_and_null_ids_are_decided_on_their_own(spark):
+    texts = ["z y x w", "nothing like the others at all here", "rivers seldom forget the valleys that they carved"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (4, texts[1]), (7, "one two three four"), (7, "some other words of it")]
+    out = P.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_SMALL)
+    want = [(None, texts[0]), (None, texts[2]), (4, texts[1]), *rows[5:]]
+    assert sorted(rows_of(out, "doc_id", "text"), key=str) == sorted(want, key=str)
+
+
+def test_a_rejected_row_removes_no_other_row(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    bad = {r[0] for r in rows_of(contaminated(docs, items), "doc_id")}
+    assert bad
+    rows = [(None if d % 2 else 1, t) for d, t in rows_of(docs, "doc_id", "text")]
+    want = [(None if d % 2 else 1, t) for d, t in rows_of(docs, "doc_id", "text") if d not in bad]
+    out = P.decontamination(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_SMALL)
+    assert sorted(rows_of(out, "doc_id", "text"), key=str) == sorted(want, key=str)
+
+
+def test_quality_is_decided_row_by_row(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").unionByName(
+        spark.read.parquet(f"{SF_SMALL}/documents.parquet").withColumn("doc_id", F.lit(None).cast("long")))
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    want = {(d, p) for d, p in rows_of(quality_scores(docs, labels), "doc_id", "predicted") if d is not None}
+    accepted = {d for d, p in want if p}
+    text_of = dict(rows_of(docs.where("doc_id is not null"), "doc_id", "text"))
+    out = rows_of(P.quality(spark, docs, SF_SMALL), "doc_id", "text")
+    assert 0 < len(accepted) < len(text_of)
+    assert sorted(t for d, t in out if d is None) == sorted(text_of[d] for d in accepted)

@@ -69,16 +69,16 @@ N_STATISTICS = len(statistics(""))
 
 
 def document_statistics(docs: DataFrame) -> DataFrame:
-    """``(doc_id, x)`` for ``(id, text)`` rows; x holds the statistics as 64-bit floats."""
+    """``(doc_id, x, row)`` for ``(id, text, row)`` rows; x holds the statistics as 64-bit floats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):
                 x = [np.array(statistics(t)).tobytes() for t in texts(rows.column(1))]
-                yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(x, pa.binary())],
-                                                 names=["doc_id", "x"])
+                yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(x, pa.binary()), rows.column(2)],
+                                                 names=["doc_id", "x", "row"])
 
-    return docs.mapInArrow(run, "doc_id long, x binary")
+    return docs.mapInArrow(run, "doc_id long, x binary, row long")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -207,13 +207,15 @@ def fit(training: DataFrame, n_features: int = 192, width: float = 3.0, ridge: f
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                   label_id_col: str = "doc_id", label_col: str = "quality", **options) -> DataFrame:
+                   label_id_col: str = "doc_id", label_col: str = "quality", row_col: str | None = None, **options) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row.
 
     Ids whose crc32 (of the id as text) modulo 3 is 1 are held out of the fit.
+    ``row_col`` names a column of longs that is returned as ``row``.
     """
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
-    stats = cut(document_statistics(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col))))
+    given = F.col(row_col).cast("long") if row_col else F.lit(None).cast("long")
+    stats = cut(document_statistics(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col), given.alias("row"))))
     marked = (labels.select(F.col(label_id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
               .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).where(remainder != 1))
     fold = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(FOLDS)).cast("int").alias("fold")
@@ -225,8 +227,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
             for rows in slices(batch, 4096):
                 score = model.value.score(_matrix(rows.column(1)))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
-                    names=["doc_id", "score", "predicted"])
+                    [rows.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32)), rows.column(2)],
+                    names=["doc_id", "score", "predicted", "row"])
 
-    scored = stats.mapInArrow(run, "doc_id long, score double, predicted int")
-    return scored.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+    scored = stats.mapInArrow(run, "doc_id long, score double, predicted int, row long")
+    kept = ["row"] if row_col else []
+    return scored.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", "predicted", *kept)
