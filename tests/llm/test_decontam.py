@@ -37,6 +37,15 @@ def test_part_of_a_passage_counts_by_cover(spark):
     assert set(found(spark, docs)) == {(0, 2)}
 
 
+def test_a_long_excerpt_of_a_longer_item_is_found(spark):
+    words = [f"{a}{b}" for a in ("river", "stone", "cloud", "grain", "flame", "shore", "field", "tower") for b in "abcdefghijklmnopqrstuvwxy"]
+    item, numbered = " ".join(words), " ".join(words[:60] + ["7", "8", "9"] + words[60:])
+    docs = [f"before it {' '.join(words[70:120])} and after", " ".join(words[70:90]), " ".join(words[i] for i in range(0, 200, 2)),
+            " ".join(words[48:60] + ["7", "8", "9"] + words[60:72])]
+    assert set(found(spark, docs, [(1, item)])) == {(0, 1)}
+    assert set(found(spark, docs, [(2, numbered)])) == {(0, 2), (3, 2)}  # windows of numbers do not end a run
+
+
 def test_both_joins_agree(spark):
     docs = [ITEM, PLAIN, f"{PLAIN} {ITEM}", "nothing of the kind is in here at all"] * 3
     assert found(spark, docs) == found(spark, docs, max_broadcast_windows=0)

@@ -10,7 +10,8 @@ grouped by document, item and alignment (the difference of positions). In one
 alignment every slot value of the item must stand for one value of the document and
 the other way round; where that fails, only windows whose slot values are the same count.
 A document is contaminated by an item if the matched windows cover at least
-``min_cover`` of the item's windows (``min_cover_same`` for alignments that failed).
+``min_cover`` of the item's windows (``min_cover_same`` for alignments that failed), or if one
+alignment matches ``min_run`` of the item's windows in a row, whatever share of a long item they are.
 
 The document side is never shuffled while the benchmark's windows are few enough to
 broadcast (counted first); otherwise both sides are shuffled by the window hash. Groups hold at most as many
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Placeholders: private-use characters that mark a name's ends, and stand for a name, a number, a unit.
@@ -124,13 +125,22 @@ def document_windows(docs: DataFrame, min_words: int) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_cover: float = 0.3, min_cover_same: float = 0.5,
+def _has_run(places: Column, least: int) -> Column:
+    """Whether an array of distinct numbers holds ``least`` consecutive ones; false for null."""
+    ordered = F.sort_array(places)
+    ends = F.zip_with(ordered, F.slice(ordered, least, F.greatest(F.size(ordered), F.lit(1))), lambda a, b: b - a == least - 1)
+    return F.coalesce(F.exists(ends, lambda x: F.coalesce(x, F.lit(False))), F.lit(False))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_cover: float = 0.3, min_cover_same: float = 0.5, min_run: int = 20,
                  min_words: int = 3, max_broadcast_windows: int = 500_000, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``(doc_id, item_id, n_windows, n_matched, coverage, n_slots, consistent)`` of contaminated pairs."""
     items = item_windows(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text")), min_words)
     items = items.select(F.col("id").alias("item_id"), "s", F.col("pos").alias("item_pos"), "h",
                          "types", F.col("raw").alias("item_raw"))
+    # places among the item's used windows: a run goes on over windows that are not used
+    items = items.withColumn("place", F.dense_rank().over(Window.partitionBy("item_id", "s").orderBy("item_pos")))
     sizes = items.groupBy("item_id", "s").agg(F.countDistinct("item_pos").alias("n_windows"))
     if items.count() <= max_broadcast_windows:
         items, sizes = F.broadcast(items), F.broadcast(sizes)
@@ -144,17 +154,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_cover: float = 0.
                .groupBy("doc_id", "item_id", "s", (F.col("pos") - F.col("item_pos")).alias("shift"))
                .agg(F.collect_set("item_pos").alias("every"),
                     F.collect_set(F.when(F.col("same"), F.col("item_pos"))).alias("same"),
+                    F.collect_set("place").alias("places"),
+                    F.collect_set(F.when(F.col("same"), F.col("place"))).alias("same_places"),
                     F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")))
     one_to_one = F.expr("size(slots) = size(array_distinct(transform(slots, x -> struct(x.type, x.a)))) AND "
                         "size(slots) = size(array_distinct(transform(slots, x -> struct(x.type, x.b))))")
-    judged = aligned.withColumn("consistent", one_to_one)
+    judged = (aligned.withColumn("consistent", one_to_one)
+              .withColumn("run", F.col("consistent") & _has_run(F.col("places"), min_run))
+              .withColumn("same_run", _has_run(F.col("same_places"), min_run)))
     covered = (judged.groupBy("doc_id", "item_id", "s")
                .agg(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("consistent"), F.col("every"))))).alias("good"),
                     F.array_distinct(F.flatten(F.collect_list(F.col("same")))).alias("same"),
-                    F.max(F.when(F.col("consistent"), F.size("slots"))).alias("n_slots"))
+                    F.max(F.when(F.col("consistent"), F.size("slots"))).alias("n_slots"),
+                    F.max("run").alias("run"), F.max("same_run").alias("same_run"))
                .join(sizes, ["item_id", "s"])
-               .withColumn("consistent", F.size("good") >= min_cover * F.col("n_windows"))
-               .where(F.col("consistent") | (F.size("same") >= min_cover_same * F.col("n_windows"))))
+               .withColumn("consistent", (F.size("good") >= min_cover * F.col("n_windows")) | F.col("run"))
+               .where(F.col("consistent") | (F.size("same") >= min_cover_same * F.col("n_windows")) | F.col("same_run")))
     found = F.when(F.col("consistent"), F.size("good")).otherwise(F.size("same")).cast("long")
     best = F.struct((found / F.col("n_windows")).alias("coverage"), F.col("consistent"), (-F.col("s")).alias("o"),
                     found.alias("n_matched"), F.col("n_windows"),
