@@ -115,3 +115,11 @@ def test_part_values_and_flips():
 def test_fingerprint_of_long_text():
     text = " ".join(str(i % 313) for i in range(5000))
     assert fingerprint(text) == brute_fingerprint(text)
+
+
+@pytest.mark.parametrize("hot_limit", [0, 1000])
+def test_one_bit_links_in_crowds_as_elsewhere(spark, hot_limit):
+    """1, 2 and 4 are two bits apart and share keys; 8 and 9 are one bit apart."""
+    classes = spark.createDataFrame([(x << 20,) for x in (1, 2, 4, 8, 9)], "fp long")
+    got = {frozenset(x >> 20 for x in r) for r in links(classes, 1, 3, 18, hot_limit).collect()}
+    assert got == {frozenset(p) for p in ((1, 9), (8, 9))}

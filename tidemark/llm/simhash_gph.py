@@ -271,8 +271,10 @@ def links(classes: DataFrame, distance: int, m: int, estimate_bits: int, hot_lim
     probed = (probes.join(index, ["part", "value"]).where(near & (F.col("a") != F.col("b")))
               .select("a", "b"))
     crowd = (keyed.where("kind = 2").groupBy("value").agg(F.collect_set("fp").alias("fps"))  # 65 at most
-             .where(F.size("fps") > 1)
-             .select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a <> b"))
+             .where(F.size("fps") > 1))
+    # members of a group can be two bits apart, but each is within one bit of the group's value
+    first = F.array_min("fps") if distance == 2 else F.when(F.array_contains("fps", F.col("value")), F.col("value"))
+    crowd = crowd.select(first.alias("a"), F.explode("fps").alias("b")).where("a <> b")
     return probed.union(crowd)
 
 
