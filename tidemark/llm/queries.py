@@ -14,6 +14,7 @@ from tidemark.llm.cross_polytope import near_duplicates as near_vectors
 from tidemark.llm.dom_extract import main_text
 from tidemark.llm.hmm_lm import score_texts
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.merkle_manifest import leaf_digest, manifest
 from tidemark.llm.packing import pack
 from tidemark.llm.rff_quality import quality_scores
 from tidemark.llm.secret_ownership import KINDS, joined, scan
@@ -178,6 +179,72 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+_LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    n_chars = F.col("n_chars").cast("decimal(20,0)")
+    shown = F.when(tampered, n_chars + 1).otherwise(n_chars)
+    claim = leaf_digest([shown if c == "n_chars" else F.col(c) for c in _LEAF])
+    made = manifest(docs, _LEAF, id_col="doc_id", group_col="lang", claim=claim)
+    as_text = lambda c: F.lower(F.hex(c))
+    return made.select(F.col("item").alias("doc_id"), *[as_text(c).alias(c) for c in ("leaf", "subroot", "root")],
+                       F.sha2(as_text("proof").cast("binary"), 256).alias("proof_sha256"), as_text("folded").alias("folded_root"),
+                       (F.col("folded") == F.col("root")).alias("verified"))
+
+
+def _sql_leaf(n_chars: str) -> str:
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+    return f"sha256({' || '.join(field(n_chars if c == 'n_chars' else c) for c in _LEAF)})"
+
+
+# DuckDB has no crc32: the remainder table of the polynomial 0xEDB88320 folds the id's bytes.
+OP12_SQL = f"""
+WITH RECURSIVE crc_step AS (
+  SELECT i AS byte, i AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT byte, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM crc_step WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY byte) AS t FROM crc_step WHERE k = 8),
+crc AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, CAST(4294967295 AS BIGINT) AS c, 0 AS k FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+  UNION ALL SELECT doc_id, s, xor((SELECT t FROM crc_table)[CAST(xor(c & 255, ascii(substr(s, k + 1, 1))) AS INT) + 1], c >> 8), k + 1
+  FROM crc WHERE k < length(s)),
+bad AS (SELECT doc_id FROM crc WHERE k = length(s) AND xor(c, 4294967295) % 7 = 0),
+rows_ AS (SELECT d.*, {_sql_leaf('n_chars')} AS leaf,
+                 CASE WHEN doc_id IN (SELECT doc_id FROM bad) THEN {_sql_leaf('(n_chars + 1)')} ELSE {_sql_leaf('n_chars')} END AS claim
+          FROM documents d),
+placed AS (SELECT doc_id, leaf, claim, coalesce('=' || lang, '') AS grp,
+                  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                  count(*) OVER (PARTITION BY lang) AS n FROM rows_),
+nodes AS (
+  SELECT grp, 0 AS lvl, i, n, leaf AS h FROM placed
+  UNION ALL SELECT grp, lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1
+  GROUP BY grp, lvl, i // 2, n),
+subroots AS (SELECT grp, h, row_number() OVER (ORDER BY grp) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper_ AS (
+  SELECT 0 AS lvl, i, n, h FROM subroots
+  UNION ALL SELECT lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM upper_ WHERE n > 1 GROUP BY lvl, i // 2, n),
+top AS (SELECT h AS root FROM upper_ WHERE n = 1),
+steps AS (
+  SELECT p.grp, p.i, x.lvl, CASE WHEN (p.i >> x.lvl) & 1 = 1 THEN 'L' ELSE 'R' END AS side, s.h
+  FROM placed p JOIN (SELECT DISTINCT grp, lvl FROM nodes WHERE n > 1) x ON x.grp = p.grp
+  LEFT JOIN nodes s ON s.grp = p.grp AND s.lvl = x.lvl AND s.i = xor(p.i >> x.lvl, 1)
+  UNION ALL
+  SELECT p.grp, p.i, 1000 + x.lvl, CASE WHEN (r.i >> x.lvl) & 1 = 1 THEN 'L' ELSE 'R' END, s.h
+  FROM placed p JOIN subroots r ON r.grp = p.grp CROSS JOIN (SELECT DISTINCT lvl FROM upper_ WHERE n > 1) x
+  LEFT JOIN upper_ s ON s.lvl = x.lvl AND s.i = xor(r.i >> x.lvl, 1)),
+proofs AS (SELECT grp, i, list({{'side': side, 'h': h}} ORDER BY lvl) AS steps, string_agg(h, '' ORDER BY lvl) AS said FROM steps GROUP BY grp, i),
+folding AS (
+  SELECT p.grp, p.i, p.claim AS h, coalesce(q.steps, []) AS steps, 0 AS k FROM placed p LEFT JOIN proofs q ON q.grp = p.grp AND q.i = p.i
+  UNION ALL SELECT grp, i, sha256(CASE WHEN steps[k + 1].h IS NULL THEN h WHEN steps[k + 1].side = 'L' THEN steps[k + 1].h || h
+                                       ELSE h || steps[k + 1].h END), steps, k + 1 FROM folding WHERE k < len(steps))
+SELECT p.doc_id, p.leaf, r.h AS subroot, t.root, sha256(coalesce(q.said, '')) AS proof_sha256, f.h AS folded_root, f.h = t.root AS verified
+FROM placed p JOIN subroots r ON r.grp = p.grp CROSS JOIN top t JOIN folding f ON f.grp = p.grp AND f.i = p.i AND f.k = len(f.steps)
+LEFT JOIN proofs q ON q.grp = p.grp AND q.i = p.i
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -189,9 +256,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 SQL: dict[str, str] = {
     "op2_benchmark_decontamination": OP2_SQL,
     "op5_line_dedup": OP5_SQL,
     "op10_secret_scan": OP10_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
