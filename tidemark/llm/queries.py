@@ -13,6 +13,7 @@ from tidemark.llm.common import table
 from tidemark.llm.cross_polytope import near_duplicates as near_vectors
 from tidemark.llm.dom_extract import main_text
 from tidemark.llm.hmm_lm import score_texts
+from tidemark.llm.inverted_multi_index import hard_negatives
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.merkle_manifest import leaf_digest, manifest
 from tidemark.llm.packing import pack
@@ -245,6 +246,33 @@ LEFT JOIN proofs q ON q.grp = p.grp AND q.i = p.i
 """
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, label=label)
+
+
+OP13_SQL = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+anchors AS (SELECT * FROM valid WHERE vec_id % 100 = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.q, r.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM anchors a JOIN valid r ON a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.other) AS INT) AS rank,
+       n.other AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.other) <= 5
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -257,10 +285,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 SQL: dict[str, str] = {
     "op2_benchmark_decontamination": OP2_SQL,
     "op5_line_dedup": OP5_SQL,
     "op10_secret_scan": OP10_SQL,
     "op12_merkle_manifest": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
