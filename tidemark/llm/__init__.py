@@ -1,5 +1,5 @@
 """Operators of a training-data pipeline over ``documents``, ``pages`` and ``embeddings``.
 
 Nothing outside this folder imports it. Each module holds one operator; ``queries``
-registers the ten checks and ``corpus_pipeline.py`` (repository root) chains five of them.
+registers their checks and ``corpus_pipeline.py`` (repository root) chains five of them.
 """

@@ -14,6 +14,7 @@ from tidemark.llm.cross_polytope import near_duplicates as near_vectors
 from tidemark.llm.dom_extract import main_text
 from tidemark.llm.hmm_lm import score_texts
 from tidemark.llm.inverted_multi_index import hard_negatives
+from tidemark.llm.language_crf import languages_of
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.merkle_manifest import leaf_digest, manifest
 from tidemark.llm.packing import pack
@@ -180,6 +181,10 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages_of(table(spark, sf_dir, "documents"))
+
+
 _LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -284,6 +289,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
+    "op11_language_id": op11_language_id,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_hard_negatives": op13_hard_negatives,
 }
