@@ -57,6 +57,23 @@ def q_stream_upsert_orders(spark, sf_dir):
     return read_lake(spark, path)
 
 
+# ---------------------------------------------------------------- merge on read
+from tidemark.sinks.lake import compact_lake  # noqa: E402
+
+
+@register("lake_delta_orders", REGISTRY["merge_upsert_orders"][1])
+def q_lake_delta_orders(spark, sf_dir):
+    """Three slices as deltas (the first one outdated by the others), the worst buckets compacted in between."""
+    path = shared_dir(spark, "lake") + "/orders"
+    overwrite_lake(spark, orders_target(spark, sf_dir), path, keys="o_orderkey", n_buckets=LAKE_BUCKETS)
+    src = orders_source(spark, sf_dir)
+    upsert_lake(spark, src.withColumn("o_orderstatus", F.lit("W")), path, "o_orderkey", as_delta=True)
+    upsert_lake(spark, src.where("o_orderkey % 2 = 0"), path, "o_orderkey")
+    compact_lake(spark, path, most_buckets=LAKE_BUCKETS // 4)
+    upsert_lake(spark, src.where("o_orderkey % 2 = 1"), path, "o_orderkey")
+    return read_lake(spark, path)
+
+
 # ---------------------------------------------------------------- two nights of the whole flow
 from tidemark.operators import row_counts  # noqa: E402
 from tidemark.plans.control_queries import fixture_config  # noqa: E402

@@ -6,15 +6,17 @@ width) is stored beside the data in ``_layout`` and read back by every upsert, s
 and delete, so a caller cannot address the wrong buckets; other key columns than
 the stored ones are refused. N is chosen from the table's size unless given.
 
-An upsert touches only what it must:
+With ``as_delta`` an upsert writes only its own rows, as a delta that readers resolve (``deltas.py``), and
+``compact_lake`` merges the worst buckets later. Otherwise it rewrites the buckets it must:
 
 1. the source (an incremental slice, usually small) is persisted; its rows,
    keyed rows and distinct keys per bucket (at most N small rows) are
    collected: they name the touched buckets, prove the broadcast bound and
    say whether the duplicate-key probe of a MERGE is needed;
-2. the key columns of the touched buckets are probed with the slice's keys: only
+2. where it touches less than half of the buckets, their key columns are probed with the slice's keys: only
    buckets that hold a matching key are rewritten; the others hold nothing to
-   update and get the slice's rows appended as new files;
+   update and get the slice's rows appended as new files (a second commit: between the two, readers see
+   half a slice). Otherwise all touched buckets are rewritten, in one commit;
 3. the buckets to rewrite are read with ``_b IN (...)`` (partition pruning);
    merged = target anti-join source keys + source, written back with dynamic
    partition overwrite.
@@ -52,10 +54,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.lists import key_list
-from tidemark.operators.keys import all_present
-from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS
-from tidemark.operators.upsert import align_to, delete_by_keys, matched_by_keys, merge_upsert, stage_swap
+from tidemark.operators.keys import all_present, duplicate_keys
+from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS, is_empty
+from tidemark.operators.upsert import MergeAmbiguityError, align_to, delete_by_keys, matched_by_keys, merge_upsert, stage_swap
 from tidemark.session import remove_dir, shared_dir
+from tidemark.sinks.deltas import GONE, Commit, State, delta_path, next_seq, read_log, resolved, write_commit
 
 BUCKET_COL = "_b"
 LAYOUT_DIR = "_layout"
@@ -135,10 +138,20 @@ def lake_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     return load_table(spark, path, fmt) is not None
 
 
-def read_lake(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A lake table without its internal bucket column."""
+def read_lake(spark: SparkSession, path: str, fmt: str = "parquet", *, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """A lake table without its internal bucket column, its deltas resolved."""
     df = spark.read.format(fmt).load(path)
-    return df.drop(BUCKET_COL) if BUCKET_COL in df.columns else df
+    if BUCKET_COL not in df.columns:
+        return df
+    log = read_log(spark, path)
+    if log:
+        df = _current(spark, path, df, read_layout(spark, path), log, fmt, broadcast_rows)
+    return df.drop(BUCKET_COL)
+
+
+def _current(spark: SparkSession, path: str, table: DataFrame, layout: Layout, log: list[Commit], fmt: str,
+             broadcast_rows: int, buckets=None) -> DataFrame:
+    return resolved(spark, path, table, list(layout.keys), BUCKET_COL, log, fmt=fmt, broadcast_rows=broadcast_rows, buckets=buckets)
 
 
 def _path_only(uri: str) -> str:
@@ -194,12 +207,14 @@ def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str |
                    crash_safe: bool = False) -> None:
     """Replace the whole table (full load). With ``keys`` the table is bucketed for upserts.
 
-    A static overwrite deletes the old files before its job runs: if the job
-    fails, the table is empty until the load is re-run. ``crash_safe=True``
-    (keyed tables that already exist and keep their layout) writes the new rows to the shared
-    checkpoint folder first, then applies them with a dynamic partition
-    overwrite (old buckets stay readable until that job commits) and finally
-    clears buckets the new data no longer has. It costs a second write.
+    A static overwrite deletes the old files when its write begins: if that job
+    fails, the table is empty until the load is re-run. ``crash_safe=True`` (keyed tables
+    that already exist) writes the new rows to the shared checkpoint folder first, so that a failing source never
+    touches the table. A table that keeps its layout then gets them with a dynamic partition
+    overwrite (old buckets stay readable until that job commits), and buckets the new data no longer has are
+    cleared; one with deltas gets them as a folder that its log switches to; one of another layout (or
+    without keys before) is overwritten from the staged rows. It costs a second write. Without
+    ``n_buckets`` a table keeps its stored bucket count.
     """
     parts = list(partition_by or [])
     ks = key_list(keys) if keys else []
@@ -215,29 +230,53 @@ def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str |
         return
     if parts:
         raise ValueError("a keyed lake table is partitioned by its buckets; partition_by goes with tables without keys")
-    layout = Layout(tuple(ks), None if range_width is not None else n_buckets or buckets_for(df), range_width)
+    old = load_table(spark, path, fmt) if crash_safe or n_buckets is None and range_width is None else None
+    stored = _stored_layout(spark, path) if old is not None else None
+    if range_width is None and n_buckets is None:
+        # a table keeps its bucket count: a new estimate would differ from load to load
+        keeps = stored is not None and stored.keys == tuple(ks) and stored.n_buckets is not None
+        n_buckets = stored.n_buckets if keeps else buckets_for(df)
+    layout = Layout(tuple(ks), None if range_width is not None else n_buckets, range_width)
     keyed = df.withColumn(BUCKET_COL, layout.bucket()).hint("rebalance", BUCKET_COL)
-    old = load_table(spark, path, fmt) if crash_safe else None
-    in_place = old is not None and read_layout(spark, path) == layout
     staging = None
-    if in_place or _reads_from(df, path):
+    if crash_safe and old is not None or _reads_from(df, path):
         staging = shared_dir(spark, "reload-staging")
         staged_schema = keyed.select(*[c for c in keyed.columns if c != BUCKET_COL], BUCKET_COL).schema
         _write(keyed, staging, "parquet", [BUCKET_COL], "overwrite", dynamic=False)
         keyed = spark.read.schema(staged_schema).parquet(staging)  # schema given: staging may be empty
-    if in_place:
+    log = read_log(spark, path) if crash_safe and stored == layout else []
+    if log and df.dtypes == old.drop(BUCKET_COL).dtypes:
+        _commit_base(spark, path, keyed, log, fmt, buckets=None)  # the log switches to the new rows at once
+    elif crash_safe and stored == layout and not log:
         before = _existing_buckets(spark, path, fmt)
         new = {r[BUCKET_COL] for r in keyed.select(BUCKET_COL).distinct().collect()}
         if new:
             _write(keyed, path, fmt, [BUCKET_COL], "overwrite", dynamic=True)
         _clear_buckets(spark, path, fmt, old.drop(BUCKET_COL).schema, before - new)
-    else:
+    else:  # a new table or another layout; deltas and their log go with the old files
         _write(keyed, path, fmt, [BUCKET_COL], "overwrite", dynamic=False)
         write_layout(spark, path, layout)
     if staging:
         remove_dir(spark, staging)
 
 
+def _stored_layout(spark: SparkSession, path: str) -> Layout | None:
+    try:
+        return read_layout(spark, path)
+    except LayoutMismatch:
+        return None
+
+
+def _commit_base(spark: SparkSession, path: str, rows: DataFrame, log: list[Commit], fmt: str, buckets: list | None) -> None:
+    """Write ``rows`` (with their bucket) as the new base of ``buckets`` (None: of all) and switch the log to it."""
+    seq = next_seq(log)
+    _write(rows.hint("rebalance", BUCKET_COL), delta_path(path, seq), fmt, [BUCKET_COL], "overwrite", dynamic=False)
+    commit = Commit(seq, "base", dict.fromkeys(buckets or [], 0), whole=buckets is None)
+    write_commit(spark, path, commit)
+    for unused in sorted(State.of(log).used() - State.of([*log, commit]).used()):  # readers that began before have to be done
+        remove_dir(spark, delta_path(path, unused))
+
+
 @dataclass(frozen=True)
 class UpsertResult:
     source_rows: int
@@ -250,9 +289,17 @@ def _in_buckets(table: DataFrame, buckets: list) -> DataFrame:
     return table.where(F.col(BUCKET_COL).isin(buckets))
 
 
+def _buckets_with(table: DataFrame, src: DataFrame, ks: list[str], touched: list, broadcast_rows: int, small: bool) -> list:
+    """Which of the touched buckets hold a key of the slice (key columns only)."""
+    held = _in_buckets(table, touched).select(*[F.col("`" + k.replace("`", "``") + "`") for k in ks], BUCKET_COL)
+    hit = matched_by_keys(held, src, ks, broadcast_rows=broadcast_rows, small=small)
+    return sorted(r[BUCKET_COL] for r in hit.select(BUCKET_COL).distinct().collect())
+
+
 def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: str | Iterable[str], *,
                      mode: str, fmt: str, check_ambiguous: bool, broadcast_rows: int, create: bool,
-                     n_buckets: int | None, range_width: int | None) -> UpsertResult:
+                     n_buckets: int | None, range_width: int | None, as_delta: bool, tag: str | None,
+                     refuse_null_keys: bool) -> UpsertResult:
     ks = key_list(keys)
     target_all = load_table(spark, path, fmt)
     if target_all is None:
@@ -262,6 +309,10 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
         return UpsertResult(-1, -1, -1, True)
     layout = read_layout(spark, path, ks)
     ks = list(layout.keys)
+    log = read_log(spark, path)
+    if tag is not None and any(c.tag == tag for c in log):
+        return UpsertResult(0, 0, 0, False)  # this slice was committed before
+    as_delta = as_delta or bool(log)  # the base files alone are not the table then
     bucket = layout.bucket().cast(target_all.schema[BUCKET_COL].dataType)
     src = align_to(target_all.drop(BUCKET_COL), source).withColumn(BUCKET_COL, bucket)
     src = src.persist(StorageLevel.MEMORY_AND_DISK)
@@ -281,10 +332,23 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
         touched = sorted(r[BUCKET_COL] for r in per_bucket)
         source_has_dups = any(r["n_distinct"] < r["n_keyed"] for r in per_bucket)
         small = sum(r["n_keyed"] for r in per_bucket) <= broadcast_rows  # proven: keyed source rows
-        # key columns only: which buckets hold a key of the slice?
-        held = _in_buckets(target_all, touched).select(*[F.col("`" + k.replace("`", "``") + "`") for k in ks], BUCKET_COL)
-        hit = matched_by_keys(held, src, ks, broadcast_rows=broadcast_rows, small=small)
-        rewrite = sorted(r[BUCKET_COL] for r in hit.select(BUCKET_COL).distinct().collect())
+        if refuse_null_keys and not as_delta and any(r["n_keyed"] < r["n"] for r in per_bucket):
+            raise ValueError(f"{path}: the slice has rows with NULL keys, which a second try would insert again")
+        if as_delta:
+            if mode == "merge" and check_ambiguous and source_has_dups:
+                dups = duplicate_keys(src.where(keyed), ks)
+                held = _current(spark, path, target_all, layout, log, fmt, broadcast_rows, touched)
+                if not is_empty(matched_by_keys(held, dups, ks, broadcast_rows=broadcast_rows, small=small)):
+                    raise MergeAmbiguityError(f"several source rows match the same target row on keys {ks}")
+            seq = next_seq(log)
+            _write(src.withColumn(GONE, F.lit(False)).hint("rebalance", BUCKET_COL), delta_path(path, seq), fmt, [BUCKET_COL],
+                   "overwrite", dynamic=False)
+            write_commit(spark, path, Commit(seq, "delta", {r[BUCKET_COL]: r["n"] for r in per_bucket}, tag=tag))
+            return UpsertResult(n_src, len(touched), 0, False)
+        if layout.n_buckets is not None and 2 * len(touched) >= layout.n_buckets:
+            rewrite = touched  # a probe could spare few buckets: one write, in one commit
+        else:
+            rewrite = _buckets_with(target_all, src, ks, touched, broadcast_rows, small)
         if rewrite:
             target = _in_buckets(target_all, rewrite).select(*src.columns)
             part = _in_buckets(src, rewrite)
@@ -304,20 +368,41 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
 
 def upsert_lake(spark: SparkSession, source: DataFrame, path: str, keys: str | Iterable[str], *,
                 create: bool = False, n_buckets: int | None = None, fmt: str = "parquet", check_ambiguous: bool = True,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS, range_width: int | None = None) -> UpsertResult:
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS, range_width: int | None = None, as_delta: bool = False,
+                tag: str | None = None, refuse_null_keys: bool = False) -> UpsertResult:
     """MERGE the source into the keyed lake table at ``path``, by its stored layout.
 
-    ``n_buckets`` and ``range_width`` count only where ``create=True`` makes the table."""
+    ``n_buckets`` and ``range_width`` count only where ``create=True`` makes the table. ``as_delta`` writes the slice
+    alone and leaves the merging to readers and ``compact_lake``; a table that has deltas takes deltas only.
+    ``tag`` names the slice in the log: one that is there already is not applied again. ``refuse_null_keys`` fails
+    where a second try of the slice would not leave the table as one did (NULL keys, no deltas)."""
     return _apply_by_bucket(spark, source, path, keys, mode="merge", fmt=fmt, check_ambiguous=check_ambiguous,
-                            broadcast_rows=broadcast_rows, create=create, n_buckets=n_buckets, range_width=range_width)
+                            broadcast_rows=broadcast_rows, create=create, n_buckets=n_buckets, range_width=range_width,
+                            as_delta=as_delta, tag=tag, refuse_null_keys=refuse_null_keys)
 
 
 def swap_lake(spark: SparkSession, stage: DataFrame, path: str, keys: str | Iterable[str], *,
               create: bool = False, n_buckets: int | None = None, fmt: str = "parquet",
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, range_width: int | None = None) -> UpsertResult:
-    """Delete-by-key then insert the whole stage (duplicates kept), bucket by bucket."""
+              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, range_width: int | None = None, as_delta: bool = False,
+              tag: str | None = None, refuse_null_keys: bool = False) -> UpsertResult:
+    """Delete-by-key then insert the whole stage (duplicates kept), bucket by bucket; options as in ``upsert_lake``."""
     return _apply_by_bucket(spark, stage, path, keys, mode="swap", fmt=fmt, check_ambiguous=False,
-                            broadcast_rows=broadcast_rows, create=create, n_buckets=n_buckets, range_width=range_width)
+                            broadcast_rows=broadcast_rows, create=create, n_buckets=n_buckets, range_width=range_width,
+                            as_delta=as_delta, tag=tag, refuse_null_keys=refuse_null_keys)
+
+
+def compact_lake(spark: SparkSession, path: str, *, most_buckets: int | None = None, least_rows: int = 1,
+                 fmt: str = "parquet", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> list[int]:
+    """Merge the deltas of the worst buckets (most delta rows first, ``least_rows`` at least) into new bases.
+
+    Returns the buckets. The others keep their files and deltas; the log switches to the new bases in one step."""
+    log = read_log(spark, path)
+    pending = {b: n for b, n in State.of(log).pending().items() if n >= least_rows}
+    worst = sorted(pending, key=lambda b: (-pending[b], b))[:most_buckets]
+    if worst:
+        rows = _current(spark, path, spark.read.format(fmt).load(path), read_layout(spark, path), log, fmt, broadcast_rows, worst)
+        _commit_base(spark, path, rows, log, fmt, worst)
+    return worst
 
 
 @dataclass(frozen=True)
@@ -330,7 +415,7 @@ def delete_from_lake(spark: SparkSession, keys_df: DataFrame, path: str, keys: s
                      fmt: str = "parquet", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DeleteResult:
     """DELETE the rows whose key is in ``keys_df`` from the keyed lake table at ``path``.
 
-    The key columns of the buckets the keys hash to say which buckets hold a match
+    A table with deltas gets the keys as one more (nothing is read or rewritten, no bucket counts as such). Else: the key columns of the buckets the keys hash to say which buckets hold a match
     and whether all their rows go. Only buckets with survivors are read in full and
     rewritten (dynamic partition overwrite); an emptied bucket's directory is replaced by an
     empty file set with a static overwrite of that one sub-folder.
@@ -348,6 +433,14 @@ def delete_from_lake(spark: SparkSession, keys_df: DataFrame, path: str, keys: s
         key_buckets = kd.groupBy(BUCKET_COL).count().collect()  # at most one row per bucket
         if not key_buckets:
             return DeleteResult(0, 0)
+        log = read_log(spark, path)
+        if log:
+            named = {k.lower() for k in ks}
+            gone = kd.select(*[F.col(_quoted(f.name)) if f.name.lower() in named else F.lit(None).cast(f.dataType).alias(f.name) for f in data.schema.fields],
+                             BUCKET_COL, F.lit(True).alias(GONE))
+            _write(gone.hint("rebalance", BUCKET_COL), delta_path(path, next_seq(log)), fmt, [BUCKET_COL], "overwrite", dynamic=False)
+            write_commit(spark, path, Commit(next_seq(log), "delta", {r[BUCKET_COL]: r["count"] for r in key_buckets}))
+            return DeleteResult(0, 0)
         small = sum(r["count"] for r in key_buckets) <= broadcast_rows
         held = _in_buckets(target_all, sorted(r[BUCKET_COL] for r in key_buckets)).select(*quoted, BUCKET_COL)
         total = {r[BUCKET_COL]: r["count"] for r in held.groupBy(BUCKET_COL).count().collect()}
@@ -364,12 +457,15 @@ def delete_from_lake(spark: SparkSession, keys_df: DataFrame, path: str, keys: s
         kd.unpersist()
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def merge_into_table(source: DataFrame, table: str, keys: str | Iterable[str]) -> None:
     """MERGE the source into a named catalog table, by the table format's own MERGE.
 
     For formats that have row-level operations (Spark refuses the others); the file layout
     above needs no such format."""
     ks = key_list(keys)
-    quote = lambda name: "`" + name.replace("`", "``") + "`"
-    on = F.expr(" AND ".join(f"_source.{quote(k)} = {table}.{quote(k)}" for k in ks))
+    on = F.expr(" AND ".join(f"_source.{_quoted(k)} = {table}.{_quoted(k)}" for k in ks))
     source.alias("_source").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()

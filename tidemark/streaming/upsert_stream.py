@@ -3,9 +3,11 @@
 New source files (or any streaming source) are applied to a keyed lake table
 micro-batch by micro-batch with ``foreachBatch``: each batch is a MERGE
 (``upsert_lake``) or a stage-and-swap (``swap_lake``) that rewrites only the
-buckets the batch touches. Both are idempotent — replaying a batch after a
-failure leaves the table as one application would — so the checkpoint's
-at-least-once replay gives an effectively-once table.
+buckets the batch touches, or (``as_delta``) writes the batch as a delta of the table.
+Replaying a batch after a failure leaves the table as one application would, so the checkpoint's
+at-least-once replay gives an effectively-once table: a delta carries the checkpoint and the batch's number
+and is not committed twice; without deltas a batch with NULL keys, which never match and would be
+inserted again, is refused.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ def file_stream(spark: SparkSession, landing_dir: str, schema: StructType, *, fm
 
 
 def upsert_stream(stream: DataFrame, path: str, keys: str | Iterable[str], checkpoint_location: str, *,
-                  mode: str = "merge", create: bool = False, n_buckets: int | None = None, fmt: str = "parquet",
+                  mode: str = "merge", as_delta: bool = False, create: bool = False, n_buckets: int | None = None, fmt: str = "parquet",
                   available_now: bool = False, processing_time: str | None = None,
                   query_name: str | None = None) -> StreamingQuery:
     """Apply every micro-batch of ``stream`` to the keyed lake table at ``path``.
@@ -47,10 +49,9 @@ def upsert_stream(stream: DataFrame, path: str, keys: str | Iterable[str], check
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        if mode == "merge":
-            upsert_lake(spark, batch, path, ks, create=create, n_buckets=n_buckets, fmt=fmt)
-        else:
-            swap_lake(spark, batch, path, ks, create=create, n_buckets=n_buckets, fmt=fmt)
+        sink = upsert_lake if mode == "merge" else swap_lake
+        sink(spark, batch, path, ks, create=create, n_buckets=n_buckets, fmt=fmt, as_delta=as_delta, refuse_null_keys=True,
+             tag=f"{checkpoint_location}#{epoch_id}")
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if query_name:
