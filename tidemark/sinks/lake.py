@@ -45,12 +45,14 @@ folder, and removes it after the commit.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.lists import key_list
@@ -81,32 +83,40 @@ class Layout:
     keys: tuple[str, ...]
     n_buckets: int | None
     range_width: int | None
+    schema: str | None = field(default=None, compare=False)  # of the rows, as JSON: a delta needs no look at the base files
 
     def bucket(self):
         return bucket_of(list(self.keys), self.n_buckets, self.range_width)
 
 
-def write_layout(spark: SparkSession, path: str, layout: Layout) -> None:
-    row = (list(layout.keys), layout.n_buckets, layout.range_width)
-    spark.createDataFrame([row], "keys array<string>, n_buckets int, range_width long").coalesce(1) \
+_LAYOUT_SCHEMA = "keys array<string>, n_buckets int, range_width long, schema string"
+
+
+def write_layout(spark: SparkSession, path: str, layout: Layout, rows: DataFrame) -> None:
+    """Store the layout of ``rows`` (without the bucket column)."""
+    row = (list(layout.keys), layout.n_buckets, layout.range_width, rows.schema.json())
+    spark.createDataFrame([row], _LAYOUT_SCHEMA).coalesce(1) \
         .write.mode("overwrite").json(f"{path.rstrip('/')}/{LAYOUT_DIR}")
 
 
-def read_layout(spark: SparkSession, path: str, keys: list[str] | None = None) -> Layout:
-    """The stored layout of a keyed table; ``keys`` (in any order and case) must be its keys."""
+def read_layout(spark: SparkSession, path: str, keys: list[str] | None = None, known: Layout | None = None) -> Layout:
+    """The stored layout of a keyed table (``known``: as read before); ``keys`` (in any order and case) must be its keys."""
+    layout = known or _read_layout(spark, path)
+    if keys is not None and sorted(k.lower() for k in keys) != sorted(k.lower() for k in layout.keys):
+        raise LayoutMismatch(f"{path} is laid out by {list(layout.keys)}, not by {keys}")
+    return layout
+
+
+def _read_layout(spark: SparkSession, path: str) -> Layout:
     try:
-        row = spark.read.schema("keys array<string>, n_buckets int, range_width long").json(
-            f"{path.rstrip('/')}/{LAYOUT_DIR}").first()
+        row = spark.read.schema(_LAYOUT_SCHEMA).json(f"{path.rstrip('/')}/{LAYOUT_DIR}").first()
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         row = None
     if row is None:
         raise LayoutMismatch(f"{path} has no stored layout: it is not a keyed lake table, or its full load did not finish")
-    layout = Layout(tuple(row["keys"]), row["n_buckets"], row["range_width"])
-    if keys is not None and sorted(k.lower() for k in keys) != sorted(k.lower() for k in layout.keys):
-        raise LayoutMismatch(f"{path} is laid out by {list(layout.keys)}, not by {keys}")
-    return layout
+    return Layout(tuple(row["keys"]), row["n_buckets"], row["range_width"], row["schema"])
 
 
 def buckets_for(df: DataFrame) -> int:
@@ -255,7 +265,7 @@ def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str |
         _clear_buckets(spark, path, fmt, old.drop(BUCKET_COL).schema, before - new)
     else:  # a new table or another layout; deltas and their log go with the old files
         _write(keyed, path, fmt, [BUCKET_COL], "overwrite", dynamic=False)
-        write_layout(spark, path, layout)
+        write_layout(spark, path, layout, df)
     if staging:
         remove_dir(spark, staging)
 
@@ -301,20 +311,27 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
                      n_buckets: int | None, range_width: int | None, as_delta: bool, tag: str | None,
                      refuse_null_keys: bool) -> UpsertResult:
     ks = key_list(keys)
-    target_all = load_table(spark, path, fmt)
-    if target_all is None:
-        if not create:
-            raise LakeTableMissing(f"{path} does not exist: load the whole table first, or pass create=True")
-        overwrite_lake(spark, source, path, keys=ks, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
-        return UpsertResult(-1, -1, -1, True)
-    layout = read_layout(spark, path, ks)
-    ks = list(layout.keys)
     log = read_log(spark, path)
     if tag is not None and any(c.tag == tag for c in log):
         return UpsertResult(0, 0, 0, False)  # this slice was committed before
     as_delta = as_delta or bool(log)  # the base files alone are not the table then
-    bucket = layout.bucket().cast(target_all.schema[BUCKET_COL].dataType)
-    src = align_to(target_all.drop(BUCKET_COL), source).withColumn(BUCKET_COL, bucket)
+    stored = _stored_layout(spark, path) if as_delta else None
+    target_all = None
+    if stored is not None and stored.schema is not None:  # base files are not even listed
+        layout = read_layout(spark, path, ks, stored)
+        rows = spark.createDataFrame([], T.StructType.fromJson(json.loads(stored.schema)))
+        kind = T.LongType() if layout.range_width is not None else T.IntegerType()
+    else:
+        target_all = load_table(spark, path, fmt)
+        if target_all is None:
+            if not create:
+                raise LakeTableMissing(f"{path} does not exist: load the whole table first, or pass create=True")
+            overwrite_lake(spark, source, path, keys=ks, n_buckets=n_buckets, fmt=fmt, range_width=range_width)
+            return UpsertResult(-1, -1, -1, True)
+        layout = read_layout(spark, path, ks)
+        rows, kind = target_all.drop(BUCKET_COL), target_all.schema[BUCKET_COL].dataType
+    ks = list(layout.keys)
+    src = align_to(rows, source).withColumn(BUCKET_COL, layout.bucket().cast(kind))
     src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # One job: rows, keyed rows and distinct keys per touched bucket (at most one
@@ -337,7 +354,7 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
         if as_delta:
             if mode == "merge" and check_ambiguous and source_has_dups:
                 dups = duplicate_keys(src.where(keyed), ks)
-                held = _current(spark, path, target_all, layout, log, fmt, broadcast_rows, touched)
+                held = _current(spark, path, spark.read.format(fmt).load(path), layout, log, fmt, broadcast_rows, touched)
                 if not is_empty(matched_by_keys(held, dups, ks, broadcast_rows=broadcast_rows, small=small)):
                     raise MergeAmbiguityError(f"several source rows match the same target row on keys {ks}")
             seq = next_seq(log)
