@@ -11,9 +11,12 @@ result row and the others go on; several tables can load at once
 from __future__ import annotations
 
 import logging
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -24,9 +27,11 @@ from tidemark.operators.columns import rename_columns
 from tidemark.operators.incremental import incremental_filter
 from tidemark.operators.upsert import stage_swap
 from tidemark.plans.ddl import target_ddl
+from tidemark.plans.journal import current_config, read_journal, recorder
 from tidemark.plans.schedule import FAILED, SUCCESS, apply_run_results, build_schedule, parse_tasks, with_load_mode
 from tidemark.session import remove_dir, shared_dir
-from tidemark.sinks.lake import overwrite_lake, read_lake, swap_lake, upsert_lake
+from tidemark.sinks.lake import merge_into_table, overwrite_lake, read_lake, swap_lake, upsert_lake
+from tidemark.sinks.zones import read_slice, refresh_zones
 from tidemark.sources.jdbc import (
     drop_statement, read_jdbc_balanced, read_jdbc_parallel, staging_name, swap_statements, write_jdbc,
 )
@@ -52,6 +57,7 @@ class LoadTask:
     epoch_unit: str = "s"  # of numeric time columns: 's' or 'ms'
     overlap_days: int = 0  # days before the watermark that are read again
     read_key: str | None = None  # splits a parallel source read; default: the first primary key
+    catalog_table: str | None = None  # a named lake table instead of a path under the lake's root
 
     def renamed(self, column: str) -> str:
         """The column's name after the task's rename (names compared case-insensitively)."""
@@ -72,7 +78,8 @@ def tasks_from(modes: DataFrame) -> list[LoadTask]:
             username=d.get("username"), passwd=d.get("passwd"),
             mapping=dict(d["mapping"]) if d.get("mapping") else None,
             mapping_error=bool(d.get("mapping_error")), tz=d.get("tz") or "UTC", epoch_unit=d.get("epoch_unit") or "s",
-            overlap_days=int(d.get("overlap_days") or 0), read_key=d.get("read_key")))
+            overlap_days=int(d.get("overlap_days") or 0), read_key=d.get("read_key"),
+            catalog_table=d.get("catalog_table")))
     return out
 
 
@@ -231,18 +238,31 @@ def create_targets(spark: SparkSession, tasks: Iterable[LoadTask], catalog: Data
 # ------------------------------------------------------------------ loads
 def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake_root: str, *,
                  fmt: str = "parquet", n_buckets: int | None = None, range_width: int | None = None,
-                 crash_safe: bool = False) -> str:
+                 crash_safe: bool = False, as_delta: bool = False, zones: bool = False) -> str:
     """Source → lake: full = replace the table (no key needed), incremental = MERGE by key.
 
     An incremental load needs the table it updates: without it the task fails, and its watermark
     stays, rather than leave a table that holds only the slice.
 
     ``crash_safe=True`` keeps the old rows readable until the new ones commit
-    (at the price of a second write); otherwise a failed full load leaves the
-    table empty until it is re-run."""
+    (at the price of a second write); otherwise a full load whose write fails leaves the
+    table empty until it is re-run. ``as_delta=True`` writes an incremental slice as a delta, ``zones=True``
+    keeps the zone map of the task's time columns.
+
+    A task with ``catalog_table`` goes to that named table instead: in full by overwriting it, incrementally by
+    the table format's own MERGE."""
     path = f"{lake_root.rstrip('/')}/{task.targettable}"
     if task.load_mode == "skip":
         return path
+    if task.catalog_table:
+        data = source_slice(spark, task, reader)
+        if task.load_mode == "full":
+            data.write.mode("overwrite").saveAsTable(task.catalog_table)
+        elif not task.primary_keys:
+            raise ValueError(f"{task.tablename}: an incremental load needs primary keys")
+        else:
+            merge_into_table(data, task.catalog_table, [task.renamed(k) for k in task.primary_keys])
+        return task.catalog_table
     data = source_slice(spark, task, reader)
     keys = tuple(task.renamed(k) for k in task.primary_keys)
     if task.load_mode == "full":
@@ -251,22 +271,27 @@ def load_to_lake(spark: SparkSession, task: LoadTask, reader: SourceReader, lake
     else:
         if not keys:
             raise ValueError(f"{task.tablename}: an incremental load needs primary keys")
-        upsert_lake(spark, data, path, keys, fmt=fmt)
+        upsert_lake(spark, data, path, keys, fmt=fmt, as_delta=as_delta)
+    if zones and task.time_cols:
+        refresh_zones(spark, path, [task.renamed(c) for c in task.time_cols], fmt)
     return path
 
 
 def publish_to_warehouse(spark: SparkSession, task: LoadTask, lake_root: str, warehouse: Warehouse, *,
                          fmt: str = "parquet") -> None:
-    """Lake → warehouse: the lake's time slice is swapped in by key; a full load replaces."""
+    """Lake → warehouse: the lake's time slice is swapped in by key; a full load replaces.
+
+    Where the lake table has a zone map, only files that can hold due rows are opened."""
     if task.load_mode == "skip":
         return
-    data = read_lake(spark, f"{lake_root.rstrip('/')}/{task.targettable}", fmt)
+    path = f"{lake_root.rstrip('/')}/{task.targettable}"
     keys = tuple(task.renamed(k) for k in task.primary_keys)
     if task.load_mode == "incremental":
-        data = task_slice(data, task, [task.renamed(c) for c in task.time_cols])
+        data = read_slice(spark, path, [task.renamed(c) for c in task.time_cols], task.watermark, unit=task.epoch_unit,
+                          overlap_days=task.overlap_days, tz=task.tz, fmt=fmt)
         warehouse.swap(spark, data, task.targettable, keys)
     else:
-        warehouse.replace(spark, data, task.targettable, keys)
+        warehouse.replace(spark, read_lake(spark, path, fmt), task.targettable, keys)
 
 
 def load_to_warehouse(spark: SparkSession, task: LoadTask, reader: SourceReader, warehouse: Warehouse) -> None:
@@ -281,22 +306,67 @@ def load_to_warehouse(spark: SparkSession, task: LoadTask, reader: SourceReader,
         warehouse.swap(spark, data, task.targettable, keys)
 
 
+@contextmanager
+def _tagged(spark: SparkSession, task: LoadTask, time_limit: float | None):
+    """Jobs of this thread carry a tag and a pool of their own; past the limit they are cancelled and the task fails."""
+    context = spark.sparkContext
+    tag, over = f"tidemark-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        over.set()
+        while not ended.wait(0.5):  # again for jobs that the task starts after that
+            context.cancelJobsWithTag(tag)
+
+    ended = threading.Event()
+    timer = threading.Timer(time_limit, stop) if time_limit is not None else None
+    mine = {"spark.scheduler.pool": task.targettable, "spark.job.interruptOnCancel": "true"}
+    before = {name: context.getLocalProperty(name) for name in mine}
+    context.addJobTag(tag)
+    for name, value in mine.items():
+        context.setLocalProperty(name, value)
+    if timer is not None:
+        timer.daemon = True
+        timer.start()
+    try:
+        yield
+    except Exception as exc:
+        if over.is_set():
+            raise TimeoutError(f"stopped after {time_limit} seconds") from exc
+        raise
+    finally:
+        ended.set()
+        if timer is not None:
+            timer.cancel()
+        context.removeJobTag(tag)
+        for name, value in before.items():
+            context.setLocalProperty(name, value)
+
+
 RESULT_SCHEMA = "tablename string, targettable string, load_mode string, status string, error string, seconds double"
 
 
 def run_tasks(spark: SparkSession, tasks: Iterable[LoadTask], fn: Callable[[LoadTask], object], *,
-              parallelism: int = 1) -> DataFrame:
-    """Run ``fn`` per table; one result row each (SUCCESS / FAILED + error)."""
+              parallelism: int = 1, time_limit: float | None = None,
+              record: Callable[[LoadTask, str, str | None, float], None] | None = None) -> DataFrame:
+    """Run ``fn`` per table; one result row each (SUCCESS / FAILED + error).
+
+    ``record`` is called when a table ends, before the next one of its thread begins (``journal.recorder`` keeps it).
+    ``time_limit`` in seconds: the Spark jobs of a table that runs longer are cancelled by its tag, the table fails and
+    the others go on. Each table's jobs run in a scheduler pool of the table's name, so
+    that under fair scheduling a large table doesn't hold up the small ones."""
     def one(task: LoadTask):
         t0 = time.time()
         try:
-            fn(task)
-            return (task.tablename, task.targettable, task.load_mode, SUCCESS, None, time.time() - t0)
+            with _tagged(spark, task, time_limit):
+                fn(task)
+            status, msg = SUCCESS, None
         except Exception as exc:  # noqa: BLE001 — isolate the table, keep going
-            msg = f"{type(exc).__name__}: {exc}"
+            status, msg = FAILED, f"{type(exc).__name__}: {exc}"
             log.warning("table %s failed: %s", task.tablename, msg.splitlines()[0])
             log.debug("table %s traceback", task.tablename, exc_info=True)
-            return (task.tablename, task.targettable, task.load_mode, FAILED, msg, time.time() - t0)
+        if record is not None:
+            record(task, status, msg, time.time() - t0)
+        return (task.tablename, task.targettable, task.load_mode, status, msg, time.time() - t0)
 
     todo = [t for t in tasks if t.load_mode != "skip"]
     if parallelism > 1:
@@ -309,11 +379,21 @@ def run_tasks(spark: SparkSession, tasks: Iterable[LoadTask], fn: Callable[[Load
 
 def nightly_lake_run(spark: SparkSession, config: DataFrame, connections: DataFrame, run_date: str,
                      reader: SourceReader, lake_root: str, *, parallelism: int = 1, fmt: str = "parquet",
-                     n_buckets: int | None = None, crash_safe: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Schedule → per-table lake loads → (results, new config with watermarks advanced)."""
+                     n_buckets: int | None = None, crash_safe: bool = False, as_delta: bool = False, zones: bool = False,
+                     journal: str | None = None, time_limit: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """Schedule → per-table lake loads → (results, new config with watermarks advanced).
+
+    ``journal`` names the run journal: each table's result is kept there when the table ends, ``config`` is read with
+    the journal on top, and a run that was lost goes on with the tables that it had not loaded."""
+    stored = config
+    if journal is not None:
+        config = current_config(stored, read_journal(spark, journal))
     modes = with_load_mode(parse_tasks(build_schedule(config, connections, run_date)), run_date)
     tasks = tasks_from(modes)
-    results = run_tasks(spark, tasks, lambda t: load_to_lake(spark, t, reader, lake_root, fmt=fmt,
-                                                             n_buckets=n_buckets, crash_safe=crash_safe),
-                        parallelism=parallelism)
+    results = run_tasks(spark, tasks, lambda t: load_to_lake(spark, t, reader, lake_root, fmt=fmt, n_buckets=n_buckets,
+                                                             crash_safe=crash_safe, as_delta=as_delta, zones=zones),
+                        parallelism=parallelism, time_limit=time_limit,
+                        record=recorder(spark, journal, run_date, tasks) if journal is not None else None)
+    if journal is not None:
+        return results, current_config(stored, read_journal(spark, journal))
     return results, apply_run_results(config, results, run_date)

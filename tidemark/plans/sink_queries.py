@@ -219,3 +219,22 @@ def q_incremental_events_tz(spark, sf_dir):
     task = LoadTask("events", "fixtures", "events", ("event_id",), ("ts_epoch",), EVENTS_WATERMARK, "incremental",
                     tz="Asia/Shanghai", epoch_unit="s")
     return source_slice(spark, task, lambda s, t: events_with_epoch(s, sf_dir).select("event_id", "ts_epoch"))
+
+
+# ---------------------------------------------------------------- zone maps
+from tidemark.sinks.zones import refresh_zones  # noqa: E402
+
+
+@register("publish_zonemap_orders", _STALE_SQL)
+def q_publish_zonemap_orders(spark, sf_dir):
+    """The lake holds old orders in its base and the recent ones in a delta: the slice opens no base file."""
+    base, orders = shared_dir(spark, "publish"), _t(spark, sf_dir, "orders")
+    path = f"{base}/lake/orders"
+    recent = F.col("o_orderdate") >= F.lit(ORDERS_WATERMARK).cast("timestamp_ntz")
+    overwrite_lake(spark, orders.where(~recent), path, keys="o_orderkey", n_buckets=LAKE_BUCKETS)
+    refresh_zones(spark, path, "o_orderdate")
+    upsert_lake(spark, orders.where(recent), path, "o_orderkey", as_delta=True)
+    warehouse = LakeWarehouse(f"{base}/warehouse", n_buckets=LAKE_BUCKETS)
+    warehouse.replace(spark, _stale_orders(spark, sf_dir), "orders", ("o_orderkey",))
+    publish_to_warehouse(spark, _orders_task("incremental"), f"{base}/lake", warehouse)
+    return warehouse.read(spark, "orders")

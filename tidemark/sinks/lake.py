@@ -85,6 +85,16 @@ class Layout:
     range_width: int | None
     schema: str | None = field(default=None, compare=False)  # of the rows, as JSON: a delta needs no look at the base files
 
+    def row_schema(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
+
+    def bucket_type(self) -> T.DataType:
+        return T.LongType() if self.range_width is not None else T.IntegerType()
+
+    def file_schema(self) -> T.StructType:
+        """Of the table's files, with the bucket."""
+        return self.row_schema().add(BUCKET_COL, self.bucket_type())
+
     def bucket(self):
         return bucket_of(list(self.keys), self.n_buckets, self.range_width)
 
@@ -155,11 +165,11 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet", *, broadcast
         return df
     log = read_log(spark, path)
     if log:
-        df = _current(spark, path, df, read_layout(spark, path), log, fmt, broadcast_rows)
+        df = current(spark, path, df, read_layout(spark, path), log, fmt, broadcast_rows)
     return df.drop(BUCKET_COL)
 
 
-def _current(spark: SparkSession, path: str, table: DataFrame, layout: Layout, log: list[Commit], fmt: str,
+def current(spark: SparkSession, path: str, table: DataFrame, layout: Layout, log: list[Commit], fmt: str,
              broadcast_rows: int, buckets=None) -> DataFrame:
     return resolved(spark, path, table, list(layout.keys), BUCKET_COL, log, fmt=fmt, broadcast_rows=broadcast_rows, buckets=buckets)
 
@@ -241,7 +251,7 @@ def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str |
     if parts:
         raise ValueError("a keyed lake table is partitioned by its buckets; partition_by goes with tables without keys")
     old = load_table(spark, path, fmt) if crash_safe or n_buckets is None and range_width is None else None
-    stored = _stored_layout(spark, path) if old is not None else None
+    stored = stored_layout(spark, path) if old is not None else None
     if range_width is None and n_buckets is None:
         # a table keeps its bucket count: a new estimate would differ from load to load
         keeps = stored is not None and stored.keys == tuple(ks) and stored.n_buckets is not None
@@ -270,7 +280,7 @@ def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str |
         remove_dir(spark, staging)
 
 
-def _stored_layout(spark: SparkSession, path: str) -> Layout | None:
+def stored_layout(spark: SparkSession, path: str) -> Layout | None:
     try:
         return read_layout(spark, path)
     except LayoutMismatch:
@@ -315,12 +325,11 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
     if tag is not None and any(c.tag == tag for c in log):
         return UpsertResult(0, 0, 0, False)  # this slice was committed before
     as_delta = as_delta or bool(log)  # the base files alone are not the table then
-    stored = _stored_layout(spark, path) if as_delta else None
+    stored = stored_layout(spark, path) if as_delta else None
     target_all = None
     if stored is not None and stored.schema is not None:  # base files are not even listed
         layout = read_layout(spark, path, ks, stored)
-        rows = spark.createDataFrame([], T.StructType.fromJson(json.loads(stored.schema)))
-        kind = T.LongType() if layout.range_width is not None else T.IntegerType()
+        rows, kind = spark.createDataFrame([], layout.row_schema()), layout.bucket_type()
     else:
         target_all = load_table(spark, path, fmt)
         if target_all is None:
@@ -354,7 +363,7 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
         if as_delta:
             if mode == "merge" and check_ambiguous and source_has_dups:
                 dups = duplicate_keys(src.where(keyed), ks)
-                held = _current(spark, path, spark.read.format(fmt).load(path), layout, log, fmt, broadcast_rows, touched)
+                held = current(spark, path, spark.read.format(fmt).load(path), layout, log, fmt, broadcast_rows, touched)
                 if not is_empty(matched_by_keys(held, dups, ks, broadcast_rows=broadcast_rows, small=small)):
                     raise MergeAmbiguityError(f"several source rows match the same target row on keys {ks}")
             seq = next_seq(log)
@@ -417,7 +426,7 @@ def compact_lake(spark: SparkSession, path: str, *, most_buckets: int | None = N
     pending = {b: n for b, n in State.of(log).pending().items() if n >= least_rows}
     worst = sorted(pending, key=lambda b: (-pending[b], b))[:most_buckets]
     if worst:
-        rows = _current(spark, path, spark.read.format(fmt).load(path), read_layout(spark, path), log, fmt, broadcast_rows, worst)
+        rows = current(spark, path, spark.read.format(fmt).load(path), read_layout(spark, path), log, fmt, broadcast_rows, worst)
         _commit_base(spark, path, rows, log, fmt, worst)
     return worst
 
