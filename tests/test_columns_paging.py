@@ -110,3 +110,48 @@ def test_page_slice_reads_between_its_ends(spark, tmp_dir):
     spark.range(5000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("wide")).write.parquet(path)
     rows = page_slice(spark.read.parquet(path), "k", 100, 3, rows_per_bucket=500)
     assert sorted(r.k for r in rows.collect()) == list(range(300, 400))
+
+
+def test_selection_narrows_every_kind_of_key(spark, monkeypatch):
+    """Few bins and a small remainder: many passes, ties, nulls, wide and close values, shared prefixes."""
+    import datetime as dt
+    import decimal
+    import random
+
+    from tidemark.operators import paging, selection
+
+    monkeypatch.setattr(selection, "BINS", 8)
+    monkeypatch.setattr(paging, "SPARE_ROWS", 3)
+    rng = random.Random(4)
+    near = 1 << 61
+    kinds = {
+        "bigint": [rng.choice([-(1 << 63), (1 << 63) - 1, near + rng.randrange(40), rng.randrange(-50, 50)]) for _ in range(150)],
+        "decimal(38,2)": [decimal.Decimal(rng.choice([10**35, -5, 7])) + decimal.Decimal(rng.randrange(60)) / 100 for _ in range(150)],
+        "date": [dt.date(2024, 1, 1) + dt.timedelta(days=int(rng.expovariate(0.05))) for _ in range(150)],
+        "timestamp_ntz": [dt.datetime(2024, 3, 31, 1, 59) + dt.timedelta(microseconds=rng.choice([1, 60_000_000, 7_000_000_000]) * rng.randrange(30)) for _ in range(150)],
+        "timestamp": [dt.datetime(2024, 3, 31, 1, 59) + dt.timedelta(microseconds=rng.choice([1, 90_000_000]) * rng.randrange(30)) for _ in range(150)],
+        "string": [rng.choice(["", "customer#00000", "é", "customer#00000\U0001F600", "z" * 30]) + str(rng.randrange(30)) for _ in range(150)],
+        "float": [rng.choice([float("nan"), 1.5, -2.25, rng.random()]) for _ in range(150)],
+    }
+    for kind, keys in kinds.items():
+        rows_ = [(None if i % 9 == 0 else keys[3] if i % 3 == 0 else k, i) for i, k in enumerate(keys)]
+        df = spark.createDataFrame(rows_, f"k {kind}, v int").repartition(3).cache()
+        want = [(r.v, r.row_index) for r in page(df, "k", 40).collect()]
+        got = [(r.v, r.row_index) for b in (range(5) if kind in ("bigint", "string") else (0, 2)) for r in page_slice(df, "k", 40, b).collect()]
+        inside = [w for w in want if kind in ("bigint", "string") or w[1] < 40 or 80 <= w[1] < 120]
+        assert sorted(got) == sorted(inside), kind
+        df.unpersist()
+
+
+def test_selection_shuffles_no_table(spark, tmp_dir):
+    """Each pass sends a row a bin; the page is read by a filter on the key that reaches the scan."""
+    path = tmp_dir + "/t"
+    spark.range(0, 50_000, 1, 4).selectExpr("id * 3 AS k", "CAST(id AS STRING) AS v").write.parquet(path)
+    df = page_slice(spark.read.parquet(path), "k", 100, 30)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(k), GreaterThanOrEqual(k," in plan and plan.count("Exchange") == 1
+    got = sorted(df.collect())
+    assert [r.k for r in got] == [3 * i for i in range(3000, 3100)] and [r.row_index for r in got] == list(range(3000, 3100))
+    whole = df._jdf.queryExecution().analyzed().toString()
+    low, high = (int(x.split("cast(")[-1].split(" ")[0]) for x in whole.split("Filter")[-1].split(" AND "))
+    assert high - low < 3 * (2 * 100 + 10_000 + 50)

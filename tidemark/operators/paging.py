@@ -17,8 +17,7 @@ Plan (every step distributed; the driver sees one row per range partition):
 3. rows per partition → running offsets (a window over those few rows),
    broadcast back; the position is the offset plus the place.
 
-``page_slice`` does this with the key and hash columns only, looks up the page's
-first and last ``(key, hash)``, and reads, shuffles and sorts just the rows between them.
+``page_slice`` sorts no more than its page: ``selection`` finds the interval of the order that holds it.
 """
 
 from __future__ import annotations
@@ -30,8 +29,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.lists import key_list
+from tidemark.operators.selection import selectable, select_range
 from tidemark.session import checkpoint_dir
 
+SPARE_ROWS = 10_000  # that a selection may hold beside its page
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
 _PLACE_BITS = (1 << 33) - 1  # monotonically_increasing_id holds the place in its low 33 bits
 
@@ -75,41 +76,29 @@ def page(df: DataFrame, key: str, batch_size: int, *, rows_per_bucket: int = DEF
 def page_slice(df: DataFrame, key: str, batch_size: int, batch_id: int, *,
                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, batch_col: str = "batch_id",
                index_col: str = "row_index") -> DataFrame:
-    """Rows of one page (the ``LIMIT offset, n`` of one batch)."""
+    """Rows of one page (the ``LIMIT offset, n`` of one batch).
+
+    Range histograms find an interval that holds the page and little more; only its rows are read
+    whole, shuffled and sorted. Keys whose order no bin follows (floats, booleans, binary, nested) are sorted as in ``page``."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    k = F.col(_q(key))
-    keys = positions(df.select(k.alias("_key"), row_hash(df).alias("_h")), "_key", rows_per_bucket)
-    at = F.col("_offset") + F.col("_i")
     first, last = batch_id * batch_size, (batch_id + 1) * batch_size - 1
-    ends = (keys.where((at >= first) & (at <= last))
-            .agg(F.min(F.struct(at.alias("at"), "_key", "_h")).alias("lo"),
-                 F.max(F.struct(at.alias("at"), "_key", "_h")).alias("hi")).first())
-    hashed = df.withColumn("_h", row_hash(df))
-    if ends["lo"] is None:
-        rows, start = hashed.where(F.lit(False)), 0
+    out = [F.col(_q(c)) for c in df.columns]
+    if not selectable(df.schema[key].dataType):
+        paged = page(df, key, batch_size, rows_per_bucket=rows_per_bucket, batch_col=batch_col, index_col=index_col)
+        return paged.where(F.col(batch_col) == batch_id)
+    found = select_range(df, key, row_hash(df), first, last, 2 * batch_size + SPARE_ROWS)
+    if found is None:
+        return df.where(F.lit(False)).select(*out, F.lit(0).cast("bigint").alias(index_col), F.lit(batch_id).cast("bigint").alias(batch_col))
+    rows = df.where(found.condition).withColumn("_h", row_hash(df))
+    if found.n <= rows_per_bucket:  # one sorted partition holds them
+        order = Window.orderBy(F.col(_q(key)).asc_nulls_first(), F.col("_h").asc())
+        placed, at = rows, F.row_number().over(order) - 1
     else:
-        lo, hi = ends["lo"], ends["hi"]
-        kind = df.schema[key].dataType
-        rows = hashed.where(_from(k, lo["_key"], lo["_h"], kind, True) & _from(k, hi["_key"], hi["_h"], kind, False))
-        # rows equal to the first one may start before the page
-        same = F.col("_key").eqNullSafe(F.lit(lo["_key"]).cast(kind)) & (F.col("_h") == lo["_h"])
-        start = keys.where(same).agg(F.min(at).alias("at")).first()["at"]
-    index = (F.col("_offset") + F.col("_i") + F.lit(start)).cast("bigint")
-    return (positions(rows, key, rows_per_bucket).withColumn(index_col, index)
-            .where(F.col(index_col).between(first, last))
-            .select(*[F.col(_q(c)) for c in df.columns], index_col, F.lit(batch_id).cast("bigint").alias(batch_col)))
-
-
-def _from(key: Column, value, h: int, kind, lower: bool) -> Column:
-    """Rows at or after (at or before) ``(value, h)`` in the order NULLs first, key, hash."""
-    tie = F.col("_h") >= h if lower else F.col("_h") <= h
-    if value is None:
-        same = key.isNull()
-        return (same & tie) | key.isNotNull() if lower else same & tie
-    v = F.lit(value).cast(kind)
-    beyond = key > v if lower else (key < v) | key.isNull()
-    return F.coalesce(beyond, F.lit(False)) | (F.coalesce(key == v, F.lit(False)) & tie)
+        placed, at = positions(rows, key, rows_per_bucket), F.col("_offset") + F.col("_i")
+    index = (at + F.lit(found.before)).cast("bigint")
+    return (placed.withColumn(index_col, index).where(F.col(index_col).between(first, last))
+            .select(*out, index_col, F.lit(batch_id).cast("bigint").alias(batch_col)))
 
 
 def hash_batches(df: DataFrame, keys: str | Iterable[str], n_batches: int, batch_col: str = "batch_id") -> DataFrame:
