@@ -136,3 +136,38 @@ def _by_hash(df: DataFrame, condition: Column, row_hash: Column, n: int, first:
     h = F.col("_h")
     low, high, n, before = _narrowed(rows, h, T.LongType(), -(1 << 63), (1 << 63) - 1, n, first, last, enough)
     return Found(condition & (row_hash >= F.lit(low)) & (row_hash <= F.lit(high)), n, before)
+
+
+def counted_ranges(df: DataFrame, key: str, rows_per_range: int) -> list[tuple]:
+    """``(lo, hi, n)`` of disjoint key intervals that cover the table, in order; ``(None, None, n)`` first if keys are NULL.
+
+    Bins of a histogram are joined up to ``rows_per_range`` rows; one that holds more is cut again, as long as it holds
+    several keys: no sort, no window over the table, a row a bin for the driver."""
+    k, kind = F.col("`" + key.replace("`", "``") + "`"), df.schema[key].dataType
+    if not selectable(kind):
+        raise ValueError(f"{key}: a {kind.simpleString()} key has no ranges")
+    rows = df.select(k.alias("_k"))
+    k = F.col("_k")
+    ends = rows.agg(F.count_if(k.isNull()).alias("nulls"), F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(k).alias("n")).first()
+    out: list[tuple] = [(None, None, ends["nulls"])] if ends["nulls"] else []
+    todo = [(ends["lo"], ends["hi"], ends["n"])] if ends["n"] else []
+    done: list[tuple] = []
+    while todo:
+        low, high, n = todo.pop()
+        if n <= rows_per_range or low == high:
+            done.append((low, high, n))
+            continue
+        sides = [_as_number(F.lit(x).cast(kind), kind, low, high) for x in (low, high)]
+        a, b = df.sparkSession.range(1).select(sides[0].alias("a"), sides[1].alias("b")).first()
+        inside = rows.where((k >= F.lit(low).cast(kind)) & (k <= F.lit(high).cast(kind)))
+        bins = [(x["lo"], x["hi"], x["n"]) for x in _histogram(inside, _as_number(k, kind, low, high), k, a, b)]
+        if bins == [(low, high, n)]:
+            done.append((low, high, n))  # keys that no bin tells apart
+        else:
+            todo += bins
+    for low, high, n in sorted(done, key=lambda r: r[0]):
+        if out and out[-1][0] is not None and out[-1][2] + n <= rows_per_range:
+            out[-1] = (out[-1][0], high, out[-1][2] + n)
+        else:
+            out.append((low, high, n))
+    return out

@@ -223,6 +223,15 @@ def q_unique_check_all(spark, sf_dir):
     return unique_check_many({t: (_t(spark, sf_dir, t), k) for t, k in TABLE_KEYS.items()})
 
 
+from tidemark.operators.bitmaps import compact_unique_check  # noqa: E402
+
+
+@register("unique_bitmap_all", "\nUNION ALL\n".join(_unique_sql(t, k) for t, k in TABLE_KEYS.items()))
+def q_unique_bitmap_all(spark, sf_dir):
+    """The same report by bitmaps and hashes: no key that proves unique is shuffled."""
+    return compact_unique_check({t: (_t(spark, sf_dir, t), k) for t, k in TABLE_KEYS.items()})
+
+
 @register("duplicate_keys_lineitem", """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""")

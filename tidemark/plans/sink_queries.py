@@ -238,3 +238,27 @@ def q_publish_zonemap_orders(spark, sf_dir):
     warehouse.replace(spark, _stale_orders(spark, sf_dir), "orders", ("o_orderkey",))
     publish_to_warehouse(spark, _orders_task("incremental"), f"{base}/lake", warehouse)
     return warehouse.read(spark, "orders")
+
+
+# ---------------------------------------------------------------- loads that go on where they stopped
+from tidemark.plans.resumable import resumable_load  # noqa: E402
+
+
+@register("resumed_load_lineitem", "SELECT * FROM lineitem")
+def q_resumed_load_lineitem(spark, sf_dir):
+    """The source is lost after half of the ranges; the second try loads the others and replaces the table."""
+    base, lineitem = shared_dir(spark, "resumed"), _t(spark, sf_dir, "lineitem")
+    per_range = max(1, lineitem.count() // 6)
+
+    def lost(range_id, rows):
+        if range_id == 3:
+            raise ConnectionError("the source is gone")
+        return rows
+
+    for on_range in (lost, None):
+        try:
+            resumable_load(spark, lineitem, f"{base}/lineitem", "l_orderkey", f"{base}/staging", keys="l_orderkey|l_linenumber",
+                           rows_per_range=per_range, n_buckets=LAKE_BUCKETS, on_range=on_range)
+        except ConnectionError:
+            continue
+    return read_lake(spark, f"{base}/lineitem")
