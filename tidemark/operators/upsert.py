@@ -7,7 +7,8 @@
 * ``stage_swap``    — delete every target row whose key is in the stage, then
   insert the whole stage. Stage duplicates are all kept, never an error.
 * ``delete_by_keys`` / ``matched_by_keys`` — anti / semi join on the key list.
-* ``merge_metrics`` — how many rows a merge updates / inserts / leaves alone.
+* ``merge_metrics`` — how many rows a merge updates / inserts / leaves alone; ``merge_observed`` counts them while
+  the merge is written.
 
 Plan shape: the key side (source keys) is broadcast only after a bounded
 count proves it small — the usual case for an incremental slice; otherwise the
@@ -17,10 +18,10 @@ No step collects rows to the driver; the only actions are bounded checks.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.lists import key_list
@@ -158,6 +159,28 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: str | Iterable[str]
     return delete_by_keys(target, src, ks, broadcast_rows=broadcast_rows, small=small).unionByName(src)
 
 
+def merge_observed(target: DataFrame, source: DataFrame, keys: str | Iterable[str], write: Callable[[DataFrame], object], *,
+                   check_ambiguous: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, int]:
+    """MERGE through ``write`` and return the counts of ``merge_metrics``, observed while the rows are written.
+
+    Target rows read and target rows kept are counted as they pass, so no job of its own counts them (the source's
+    statistics are those that the merge needs anyway). The target's keys are taken to be unique, as primary keys are: each updated row is
+    then the match of one source row, and all other source rows are insertions."""
+    ks = key_list(keys)
+    src = align_to(target, source)
+    read, kept, given = Observation(), Observation(), Observation()
+    one = F.count(F.lit(1)).alias("n")
+    keyed_rows, has_dup = source_key_stats(src, ks)
+    small = keyed_rows <= broadcast_rows
+    if check_ambiguous and has_dup:
+        merge_upsert(target, src, ks, broadcast_rows=broadcast_rows, small=small)  # raises where a target row has several
+    survivors = delete_by_keys(target.observe(read, one), src, ks, broadcast_rows=broadcast_rows, small=small)
+    write(survivors.observe(kept, one).unionByName(src.observe(given, one)))
+    n_read, n_kept, n_source = (o.get["n"] for o in (read, kept, given))
+    return {"rows_updated": n_read - n_kept, "rows_inserted": n_source - (n_read - n_kept), "rows_untouched": n_kept,
+            "rows_after": n_kept + n_source}
+
+
 def merge_metrics(target: DataFrame, source: DataFrame, keys: str | Iterable[str], *,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row: ``rows_updated``, ``rows_inserted``, ``rows_untouched``, ``rows_after``.

@@ -262,3 +262,29 @@ def q_resumed_load_lineitem(spark, sf_dir):
         except ConnectionError:
             continue
     return read_lake(spark, f"{base}/lineitem")
+
+
+# ---------------------------------------------------------------- reloads by digests, counts while writing
+from tidemark.operators.upsert import merge_observed  # noqa: E402
+from tidemark.sinks.digests import reload_lake  # noqa: E402
+
+
+@register("digest_reload_customer", """
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 97 = 0 THEN 0 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+FROM customer WHERE c_custkey % 89 <> 1""")
+def q_digest_reload_customer(spark, sf_dir):
+    """The table is loaded twice; the second source lacks some rows and has others changed."""
+    path, customer = shared_dir(spark, "lake") + "/customer", _t(spark, sf_dir, "customer")
+    reload_lake(spark, customer, path, "c_custkey", n_buckets=LAKE_BUCKETS)
+    changed = F.when(F.col("c_custkey") % 97 == 0, F.lit(0.0)).otherwise(F.col("c_acctbal"))
+    reload_lake(spark, customer.where("c_custkey % 89 <> 1").withColumn("c_acctbal", changed), path, "c_custkey")
+    return read_lake(spark, path)
+
+
+@register("merge_observed_orders", REGISTRY["merge_metrics_orders"][1])
+def q_merge_observed_orders(spark, sf_dir):
+    """The counts of the merge, taken while its result is written."""
+    path = shared_dir(spark, "merge") + "/orders"
+    counts = merge_observed(orders_target(spark, sf_dir), orders_source(spark, sf_dir), "o_orderkey",
+                            lambda merged: merged.write.parquet(path))
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
