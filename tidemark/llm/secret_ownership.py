@@ -19,6 +19,8 @@ repository of their owner. Other columns are not read. An empty table gives an e
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,33 @@ UNNAMED = "[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "owned")
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, zero: int, op: Callable[[Column, Column], Column], width: int = 256) -> Column:
+    """The results of folding ``values`` (an integer array) up to and with each element.
+
+    An array that grows by one element is copied each time; so elements are folded in pieces of ``width``, each
+    from the result of the pieces before it, and the work grows with the array's length, not its square.
+    """
+    def folded(piece: Column, start: Column, put: Callable[[Column, Column], Column]) -> Column:
+        return F.aggregate(piece, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")),
+                           lambda a, x: F.struct(op(a["at"], x).alias("at"), F.array_append(a["out"], put(a["at"], x)).alias("out")),
+                           lambda a: a["out"])
+
+    def in_pieces(all_values: Column) -> Column:
+        last = F.greatest(F.floor((F.size(all_values) - 1) / width).cast("int"), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(all_values, c * width + 1, F.lit(width)))
+
+    def joined_up(pieces: Column) -> Column:
+        before = folded(F.transform(pieces, lambda p: F.aggregate(p, F.lit(zero), op)), F.lit(zero), lambda at, x: at)
+        return F.flatten(F.zip_with(pieces, before, lambda p, b: folded(p, b, op)))
+
+    return bound(bound(values, in_pieces), joined_up)
+
+
 def _matches(pattern: str, group: int) -> Column:
     """Array of (start, end, value) of the leftmost non-overlapping matches in the column ``text``.
 
@@ -43,11 +72,8 @@ def _matches(pattern: str, group: int) -> Column:
     values = found if group == 0 else F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
     lengths = F.zip_with(F.transform(F.split("text", pattern, -1), F.length), F.transform(found, F.length),
                          lambda piece, match: F.struct(piece.alias("piece"), F.coalesce(match, F.lit(0)).alias("match")))
-    walked = F.aggregate(
-        lengths, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda a, x: F.struct((a["at"] + x["piece"] + x["match"]).alias("at"),
-                              F.array_append(a["starts"], a["at"] + x["piece"]).alias("starts")),
-        lambda a: a["starts"])
+    ends = lambda each: running(F.transform(each, lambda x: x["piece"] + x["match"]), 0, lambda at, x: at + x)
+    walked = bound(lengths, lambda each: F.zip_with(ends(each), each, lambda end, x: end - x["match"]))
     spans = F.transform(F.arrays_zip(walked.alias("s"), found.alias("m"), values.alias("v")),
                         lambda x: F.struct(x["s"].alias("start"), (x["s"] + F.length(x["m"])).alias("end"), x["v"].alias("value")))
     some = F.filter(spans, lambda x: x["value"].isNotNull())  # the last piece has no match after it
@@ -72,6 +98,23 @@ def joined(spans: Column) -> Column:
         ":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def outside(spans: Column, base: Column) -> Column:
+    """Spans that overlap no base span.
+
+    Base spans by their start and the others by their end form one sorted list (at one place the others first: they only touch). A span
+    overlaps a base span exactly if the farthest end among the base spans before it lies behind its start.
+    """
+    kind = "struct<start:int,kind:int,end:int,h:string,random:boolean>"
+    place = lambda at, is_base, reach, x: F.struct(at.alias("at"), F.lit(is_base).alias("base"), reach.alias("reach"), x.alias("x"))
+    events = F.array_sort(F.concat(
+        F.transform(F.coalesce(spans, F.array().cast(f"array<{kind}>")), lambda x: place(x["end"], 0, F.lit(-1), x)),
+        F.transform(base, lambda b: place(b["start"], 1, b["end"], F.lit(None).cast(kind)))))
+    far = lambda each: running(F.transform(each, lambda e: e["reach"]), -1, lambda at, x: F.greatest(at, x))
+    seen = bound(events, lambda each: F.zip_with(each, far(each), lambda e, reach: F.struct(
+        ((e["base"] == 0) & (reach <= e["x"]["start"])).alias("free"), e["x"].alias("x"))))
+    return F.transform(F.filter(seen, lambda e: e["free"]), lambda e: e["x"])
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """``(row, doc_id, owner, repo, base, loose)``: spans with value hashes of every row of ``(doc_id, text, owner, repo)``."""
     none = F.array().cast("array<struct<start:int,kind:int,end:int,h:string,random:boolean>>")
@@ -80,8 +123,7 @@ def candidates(docs: DataFrame) -> DataFrame:
                         F.filter(_matches(UNNAMED, 0), lambda x: looks_random(x["value"])).alias("u"))
     based = parts.select("doc_id", "owner", "repo", "u", F.concat(*[F.coalesce(_of_kind(i, F.col(c)), none)
                                                                     for i, c in enumerate("akx")]).alias("base"))
-    free = F.filter(_of_kind(3, F.col("u")), lambda x: ~F.exists(
-        "base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    free = F.when(F.size("base") == 0, _of_kind(3, F.col("u"))).otherwise(outside(_of_kind(3, F.col("u")), F.col("base")))
     return based.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repo", "base",
                         F.coalesce(free, none).alias("loose"))
 
