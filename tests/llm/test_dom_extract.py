@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from edges import LONG_TEXT, rows_of
 
-from tidemark.llm.dom_extract import Model, Tree, extract, main_text, train
+from tidemark.llm.dom_extract import FEATURES, KINDS, Model, Tree, extract, main_text, train
 
 SF = "/root/testdata/sf0.01"
 SHAPES = [("<article>", "</article>"), ("<div>", "</div>"), ("", ""), ('<div class="post-content">', "</div>"),
@@ -79,4 +79,47 @@ def test_edge_pages(spark, model):
 
 
 def test_without_labelled_pages():
-    assert extract("<nav>Menu</nav><div><p>A text, with some words.</p></div>", Model(np.zeros(14 * 4 + 18 * 2))) != "Menu"
+    assert extract("<nav>Menu</nav><div><p>A text, with some words.</p></div>", Model(np.zeros(KINDS * 4 + FEATURES * 2))) != "Menu"
+
+
+ARTICLE = "<body><nav><a>Home</a></nav><article><h1>A title</h1><p>First words, of the article. More of them here.</p>{}<p>Last words, of the article.</p></article><footer>(c) 2020</footer></body>"
+KEPT = {
+    '<h2 id="related-work">Related work</h2>': "Related work",
+    '<p id="notice">Notice that this is text, of the article.</p>': "Notice that this is text, of the article.",
+    '<section id="legal-history"><h2>History</h2><p>It began, as such things do, in court.</p></section>': "History\nIt began, as such things do, in court.",
+    '<div class="text-share"><p>The share of text, in percent, is high.</p></div>': "The share of text, in percent, is high.",
+    '<p>With <span class="tags">tagged words</span> and a <b class="search-term">term</b>.</p>': "With tagged words and a term.",
+    "<p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> as known.</p>": "Energy is E=mc2 as known.",
+    "<p>See <object data=x>the fallback</object> and <svg><text>the label</text></svg> here.</p>": "See the fallback and the label here.",
+}
+
+
+@pytest.mark.parametrize("inner", KEPT)
+def test_words_in_an_article_are_judged_with_what_surrounds_them(model, inner):
+    assert extract(ARTICLE.format(inner), model) == f"A title\nFirst words, of the article. More of them here.\n{KEPT[inner]}\nLast words, of the article."
+
+
+def test_hostile_markup_takes_linear_time():
+    import time
+
+    pages = {"open quotes": lambda n: "<a '" * n, "one end": lambda n: "<a '" * n + ">", "declarations": lambda n: "<!" * n, "names": lambda n: "<a<" * n,
+             "unmatched ends": lambda n: "<b class=ads>" * n + "</i>" * n, "rules in phrases": lambda n: "<p><button>" + "<b class=ads>" * n + "<hr>" * n,
+             "deep": lambda n: "<div>" * n + "<li>" * n, "skipped": lambda n: "<script>" * n, "comments": lambda n: "<!-- " * n}
+    for name, page in pages.items():
+        took = []
+        for n in (20_000, 40_000):
+            began = time.process_time()
+            Tree(page(n))
+            took.append(time.process_time() - began)
+        assert took[1] < 3 * max(took[0], 0.3), (name, took)
+
+
+def test_scanner_on_plain_cases():
+    from tidemark.llm.dom_extract import tokens
+
+    cut = lambda p: [(p[a:b], close, tag) for a, b, close, tag, _ in tokens(p)]
+    assert cut("a<b x='>' y=\">\">c</b ><br/>") == [("<b x='>' y=\">\">", False, "b"), ("</b >", True, "b"), ("<br/>", False, "br")]
+    assert cut("1 < 2 <3> <i>") == [("<i>", False, "i")] and cut("x<!-- <p> -->y<!--z") == [("<!-- <p> -->", False, ""), ("<!--z", False, "")]
+    assert cut("<![CDATA[a<b]]>c<![CDATA[d") == [("<![CDATA[a<b]]>", False, ""), ("<![CDATA[d", False, "")]
+    assert cut("<SCRIPT>if (a<b) </p></Script >x<style>y") == [("<SCRIPT>if (a<b) </p></Script >", False, ""), ("<style>y", False, "")]
+    assert cut("<!DOCTYPE html><?xml?><a") == [("<!DOCTYPE html>", False, ""), ("<?xml?>", False, "")]

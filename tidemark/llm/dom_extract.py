@@ -6,8 +6,9 @@ and P(feature | label) for each node's features (class and id words, length of
 its own text, punctuation, share of link text in it). Sum-product messages go up from the leaves and down from
 the root; a node is content if its marginal reaches one half.
 
-Training: pages with an ``article`` or ``main`` element label themselves (inside,
-and not inside navigation, forms, notices and the like, is content). Counts are
+Training: pages with an ``article`` (or else a ``main``) label themselves: what is inside, and not inside a
+navigation, form or aside, is content, whatever its classes say. Words in class, id and role are a feature like the others: a few
+values with a prior that counts overrule, within bounds, so that a heading's id or a class in an article doesn't decide alone. Counts are
 summed over all such pages in the tasks and merged; their size is fixed. So that the model also
 works where those elements are missing, a third of the labelled pages (by hash of the page) is counted with the
 element seen as a plain ``div`` and a third with it taken out of the tree.
@@ -27,6 +28,7 @@ import html as html_lib
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +40,11 @@ from tidemark.llm.common import slices, texts, tree_merge
 
 #: HTML element names by how they are treated.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = "script|style|textarea|title|noscript|iframe|template|svg|math|select|object|audio|video|canvas"
+SKIPPED = set("script style textarea title noscript iframe template select canvas annotation annotation-xml".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
-             "strike strong sub sup time tt u var br wbr".split())
+             "strike strong sub sup time tt u var br wbr object audio video picture "
+             "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd mspace mstyle semantics "
+             "svg g text tspan path circle ellipse rect line polygon polyline defs use".split())
 ENDS_P = set("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
              "h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: Elements whose class says something of the whole page, not of a part.
@@ -54,22 +58,74 @@ KIND_OF = {tag: kind for kind, tags in enumerate((
     "html body", "article main", "nav footer aside form button menu dialog fieldset legend", "header hgroup",
     "h1 h2 h3 h4 h5 h6", "p", "ul ol dl", "li dt dd", "table tbody thead tfoot tr td th caption", "blockquote pre",
     "figure figcaption", "section div center details address", "head")) for tag in tags.split()}
-ROOT, WRAPPER, BOILERPLATE, HEADER, PLAIN, HEAD, OTHER = 0, 1, 2, 3, 11, 12, 13
-KINDS = 14
+ROOT, WRAPPER, BOILERPLATE, HEADER, PLAIN, HEAD, OTHER, PHRASE, TOP, MASTHEAD = 0, 1, 2, 3, 11, 12, 13, 14, 15, 16
+KINDS = 17
 #: Words in class, id and role that speak against or for content.
 AGAINST = re.compile(r"(?<![a-z])(?<!has-)(?<!with-)(?<!no-)(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|overlay|nav\w*|menu|"
                      r"breadcrumbs?|sidebar|widget|footer|masthead|topbar|toolbar|share|sharing|social|related|"
                      r"recommend\w*|comments?|replies|disqus|newsletter|subscribe|signup|login|search|pagination|pager|tags?|"
                      r"copyright|legal|disclaimer|skip|hidden|complementary|contentinfo)(?![a-z])")
+DISCUSSION = re.compile(r"(?<![a-z])(comments?|replies|disqus)(?![a-z])")  # what an id says as well as a class
 FOR = re.compile(r"(?<![a-z])(article|content|main|post|entry|story|text|body)(?![a-z])")
-TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<({SKIPPED})\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S | re.I)  # the last: tags with an unclosed quote
-ATTRIBUTES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-SIZES = (3, 6, 4, 5)  #: values of the features: class words, own length, punctuation, link share
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+QUOTE_OR_END = re.compile("[\"'>]")
+ATTRIBUTES = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+SIZES = (5, 6, 4, 5)  #: values of the features: class words (none, against, for, against in the id alone, discussion), own length, punctuation, link share
+#: What the words of each value say before any count, content to others; an id, often made from a heading, says less than a class.
+WORDS_BEFORE = np.array([[1, 1], [20, 1], [1, 2], [2, 1], [400, 1]]) * 1e-3
+#: How far counts may go for each value: no word alone outweighs the text and what surrounds it, but a discussion is one.
+WORDS_RANGE = (np.array([-0.3, -3, -2, -1.5, -6]), np.array([0.1, 0, 2, 0.5, -3]))
 FEATURES = sum(SIZES)
 
 
+def tag_end(page: str, at: int) -> int:
+    """Place of the ``>`` that ends the tag whose attributes begin at ``at``; that of the next one if a quote stays open."""
+    i = at
+    while (m := QUOTE_OR_END.search(page, i)) is not None:
+        if m[0] == ">":
+            return m.start()
+        i = page.find(m[0], m.end()) + 1
+        if i == 0:
+            break
+    return page.find(">", at)
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """``(start, end, is_end_tag, tag, attributes)`` of everything that isn't text; no tag: comments, declarations and skipped elements.
+
+    For CDATA sections, whose content is text, the attributes are that text. A cursor goes over the page once.
+    """
+    last = page.rfind(">")
+    at = page.find("<")
+    while at >= 0:
+        end = None
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4) + 3
+            yield at, end if end > 2 else len(page), False, "", ""
+        elif page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at + 9)
+            yield at, len(page) if end < 0 else end + 3, False, "", page[at + 9:None if end < 0 else end]
+            end = end + 3 if end >= 0 else 2
+        elif at > last:
+            return  # nothing ends a tag any more
+        elif page[at + 1:at + 2] in ("!", "?"):
+            end = page.find(">", at) + 1
+            yield at, end, False, "", ""
+        elif (m := NAME.match(page, at)) is not None:
+            tag, stop = m[2].lower(), tag_end(page, m.end())
+            if stop >= 0:
+                end = stop + 1
+                if tag in SKIPPED and not m[1]:
+                    close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, end)
+                    end = close.end() if close else len(page)
+                    yield at, end, False, "", ""
+                else:
+                    yield at, end, bool(m[1]), tag, page[m.end():stop]
+        if end is not None and end <= 2:
+            return  # an open comment or section takes the rest
+        at = page.find("<", at + 1 if end is None else end)
+
+
 class Tree:
     """Nodes in page order (parents before children) and the text pieces with their blocks."""
 
@@ -77,23 +133,21 @@ class Tree:
         self.parent, self.tag, self.words = [-1], ["html"], [0]
         self.pieces: list[tuple[int, int, str]] = []  # block, node, decoded text
         self.chars, self.linked, self.marks = [0], [0], [0]
-        stack, block, link, at = [0], 0, 0, 0
-        for m in TOKEN.finditer(page):
-            if m.start() > at:
-                self._text(stack[-1], block, link, page[at:m.start()])
-            at = m.end()
-            close, tag, attributes = (m[2], m[3], m[4]) if m[3] else (m[5], m[6] or "", m[7])
-            tag = tag.lower()
+        self.stack, self.solid, self.open = [0], [], Counter()  # open nodes, the places of blocks among them, open tags
+        stack, block, link, at = self.stack, 0, 0, 0
+        for start, end, close, tag, attributes in tokens(page):
+            if start > at:
+                self._text(stack[-1], block, link, page[at:start])
+            at = end
             if not tag:
-                if m[0].startswith("<![CDATA["):
-                    self._text(stack[-1], block, link, m[0][9:].removesuffix("]]>"))
+                if attributes:
+                    self._text(stack[-1], block, link, attributes)
                 continue
             if tag == "a":
                 link = 0 if close else 1
             if close:
-                open_ = next((i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == tag), 0)
-                if open_:
-                    del stack[open_:]
+                if self.open[tag]:
+                    self._cut(next(i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == tag))
                     if tag not in INLINE:
                         block += 1
                         link = 0
@@ -104,12 +158,12 @@ class Tree:
             if tag in INLINE:
                 if tag == "br":
                     self._text(stack[-1], block, 0, " ")
-                if words != 1 or tag in VOID:
+                if words in (0, 2) or tag in VOID:
                     continue
             else:
                 block += 1
                 link = 0
-                self._close_for(tag, stack)
+                self._close_for(tag)
                 if tag in VOID:
                     continue
             self.parent.append(stack[-1])
@@ -118,25 +172,32 @@ class Tree:
             for column in (self.chars, self.linked, self.marks):
                 column.append(0)
             if not attributes.endswith("/") or tag in KIND_OF:
+                if tag not in INLINE:
+                    self.solid.append(len(stack))
                 stack.append(len(self.tag) - 1)
+                self.open[tag] += 1
         if at < len(page):
             self._text(stack[-1], block, link, page[at:])
 
-    def _close_for(self, tag: str, stack: list[int]) -> None:
-        if tag in ENDS_P:
-            for i in range(len(stack) - 1, 0, -1):
-                name = self.tag[stack[i]]
-                if name == "p":
-                    del stack[i:]
-                    break
-                if name not in INLINE:
-                    break
+    def _cut(self, i: int) -> None:
+        """Close the open nodes from place ``i`` on."""
+        for node in self.stack[i:]:
+            self.open[self.tag[node]] -= 1
+        while self.solid and self.solid[-1] >= i:
+            self.solid.pop()
+        del self.stack[i:]
+
+    def _close_for(self, tag: str) -> None:
+        if tag in ENDS_P and self.open["p"] and self.tag[self.stack[self.solid[-1]]] == "p":
+            self._cut(self.solid[-1])
         if tag in ENDS:
             ended, within = ENDS[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                name = self.tag[stack[i]]
+            for i in range(len(self.stack) - 1, 0, -1):
+                if not any(self.open[x] for x in ended):
+                    break
+                name = self.tag[self.stack[i]]
                 if name in ended:
-                    del stack[i:]
+                    self._cut(i)
                     if tag not in ("tr", "tbody", "tfoot"):
                         break
                 elif name in within:
@@ -152,12 +213,20 @@ class Tree:
 
     @staticmethod
     def _class_words(attributes: str) -> int:
-        named = " ".join(ATTRIBUTES.findall(attributes)).lower()
-        return 1 if AGAINST.search(named) else 2 if FOR.search(named) else 0
+        found = ATTRIBUTES.findall(attributes.lower())
+        named = " ".join(value for name, value in found if name != "id")
+        own = " ".join(value for name, value in found if name == "id")
+        if DISCUSSION.search(named) or DISCUSSION.search(own):
+            return 4
+        if AGAINST.search(named):
+            return 1
+        return 2 if FOR.search(named) else 3 if AGAINST.search(own) else 2 if FOR.search(own) else 0
 
     def kinds(self) -> list[int]:
-        """Kind of each element; words against content make any part of the page boilerplate."""
-        return [BOILERPLATE if w == 1 else KIND_OF.get(t, OTHER) for t, w in zip(self.tag, self.words, strict=True)]
+        """Kind of each element; a part of the page (a division or header of the body itself) is another kind than one inside a part."""
+        kinds = [PHRASE if t in INLINE else KIND_OF.get(t, OTHER) for t in self.tag]
+        of_page = {PLAIN: TOP, HEADER: MASTHEAD}
+        return [of_page.get(k, k) if kinds[up] == ROOT else k for k, up in zip(kinds, self.parent, strict=True)]
 
     def features(self) -> list[tuple[int, ...]]:
         """Index of each node's feature values in one table of ``FEATURES`` rows; only words for nodes without own text."""
@@ -169,19 +238,25 @@ class Tree:
             length = 0 if own < 8 else 1 if own < 20 else 2 if own < 60 else 3 if own < 150 else 4 if own < 400 else 5
             share = links / own
             at = 0 if not links else 1 if share < 0.2 else 2 if share < 0.5 else 3 if share < 0.8 else 4
-            out.append((words, 3 + length, 9 + min(marks, 3), 13 + at))
+            out.append((words, 5 + length, 11 + min(marks, 3), 15 + at))
         return out
 
     def own_labels(self) -> list[int] | None:
-        """Labels that the page's ``article`` or ``main`` gives its nodes; None without one."""
-        if not any(t in ("article", "main") for t in self.tag):
+        """Labels that the page's ``article``, or else its ``main``, gives its nodes; None without one."""
+        wrapper = next((t for t in ("article", "main") if t in self.tag), None)
+        if wrapper is None:
             return None
         inside, out = [False] * len(self.tag), [False] * len(self.tag)
-        for i, (tag, words) in enumerate(zip(self.tag, self.words, strict=True)):
+        for i, tag in enumerate(self.tag):
             above = self.parent[i]
-            inside[i] = tag in ("article", "main") or i > 0 and inside[above]
-            out[i] = words == 1 or KIND_OF.get(tag) in (BOILERPLATE, HEAD) or i > 0 and out[above]
-        return [int(a and not b) for a, b in zip(inside, out, strict=True)]
+            inside[i] = tag == wrapper or i > 0 and inside[above]
+            out[i] = KIND_OF.get(tag) in (BOILERPLATE, HEAD) or i > 0 and out[above]
+        labels = [int(a and not b) for a, b in zip(inside, out, strict=True)]
+        if wrapper == "article":  # a main holds its article
+            for i in range(len(labels) - 1, 0, -1):
+                if labels[i] and self.tag[self.parent[i]] == "main":
+                    labels[self.parent[i]] = 1
+        return labels
 
     def text(self, content: list[bool]) -> str:
         """Blocks of the content nodes, joined by newlines."""
@@ -212,7 +287,7 @@ def counted(tree: Tree, mode: int) -> np.ndarray | None:
         if mode and kind == WRAPPER:
             if mode == 2:
                 continue
-            kind = PLAIN
+            kind = TOP if kinds[up] == ROOT else PLAIN
         if mode == 2:
             while up > 0 and kinds[up] == WRAPPER:
                 up = tree.parent[up]
@@ -229,20 +304,22 @@ class Model:
         edges, values = counts[:KINDS * 4].reshape(KINDS, 2, 2), counts[KINDS * 4:].reshape(FEATURES, 2)
         # before any count: containers may differ from what holds them, the blocks in them hardly
         before = np.tile(np.array([[0.998, 0.002], [0.05, 0.95]]), (KINDS, 1, 1))
-        before[[ROOT, PLAIN, HEADER, OTHER]] = [[0.8, 0.2], [0.2, 0.8]]
+        before[[ROOT, PLAIN, TOP, HEADER, OTHER]] = [[0.8, 0.2], [0.2, 0.8]]
         before[WRAPPER] = [[0.05, 0.95], [0.05, 0.95]]
         before[[BOILERPLATE, HEAD]] = [[0.998, 0.002], [0.9, 0.1]]
+        before[MASTHEAD] = [[0.99, 0.01], [0.8, 0.2]]
+        before[PHRASE] = [[0.99, 0.01], [0.01, 0.99]]  # a phrase goes with its sentence
         edges = edges + prior * before
         self.edge = (edges / edges.sum(2, keepdims=True)).tolist()
         # features of a node and of its siblings aren't independent: short or unpunctuated text says little
         # against content (articles have many such blocks), and the absence of links little for it
         odds, at = [], 0
-        for size, (low, high) in zip(SIZES, ((-2, 2), (-0.1, 2), (-0.1, 2), (-4, 0.3)), strict=True):
+        for size, (low, high) in zip(SIZES, (WORDS_RANGE, (-0.1, 2), (-0.1, 2), (-4, 0.3)), strict=True):
             part = values[at:at + size] + 1
-            part = 0.9 * part / part.sum(0) + 0.1 / size
+            # rare words keep what they say before any count; the other features are smoothed
+            part = values[at:at + size] / part.sum(0) + WORDS_BEFORE if at == 0 else 0.9 * part / part.sum(0) + 0.1 / size
             odds.append(np.clip(np.log(part[:, 1] / part[:, 0]), low, high))
             at += size
-        odds[0][1] = -4.0  # words against content always count as such
         self.odds = np.concatenate(odds).tolist()
 
     def marginals(self, tree: Tree) -> list[float]:
