@@ -13,10 +13,10 @@ With ``as_delta`` an upsert writes only its own rows, as a delta that readers re
    keyed rows and distinct keys per bucket (at most N small rows) are
    collected: they name the touched buckets, prove the broadcast bound and
    say whether the duplicate-key probe of a MERGE is needed;
-2. where it touches less than half of the buckets, their key columns are probed with the slice's keys: only
+2. the key columns of the touched buckets are probed with the slice's keys: only
    buckets that hold a matching key are rewritten; the others hold nothing to
    update and get the slice's rows appended as new files (a second commit: between the two, readers see
-   half a slice). Otherwise all touched buckets are rewritten, in one commit;
+   half a slice). Where three quarters of the touched buckets have a match, all are rewritten, in one commit;
 3. the buckets to rewrite are read with ``_b IN (...)`` (partition pruning);
    merged = target anti-join source keys + source, written back with dynamic
    partition overwrite.
@@ -371,10 +371,9 @@ def _apply_by_bucket(spark: SparkSession, source: DataFrame, path: str, keys: st
                    "overwrite", dynamic=False)
             write_commit(spark, path, Commit(seq, "delta", {r[BUCKET_COL]: r["n"] for r in per_bucket}, tag=tag))
             return UpsertResult(n_src, len(touched), 0, False)
-        if layout.n_buckets is not None and 2 * len(touched) >= layout.n_buckets:
-            rewrite = touched  # a probe could spare few buckets: one write, in one commit
-        else:
-            rewrite = _buckets_with(target_all, src, ks, touched, broadcast_rows, small)
+        rewrite = _buckets_with(target_all, src, ks, touched, broadcast_rows, small)
+        if 4 * len(rewrite) >= 3 * len(touched):
+            rewrite = touched  # appending to the few others would cost a second write and commit
         if rewrite:
             target = _in_buckets(target_all, rewrite).select(*src.columns)
             part = _in_buckets(src, rewrite)
