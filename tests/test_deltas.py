@@ -72,7 +72,7 @@ class Plain:
         self.data += data
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_any_order_of_changes_gives_the_plain_table(spark, tmp_dir, seed):
     rng = random.Random(seed)
     path = tmp_dir + "/t"
