@@ -74,6 +74,24 @@ def q_lake_delta_orders(spark, sf_dir):
     return read_lake(spark, path)
 
 
+from tidemark.sinks.lake import split_lake  # noqa: E402
+
+
+@register("lake_split_orders", REGISTRY["merge_upsert_orders"][1])
+def q_lake_split_orders(spark, sf_dir):
+    """A table of four buckets that are split twice as slices arrive: before the first split, between the two, and after."""
+    path = shared_dir(spark, "lake") + "/orders"
+    target = orders_target(spark, sf_dir)
+    overwrite_lake(spark, target, path, keys="o_orderkey", n_buckets=4)
+    src, rows = orders_source(spark, sf_dir), target.count()
+    upsert_lake(spark, src.withColumn("o_orderstatus", F.lit("W")), path, "o_orderkey")
+    split_lake(spark, path, most_rows=rows // 8)
+    upsert_lake(spark, src.where("o_orderkey % 2 = 0"), path, "o_orderkey")
+    split_lake(spark, path, most_rows=rows // 24)
+    upsert_lake(spark, src.where("o_orderkey % 2 = 1"), path, "o_orderkey")
+    return read_lake(spark, path)
+
+
 # ---------------------------------------------------------------- two nights of the whole flow
 from tidemark.operators import row_counts  # noqa: E402
 from tidemark.plans.control_queries import fixture_config  # noqa: E402

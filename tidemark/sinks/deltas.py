@@ -13,6 +13,7 @@ without deltas are read as they are; in the others the base is anti-joined with
 proves them few, so the base is not shuffled.
 
 ``compacted`` entries (kind ``base``) replace buckets: their folder holds a bucket's whole content up to that commit.
+Splits of buckets (``lake.split_lake``) are noted in the commit that holds the new buckets' rows.
 The log is the only place where anything is switched, so readers see a commit wholly or not at all. One
 writer at a time is assumed, as for the rest of the table.
 """
@@ -33,18 +34,20 @@ from tidemark.operators.upsert import delete_by_keys
 
 DATA_DIR, LOG_DIR = "_deltas", "_delta_log"
 SEQ, GONE = "_seq", "_gone"
-LOG_SCHEMA = "seq int, kind string, buckets array<bigint>, rows array<bigint>, whole boolean, tag string"
+LOG_SCHEMA = "seq int, kind string, buckets array<bigint>, rows array<bigint>, whole boolean, tag string, splits array<array<bigint>>"
 
 
 @dataclass(frozen=True)
 class Commit:
-    """``kind`` is ``delta`` or ``base``; ``rows`` counts by bucket; ``whole``: a base of all buckets, named or not."""
+    """``kind`` is ``delta`` or ``base``; ``rows`` counts by bucket; ``whole``: a base of all buckets, named or not;
+    ``splits``: (level, bucket) pairs that the commit divides."""
 
     seq: int
     kind: str
     rows: dict[int, int]
     whole: bool = False
     tag: str | None = None
+    splits: tuple[tuple[int, int], ...] = ()
 
 
 def read_log(spark: SparkSession, path: str) -> list[Commit]:
@@ -55,12 +58,13 @@ def read_log(spark: SparkSession, path: str) -> list[Commit]:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
-    return sorted((Commit(r["seq"], r["kind"], dict(zip(r["buckets"], r["rows"], strict=True)), bool(r["whole"]), r["tag"]) for r in rows),
+    return sorted((Commit(r["seq"], r["kind"], dict(zip(r["buckets"], r["rows"], strict=True)), bool(r["whole"]), r["tag"],
+                          tuple((level, b) for level, b in r["splits"] or [])) for r in rows),
                   key=lambda c: c.seq)
 
 
 def write_commit(spark: SparkSession, path: str, commit: Commit) -> None:
-    row = (commit.seq, commit.kind, list(commit.rows), list(commit.rows.values()), commit.whole, commit.tag)
+    row = (commit.seq, commit.kind, list(commit.rows), list(commit.rows.values()), commit.whole, commit.tag, [list(x) for x in commit.splits])
     spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/{LOG_DIR}")
 
 

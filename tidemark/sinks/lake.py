@@ -36,6 +36,10 @@ key-range layout, where they share the few newest ranges. (NULL keys go to bucke
 -1; a shared bucket id is harmless, the bucket only groups rows.) The width should be
 chosen so that the key range makes no more buckets than a driver-side list can hold.
 
+Hash buckets that outgrow their size are divided by one more bit of the hash (``split_lake``): only their rows are
+written again. Bucket b of modulus M becomes b and b + M of modulus 2M, so the directory is the list of divided
+(level, bucket) pairs; it is kept in the log, or after a full reload in ``_layout``.
+
 The commit of a dynamic overwrite replaces directories one by one: readers
 running during the commit can see a mix of old and new buckets.
 A plain path that is both read and statically overwritten would lose data, so
@@ -47,7 +51,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +69,8 @@ from tidemark.sinks.deltas import GONE, Commit, State, delta_path, next_seq, rea
 BUCKET_COL = "_b"
 LAYOUT_DIR = "_layout"
 MIN_BUCKETS, MAX_BUCKETS = 64, 65_536
+MAX_MODULUS = 1 << 30  #: bucket ids are ints
+SPLIT_BITS = 6  #: more bits of the hash that one split may use
 BUCKET_BYTES = 1 << 30
 
 
@@ -84,6 +90,7 @@ class Layout:
     n_buckets: int | None
     range_width: int | None
     schema: str | None = field(default=None, compare=False)  # of the rows, as JSON: a delta needs no look at the base files
+    splits: frozenset[tuple[int, int]] = frozenset()  # (level, bucket) pairs divided by one more bit of the hash
 
     def row_schema(self) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.schema))
@@ -96,15 +103,26 @@ class Layout:
         return self.row_schema().add(BUCKET_COL, self.bucket_type())
 
     def bucket(self):
-        return bucket_of(list(self.keys), self.n_buckets, self.range_width)
+        return bucket_of(list(self.keys), self.n_buckets, self.range_width, self.splits)
+
+    def level(self, bucket: int) -> int:
+        """How many times the bucket's rows have been divided."""
+        level = 0
+        while (level, bucket % (self.n_buckets << level)) in self.splits:
+            level += 1
+        return level
 
+    def divided(self, log: list[Commit]) -> Layout:
+        """With the splits that the log holds."""
+        return replace(self, splits=self.splits.union(*(c.splits for c in log)))
 
-_LAYOUT_SCHEMA = "keys array<string>, n_buckets int, range_width long, schema string"
+
+_LAYOUT_SCHEMA = "keys array<string>, n_buckets int, range_width long, schema string, splits array<array<bigint>>"
 
 
 def write_layout(spark: SparkSession, path: str, layout: Layout, rows: DataFrame) -> None:
     """Store the layout of ``rows`` (without the bucket column)."""
-    row = (list(layout.keys), layout.n_buckets, layout.range_width, rows.schema.json())
+    row = (list(layout.keys), layout.n_buckets, layout.range_width, rows.schema.json(), [list(x) for x in sorted(layout.splits)])
     spark.createDataFrame([row], _LAYOUT_SCHEMA).coalesce(1) \
         .write.mode("overwrite").json(f"{path.rstrip('/')}/{LAYOUT_DIR}")
 
@@ -126,7 +144,9 @@ def _read_layout(spark: SparkSession, path: str) -> Layout:
         row = None
     if row is None:
         raise LayoutMismatch(f"{path} has no stored layout: it is not a keyed lake table, or its full load did not finish")
-    return Layout(tuple(row["keys"]), row["n_buckets"], row["range_width"], row["schema"])
+    layout = Layout(tuple(row["keys"]), row["n_buckets"], row["range_width"], row["schema"],
+                    frozenset((level, b) for level, b in row["splits"] or []))
+    return layout if layout.n_buckets is None else layout.divided(read_log(spark, path))
 
 
 def buckets_for(df: DataFrame) -> int:
@@ -145,13 +165,19 @@ def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         raise
 
 
-def bucket_of(keys: list[str], n_buckets: int, range_width: int | None = None):
+def bucket_of(keys: list[str], n_buckets: int, range_width: int | None = None, splits: Iterable[tuple[int, int]] = ()):
     cols = [F.col("`" + k.replace("`", "``") + "`") for k in keys]
     if range_width is not None:
         if len(keys) != 1 or range_width <= 0:
             raise ValueError("a key-range layout needs one integral key and a positive width")
         return F.coalesce(F.floor(cols[0] / F.lit(range_width)), F.lit(-1)).cast("bigint")
-    return F.pmod(F.xxhash64(*cols), F.lit(n_buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(*cols), F.lit(n_buckets))
+    by_level: dict[int, list[int]] = {}
+    for level, b in sorted(splits):
+        by_level.setdefault(level, []).append(b)
+    for level, divided in by_level.items():
+        bucket = F.when(bucket.isin(divided), F.pmod(F.xxhash64(*cols), F.lit(n_buckets << (level + 1)))).otherwise(bucket)
+    return bucket.cast("int")
 
 
 def lake_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
@@ -234,7 +260,7 @@ def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str |
     overwrite (old buckets stay readable until that job commits), and buckets the new data no longer has are
     cleared; one with deltas gets them as a folder that its log switches to; one of another layout (or
     without keys before) is overwritten from the staged rows. It costs a second write. Without
-    ``n_buckets`` a table keeps its stored bucket count.
+    ``n_buckets`` a table keeps its stored bucket count and its splits.
     """
     parts = list(partition_by or [])
     ks = key_list(keys) if keys else []
@@ -252,11 +278,13 @@ def overwrite_lake(spark: SparkSession, df: DataFrame, path: str, *, keys: str |
         raise ValueError("a keyed lake table is partitioned by its buckets; partition_by goes with tables without keys")
     old = load_table(spark, path, fmt) if crash_safe or n_buckets is None and range_width is None else None
     stored = stored_layout(spark, path) if old is not None else None
+    splits = frozenset()
     if range_width is None and n_buckets is None:
         # a table keeps its bucket count: a new estimate would differ from load to load
         keeps = stored is not None and stored.keys == tuple(ks) and stored.n_buckets is not None
         n_buckets = stored.n_buckets if keeps else buckets_for(df)
-    layout = Layout(tuple(ks), None if range_width is not None else n_buckets, range_width)
+        splits = stored.splits if keeps else frozenset()
+    layout = Layout(tuple(ks), None if range_width is not None else n_buckets, range_width, splits=splits)
     keyed = df.withColumn(BUCKET_COL, layout.bucket()).hint("rebalance", BUCKET_COL)
     staging = None
     if crash_safe and old is not None or _reads_from(df, path):
@@ -287,11 +315,12 @@ def stored_layout(spark: SparkSession, path: str) -> Layout | None:
         return None
 
 
-def _commit_base(spark: SparkSession, path: str, rows: DataFrame, log: list[Commit], fmt: str, buckets: list | None) -> None:
+def _commit_base(spark: SparkSession, path: str, rows: DataFrame, log: list[Commit], fmt: str, buckets: list | None,
+                 splits: tuple[tuple[int, int], ...] = ()) -> None:
     """Write ``rows`` (with their bucket) as the new base of ``buckets`` (None: of all) and switch the log to it."""
     seq = next_seq(log)
     _write(rows.hint("rebalance", BUCKET_COL), delta_path(path, seq), fmt, [BUCKET_COL], "overwrite", dynamic=False)
-    commit = Commit(seq, "base", dict.fromkeys(buckets or [], 0), whole=buckets is None)
+    commit = Commit(seq, "base", dict.fromkeys(buckets or [], 0), whole=buckets is None, splits=splits)
     write_commit(spark, path, commit)
     for unused in sorted(State.of(log).used() - State.of([*log, commit]).used()):  # readers that began before have to be done
         remove_dir(spark, delta_path(path, unused))
@@ -430,6 +459,51 @@ def compact_lake(spark: SparkSession, path: str, *, most_buckets: int | None = N
     return worst
 
 
+def split_lake(spark: SparkSession, path: str, *, most_rows: int, fmt: str = "parquet",
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> list[int]:
+    """Divide the hash buckets that hold more than ``most_rows`` rows until their parts don't, and return them.
+
+    Only their rows are read in full and written, as new bases that the table's log switches to in one step, their deltas merged
+    (so a table without deltas has a log from then on). Counting the others opens no column of theirs. At most ``SPLIT_BITS`` more bits of the hash are used at once; a
+    bucket whose rows share all of them, as those of one hot key do, stays as it is.
+    """
+    log, layout = read_log(spark, path), read_layout(spark, path)
+    if layout.n_buckets is None:
+        raise ValueError(f"{path} is laid out by key ranges, which are not split")
+    table = spark.read.format(fmt).load(path)
+    rows = current(spark, path, table, layout, log, fmt, broadcast_rows)
+    full = {r[BUCKET_COL]: r["count"] for r in rows.groupBy(BUCKET_COL).count().collect() if r["count"] > most_rows}
+    if not full:
+        return []
+    rows = current(spark, path, table, layout, log, fmt, broadcast_rows, sorted(full))
+    deep = layout.n_buckets << (max(layout.level(b) for b in full) + SPLIT_BITS)
+    while deep > MAX_MODULUS:
+        deep //= 2
+    cells: dict[int, dict[int, int]] = {}  # 2^SPLIT_BITS a full bucket of the deepest level, and as many more a level above it
+    counted = rows.groupBy(BUCKET_COL, bucket_of(list(layout.keys), deep).alias("cell")).count()
+    for r in counted.collect():
+        cells.setdefault(r[BUCKET_COL], {})[r["cell"]] = r["count"]
+    splits: list[tuple[int, int]] = []
+    parts: list[int] = []
+
+    def divide(bucket: int, level: int, held: dict[int, int]) -> None:
+        if sum(held.values()) <= most_rows or len(held) == 1:
+            parts.append(bucket)
+            return
+        splits.append((level, bucket))
+        for part in (bucket, bucket + (layout.n_buckets << level)):
+            divide(part, level + 1, {c: n for c, n in held.items() if c % (layout.n_buckets << (level + 1)) == part})
+
+    done = [b for b in sorted(cells) if len(cells[b]) > 1]
+    for b in done:
+        divide(b, layout.level(b), cells[b])
+    if done:
+        new = replace(layout, splits=layout.splits.union(splits))
+        moved = _in_buckets(rows, done).withColumn(BUCKET_COL, new.bucket().cast(table.schema[BUCKET_COL].dataType))
+        _commit_base(spark, path, moved, log, fmt, parts, tuple(splits))
+    return done
+
+
 @dataclass(frozen=True)
 class DeleteResult:
     rewritten_buckets: int
