@@ -7,7 +7,7 @@
    times its share there: own counts plus at most ``PRIOR`` counts spread like the class's. Each class keeps a share for unknown words.
 3. One pass turns every text into symbol ids and sums what the counts of words in
    memory give. Some ``known_words`` words are held in memory; the others' state counts are summed by a
-   shuffle on the word and sent back to the documents that hold it. As the most frequent ones
+   shuffle on the word and sent back to the documents that hold it (as 16-bit shares). As the most frequent ones
    are in memory, none of these has more than one in ``known_words`` of all tokens.
 4. Baum-Welch: tasks run scaled forward-backward over whole texts. These are computed in pieces of
    ``segment`` tokens; the messages over the pieces' ends come from products of the pieces' transfer
@@ -28,6 +28,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from tidemark.llm.common import cut, slices, texts, tree_merge
 
 SMOOTH = 0.1  #: added to every word count
 CLASSES = 512
+ONE = (1 << 16) - 1  #: a share of 1
 PRIOR = 2  #: counts of a word that are spread over the states like its class's
 CHUNKS = 4  #: the counts of symbols, and those of words in memory, are merged in so many parts each
 
@@ -223,11 +225,12 @@ def transfers(model: Model, ids: np.ndarray, offsets: np.ndarray, lengths: np.nd
     offsets, states = offsets[order], len(model.move)
     a = np.tile(np.eye(states), (len(lengths), 1, 1))
     for t, k in enumerate(active):
-        held = (a[:k] * model.emit[ids[offsets[:k] + t]][:, None, :]).reshape(-1, states) @ model.move
-        held = held.reshape(k, states, states)
-        a[:k] = held / held.sum((1, 2), keepdims=True)
+        moved = (a[:k] * model.emit[ids[offsets[:k] + t]][:, None, :]).reshape(-1, states) @ model.move
+        a[:k] = moved.reshape(k, states, states)
+        if t % 16 == 15:  # emissions are above 1e-15, so nothing gets lost in between
+            a[:k] /= a[:k].sum((1, 2), keepdims=True)
     out = np.empty_like(a)
-    out[order] = a
+    out[order] = a / a.sum((1, 2), keepdims=True)
     return out
 
 
@@ -266,8 +269,10 @@ class Pieces:
                 self.after[i] = p / p.sum()
 
     def batches(self, tokens: int) -> Iterator[tuple[int, int]]:
-        """Ranges of pieces with up to ``tokens`` tokens (one piece at least)."""
+        """Ranges of pieces with up to ``tokens`` tokens (one piece at least); all at once if there are at most twice as many."""
         ends, at = np.cumsum(self.lengths), 0
+        if ends[-1] <= 2 * tokens:
+            tokens = 2 * tokens
         while at < len(ends):
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + tokens, side="right")))
             yield at, to
@@ -313,6 +318,18 @@ def expected_counts(model: Model, pieces: Pieces, lo: int, hi: int):
     return start, moved * model.move + cross, posterior
 
 
+def _payload(x: np.ndarray) -> bytes:
+    return x.dtype.str.encode().ljust(8) + x.tobytes()
+
+
+def _of_payload(payload: bytes) -> np.ndarray:
+    return np.frombuffer(payload, payload[:8].decode().strip(), offset=8)
+
+
+def _add_payloads(held: bytes | None, payload: bytes) -> bytes:
+    return payload if held is None else _payload(_of_payload(held) + _of_payload(payload))
+
+
 def _by_state(at: np.ndarray, posterior: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(at, posterior[:, s], size) for s in range(posterior.shape[1])], 1)
 
@@ -332,7 +349,7 @@ def whole_texts(columns: list[str], batches: Iterator[pa.RecordBatch], tokens: i
 
 
 def baum_welch(ids: DataFrame, first: Model, unigram: np.ndarray, rounds: int, segment: int, share: float,
-               memory: tuple[int, int] = (0, 0), batch_tokens: int = 400_000):
+               memory: tuple[int, int] = (0, 0), batch_tokens: int = 800_000):
     """Rounds of expectation over all rows of symbol ids (and ``own`` words) and maximisation of the merged counts.
 
     Returns the model, the one before the last round, and what the last round
@@ -361,14 +378,15 @@ def baum_welch(ids: DataFrame, first: Model, unigram: np.ndarray, rounds: int, s
                     held[3] += _by_state(own[part][mine] - core, posterior[mine], known - core)
         if held[0].any():
             small = np.concatenate([held[0], held[1].ravel()])
+            held[3] = held[3].astype(np.float32)  # rarer words: small counts
             for i, x in enumerate([small, *(p for h in held[2:] for p in np.array_split(h, CHUNKS))]):
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([x.tobytes()], pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_payload(x)], pa.binary())],
                                                  names=["part", "payload"])
 
     for r in range(rounds):
         now, last = sc.broadcast(model), r == rounds - 1 and known > core
         rows = ids.mapInArrow(lambda b, now=now, last=last: expect(b, now, last), "part int, payload binary")
-        merged = {r["part"]: np.frombuffer(r["payload"]) for r in tree_merge(rows, _add_floats, 16).collect()}
+        merged = {r["part"]: _of_payload(r["payload"]) for r in tree_merge(rows, _add_payloads, 16).collect()}
         now.unpersist()
         if not merged:
             break
@@ -405,8 +423,10 @@ class Untied:
 
 
 def listed_counts(encoded: DataFrame, model, states: int, core: int, known: int, segment: int, batch_tokens: int) -> DataFrame:
-    """``(row, j, n, e)``: training count and expected state counts, over all texts, of each listed word of each row."""
-    names = [f"e{s}" for s in range(states)]
+    """``(row, j, n, p0, ...)``: training count and shares of the states, over all texts, of each listed word of each row.
+
+    Words without a count are left out. Shares travel as 16 bits each, four to a long."""
+    names = [f"p{i}" for i in range(-(-states // 4))]
     columns = ["row", "held_out", "ids", "own", "words", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,18 +447,33 @@ def listed_counts(encoded: DataFrame, model, states: int, core: int, known: int,
                     part = own[pieces.offsets[lo]:pieces.offsets[lo] + len(posterior)]
                     e += _by_state(part[part >= 0], posterior[part >= 0], len(e))
             words, times = (rows[c].combine_chunks().flatten() for c in ("words", "times"))
+            times = times.to_numpy(zero_copy_only=False)
+            shares = packed_shares(e / times[:, None])
             values = [words, pa.array(np.repeat(rows["row"].to_numpy(), lengths)),
                       pa.array((np.arange(len(e)) - np.repeat(starts, lengths)).astype(np.int32)),
-                      pa.array(np.where(np.repeat(learned, lengths), times.to_numpy(zero_copy_only=False), 0).astype(np.int32)),
-                      *(pa.array(e[:, s].astype(np.float32)) for s in range(states))]
+                      pa.array(np.where(np.repeat(learned, lengths), times, 0).astype(np.int32)),
+                      *(pa.array(shares[:, i]) for i in range(len(names)))]
             out = pa.RecordBatch.from_arrays(values, names=["word", "row", "j", "n", *names])
             yield from slices(out, 20_000)
 
-    schema = "word string, row long, j int, n int, " + ", ".join(f"{x} float" for x in names)
+    schema = "word string, row long, j int, n int, " + ", ".join(f"{x} long" for x in names)
     pairs = encoded.where(F.size("words") > 0).select(*columns).mapInArrow(run, schema)
     word = Window.partitionBy("word")
-    return pairs.select("row", "j", F.sum("n").over(word).alias("n"),
-                        F.array(*(F.sum(x).over(word).cast("float") for x in names)).alias("e"))
+    sums = [F.sum(F.col("n") * F.shiftrightunsigned(x, 16 * i).bitwiseAND(ONE)).over(word).alias(f"{x}_{i}") for x in names for i in range(4)]
+    summed = pairs.select("row", "j", F.sum("n").over(word).alias("n"), *sums).where("n > 0")
+    mean = lambda x, i: F.shiftleft(F.round(F.col(f"{x}_{i}") / F.col("n")).cast("long"), 16 * i)
+    return summed.select("row", "j", "n", *[reduce(lambda a, b: a.bitwiseOR(b), [mean(x, i) for i in range(4)]).alias(x) for x in names])
+
+
+def packed_shares(shares: np.ndarray) -> np.ndarray:
+    """Rows of shares (0 to 1) as rows of longs with four 16-bit parts each."""
+    padded = np.zeros((len(shares), -(-shares.shape[1] // 4) * 4), "<u2")
+    padded[:, :shares.shape[1]] = np.rint(np.clip(shares, 0, 1) * ONE)
+    return padded.view("<i8")
+
+
+def unpacked_shares(longs: np.ndarray, states: int) -> np.ndarray:
+    return np.ascontiguousarray(longs, "<i8").view("<u2")[:, :states] / ONE
 
 
 def forward_log10(start: np.ndarray, move: np.ndarray, emissions: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -459,7 +494,7 @@ def forward_log10(start: np.ndarray, move: np.ndarray, emissions: np.ndarray, le
 
 def score_texts(docs: DataFrame, *, states: int = 8, rounds: int = 4, core_words: int = 20_000,
                 known_words: int = 400_000, segment: int = 1024, share: float = 0.05, seed: int = 11,
-                batch_tokens: int = 400_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                batch_tokens: int = 800_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
 
     Ids whose crc32 (of the id as text) modulo 10 is 0 are held out of all learning.
@@ -483,22 +518,24 @@ def score_texts(docs: DataFrame, *, states: int = 8, rounds: int = 4, core_words
                                             segment, share, (core, memory), batch_tokens)
     untied = sc.broadcast(Untied(v, model, emit, words))
     listed = listed_counts(encoded, sc.broadcast(before), states, core, memory, segment, batch_tokens)
-    back = listed.groupBy("row").agg(F.collect_list(F.struct("j", "n", "e")).alias("listed"))
+    # shuffled as plain rows: lists made before the shuffle would be larger
+    back = listed.repartition("row").groupBy("row").agg(F.collect_list(F.struct(*[c for c in listed.columns if c != "row"])).alias("listed"))
     kept = ["doc_id", "held_out", "n_tokens", "n_known", "log_counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u = untied.value
-        for part in whole_texts(["ids", "own", "times", "listed", *kept], batches, batch_tokens):
+        for part in whole_texts(["ids", "own", "times", "listed", *kept], batches, batch_tokens // 2):
             ids = [np.frombuffer(x.as_py(), np.uint16) for x in part["ids"]]
             times = part["times"].combine_chunks()
             sizes = times.value_lengths().to_numpy()
             starts, times = np.cumsum(sizes) - sizes, times.flatten().to_numpy(zero_copy_only=False)
             found = part["listed"].combine_chunks()
             at = np.repeat(starts, found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            j, n_found, e_found = found.flatten().flatten()
+            j, n_found, *shares = found.flatten().flatten()
             at = at + j.to_numpy()
             n, e = np.zeros(len(times), np.int64), np.zeros((len(times), len(u.model.move)))
-            n[at], e[at] = n_found.to_numpy(), e_found.flatten().to_numpy().reshape(-1, e.shape[1])
+            n[at] = n_found.to_numpy()
+            e[at] = n[at][:, None] * unpacked_shares(np.stack([x.to_numpy() for x in shares], 1), e.shape[1])
             own = np.concatenate([np.where(x < u.known, x, x + s) for x, s in
                                   zip((np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in part["own"]), starts, strict=True)])
             lengths = np.array([len(x) for x in ids])
