@@ -1,8 +1,11 @@
 """Benchmark decontamination: planted leaks, slots, and brute force."""
 import re
 
+import duckdb
+import pandas as pd
 from edges import edge_docs, empty_docs, rows_of
 
+from tidemark.llm.queries import OP2_SQL
 from tidemark.llm.template_decontam import contaminated
 
 ITEM = "On Monday afternoon Tom bought 12 apples and gave 3 kg to Anna, then Tom ate 12 of them quickly before dinner time."
@@ -51,6 +54,43 @@ def test_both_joins_agree(spark):
     assert found(spark, docs) == found(spark, docs, max_broadcast_windows=0)
 
 
+SHORT = [(1, "Compute 12 * 7 + 3 / 4 - 9"), (2, "Name the largest planet"), (3, "日本で一番高い山は何という名前ですか。"),
+         (4, "Paris"), (5, "1 2 3 4 5 6 7 8 9 10 11 12"), (6, "..."), (7, None)]
+
+
+def test_items_without_windows_are_found_by_their_whole_sequence(spark):
+    docs = ["Please do this: compute 12 * 7 + 3 / 4 - 9!", "Compute 12 * 7 + 3 / 4 - 8", "Now name the LARGEST planet, please",
+            "name the largest of all planet names", "次の問い：日本で一番高い山は何という名前ですか？", "We flew to Paris in May", "paris!",
+            "count: 0 1 2 3 4 5 6 7 8 9 10 11 12 13", "1 2 3 4 5 6 7 8 9 10 11 and 12", "", None, "!!!"]
+    want = {(0, 1), (2, 2), (4, 3), (6, 4), (7, 5)}
+    for most in (500_000, 0):
+        got = found(spark, docs, SHORT, max_broadcast_windows=most)
+        assert set(got) == want
+        assert all(r.coverage == 1.0 and r.n_matched == r.n_windows for r in got.values())
+    assert got[7, 5].n_windows == 8 and got[2, 2].n_windows == 1
+
+
+def test_the_sql_has_every_rule(spark):
+    """Long items, runs, slots and items without windows: the registered SQL gives the operator's rows."""
+    words = [f"{a}{b}" for a in ("river", "stone", "cloud", "grain", "flame", "shore", "field", "tower") for b in "abcdefghijklmnopqrstuvwxy"]
+    numbered = words[:60] + ["7", "8", "9"] + words[60:]
+    items = [(11, " ".join(words)), (12, " ".join(numbered)), (13, ITEM), (14, PLAIN), *SHORT]
+    docs = [f"before it {' '.join(words[70:120])} and after", " ".join(words[70:90]), " ".join(words[40:60] + ["7", "8", "9"] + words[60:80]),
+            " ".join(words[40:60] + ["1", "2", "2"] + words[60:80]), " ".join(words[50:60] + ["1", "1", "2"] + words[60:70]),
+            ITEM.replace("Tom", "Bob").replace("12", "15"), PLAIN[:60], "Now name the LARGEST planet", "paris",
+            "compute 12 * 7 + 3 / 4 - 9", "日本で一番高い山は何という名前ですか", None, ""]
+    d, b = pd.DataFrame({"doc_id": range(len(docs)), "text": docs}), pd.DataFrame(items, columns=["item_id", "text"])
+    con = duckdb.connect()
+    con.register("documents", d)
+    con.register("benchmark", b)
+    got = found(spark, docs, items)
+    want = con.execute(OP2_SQL).df()
+    names = ["n_windows", "n_matched", "coverage", "n_slots", "consistent"]
+    assert {k: tuple(r[n] for n in names) for k, r in got.items()} == {
+        (r.doc_id, r.item_id): tuple(getattr(r, n) for n in names) for r in want.itertuples()}
+    assert {(0, 11), (2, 12), (7, 2), (8, 4), (9, 1), (10, 3)} <= set(got) and (1, 11) not in got
+
+
 def brute(docs, items, k=5):
     words = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
     grams = lambda w: {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}

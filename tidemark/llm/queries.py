@@ -51,8 +51,9 @@ placed AS (SELECT side, id, s, i AS pos, tokens[i:i+4] AS w, raw[i:i+4] AS r
            FROM (SELECT *, unnest(range(1, greatest(len(tokens) - 3, 1))) AS i FROM listed)),
 windows AS (SELECT * FROM placed WHERE len(list_filter(w, lambda x: x NOT IN ('@2', '@3', '@4'))) >= 3),
 sizes AS (SELECT id AS item_id, s, count(*) AS n_windows FROM windows WHERE side = 'item' GROUP BY id, s),
-hits AS (SELECT d.id AS doc_id, b.id AS item_id, d.s AS s, d.pos - b.pos AS shift, b.pos AS pos, d.w AS w, b.r AS a, d.r AS b
-         FROM windows d JOIN windows b ON d.side = 'doc' AND b.side = 'item' AND d.s = b.s AND d.w = b.w),
+places AS (SELECT *, row_number() OVER (PARTITION BY id, s ORDER BY pos) AS place FROM windows WHERE side = 'item'),
+hits AS (SELECT d.id AS doc_id, b.id AS item_id, d.s AS s, d.pos - b.pos AS shift, b.pos AS pos, b.place AS place, d.w AS w, b.r AS a, d.r AS b
+         FROM windows d JOIN places b ON d.side = 'doc' AND d.s = b.s AND d.w = b.w),
 slots AS (SELECT doc_id, item_id, s, shift, pos, w[j] AS type, a[j] AS a, b[j] AS b
           FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS j FROM hits) WHERE w[j] IN ('@2', '@3', '@4')),
 alignments AS (SELECT doc_id, item_id, s, shift, count(DISTINCT (type, a, b)) AS n_slots,
@@ -60,19 +61,41 @@ alignments AS (SELECT doc_id, item_id, s, shift, count(DISTINCT (type, a, b)) AS
                       count(DISTINCT (type, a, b)) = count(DISTINCT (type, b)) AS consistent
                FROM slots GROUP BY ALL),
 differ AS (SELECT DISTINCT doc_id, item_id, s, shift, pos FROM slots WHERE a <> b),
-judged AS (SELECT h.doc_id, h.item_id, h.s, h.pos, coalesce(l.consistent, true) AS consistent,
+judged AS (SELECT h.doc_id, h.item_id, h.s, h.shift, h.pos, h.place, coalesce(l.consistent, true) AS consistent,
                   coalesce(l.n_slots, 0) AS n_slots, x.pos IS NULL AS same
            FROM hits h LEFT JOIN alignments l USING (doc_id, item_id, s, shift)
            LEFT JOIN differ x USING (doc_id, item_id, s, shift, pos)),
-covered AS (SELECT doc_id, item_id, s, n_windows, count(DISTINCT pos) FILTER (WHERE consistent) AS good,
-                   count(DISTINCT pos) FILTER (WHERE same) AS same, max(n_slots) FILTER (WHERE consistent) AS n_slots
-            FROM judged JOIN sizes USING (item_id, s) GROUP BY doc_id, item_id, s, n_windows),
-found AS (SELECT doc_id, item_id, s, n_windows, good >= 0.3 * n_windows AS consistent,
-                 CASE WHEN good >= 0.3 * n_windows THEN good ELSE same END AS n_matched,
-                 CASE WHEN good >= 0.3 * n_windows THEN coalesce(n_slots, 0) ELSE 0 END AS n_slots
-          FROM covered WHERE good >= 0.3 * n_windows OR same >= 0.5 * n_windows)
+runs AS (SELECT doc_id, item_id, s, bool_or(consistent) AS run, bool_or(same) AS same_run
+         FROM (SELECT doc_id, item_id, s, false AS consistent, true AS same
+               FROM (SELECT *, place - row_number() OVER (PARTITION BY doc_id, item_id, s, shift ORDER BY place) AS stretch FROM judged WHERE same)
+               GROUP BY doc_id, item_id, s, shift, stretch HAVING count(*) >= 20
+               UNION ALL SELECT doc_id, item_id, s, true, false
+               FROM (SELECT *, place - row_number() OVER (PARTITION BY doc_id, item_id, s, shift ORDER BY place) AS stretch FROM judged WHERE consistent)
+               GROUP BY doc_id, item_id, s, shift, stretch HAVING count(*) >= 20)
+         GROUP BY doc_id, item_id, s),
+covered AS (SELECT j.doc_id, j.item_id, j.s, n_windows, count(DISTINCT pos) FILTER (WHERE consistent) AS good,
+                   count(DISTINCT pos) FILTER (WHERE same) AS same, max(n_slots) FILTER (WHERE consistent) AS n_slots,
+                   coalesce(any_value(run), false) AS run, coalesce(any_value(same_run), false) AS same_run
+            FROM judged j JOIN sizes USING (item_id, s) LEFT JOIN runs USING (doc_id, item_id, s) GROUP BY j.doc_id, j.item_id, j.s, n_windows),
+accepted AS (SELECT *, good >= 0.3 * n_windows OR run AS consistent FROM covered),
+found AS (SELECT doc_id, item_id, s, n_windows, consistent,
+                 CASE WHEN consistent THEN good ELSE same END AS n_matched,
+                 CASE WHEN consistent THEN coalesce(n_slots, 0) ELSE 0 END AS n_slots
+          FROM accepted WHERE consistent OR same >= 0.5 * n_windows OR same_run),
+sequences AS (SELECT * FROM (SELECT side, id, regexp_extract_all(lower(text), '\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}]+') AS t
+                             FROM src WHERE text IS NOT NULL) WHERE len(t) > 0),
+short AS (SELECT id, t, '|' || array_to_string(t, '|') || '|' AS x,
+                 length(array_to_string(t, '')) >= 10 AND (len(t) >= 3 OR regexp_matches(array_to_string(t, ' '),
+                   '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]')) AS inside
+          FROM sequences WHERE side = 'item' AND id NOT IN (SELECT item_id FROM sizes)),
+wholes AS (SELECT DISTINCT d.id AS doc_id, i.id AS item_id, CASE WHEN inside THEN greatest(len(i.t) - 4, 1) ELSE 1 END AS n_windows
+           FROM (SELECT id, t, '|' || array_to_string(t, '|') || '|' AS x FROM sequences
+                 WHERE side = 'doc' AND EXISTS (SELECT 1 FROM short)) d
+           JOIN short i ON CASE WHEN inside THEN contains(d.x, i.x) ELSE d.x = i.x END),
+best AS (
 SELECT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS coverage, n_slots, consistent FROM found
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched / n_windows DESC, consistent DESC, s) = 1
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched / n_windows DESC, consistent DESC, s) = 1)
+SELECT * FROM best UNION ALL SELECT doc_id, item_id, n_windows, n_windows, 1.0::DOUBLE, 0, true FROM wholes
 """.replace("@1", "\ue001").replace("@2", "\ue002").replace("@3", "\ue003").replace("@4", "\ue004")
 
 

@@ -13,12 +13,16 @@ A document is contaminated by an item if the matched windows cover at least
 ``min_cover`` of the item's windows (``min_cover_same`` for alignments that failed), or if one
 alignment matches ``min_run`` of the item's windows in a row, whatever share of a long item they are.
 
+Items without a used window (few tokens, mostly numbers, a script without blanks) are found by their whole
+sequence of tokens, values as they are: its windows of five (of all its tokens, if fewer) must all match in one alignment.
+That needs three tokens at least, or a script without blanks, and ten letters and digits; a shorter item is found only
+where it is all that a document holds. The documents are read for this only if there are such items.
+
 The document side is never shuffled while the benchmark's windows are few enough to
 broadcast (counted first); otherwise both sides are shuffled by the window hash. Groups hold at most as many
 entries as an item has windows.
 
-Defined results: null and empty texts match nothing; items with fewer than five tokens have no
-window and match nothing; windows with fewer than ``min_words`` plain words are not
+Defined results: null and empty texts, and texts without letters and digits, match nothing; windows with fewer than ``min_words`` plain words are not
 used; repeated rows and null ids: rows of an id are one document, null one id of its own. Other columns
 are not read. Empty tables give an empty result.
 """
@@ -42,6 +46,9 @@ AFTER_NUMBER = rf"({NUMBER} +)(?:{'|'.join(UNITS)})([^\p{{L}}\p{{M}}\p{{N}}]|$)"
 TOKENS = rf"[\p{{L}}\p{{M}}]+|[{NAME}{NUMBER}{UNIT}]"
 RAW_TOKENS = rf"{MARK}[^{MARK}]*{MARK}|{NUMBERS}|[\p{{L}}\p{{M}}]+"
 WINDOW = 5
+VALUES = rf"{NUMBERS}|[\p{{L}}\p{{M}}]+"
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+SHORT_TOKENS, SHORT_CHARS = 3, 10  #: what an item without windows needs to be looked for inside texts
 
 
 def _tokens(stream: int) -> Column:
@@ -132,19 +139,70 @@ def _has_run(places: Column, least: int) -> Column:
     return F.coalesce(F.exists(ends, lambda x: F.coalesce(x, F.lit(False))), F.lit(False))
 
 
+def _sequences(rows: DataFrame) -> DataFrame:
+    """``(id, tokens)``: words and numbers as they are, lower-cased; texts without any are left out."""
+    tokens = F.regexp_extract_all(F.lower(F.col("text")), F.lit(VALUES), F.lit(0))
+    return rows.where(F.col("text").isNotNull()).select("id", tokens.alias("tokens")).where(F.size("tokens") > 0)
+
+
+def _runs_of(tokens: Column, sizes: list[int]) -> Column:
+    """``(k, pos, h)`` of all runs of k tokens, for each k of ``sizes`` (1 to five)."""
+    def of_size(k: int) -> Column:
+        single = F.transform(tokens, lambda t: F.xxhash64(t))
+        hashes = single
+        for i in range(1, k):
+            hashes = F.zip_with(hashes, F.slice(single, i + 1, F.size(single)), lambda a, b: F.xxhash64(a, b))
+        whole = F.slice(hashes, 1, F.greatest(F.size(hashes) - (k - 1), F.lit(0)))
+        return F.transform(whole, lambda h, i: F.struct(F.lit(k).alias("k"), i.alias("pos"), h.alias("h")))
+
+    return F.concat(*(of_size(k) for k in sizes))
+
+
+def short_matches(docs: DataFrame, items: DataFrame, used: DataFrame, max_broadcast_windows: int) -> DataFrame | None:
+    """``(doc_id, item_id, n_windows)`` of items that have no row in ``used`` and whose whole sequence a document holds; None without such items."""
+    listed = items.join(used.select(F.col("item_id").alias("id")).distinct(), "id", "left_anti")
+    chars = F.length(F.array_join("tokens", ""))
+    inside = (chars >= SHORT_CHARS) & ((F.size("tokens") >= SHORT_TOKENS) | F.array_join("tokens", " ").rlike(UNSPACED))
+    short = _sequences(listed).withColumn("inside", inside).withColumn("k", F.least(F.size("tokens"), F.lit(WINDOW)))
+    counts = short.groupBy("inside", "k").agg(F.sum(F.size("tokens")).alias("n")).collect()  # ten rows at most
+    if not counts:
+        return None
+    few = sum(r["n"] for r in counts) <= max_broadcast_windows
+    fit = F.broadcast if few else (lambda df: df)
+    own = _sequences(docs)
+    found = []
+    if any(not r["inside"] for r in counts):
+        whole = short.where(~F.col("inside")).select(F.col("id").alias("item_id"), F.xxhash64("tokens").alias("h"), "tokens")
+        hits = own.withColumn("h", F.xxhash64("tokens")).join(fit(whole.withColumnRenamed("tokens", "of_item")), "h")
+        found.append(hits.where("tokens = of_item").select(F.col("id").alias("doc_id"), "item_id", F.lit(1).cast("long").alias("n_windows")))
+    sizes = sorted({r["k"] for r in counts if r["inside"]})
+    if sizes:
+        windows = (short.where("inside").withColumn("w", F.explode(_runs_of(F.col("tokens"), sizes))).where("w.k = k")
+                   .select(F.col("id").alias("item_id"), "w.k", F.col("w.pos").alias("item_pos"), "w.h",
+                           (F.size("tokens") - F.col("k") + 1).cast("long").alias("n_windows")))
+        runs = own.select(F.col("id").alias("doc_id"), F.explode(_runs_of(F.col("tokens"), sizes)).alias("w")).select("doc_id", "w.*")
+        found.append(runs.join(fit(windows), ["k", "h"])
+                     .groupBy("doc_id", "item_id", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"))
+                     .agg(F.countDistinct("item_pos").alias("n")).where("n = n_windows").select("doc_id", "item_id", "n_windows"))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_cover: float = 0.3, min_cover_same: float = 0.5, min_run: int = 20,
                  min_words: int = 3, max_broadcast_windows: int = 500_000, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``(doc_id, item_id, n_windows, n_matched, coverage, n_slots, consistent)`` of contaminated pairs."""
-    items = item_windows(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text")), min_words)
+    given = benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    items = item_windows(given, min_words)
     items = items.select(F.col("id").alias("item_id"), "s", F.col("pos").alias("item_pos"), "h",
                          "types", F.col("raw").alias("item_raw"))
     # places among the item's used windows: a run goes on over windows that are not used
     items = items.withColumn("place", F.dense_rank().over(Window.partitionBy("item_id", "s").orderBy("item_pos")))
     sizes = items.groupBy("item_id", "s").agg(F.countDistinct("item_pos").alias("n_windows"))
+    short = short_matches(texts, given, sizes, max_broadcast_windows)
     if items.count() <= max_broadcast_windows:
         items, sizes = F.broadcast(items), F.broadcast(sizes)
-    own = document_windows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), min_words)
+    own = document_windows(texts, min_words)
     own = own.select(F.col("id").alias("doc_id"), "s", "pos", "h", F.col("raw").alias("doc_raw"))
     hits = own.join(items, ["h", "s"]).where(F.col("doc_raw").isNull() == F.col("types").isNull())
     slots = F.expr(f"filter(transform(types, (t, i) -> struct(t AS type, item_raw[i] AS a, doc_raw[i] AS b)), "
@@ -174,5 +232,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_cover: float = 0.
     best = F.struct((found / F.col("n_windows")).alias("coverage"), F.col("consistent"), (-F.col("s")).alias("o"),
                     found.alias("n_matched"), F.col("n_windows"),
                     F.coalesce(F.when(F.col("consistent"), F.col("n_slots")), F.lit(0)).cast("long").alias("n_slots"))
-    return (covered.groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
-            .select("doc_id", "item_id", "best.n_windows", "best.n_matched", "best.coverage", "best.n_slots", "best.consistent"))
+    pairs = (covered.groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
+             .select("doc_id", "item_id", "best.n_windows", "best.n_matched", "best.coverage", "best.n_slots", "best.consistent"))
+    if short is None:
+        return pairs
+    return pairs.unionByName(short.select("doc_id", "item_id", "n_windows", F.col("n_windows").alias("n_matched"),
+                                          F.lit(1.0).alias("coverage"), F.lit(0).cast("long").alias("n_slots"), F.lit(True).alias("consistent")))
