@@ -144,11 +144,11 @@ def _add_floats(held: bytes | None, payload: bytes) -> bytes:
 
 
 ENCODED = ("row long, doc_id long, held_out boolean, ids binary, own binary, n_tokens long, n_known long, "
-           "log_counts double, words array<string>, times array<int>")
+           "log_counts double, words binary, times array<int>")
 
 
 def encode(docs: DataFrame, vocabulary) -> DataFrame:
-    """Symbol ids and count sums of ``(doc_id, text, held_out)`` rows; words that aren't in memory are listed with their times.
+    """Symbol ids and count sums of ``(doc_id, text, held_out)`` rows; words that aren't in memory are listed (joined by blanks) with their times.
 
     ``own`` tells the words behind the class symbols, in text order: the place of one in memory, or the size of the memory plus its place in the list.
     """
@@ -176,12 +176,12 @@ def encode(docs: DataFrame, vocabulary) -> DataFrame:
                         ids[missing] = v.core + 1 + of[at[missing] - len(v.index)]
                         times = np.bincount(at[missing] - len(v.index)).tolist()
                     values = (row, doc, held, ids.tobytes(), at[at >= v.core].astype(np.int32).tobytes(), len(ids),
-                              len(seen) + (v.ends > 0), v.log_count[seen].sum() + v.log_end, [w.decode("utf-8") for w in place], times)
+                              len(seen) + (v.ends > 0), v.log_count[seen].sum() + v.log_end, b" ".join(place), times)
                     for column, value in zip(out, values, strict=True):
                         column.append(value)
                     row += 1
                 kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(),
-                         pa.list_(pa.string()), pa.list_(pa.int32())]
+                         pa.binary(), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
                                                  names=[x.split(" ")[0] for x in ENCODED.split(", ")])
 
@@ -431,7 +431,8 @@ def listed_counts(encoded: DataFrame, model, states: int, core: int, known: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_texts(columns, batches, batch_tokens):
-            lengths = np.array([len(x) for x in rows["words"].to_pylist()], np.int64)
+            times = rows["times"].combine_chunks()
+            lengths = times.value_lengths().to_numpy().astype(np.int64)
             starts = np.cumsum(lengths) - lengths
             e = np.zeros((lengths.sum(), states))
             learned = ~rows["held_out"].to_numpy()
@@ -446,8 +447,8 @@ def listed_counts(encoded: DataFrame, model, states: int, core: int, known: int,
                     posterior = expected_counts(model.value, pieces, lo, hi)[2]
                     part = own[pieces.offsets[lo]:pieces.offsets[lo] + len(posterior)]
                     e += _by_state(part[part >= 0], posterior[part >= 0], len(e))
-            words, times = (rows[c].combine_chunks().flatten() for c in ("words", "times"))
-            times = times.to_numpy(zero_copy_only=False)
+            words = pa.array([w for x in rows["words"].to_pylist() for w in x.split(b" ")], pa.binary()).cast(pa.string())
+            times = times.flatten().to_numpy(zero_copy_only=False)
             shares = packed_shares(e / times[:, None])
             values = [words, pa.array(np.repeat(rows["row"].to_numpy(), lengths)),
                       pa.array((np.arange(len(e)) - np.repeat(starts, lengths)).astype(np.int32)),
@@ -457,7 +458,7 @@ def listed_counts(encoded: DataFrame, model, states: int, core: int, known: int,
             yield from slices(out, 20_000)
 
     schema = "word string, row long, j int, n int, " + ", ".join(f"{x} long" for x in names)
-    pairs = encoded.where(F.size("words") > 0).select(*columns).mapInArrow(run, schema)
+    pairs = encoded.where(F.size("times") > 0).select(*columns).mapInArrow(run, schema)
     word = Window.partitionBy("word")
     sums = [F.sum(F.col("n") * F.shiftrightunsigned(x, 16 * i).bitwiseAND(ONE)).over(word).alias(f"{x}_{i}") for x in names for i in range(4)]
     summed = pairs.select("row", "j", F.sum("n").over(word).alias("n"), *sums).where("n > 0")
