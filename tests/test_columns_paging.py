@@ -82,6 +82,17 @@ def test_pages_split_a_hot_key_and_hot_nulls(spark):
     assert max(r["count"] for r in groups) <= 3 * 40, sorted(r["count"] for r in groups)
 
 
+def test_small_buckets_of_many_rows_stay_few_partitions(spark):
+    from tidemark.operators.paging import n_buckets, positions, row_hash
+    df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("k"))
+    assert positions(df.withColumn("_h", row_hash(df)), "k", 5).agg(F.max("_p")).collect()[0][0] < 100
+    got = page(df, "k", 100, rows_per_bucket=5).collect()
+    assert len(got) == 3000 and all(r.row_index == r.k and r.batch_id == r.k // 100 for r in got)
+    assert n_buckets(0, 5) == 1 and n_buckets(97, 10) == 10
+    assert n_buckets(54_000_000, 300) == n_buckets(54_000_000, 1000) == 216
+    assert n_buckets(54_000_000, 4_000_000) == 14
+
+
 @pytest.mark.parametrize("kind", ["bigint", "decimal(38,0)", "string", "date"])
 def test_pages_of_any_orderable_key(spark, kind):
     """Keys above 2^53, wide decimals, text and dates keep their exact order."""

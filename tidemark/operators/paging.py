@@ -8,7 +8,8 @@ meant, but without the missing ORDER BY.
 Plan (every step distributed; the driver sees one row per range partition):
 
 1. rows are range-partitioned by ``(key, row hash)`` in the key's own type, into
-   ``ceil(rows / rows_per_bucket)`` partitions, and sorted inside. The bounds are sampled
+   ``ceil(rows / rows_per_bucket)`` partitions, and sorted inside; of more than ``FEW_BUCKETS``,
+   each holds ``ROWS_OF_A_TASK`` rows at least, however few are asked for. The bounds are sampled
    from the rows; as the hash is a part of the order, a key value (or NULL)
    that holds a third of the table is split over as many partitions as it fills.
    Any orderable key works: big integers, wide decimals, dates, text;
@@ -34,6 +35,8 @@ from tidemark.session import checkpoint_dir
 
 SPARE_ROWS = 10_000  # that a selection may hold beside its page
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
+FEW_BUCKETS = 64  # up to so many partitions are as small as asked for
+ROWS_OF_A_TASK = 250_000  # beyond that: samples, tasks and files grow with the rows, not with rows / rows_per_bucket
 _PLACE_BITS = (1 << 33) - 1  # monotonically_increasing_id holds the place in its low 33 bits
 
 
@@ -45,10 +48,16 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(_q(c)) for c in df.columns])
 
 
+def n_buckets(n_rows: int, rows_per_bucket: int) -> int:
+    """Range partitions for so many rows."""
+    asked = math.ceil(n_rows / max(1, rows_per_bucket))
+    return max(1, min(asked, max(FEW_BUCKETS, math.ceil(n_rows / ROWS_OF_A_TASK))))
+
+
 def positions(rows: DataFrame, key: str, rows_per_bucket: int) -> DataFrame:
     """``rows`` (with a hash column ``_h``) plus ``_p``, ``_i`` (partition and place in it) and ``_offset``."""
     spark = rows.sparkSession
-    n = max(1, math.ceil(rows.count() / max(1, rows_per_bucket)))
+    n = n_buckets(rows.count(), rows_per_bucket)
     order = [F.col(_q(key)).asc_nulls_first(), F.col("_h").asc()]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
