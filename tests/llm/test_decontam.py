@@ -4,6 +4,7 @@ import re
 import duckdb
 import pandas as pd
 from edges import edge_docs, empty_docs, rows_of
+from pyspark.sql import functions as F
 
 from tidemark.llm.queries import OP2_SQL
 from tidemark.llm.template_decontam import contaminated
@@ -118,3 +119,21 @@ def test_edge_rows(spark):
     assert (120, 1, 1.0) in got and (None, 1) not in {r[:2] for r in got if r[2] > 0.9}
     assert contaminated(empty_docs(spark), items).count() == 0
     assert contaminated(edge_docs(spark), items.limit(0)).count() == 0
+
+
+def test_documents_are_tokenised_once_a_stream(spark):
+    """Texts without names are told by a short pattern; a stream's plain and slotted windows come from one reading."""
+    from tidemark.llm.template_decontam import HAS_NAMES, MAY_HAVE_NAMES, NAMES, document_windows, item_windows
+    texts = ["", "Al", "He saw Anna Bell, and Bob.", "x Al", "X Al", "3 Al", ", Al", ". Al", "é Él", "x  Al", "x AL", " Al", "\n Al", "x Al",
+             "\U00010428 \U00010400\U00010428", "\U0001d7cf Al", "\U0001f600 Al", "one two three four 5 kg six seven", "Anna of the 7 hills saw Bob Carr near the old mill"]
+    df = spark.createDataFrame(list(enumerate([*texts, None])), "id long, text string")
+    told = df.where((F.col("text").rlike(MAY_HAVE_NAMES) & F.col("text").rlike(HAS_NAMES)) != F.col("text").rlike(NAMES))
+    assert told.count() == 0
+    own = document_windows(df, 3)
+    plan = own._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 3, plan
+    got = {(r.id, r.s, r.pos, r.h) for r in own.where("raw IS NOT NULL").collect()}
+    items = item_windows(df, 3)
+    assert got and got == {(r.id, r.s, r.pos, r.h) for r in items.where("types IS NOT NULL").collect()}
+    plain = item_windows(df, 0)
+    assert {(r.id, r.s, r.pos, r.h) for r in own.where("raw IS NULL").collect()} == {(r.id, r.s, r.pos, r.h) for r in plain.collect()}

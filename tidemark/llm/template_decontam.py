@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 #: Placeholders: private-use characters that mark a name's ends, and stand for a name, a number, a unit.
 MARK, NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003", "\ue004"
 NAMES = r"([\p{Ll}\p{N},;] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
+#: The first is found wherever the second is, and seldom elsewhere (behind surrogates): most characters fail at the blank. The second is found where ``NAMES`` is.
+MAY_HAVE_NAMES, HAS_NAMES = r" (?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N},;\p{Cs}] )", r"[\p{Ll}\p{N},;] \p{Lu}\p{Ll}"
 NUMBERS = r"\p{N}+(?:[.,]\p{N}+)*"
 #: Unit words that count as units after a number.
 UNITS = ("kg g mg km m cm mm mile miles foot feet ft inch inches pound pounds lb lbs oz l ml liter liters litre litres "
@@ -67,19 +69,21 @@ def _let(value: Column, body) -> Column:
 def _hashes(tokens: Column) -> Column:
     """Hashes of all windows of an array of tokens, in order; null for fewer tokens than a window has.
 
-    Words are hashed once; two, four and five words are combined from shifted arrays,
-    which costs three passes over longs instead of a slice for every window.
+    Words are hashed once; a window is hashed from the hashes of its words.
     """
-    def pair(left: Column, right: Column, by: int) -> Column:
-        return F.zip_with(left, F.slice(right, by + 1, F.size(right)), lambda a, b: F.xxhash64(a, b))
-
-    def five(w1: Column) -> Column:
-        w5 = _let(pair(w1, w1, 1), lambda w2: _let(pair(w2, w2, 2), lambda w4: pair(w4, w1, 4)))
-        return F.when(F.size(w1) >= WINDOW, F.slice(w5, 1, F.size(w1) - (WINDOW - 1)))
+    def five(words: Column) -> Column:
+        first = F.slice(words, 1, F.size(words) - (WINDOW - 1))
+        windows = F.transform(first, lambda w, i: F.xxhash64(w, *(F.get(words, i + k) for k in range(1, WINDOW))))
+        return F.when(F.size(words) >= WINDOW, windows)
 
     return _let(F.transform(tokens, lambda t: F.xxhash64(t)), five)
 
 
+def _of_stream(h: str) -> Column:
+    """A hash that differs by the stream ``s``: a join by one long is much cheaper than by two columns."""
+    return F.when(F.col("s") == 1, F.bitwise_not(h)).otherwise(F.col(h)).alias(h)
+
+
 def _read(rows: DataFrame, stream: int) -> DataFrame:
     """``(id, x)`` of marked texts: canonical tokens, raw values, places of slots, window hashes."""
     raw = F.regexp_extract_all(F.lower(F.col("text")), F.lit(RAW_TOKENS), F.lit(0))
@@ -102,7 +106,8 @@ def _streams(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     reserved = reduce(Column.__or__, [F.col("text").contains(c) for c in (MARK, NAME, NUMBER, UNIT)])
     clean = F.when(reserved, F.regexp_replace("text", f"[{MARK}-{UNIT}]", " ")).otherwise(F.col("text"))
     given = texts.where(F.col("text").isNotNull()).select("id", clean.alias("text"))
-    return given, given.withColumn("text", F.regexp_replace("text", NAMES, f"$1{MARK}$2{MARK}")).where(F.col("text").contains(MARK))
+    named = given.where(F.col("text").rlike(MAY_HAVE_NAMES) & F.col("text").rlike(HAS_NAMES))
+    return given, named.withColumn("text", F.regexp_replace("text", NAMES, f"$1{MARK}$2{MARK}"))
 
 
 def item_windows(items: DataFrame, min_words: int) -> DataFrame:
@@ -119,16 +124,21 @@ def document_windows(docs: DataFrame, min_words: int) -> DataFrame:
 
     Every window has a row without ``raw``; one that holds a slot has a second row with its values,
     and only that may be matched by an item's window with slots. Few windows hold one, so
-    nearly all rows are a few numbers.
+    nearly all rows are a few numbers. Every text is tokenised once a stream.
     """
     literal, named = _streams(docs)
-    numbered = literal.where(F.col("text").rlike(r"\p{N}"))
+    numbered = F.col("text").rlike(r"\p{N}")
+    words = F.regexp_extract_all(F.lower("text"), F.lit(TOKENS), F.lit(0))  # texts without numbers and marks have no slots
+    parts = [literal.where(~numbered).select("id", F.posexplode(_hashes(words)).alias("pos", "h"))
+             .select("id", F.lit(0).alias("s"), "pos", "h", F.lit(None).cast("array<string>").alias("raw"))]
     near = f"array_distinct(flatten(transform(x.slots, p -> sequence(greatest(p - {WINDOW - 1}, 0), p))))"
-    parts = []
-    for stream, rows, slotted in ((0, literal, numbered), (1, named, named)):
-        parts.append(rows.select("id", F.posexplode(_hashes(_tokens(stream))).alias("pos", "h"))
-                     .select("id", F.lit(stream).alias("s"), "pos", "h", F.lit(None).cast("array<string>").alias("raw")))
-        parts.append(_windows_at(_read(slotted, stream), near, stream, min_words).drop("types"))
+    enough = f"size(filter(slice(x.tokens, i + 1, {WINDOW}), t -> NOT t BETWEEN '{NAME}' AND '{UNIT}')) >= {int(min_words)}"
+    both = F.expr(f"""flatten(transform(array(x), x -> concat(
+        transform(x.h, (h, i) -> named_struct('pos', i, 'h', h, 'raw', CAST(NULL AS array<string>))),
+        transform(filter({near}, i -> i < size(x.h) AND {enough}),
+                  i -> named_struct('pos', i, 'h', element_at(x.h, i + 1), 'raw', slice(x.raw, i + 1, {WINDOW}))))))""")
+    for stream, rows in ((0, literal.where(numbered)), (1, named)):
+        parts.append(_read(rows, stream).select("id", F.explode(both).alias("w")).select("id", F.lit(stream).alias("s"), "w.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -194,7 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_cover: float = 0.
     given = benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     items = item_windows(given, min_words)
-    items = items.select(F.col("id").alias("item_id"), "s", F.col("pos").alias("item_pos"), "h",
+    items = items.select(F.col("id").alias("item_id"), "s", F.col("pos").alias("item_pos"), _of_stream("h"),
                          "types", F.col("raw").alias("item_raw"))
     # places among the item's used windows: a run goes on over windows that are not used
     items = items.withColumn("place", F.dense_rank().over(Window.partitionBy("item_id", "s").orderBy("item_pos")))
@@ -203,8 +213,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_cover: float = 0.
     if items.count() <= max_broadcast_windows:
         items, sizes = F.broadcast(items), F.broadcast(sizes)
     own = document_windows(texts, min_words)
-    own = own.select(F.col("id").alias("doc_id"), "s", "pos", "h", F.col("raw").alias("doc_raw"))
-    hits = own.join(items, ["h", "s"]).where(F.col("doc_raw").isNull() == F.col("types").isNull())
+    own = own.select(F.col("id").alias("doc_id"), "pos", _of_stream("h"), F.col("raw").alias("doc_raw"))
+    hits = own.join(items, "h").where(F.col("doc_raw").isNull() == F.col("types").isNull())
     slots = F.expr(f"filter(transform(types, (t, i) -> struct(t AS type, item_raw[i] AS a, doc_raw[i] AS b)), "
                    f"x -> x.type between '{NAME}' and '{UNIT}')")
     aligned = (hits.withColumn("slots", F.when(F.col("types").isNotNull(), slots))
