@@ -3,6 +3,7 @@ import collections
 import itertools
 import math
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -195,3 +196,22 @@ def test_words_in_memory_and_empty_table(spark):
         assert abs(len(kept) - min(most, 4100)) <= 0.05 * most + 1
         assert most <= 4000 or sum(r.n == 200 for r in kept) == 4000
     assert score_texts(empty_docs(spark)).count() == 0
+
+
+def test_a_step_makes_few_calls_and_gives_the_posteriors_of_single_precision():
+    """Steps take rows and sum by products; the sums over a short axis and the double indexing took half of a step."""
+    rng = np.random.default_rng(3)
+    model = Model.first(rng.random(30) / 15, 8, 5)
+    sequences = [rng.integers(0, 30, n).astype(np.uint16) for n in (1, 2, 40, 7, 300)]
+    pieces = Pieces(model, sequences, 64)
+    calls = []
+    profiled = lambda frame, event, f: calls.append(f.__name__) if event == "c_call" else None
+    sys.setprofile(profiled)
+    try:
+        _, moved, posterior = expected_counts(model, pieces, 0, len(pieces.lengths))
+    finally:
+        sys.setprofile(None)
+    steps = int(pieces.lengths.max())
+    assert calls.count("take") == 2 * (2 * steps - 1)
+    assert calls.count("reduce") < steps  # only where pieces end
+    assert np.abs(posterior.sum(1) - 1).max() < 1e-5 and abs(moved.sum() - sum(len(x) - 1 for x in sequences)) < 1e-3

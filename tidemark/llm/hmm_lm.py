@@ -29,6 +29,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -155,13 +156,13 @@ def encode(docs: DataFrame, vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary.value
-        get, row = v.index.get, TaskContext.get().partitionId() << 40
+        get, absent, row = v.index.get, repeat(-1), TaskContext.get().partitionId() << 40
         for batch in batches:
             for rows in slices(batch, 256):
                 out: list[list] = [[] for _ in range(10)]
                 for doc, held, text in zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), texts(rows.column(1)), strict=True):
                     words = words_of(text)
-                    at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+                    at = np.fromiter(map(get, words, absent), np.int64, len(words))
                     seen = at[at >= 0]
                     ids = np.empty(len(words) + 1, np.uint16)
                     ids[:-1] = v.symbol[at] if len(v.symbol) else 0
@@ -219,13 +220,18 @@ def by_length(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, active
 
 
+def emitted(emit: np.ndarray, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """``emit[ids[places]]``; numpy takes rows in a third of the time that it indexes them."""
+    return emit.take(ids.take(places), 0)
+
+
 def transfers(model: Model, ids: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Scaled transfer matrix of each piece: from the state at its first token to the state after its last, its tokens emitted."""
     order, active = by_length(lengths)
     offsets, states = offsets[order], len(model.move)
     a = np.tile(np.eye(states), (len(lengths), 1, 1))
     for t, k in enumerate(active):
-        moved = (a[:k] * model.emit[ids[offsets[:k] + t]][:, None, :]).reshape(-1, states) @ model.move
+        moved = (a[:k] * emitted(model.emit, ids, offsets[:k] + t)[:, None, :]).reshape(-1, states) @ model.move
         a[:k] = moved.reshape(k, states, states)
         if t % 16 == 15:  # emissions are above 1e-15, so nothing gets lost in between
             a[:k] /= a[:k].sum((1, 2), keepdims=True)
@@ -287,10 +293,10 @@ def expected_counts(model: Model, pieces: Pieces, lo: int, hi: int):
     emit, move = model.emit.astype(np.float32), model.move.astype(np.float32)
     states, longest, base = len(move), len(active), pieces.offsets[lo]
     alphas, scales = [], []
-    a = None
+    active, ones, a = active.tolist(), np.ones((states, 1), np.float32), None
     for t, k in enumerate(active):
-        a = (pieces.before[order].astype(np.float32) if t == 0 else a[:k] @ move) * emit[pieces.ids[offsets[:k] + t]]
-        c = a.sum(1, keepdims=True)
+        a = (pieces.before[order].astype(np.float32) if t == 0 else a[:k] @ move) * emitted(emit, pieces.ids, offsets[:k] + t)
+        c = a @ ones  # a sum over the last axis takes ten times as long
         a /= c
         alphas.append(a)
         scales.append(c)
@@ -303,7 +309,7 @@ def expected_counts(model: Model, pieces: Pieces, lo: int, hi: int):
         k = active[t]
         now = np.empty((k, states), np.float32)
         if n:
-            ahead = emit[pieces.ids[offsets[:n] + t + 1]] * b / scales[t + 1]
+            ahead = emitted(emit, pieces.ids, offsets[:n] + (t + 1)) * b / scales[t + 1]
             moved += alphas[t][:n].T @ ahead
             now[:n] = ahead @ move.T
         if n < k:  # pieces that end here
@@ -413,7 +419,7 @@ class Untied:
 
     def emissions(self, ids: np.ndarray, own: np.ndarray, n: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """A row a token; ``own`` beyond the words in memory points to rows of ``n`` and ``counts``."""
-        out = self.model.emit[ids]
+        out = self.model.emit.take(ids, 0)
         at = np.flatnonzero(ids > self.core)
         out[at[own < self.known]] *= self.share[own[own < self.known] - self.core]
         rare = own >= self.known
@@ -482,12 +488,12 @@ def forward_log10(start: np.ndarray, move: np.ndarray, emissions: np.ndarray, le
     order, active = by_length(lengths)
     offsets = (np.cumsum(lengths) - lengths)[order]
     total = np.zeros(len(lengths))
-    a = None
-    for t, k in enumerate(active):
-        a = (start if t == 0 else a[:k] @ move) * emissions[offsets[:k] + t]
-        c = a.sum(1)
-        a = a / c[:, None]
-        total[:k] += np.log10(c)
+    ones, a = np.ones((len(move), 1)), None
+    for t, k in enumerate(active.tolist()):
+        a = (start if t == 0 else a[:k] @ move) * emissions.take(offsets[:k] + t, 0)
+        c = a @ ones
+        a /= c
+        total[:k] += np.log10(c[:, 0])
     out = np.empty(len(lengths))
     out[order] = total
     return out
