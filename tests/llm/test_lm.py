@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from edges import edge_docs, empty_docs, rows_of
 
-from tidemark.llm.hmm_lm import CLASSES, PRIOR, SMOOTH, Model, Pieces, baum_welch, class_of, expected_counts, forward_log10, most_frequent, score_texts
+from tidemark.llm.hmm_lm import CLASSES, PRIOR, SMOOTH, Model, Pieces, baum_welch, class_of, expected_counts, forward_log10, most_frequent, row_sums, score_texts
 
 
 def enumerated(model, ids):
@@ -204,6 +204,8 @@ def test_a_step_makes_few_calls_and_gives_the_posteriors_of_single_precision():
     model = Model.first(rng.random(30) / 15, 8, 5)
     sequences = [rng.integers(0, 30, n).astype(np.uint16) for n in (1, 2, 40, 7, 300)]
     pieces = Pieces(model, sequences, 64)
+    short = rng.random((500, 8)).astype(np.float32)
+    assert all(np.array_equal(row_sums(x), x.sum(1, keepdims=True)) for x in (short, short[:, :5].copy(), short.astype(np.float64)))
     calls = []
     profiled = lambda frame, event, f: calls.append(f.__name__) if event == "c_call" else None
     sys.setprofile(profiled)
