@@ -137,3 +137,28 @@ def test_documents_are_tokenised_once_a_stream(spark):
     assert got and got == {(r.id, r.s, r.pos, r.h) for r in items.where("types IS NOT NULL").collect()}
     plain = item_windows(df, 0)
     assert {(r.id, r.s, r.pos, r.h) for r in own.where("raw IS NULL").collect()} == {(r.id, r.s, r.pos, r.h) for r in plain.collect()}
+
+
+def _spans(spark, pattern, text):
+    """Places of all matches of a pattern in Java, in the driver's thread: an overflow there does not end the session."""
+    at, found = spark._jvm.java.util.regex.Pattern.compile(pattern).matcher(text), []
+    while at.find():
+        found.append((at.start(), at.end()))
+    return found
+
+
+def test_long_lists_of_names_do_not_overflow_the_stack(spark, tmp_dir):
+    """The decontamination stage ended the executor by a StackOverflowError at some 2000 capitalised words in a row."""
+    import corpus_pipeline
+    from tidemark.llm.template_decontam import NAMES
+    n = 50_000
+    listed = "the " + " ".join("Von" if i % 3 else "Anna" for i in range(n))
+    assert _spans(spark, NAMES, listed) == [(2, len(listed))]
+    greedy = NAMES.replace("*+", "*")
+    for text in ("a Von Bo Cat, Dan", "x Von Bo C", "x Von  Bo", "x Von BO Bo", "é Él Ünder 7 Al Bo\nCy", "X Al, Bo Cy. Di", ""):
+        assert _spans(spark, NAMES, text) == _spans(spark, greedy, text)
+    docs = [listed, f"{listed} and then. {ITEM}", f"{ITEM} {listed}", "an innocent text", None]
+    assert set(found(spark, docs)) == {(1, 1), (2, 1)}
+    rows = spark.createDataFrame([(i, t, "de", "src", 1) for i, t in enumerate(docs)], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    assert {r.doc_id for r in corpus_pipeline.decontamination(spark, rows, tmp_dir).collect()} == {0, 3, 4}

@@ -36,10 +36,11 @@ from pyspark.sql import functions as F
 
 #: Placeholders: private-use characters that mark a name's ends, and stand for a name, a number, a unit.
 MARK, NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003", "\ue004"
-NAMES = r"([\p{Ll}\p{N},;] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
+#: Repeated groups are possessive (``*+``): Java matches a greedy one by recursion, and a few thousand words or numbers in a row overflow the stack.
+NAMES = r"([\p{Ll}\p{N},;] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*+)"
 #: The first is found wherever the second is, and seldom elsewhere (behind surrogates): most characters fail at the blank. The second is found where ``NAMES`` is.
 MAY_HAVE_NAMES, HAS_NAMES = r" (?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N},;\p{Cs}] )", r"[\p{Ll}\p{N},;] \p{Lu}\p{Ll}"
-NUMBERS = r"\p{N}+(?:[.,]\p{N}+)*"
+NUMBERS = r"\p{N}+(?:[.,]\p{N}+)*+"
 #: Unit words that count as units after a number.
 UNITS = ("kg g mg km m cm mm mile miles foot feet ft inch inches pound pounds lb lbs oz l ml liter liters litre litres "
          "second seconds minute minutes hour hours day days week weeks month months year years "
