@@ -162,3 +162,16 @@ def test_long_lists_of_names_do_not_overflow_the_stack(spark, tmp_dir):
     rows = spark.createDataFrame([(i, t, "de", "src", 1) for i, t in enumerate(docs)], "doc_id long, text string, lang string, source string, n_chars long")
     spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
     assert {r.doc_id for r in corpus_pipeline.decontamination(spark, rows, tmp_dir).collect()} == {0, 3, 4}
+
+
+def test_long_lists_of_numbers_do_not_overflow_the_stack(spark):
+    """A list of some 3000 numbers ended the executor by a StackOverflowError, in windows and in whole sequences."""
+    from tidemark.llm.template_decontam import NUMBERS
+    listed = ",".join(str(i % 1000) for i in range(50_000))
+    assert _spans(spark, NUMBERS, f"{listed} 7") == [(0, len(listed)), (len(listed) + 1, len(listed) + 2)]
+    greedy = NUMBERS.replace("*+", "*")
+    for text in ("1,2.3,,4", "1,2,", "1.a", ",1", "1 ,2", "12.5.6;7", "½,³x٣.٤", ""):
+        assert _spans(spark, NUMBERS, text) == _spans(spark, greedy, text)
+    docs = [listed, f"{listed} and then. {ITEM}", f"Compute 12 * 7 + 3 / 4 - 9, or {listed}", f"kilos 5 kg {listed} kg", None]
+    for most in (500_000, 0):
+        assert set(found(spark, docs, [(1, ITEM), (2, "Compute 12 * 7 + 3 / 4 - 9"), (3, f"{listed}; 2; 3; 4")], max_broadcast_windows=most)) == {(1, 1), (2, 2)}
